@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from candela.checks import oracle as O
 from candela.checks.queries import QUERIES
+from candela.checks.streams import STREAM_QUERIES, stream_oracle_sql
 
 
 def oracle_sql() -> dict[str, str]:
@@ -34,8 +35,9 @@ def oracle_sql() -> dict[str, str]:
         "v_risk_metrics": O.v_risk_metrics_sql(),
         "v_kpi_daily_market_health": O.v_kpi_sql(),
     }
-    return {k: v for k, v in sql.items() if k in QUERIES}
+    sql.update(stream_oracle_sql())
+    return {k: v for k, v in sql.items() if k in queries()}
 
 
 def queries():
-    return dict(QUERIES)
+    return {**QUERIES, **STREAM_QUERIES}
