@@ -496,3 +496,19 @@ SELECT date, total_stocks_traded,
   CASE WHEN market_volatility > 3 THEN 'High volatility' WHEN market_volatility > 1.5 THEN 'Normal volatility'
        ELSE 'Low volatility' END AS volatility_regime
 FROM r"""
+
+
+def ema_recursive_sql(span: int = 12) -> str:
+    """Recursive EMA per ticker as a recursive CTE over numbered rows."""
+    a = f"(2::DOUBLE / {span + 1})"
+    return f"""WITH RECURSIVE {BARS.strip()},
+numbered AS (
+  SELECT ticker, date, close, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM bars
+),
+rec AS (
+  SELECT ticker, rn, date, CAST(close AS DOUBLE) AS e FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.ticker, n.rn, n.date, {a} * n.close + (1 - {a}) * r.e
+  FROM rec r JOIN numbered n ON n.ticker = r.ticker AND n.rn = r.rn + 1
+)
+SELECT ticker, date, {r4("e", "ema_12")} FROM rec"""

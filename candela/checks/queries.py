@@ -106,6 +106,12 @@ def _indicator_query(key: str):
     return run
 
 
+def q_ind_ema(spark, sf):
+    from candela.operators.ema import ema
+
+    return norm(ema(load_bars(spark, sf)).select("ticker", "date", "ema_12"))
+
+
 def q_silver(spark, sf):
     return norm(Star(spark, sf).silver)
 
@@ -223,6 +229,7 @@ QUERIES = {
     "bars_fixture": q_bars,
     "dedup_bars": q_dedup_bars,
     **{k: _indicator_query(k) for k in INDICATOR_COLUMNS},
+    "ind_ema": q_ind_ema,
     "silver_ticker_indicators": q_silver,
     "silver_ticker_indicators_plain": q_silver_plain,
     "expect_silver": q_expect_silver,

@@ -13,6 +13,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_fixture": bars,
         "dedup_bars": bars,
         **{k: O.indicator_sql(k) for k in O.INDICATOR_COLUMNS},
+        "ind_ema": O.ema_recursive_sql(),
         "silver_ticker_indicators": O.silver_sql(),
         "silver_ticker_indicators_plain": O.silver_sql(),
         "expect_silver": O.expect_silver_sql(),
