@@ -22,7 +22,11 @@ from candela.operators.views import latest_date
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
 
 # Fixed stamp for the ticker change feed in checks (any constant works).
-CHECK_STAMP = F.lit(_dt.datetime(2025, 1, 1)).cast("timestamp")
+CHECK_TIME = _dt.datetime(2025, 1, 1)
+
+
+def check_stamp():
+    return F.lit(CHECK_TIME).cast("timestamp")
 
 DROP = ("ticker_key", "modified_date", "created_timestamp", "updated_timestamp", "calculated_timestamp")
 
@@ -60,7 +64,7 @@ class Star:
 
     @property
     def dim_tickers(self) -> DataFrame:
-        return dims.dim_tickers_source(self.bars, self.meta, modified=CHECK_STAMP)
+        return dims.dim_tickers_source(self.bars, self.meta, modified=check_stamp())
 
     @property
     def fact(self) -> DataFrame:

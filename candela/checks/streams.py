@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.checks.oracle import BARS, bars_select, r4, with_
-from candela.checks.queries import CHECK_STAMP, norm
+from candela.checks.queries import check_stamp, norm
 from candela.operators import dims
 from candela.schema import BAR_COLUMNS
 from candela.session import scratch_dir
@@ -153,9 +153,9 @@ def q_scd1_latest(spark, sf):
 def q_dim_tickers_scd1(spark, sf):
     """D1+D2: ticker change feed; a late, older version with other attributes is ignored."""
     bars, meta = load_bars(spark, sf), load_ticker_metadata(spark, sf)
-    current = dims.dim_tickers_source(bars, meta, modified=CHECK_STAMP)
+    current = dims.dim_tickers_source(bars, meta, modified=check_stamp())
     older = dims.dim_tickers_source(bars, meta.withColumn("sector", F.lit("STALE")),
-                                    modified=CHECK_STAMP - F.expr("INTERVAL 1 DAY"))
+                                    modified=check_stamp() - F.expr("INTERVAL 1 DAY"))
     return norm(dims.scd1_latest(older, ["ticker_key"], ["modified_date"], target=current))
 
 
