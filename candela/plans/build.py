@@ -94,9 +94,11 @@ def build_all(
     # Facts.
     fact = facts.fact_daily(silver, dd, dt, strategy=strategy, stamp=True)
     obs = Observation("fact_expectations")
-    fact = quality.expect_all(fact, quality.FACT_RULES, "warn", observation=obs)
-    write_table(fact.withColumn("year", F.year("date")), p["fact_daily_ticker_performance"], partition_by=["year"],
-                sort_within=["ticker", "date"])
+    write_table(
+        fact.withColumn("year", F.year("date")), p["fact_daily_ticker_performance"], partition_by=["year"],
+        sort_within=["ticker", "date"],
+        before_write=lambda d: quality.expect_all(d, quality.FACT_RULES, "warn", observation=obs),
+    )
     fact_counts = {k: int(v) for k, v in obs.get.items()}
     fact = spark.read.parquet(p["fact_daily_ticker_performance"]).drop("year")
     write_table(facts.fact_weekly(fact, stamp=True), p["fact_weekly_ticker_summary"])

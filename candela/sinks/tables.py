@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -16,13 +16,16 @@ def write_table(
     fmt: str = "parquet",
     sort_within: Sequence[str] = (),
     dynamic: bool = True,
+    before_write: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write ``df``. With ``partition_by`` and overwrite, only the partitions present are replaced.
 
     Rows are range-partitioned on the partition columns plus ``sort_within``
     so each task writes few files while a hot partition value is still
     split over several tasks; ``sort_within`` orders rows inside files
-    (row-group skipping on later reads).
+    (row-group skipping on later reads). ``before_write`` is applied after
+    the clustering step, e.g. to attach observed metrics that the range
+    partitioner's sampling pass must not count.
     """
     out = df
     if partition_by:
@@ -30,6 +33,8 @@ def write_table(
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
+    if before_write is not None:
+        out = before_write(out)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
