@@ -79,8 +79,9 @@ def expect_all(df: DataFrame, rules: Rules, mode: str = "warn", observation: Obs
         return df.where(all_pass)
     if mode == "fail":
         names = ", ".join(n for n, _ in rules)
-        guard = F.when(~all_pass, F.raise_error(F.lit(f"expectation failed ({names})")))
-        return df.withColumn("_expect_guard", guard).drop("_expect_guard")
+        # A filter (not a dropped column) so that column pruning cannot remove the check.
+        guard = F.when(all_pass, F.lit(True)).otherwise(F.raise_error(F.lit(f"expectation failed ({names})")).cast("boolean"))
+        return df.where(guard)
     raise ValueError("mode must be warn, drop or fail")
 
 
