@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.operators.frames import RN, number_rows
-from candela.operators.joins import broadcast_if_small
 from candela.session import ensure_checkpoint_dir
 
 DEFAULT_BLOCK_ROWS = 4096
@@ -41,9 +40,18 @@ IDX, M, Q, GRP, ENTRY = "_idx", "_m", "_q", "_grp", "_entry"
 
 
 def _compose(block_rows: int, key: str, df: DataFrame) -> DataFrame:
-    """One map per (key, block): composition of the block's maps in index order."""
+    """One map per (key, block): composition of the block's maps in index order.
+
+    NULL coefficients enter as NaN, which poisons the rest of the series the
+    same way NULL arithmetic would (the fold's accumulator is a non-nullable
+    struct, so NULLs must not reach it).
+    """
     g = F.floor(F.col(IDX) / block_rows)
-    elems = F.array_sort(F.collect_list(F.struct(F.col(IDX).alias("i"), F.col(M).alias("m"), F.col(Q).alias("q"))))
+    nan = F.lit(float("nan"))
+    elem = F.struct(
+        F.col(IDX).alias("i"), F.coalesce(F.col(M), nan).alias("m"), F.coalesce(F.col(Q), nan).alias("q")
+    )
+    elems = F.array_sort(F.collect_list(elem))
     init = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
     folded = F.aggregate(
         elems, init, lambda acc, x: F.struct((acc["a"] * x["m"]).alias("a"), (x["m"] * acc["b"] + x["q"]).alias("b"))
@@ -95,8 +103,10 @@ def affine_scan(df: DataFrame, key: str, out_col: str, block_rows: int = DEFAULT
     if entries is None:
         grouped = grouped.withColumn(ENTRY, F.lit(0.0))
     else:
-        grouped = grouped.join(broadcast_if_small(entries), [key, GRP], "left").withColumn(
-            ENTRY, F.coalesce(F.col(ENTRY), F.lit(0.0))
+        # Co-partitioned with the per-block fold below (both on key, group): no extra exchange.
+        # Only the first block has no predecessor; a NULL end state elsewhere stays NULL.
+        grouped = grouped.join(entries, [key, GRP], "left").withColumn(
+            ENTRY, F.when(F.col(GRP) == 0, F.lit(0.0)).otherwise(F.col(ENTRY))
         )
     return _fold_groups(grouped, key, out_col).drop(GRP)
 
@@ -110,7 +120,11 @@ def ema(
     order: str = "date",
     block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
-    """Add the recursive EMA of ``col`` per ``key`` ordered by ``order`` (NULL input -> NULL carry)."""
+    """Add the recursive EMA of ``col`` per ``key`` ordered by ``order``.
+
+    As in the plain recurrence, a NULL input makes every later value of its
+    series NULL.
+    """
     alpha = 2.0 / (span + 1)
     first = F.col(RN) == 1
     maps = number_rows(df, key, order).withColumns(
@@ -121,4 +135,5 @@ def ema(
         }
     )
     cols = df.columns
-    return affine_scan(maps, key, out_col, block_rows).select(*cols, out_col)
+    out = affine_scan(maps, key, out_col, block_rows)
+    return out.select(*cols, F.nanvl(F.col(out_col), F.lit(None).cast("double")).alias(out_col))

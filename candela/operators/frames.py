@@ -26,7 +26,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candela.operators.joins import broadcast_if_small
 
 DEFAULT_BLOCK_ROWS = 4096
 STRATEGIES = ("plain", "blocks")
@@ -52,7 +51,10 @@ def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse:
     counts = tagged.groupBy(key, YR).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy(YR).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(key, YR, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(OFF))
-    numbered = tagged.join(broadcast_if_small(offsets), [key, YR])
+    # Plain equi-join: its hash partitioning on (key, year) is the one the
+    # numbering window needs anyway, so it adds no exchange; AQE turns it
+    # into a broadcast join at run time when the offsets are measured small.
+    numbered = tagged.join(offsets, [key, YR])
     local = F.row_number().over(Window.partitionBy(key, YR).orderBy(order))
     return numbered.withColumn(RN, F.col(OFF) + local).drop(YR, OFF)
 
