@@ -1,0 +1,21 @@
+"""Keep CPU-heavy stages at least as wide as the cluster.
+
+A large table arrives in many file splits and needs nothing here; an
+input that lands in fewer partitions than there are cores (e.g. one big
+row group) is spread over the cores so the join / partial aggregation
+after it runs on all of them. Hash-partitioning on ``cols`` is
+deterministic on retry without the local sort a round-robin repartition
+needs; with no ``cols`` round-robin is used. The check looks at the
+planned partition count only (no job).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *cols: str, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *cols)

@@ -6,9 +6,17 @@ one bar per (nation of the supplier, ship date). The price of a line is
 and last line in a total order over the line's identifying columns; high
 and low widen the price by tax and discount; volume is the summed quantity.
 
-Everything here is one join plus one hash aggregate; all aggregates are
+Everything here is one join plus one aggregate; all aggregates are
 decomposable (min/max over a struct, sums), so map-side partial
 aggregation collapses even a hot (nation, day) group before the shuffle.
+
+Nation joins supplier by the planner's own size check (file statistics
+against ``autoBroadcastJoinThreshold``). The supplier side of the line-item
+join is broadcast only after a bounded row-count probe; beyond the bound
+the line items are shuffle-joined to suppliers (AQE splits a hot supplier
+key). Fixing the build side matters: left to AQE, a small scale factor's
+line items can measure under the broadcast threshold and get broadcast
+themselves, which streams the one-partition supplier side in a single task.
 """
 
 from __future__ import annotations
@@ -18,6 +26,7 @@ from pyspark.sql import functions as F
 
 from candela.functions.scalar import safe_div
 from candela.operators.joins import broadcast_if_small
+from candela.operators.parallel import spread
 from candela.sources.tables import read_table
 
 
@@ -25,12 +34,12 @@ def bars_from_lineitem(lineitem: DataFrame, supplier: DataFrame, nation: DataFra
     """Bars ``ticker, date, open, high, low, close, adj_close, volume``."""
     nat = nation.select("n_nationkey", "n_name")
     sup = supplier.select("s_suppkey", "s_nationkey").join(
-        broadcast_if_small(nat), F.col("s_nationkey") == F.col("n_nationkey")
+        nat, F.col("s_nationkey") == F.col("n_nationkey")
     ).select("s_suppkey", F.col("n_name").alias("ticker"))
-    li = lineitem.select(
+    li = spread(lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-    )
+    ), "l_orderkey", "l_linenumber")
     px = safe_div("l_extendedprice", "l_quantity")
     lines = (
         li.join(broadcast_if_small(sup), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -64,7 +73,7 @@ def ticker_metadata_from_tpch(supplier: DataFrame, nation: DataFrame, region: Da
     """
     cap = supplier.groupBy("s_nationkey").agg(F.sum("s_acctbal").alias("acct"))
     nr = nation.join(
-        broadcast_if_small(region.select("r_regionkey", "r_name")),
+        region.select("r_regionkey", "r_name"),
         F.col("n_regionkey") == F.col("r_regionkey"),
         "left",
     )
