@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 
 DEFAULT_BLOCK_ROWS = 4096
-STRATEGIES = ("plain", "blocks")
+STRATEGIES = ("plain", "blocks", "auto")
+# "auto": plain while the longest series fits one task comfortably.
+AUTO_MAX_SERIES_ROWS = 5_000_000
 
 # Helper column names (dropped before returning).
 RN, BLK, GHOST, YR, OFF = "_rn", "_blk", "_ghost", "_yr", "_off"
@@ -84,17 +86,26 @@ def rolling(
     lookback: int,
     strategy: str = "blocks",
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    auto_max_rows: int = AUTO_MAX_SERIES_ROWS,
 ) -> DataFrame:
     """Apply ``compute(frame, w)`` where ``w`` orders each series' rows.
 
     ``compute`` must only use ``w`` (optionally with bounded row frames
     reaching at most ``lookback`` rows back, including chained levels).
+    ``strategy="auto"`` counts rows per key (one partial aggregate, one
+    number back to the driver) and runs plain unless some series exceeds
+    ``auto_max_rows``. A look-back that does not fit a block widens the blocks.
     """
+    if strategy == "auto":
+        longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        strategy = "plain" if longest <= auto_max_rows else "blocks"
     if strategy == "plain":
         return compute(df, Window.partitionBy(key).orderBy(order))
     if strategy != "blocks":
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     cols = df.columns
+    if lookback >= block_rows:
+        block_rows = 4 * lookback
     blocked = with_blocks(number_rows(df, key, order), lookback, block_rows)
     w = Window.partitionBy(key, BLK).orderBy(RN)
     out = compute(blocked, w)

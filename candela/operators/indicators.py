@@ -169,24 +169,34 @@ def support_resistance_levels(w: WindowSpec, period: int = 20) -> Levels:
     ]
 
 
-# name -> (level builder, longest row reach of its dependency chain)
-INDICATORS: dict[str, tuple[Callable[..., Levels], int]] = {
-    "sma": (sma_levels, 49),
-    "ema_seeded": (ema_seeded_levels, 11),
-    "macd": (macd_levels, 33),
-    "bollinger_bands": (bollinger_levels, 19),
-    "atr": (atr_levels, 14),
-    "rsi": (rsi_levels, 14),
-    "stochastic": (stochastic_levels, 26),
-    "cci": (cci_levels, 38),
-    "mfi": (mfi_levels, 14),
-    "obv": (obv_levels, 50),
-    "adl": (adl_levels, 49),
-    "support_resistance": (support_resistance_levels, 19),
+def _p(params: dict, name: str, default):
+    return params.get(name, default)
+
+
+# name -> (level builder, rows its dependency chain reaches back for given parameters)
+INDICATORS: dict[str, tuple[Callable[..., Levels], Callable[[dict], int]]] = {
+    "sma": (sma_levels, lambda k: max(_p(k, "periods", (5, 15, 20, 30, 50))) - 1),
+    "ema_seeded": (ema_seeded_levels, lambda k: max(_p(k, "span", 12) - 1, 1)),
+    "macd": (macd_levels, lambda k: max(_p(k, "fast", 12), _p(k, "slow", 26)) - 1 + _p(k, "signal", 9) - 1),
+    "bollinger_bands": (bollinger_levels, lambda k: _p(k, "period", 20) - 1),
+    "atr": (atr_levels, lambda k: _p(k, "period", 14)),
+    "rsi": (rsi_levels, lambda k: _p(k, "period", 14)),
+    "stochastic": (stochastic_levels, lambda k: 2 * (_p(k, "period", 14) - 1)),
+    "cci": (cci_levels, lambda k: 2 * (_p(k, "period", 20) - 1)),
+    "mfi": (mfi_levels, lambda k: _p(k, "period", 14)),
+    "obv": (obv_levels, lambda k: _p(k, "period", 50)),
+    "adl": (adl_levels, lambda k: _p(k, "period", 50) - 1),
+    "support_resistance": (support_resistance_levels, lambda k: _p(k, "period", 20) - 1),
 }
 CHAIN = list(INDICATORS)
 
 
+def reach(names: Sequence[str], params: dict | None = None) -> int:
+    """Rows the named indicators (with ``params``) look back, at least 1."""
+    params = params or {}
+    return max([1] + [INDICATORS[n][1](params.get(n, {})) for n in names])
+
+
 def apply_levels(df: DataFrame, levels_list: Sequence[Levels]) -> DataFrame:
     """Apply several indicators' levels merged level-wise; keep public columns in chain order."""
     depth = max(len(lv) for lv in levels_list)
@@ -219,16 +229,73 @@ def all_indicators(df: DataFrame, w: WindowSpec) -> DataFrame:
     return with_indicators(df, w, CHAIN)
 
 
-def indicator(df: DataFrame, name: str, strategy: str = "blocks", block_rows: int | None = None, **params) -> DataFrame:
-    """Run one indicator group per ticker with the chosen frame strategy."""
-    _, reach = INDICATORS[name]
+def run_indicators(
+    df: DataFrame,
+    names: Sequence[str],
+    params: dict | None = None,
+    strategy: str = "blocks",
+    block_rows: int | None = None,
+    key: str = "ticker",
+    order: str = "date",
+) -> DataFrame:
+    """Run several indicator groups in one pass (merged levels) with the chosen frame strategy."""
+    params = params or {}
     kw = {} if block_rows is None else {"block_rows": block_rows}
     return rolling(
-        df, lambda d, w: with_indicators(d, w, [name], {name: params}), lookback=max(reach, 1), strategy=strategy, **kw
+        df, lambda d, w: with_indicators(d, w, names, params), key=key, order=order,
+        lookback=reach(names, params), strategy=strategy, **kw,
     )
 
 
+def indicator(df: DataFrame, name: str, strategy: str = "blocks", block_rows: int | None = None, **params) -> DataFrame:
+    """Run one indicator group per ticker with the chosen frame strategy."""
+    return run_indicators(df, [name], {name: params}, strategy, block_rows)
+
+
 def silver_indicators(bars: DataFrame, strategy: str = "blocks", block_rows: int | None = None) -> DataFrame:
     """``silver_ticker_indicators``: bars plus every indicator and helper column."""
     kw = {} if block_rows is None else {"block_rows": block_rows}
-    return rolling(bars, all_indicators, lookback=SILVER_LOOKBACK, strategy=strategy, **kw)
+    return rolling(bars, all_indicators, lookback=max(SILVER_LOOKBACK, reach(CHAIN)), strategy=strategy, **kw)
+
+
+class IndicatorChain:
+    """Fluent form: ``IndicatorChain(df, "symbol", "date").sma().rsi(period=10).get_df()``.
+
+    Methods record indicator groups (same names and parameters as the
+    level builders above); ``get_df`` evaluates them all in one pass with
+    merged dependency levels, so the chain costs one exchange (plain) or
+    the block machinery once, whatever its length.
+    """
+
+    def __init__(self, df: DataFrame, symbol_col: str = "symbol", date_col: str = "date",
+                 strategy: str = "blocks", block_rows: int | None = None):
+        self._df, self._key, self._order = df, symbol_col, date_col
+        self._strategy, self._block_rows = strategy, block_rows
+        self._names: list[str] = []
+        self._params: dict[str, dict] = {}
+
+    def _add(self, name: str, params: dict) -> "IndicatorChain":
+        if name in self._params:
+            raise ValueError(f"{name} already in the chain")
+        self._names.append(name)
+        self._params[name] = params
+        return self
+
+    def sma(self, **kw): return self._add("sma", kw)  # noqa: E704
+    def ema(self, **kw): return self._add("ema_seeded", kw)  # noqa: E704
+    def macd(self, **kw): return self._add("macd", kw)  # noqa: E704
+    def bollinger_bands(self, **kw): return self._add("bollinger_bands", kw)  # noqa: E704
+    def atr(self, **kw): return self._add("atr", kw)  # noqa: E704
+    def rsi(self, **kw): return self._add("rsi", kw)  # noqa: E704
+    def stochastic(self, **kw): return self._add("stochastic", kw)  # noqa: E704
+    def cci(self, **kw): return self._add("cci", kw)  # noqa: E704
+    def mfi(self, **kw): return self._add("mfi", kw)  # noqa: E704
+    def obv(self, **kw): return self._add("obv", kw)  # noqa: E704
+    def adl(self, **kw): return self._add("adl", kw)  # noqa: E704
+    def support_resistance(self, **kw): return self._add("support_resistance", kw)  # noqa: E704
+
+    def get_df(self) -> DataFrame:
+        if not self._names:
+            return self._df
+        return run_indicators(self._df, self._names, self._params, self._strategy, self._block_rows,
+                              key=self._key, order=self._order)

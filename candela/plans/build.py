@@ -58,11 +58,15 @@ def build_all(
     metadata: DataFrame,
     *,
     year_floor: int = 2022,
-    strategy: str = "blocks",
+    strategy: str = "auto",
     as_of=None,
     register_views: bool = True,
 ) -> BuildResult:
-    """Run every stage; returns table paths and the expectation counters of this run."""
+    """Run every stage; returns table paths and the expectation counters of this run.
+
+    ``strategy`` picks the window execution of every rolling stage: "auto"
+    (plain unless a ticker is too long for one task), "plain" or "blocks".
+    """
     ensure_checkpoint_dir(spark)
     p = {t: os.path.join(root, t) for t in TABLES}
     ck = lambda name: os.path.join(root, "_checkpoints", name)

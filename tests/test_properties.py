@@ -50,3 +50,18 @@ def test_blocks_equal_plain(chain, block_rows):
     b = blk.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
     assert blk.count() == silver.count()
     assert a.exceptAll(b).count() == 0
+
+
+def test_same_results_with_ansi_on_and_off(spark, chain):
+    bars = chain[0]
+    num = lambda df: df.select("ticker", "date", *[F.round(c, 8).alias(c) for c, t in df.dtypes
+                                                  if t in ("double", "bigint")])
+    results = {}
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            s = indicators.silver_indicators(bars, "blocks")
+            results[ansi] = num(s).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+    assert sorted(results["true"]) == sorted(results["false"])
