@@ -84,7 +84,7 @@ def build_all(
     # Indicators over the deduplicated bars (duplicate dates would make row frames ambiguous).
     cleaned = dedup_bars(spark.read.parquet(p["silver_cleaned"]), keep_sequence=True)
     silver = indicators.silver_indicators(cleaned, strategy)
-    write_table(silver, p["silver_ticker_indicators"], partition_by=["ticker"], sort_within=["date"])
+    write_table(silver, p["silver_ticker_indicators"], partition_by=["ticker"], sort_within=["date"], cluster=False)
     silver = spark.read.parquet(p["silver_ticker_indicators"])
 
     # Dimensions.
@@ -100,7 +100,7 @@ def build_all(
     obs = Observation("fact_expectations")
     write_table(
         fact.withColumn("year", F.year("date")), p["fact_daily_ticker_performance"], partition_by=["year"],
-        sort_within=["ticker", "date"],
+        sort_within=["ticker", "date"], cluster=False,
         before_write=lambda d: quality.expect_all(d, quality.FACT_RULES, "warn", observation=obs),
     )
     fact_counts = {k: int(v) for k, v in obs.get.items()}

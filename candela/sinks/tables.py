@@ -17,6 +17,7 @@ def write_table(
     sort_within: Sequence[str] = (),
     dynamic: bool = True,
     before_write: Callable[[DataFrame], DataFrame] | None = None,
+    cluster: bool = True,
 ) -> None:
     """Write ``df``. With ``partition_by`` and overwrite, only the partitions present are replaced.
 
@@ -26,11 +27,18 @@ def write_table(
     (row-group skipping on later reads). ``before_write`` is applied after
     the clustering step, e.g. to attach observed metrics that the range
     partitioner's sampling pass must not count.
+
+    ``cluster=False`` writes the partitions as they come (only sorted):
+    right for the output of a window stage, which is already clustered by
+    series, and whose expensive lineage the range partitioner's sampling
+    pass would otherwise run twice.
     """
     out = df
-    if partition_by:
+    if partition_by and cluster:
         out = out.repartitionByRange(*partition_by, *sort_within)
         out = out.sortWithinPartitions(*partition_by, *sort_within)
+    elif partition_by:
+        out = out.sortWithinPartitions(*partition_by, *sort_within)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     if before_write is not None:
