@@ -138,8 +138,8 @@ def q_stream_scd1(spark, sf):
     events = read_table(spark, sf, "events")
     for i, drop in enumerate(_event_drops(events, newer_first=True)):
         stream = _stage_events(spark, events, landing, drop, i == 0)
-        jobs.run_scd1(stream, ["user_id"], ["ts", "event_id"], target, ckpt)
-    return norm(spark.read.parquet(target))
+        jobs.run_scd1(stream, ["user_id"], ["ts", "event_id"], target, ckpt, buckets=8)
+    return norm(jobs.read_scd1(spark, target))
 
 
 def q_scd1_latest(spark, sf):

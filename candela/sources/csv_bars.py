@@ -42,11 +42,27 @@ def read_bars_csv(spark: SparkSession, raw_dir: str, tickers: Sequence[str] | No
     return land(raw, tickers)
 
 
-def read_bars_stream(spark: SparkSession, raw_dir: str, tickers: Sequence[str] | None = None,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+def read_bars_stream(
+    spark: SparkSession,
+    raw_dir: str,
+    tickers: Sequence[str] | None = None,
+    max_files_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
+) -> DataFrame:
+    """Incremental read of new raw files (the source's checkpoint remembers seen files).
+
+    ``clean_source="archive"`` (with ``archive_dir``) or ``"delete"`` moves
+    processed files out of the landing folder, which keeps the per-trigger
+    listing small when drops accumulate over years.
+    """
     reader = spark.readStream.schema(RAW_BAR).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     return land(reader.csv(_glob(raw_dir)), tickers)
 
 

@@ -78,30 +78,64 @@ def run_append_with_expectations(
     return summed_observed(q, metric_name)
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018
+        return True
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return False
+        raise
+
+
+BUCKET = "_bucket"
+
+
 def run_scd1(
     changes: DataFrame,
     keys: Sequence[str],
     sequence_by: Sequence[str],
     target_path: str,
     checkpoint: str,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Keep the latest row per key from a change stream (SCD type 1).
 
-    A streaming aggregate holds, per key, the row with the greatest
-    sequence in the state store; a late, older change cannot displace it.
-    Each micro-batch rewrites the (dimension-sized) result table.
+    A streaming aggregate keeps, per key, the row with the greatest
+    sequence in the state store, so a late, older change cannot displace a
+    newer one. In update mode each micro-batch emits only the keys it
+    touched; they are merged into a target partitioned by a hash bucket of
+    the key: the touched buckets are read (partition pruning through a
+    semi-join with at most ``buckets`` values), the emitted keys replaced,
+    and only those buckets rewritten (dynamic partition overwrite). The
+    batch is checkpointed first so it is computed once and survives a lost
+    executor.
     """
+    spark = changes.sparkSession
     cols = changes.columns
     best = F.max(F.struct(F.struct(*[F.col(c) for c in sequence_by]).alias("seq"), F.struct(*cols).alias("row")))
     latest = changes.groupBy(*keys).agg(best.alias("_best")).select("_best.row.*")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target_path)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        staged = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets))).checkpoint()
+        if _path_exists(spark, target_path):
+            touched = F.broadcast(staged.select(BUCKET).distinct())  # at most `buckets` rows
+            current = spark.read.parquet(target_path).join(touched, BUCKET, "left_semi")
+            kept = current.join(staged.select(*keys), list(keys), "left_anti")
+            merged = kept.unionByName(staged).checkpoint()
+        else:
+            merged = staged
+        (
+            merged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET)
+            .parquet(target_path)
+        )
 
     q = (
-        latest.writeStream.outputMode("complete")
+        latest.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(merge)
         .trigger(availableNow=True)
         .start()
     )
@@ -109,6 +143,11 @@ def run_scd1(
     return q
 
 
+def read_scd1(spark: SparkSession, target_path: str) -> DataFrame:
+    """The dimension written by :func:`run_scd1` (without the bucket column)."""
+    return spark.read.parquet(target_path).drop(BUCKET)
+
+
 def run_upsert_bars(
     spark: SparkSession,
     updates: DataFrame,
@@ -127,14 +166,12 @@ def run_upsert_bars(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select("ticker").distinct()
-        try:
-            current = spark.read.parquet(target_path)
-            current = current.join(touched, "ticker", "left_semi")
+        batch = batch.checkpoint()
+        if _path_exists(spark, target_path):
+            touched = batch.select("ticker").distinct()
+            current = spark.read.parquet(target_path).join(touched, "ticker", "left_semi")
             rows_ = current.unionByName(batch)
-        except Exception as e:  # first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        else:
             rows_ = batch
         merged = dedup_bars(rows_, keys, sequence_by, keep_sequence=True).checkpoint()
         (
