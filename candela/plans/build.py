@@ -61,11 +61,14 @@ def build_all(
     strategy: str = "auto",
     as_of=None,
     register_views: bool = True,
+    dedup: bool = True,
 ) -> BuildResult:
     """Run every stage; returns table paths and the expectation counters of this run.
 
     ``strategy`` picks the window execution of every rolling stage: "auto"
     (plain unless a ticker is too long for one task), "plain" or "blocks".
+    ``dedup`` keeps the newest copy per (ticker, date) before the indicators
+    (one aggregate; turn off when the feed is known to be free of repeats).
     """
     ensure_checkpoint_dir(spark)
     p = {t: os.path.join(root, t) for t in TABLES}
@@ -82,7 +85,9 @@ def build_all(
     )
 
     # Indicators over the deduplicated bars (duplicate dates would make row frames ambiguous).
-    cleaned = dedup_bars(spark.read.parquet(p["silver_cleaned"]), keep_sequence=True)
+    cleaned = spark.read.parquet(p["silver_cleaned"])
+    if dedup:
+        cleaned = dedup_bars(cleaned, keep_sequence=True)
     silver = indicators.silver_indicators(cleaned, strategy)
     write_table(silver, p["silver_ticker_indicators"], partition_by=["ticker"], sort_within=["date"], cluster=False)
     silver = spark.read.parquet(p["silver_ticker_indicators"])

@@ -3,8 +3,10 @@
 The ticker comes from the file's folder name (``raw/<T>/file.csv``, or
 ``raw/ticker=<T>/file.csv`` as Spark writes partitioned output), so one
 glob scan covers every ticker; an optional ticker list becomes a filter.
-``date`` is cast to DATE once at landing; unparseable text becomes NULL
-and is caught by the ``date IS NOT NULL`` rule.
+A ticker list narrows the glob itself (``raw/{AAPL,BAC}/``), so folders of
+other tickers are not even listed. ``date`` is cast to DATE once at
+landing; unparseable text becomes NULL and is caught by the
+``date IS NOT NULL`` rule.
 """
 
 from __future__ import annotations
@@ -20,8 +22,12 @@ from candela.schema import RAW_BAR
 TICKER_FROM_PATH = r"/(?:ticker=)?([^/=]+)/[^/]+$"
 
 
-def _glob(raw_dir: str) -> str:
-    return raw_dir.rstrip("/") + "/*/"
+def _glob(raw_dir: str, tickers: Sequence[str] | None = None) -> str:
+    """All ticker folders, or only the listed ones (a brace glob: unlisted folders are never listed)."""
+    if not tickers:
+        return raw_dir.rstrip("/") + "/*/"
+    names = sorted(set(tickers) | {f"ticker={t}" for t in tickers})
+    return raw_dir.rstrip("/") + "/{" + ",".join(names) + "}/"
 
 
 def land(raw: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
@@ -38,7 +44,7 @@ def land(raw: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
 
 
 def read_bars_csv(spark: SparkSession, raw_dir: str, tickers: Sequence[str] | None = None) -> DataFrame:
-    raw = spark.read.schema(RAW_BAR).option("header", True).csv(_glob(raw_dir))
+    raw = spark.read.schema(RAW_BAR).option("header", True).csv(_glob(raw_dir, tickers))
     return land(raw, tickers)
 
 
@@ -63,7 +69,7 @@ def read_bars_stream(
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    return land(reader.csv(_glob(raw_dir)), tickers)
+    return land(reader.csv(_glob(raw_dir, tickers)), tickers)
 
 
 def write_bars_csv(bars: DataFrame, raw_dir: str, mode: str = "append") -> None:

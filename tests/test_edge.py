@@ -118,3 +118,17 @@ def test_scd1_late_older_version_ignored(spark):
     late = spark.createDataFrame([("a", "old", dt.datetime(2025, 1, 1)), ("c", "add", dt.datetime(2024, 1, 1))], ddl)
     out = {r.k: r.v for r in dims.scd1_latest(late, ["k"], ["seq"], target=cur).collect()}
     assert out == {"a": "new", "b": "keep", "c": "add"}
+
+
+def test_ticker_list_narrows_the_glob(spark, tmp_root):
+    import os
+
+    from candela.sources.csv_bars import _glob, read_bars_csv
+
+    for t in ("AAA", "BBB", "CCC"):
+        os.makedirs(os.path.join(tmp_root, t))
+        with open(os.path.join(tmp_root, t, "x.csv"), "w") as f:
+            f.write("Date,Open,High,Low,Close,Adj Close,Volume\n2024-01-03,1,2,0.5,1.5,1.5,10\n")
+    assert _glob(tmp_root, ["AAA", "CCC"]).endswith("/{AAA,CCC,ticker=AAA,ticker=CCC}/")
+    got = sorted(r.ticker for r in read_bars_csv(spark, tmp_root, ["AAA", "CCC"]).collect())
+    assert got == ["AAA", "CCC"]
