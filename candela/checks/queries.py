@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candela.checks.oracle import FACT_RULES, INDICATOR_COLUMNS, SILVER_RULES, YEAR_FLOOR
+from candela.checks.oracle import INDICATOR_COLUMNS, YEAR_FLOOR
 from candela.functions.scalar import round4
 from candela.operators import dims, facts, indicators, quality, views
 from candela.operators.views import latest_date
@@ -257,4 +257,3 @@ QUERIES = {
     "v_kpi_daily_market_health": q_v_kpi,
 }
 
-_ = (SILVER_RULES, FACT_RULES)

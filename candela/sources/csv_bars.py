@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from candela.schema import RAW_BAR
@@ -44,7 +45,13 @@ def land(raw: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
 
 
 def read_bars_csv(spark: SparkSession, raw_dir: str, tickers: Sequence[str] | None = None) -> DataFrame:
-    raw = spark.read.schema(RAW_BAR).option("header", True).csv(_glob(raw_dir, tickers))
+    """Batch read of every raw file; no ticker folder at all gives an empty, typed frame."""
+    try:
+        raw = spark.read.schema(RAW_BAR).option("header", True).csv(_glob(raw_dir, tickers))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        raw = spark.createDataFrame([], RAW_BAR).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
     return land(raw, tickers)
 
 

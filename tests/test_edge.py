@@ -132,3 +132,12 @@ def test_ticker_list_narrows_the_glob(spark, tmp_root):
     assert _glob(tmp_root, ["AAA", "CCC"]).endswith("/{AAA,CCC,ticker=AAA,ticker=CCC}/")
     got = sorted(r.ticker for r in read_bars_csv(spark, tmp_root, ["AAA", "CCC"]).collect())
     assert got == ["AAA", "CCC"]
+
+
+def test_no_ticker_folder_gives_empty_typed_frame(spark, tmp_root):
+    from candela.sources.csv_bars import read_bars_csv
+
+    df = read_bars_csv(spark, tmp_root)
+    assert df.count() == 0
+    assert df.columns == ["ticker", "date", "open", "high", "low", "close", "adj_close", "volume"]
+    assert dict(df.dtypes)["date"] == "date"
