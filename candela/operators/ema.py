@@ -22,6 +22,9 @@ the scan is hierarchical:
 
 No group ever holds more than ``block_rows`` elements, and the only
 driver round trip per level is one number (the largest block index).
+When a row count per series (one partial aggregate, one number back)
+shows that every series fits one block, the scan collapses to a single
+grouped fold per series: one shuffle, same bound.
 """
 
 from __future__ import annotations
@@ -111,6 +114,25 @@ def affine_scan(df: DataFrame, key: str, out_col: str, block_rows: int = DEFAULT
     return _fold_groups(grouped, key, out_col).drop(GRP)
 
 
+def _ema_per_series(df: DataFrame, col: str, alpha: float, out_col: str, key: str, order: str) -> DataFrame:
+    """One grouped fold per series (used only when every series has at most ``block_rows`` rows)."""
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType(), True)])
+    names = [f.name for f in schema.fields]
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        c = pdf[col].to_numpy(dtype="float64")
+        out = np.empty(len(pdf), dtype="float64")
+        s = 0.0
+        for i in range(len(out)):
+            s = c[i] if i == 0 else alpha * c[i] + (1 - alpha) * s
+            out[i] = s
+        pdf[out_col] = out
+        return pdf[names]
+
+    return df.groupBy(key).applyInPandas(fold, schema)
+
+
 def ema(
     df: DataFrame,
     col: str = "close",
@@ -126,6 +148,11 @@ def ema(
     series NULL.
     """
     alpha = 2.0 / (span + 1)
+    cols = df.columns
+    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if longest <= block_rows:
+        out = _ema_per_series(df, col, alpha, out_col, key, order)
+        return out.select(*cols, F.nanvl(F.col(out_col), F.lit(None).cast("double")).alias(out_col))
     first = F.col(RN) == 1
     maps = number_rows(df, key, order).withColumns(
         {
@@ -134,6 +161,5 @@ def ema(
             Q: F.when(first, F.col(col)).otherwise(F.lit(alpha) * F.col(col)).cast("double"),
         }
     )
-    cols = df.columns
     out = affine_scan(maps, key, out_col, block_rows)
     return out.select(*cols, F.nanvl(F.col(out_col), F.lit(None).cast("double")).alias(out_col))
