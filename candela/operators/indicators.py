@@ -48,11 +48,12 @@ def ema_seeded_levels(w: WindowSpec, col: str = "close", span: int = 12, out_col
     ``alpha * close``. The recursive EMA is :mod:`candela.operators.ema`.
     """
     alpha = 2.0 / (span + 1)
-    prev = F.lag(F.lit(0), 1).over(w)
-    value = F.when(prev.isNull(), F.avg(col).over(rows(w, span))).otherwise(
-        F.lit(alpha) * F.col(col) + F.lit(1 - alpha) * prev
-    )
-    return [{out_col: value}]
+    prev = F.col("_ema_prev")
+    value = F.when(prev.isNull(), F.col("_ema_avg")).otherwise(F.lit(alpha) * F.col(col) + F.lit(1 - alpha) * prev)
+    return [
+        {"_ema_prev": F.lag(F.lit(0), 1).over(w), "_ema_avg": F.avg(col).over(rows(w, span))},
+        {out_col: value},
+    ]
 
 
 def macd_levels(w: WindowSpec, col: str = "close", fast: int = 12, slow: int = 26, signal: int = 9) -> Levels:
@@ -68,14 +69,11 @@ def macd_levels(w: WindowSpec, col: str = "close", fast: int = 12, slow: int = 2
 def bollinger_levels(w: WindowSpec, col: str = "close", period: int = 20, num_std: float = 2) -> Levels:
     """T4: mean +/- k sample standard deviations; width and %B."""
     frame = rows(w, period)
-    mean, std = F.avg(col).over(frame), F.stddev(col).over(frame)
+    mean, std = F.col("bbands_sma"), F.col("_bb_std")
     width = F.col("bbands_upper") - F.col("bbands_lower")
     return [
-        {
-            "bbands_sma": mean,
-            "bbands_upper": mean + F.lit(num_std) * std,
-            "bbands_lower": mean - F.lit(num_std) * std,
-        },
+        {"bbands_sma": F.avg(col).over(frame), "_bb_std": F.stddev(col).over(frame)},
+        {"bbands_upper": mean + F.lit(num_std) * std, "bbands_lower": mean - F.lit(num_std) * std},
         {"bbands_width": width, "bbands_pct": safe_div(F.col(col) - F.col("bbands_lower"), width)},
     ]
 
@@ -92,11 +90,11 @@ def atr_levels(w: WindowSpec, period: int = 14) -> Levels:
 
 def rsi_levels(w: WindowSpec, col: str = "close", period: int = 14) -> Levels:
     """Mean gain / mean loss over ``period`` rows; no loss -> NULL."""
-    d = F.col("delta")
+    d = F.col(col) - F.col("_rsi_prev")
     frame = rows(w, period)
     return [
-        {"delta": F.col(col) - F.lag(col).over(w)},
-        {"gain": F.when(d > 0, d).otherwise(F.lit(0)), "loss": F.when(d < 0, -d).otherwise(F.lit(0))},
+        {"_rsi_prev": F.lag(col).over(w)},
+        {"delta": d, "gain": F.when(d > 0, d).otherwise(F.lit(0)), "loss": F.when(d < 0, -d).otherwise(F.lit(0))},
         {"avg_gain": F.avg("gain").over(frame), "avg_loss": F.avg("loss").over(frame)},
         {"rs": safe_div("avg_gain", "avg_loss")},
         {"rsi": F.lit(100) - safe_div(F.lit(100), F.lit(1) + F.col("rs"))},
@@ -128,10 +126,10 @@ def cci_levels(w: WindowSpec, period: int = 20) -> Levels:
 def mfi_levels(w: WindowSpec, period: int = 14) -> Levels:
     """Money flow split by the sign of the typical-price change."""
     flow = _tp() * F.col("volume")
-    d = F.col("_mfi_dtp")
+    d = _tp() - F.col("_mfi_prev_tp")
     frame = rows(w, period)
     return [
-        {"_mfi_dtp": _tp() - F.lag(_tp()).over(w)},
+        {"_mfi_prev_tp": F.lag(_tp()).over(w)},
         {"pos_flow": F.when(d > 0, flow).otherwise(F.lit(0)), "neg_flow": F.when(d < 0, flow).otherwise(F.lit(0))},
         {"pos_mf": F.sum("pos_flow").over(frame), "neg_mf": F.sum("neg_flow").over(frame)},
         {"mfi": F.lit(100) - safe_div(F.lit(100), F.lit(1) + safe_div("pos_mf", "neg_mf"))},
@@ -140,10 +138,10 @@ def mfi_levels(w: WindowSpec, period: int = 14) -> Levels:
 
 def obv_levels(w: WindowSpec, period: int = 50) -> Levels:
     """Signed volume by close direction, summed over the last ``period`` rows (not cumulative)."""
-    d = F.col("_obv_d")
+    d = F.col("close") - F.col("_obv_prev")
     v = F.col("volume")
     return [
-        {"_obv_d": F.col("close") - F.lag("close").over(w)},
+        {"_obv_prev": F.lag("close").over(w)},
         {"_obv_v": F.when(d > 0, v).when(d < 0, -v).otherwise(F.lit(0))},
         {"obv": F.sum("_obv_v").over(rows(w, period))},
     ]
@@ -198,15 +196,32 @@ def reach(names: Sequence[str], params: dict | None = None) -> int:
 
 
 def apply_levels(df: DataFrame, levels_list: Sequence[Levels]) -> DataFrame:
-    """Apply several indicators' levels merged level-wise; keep public columns in chain order."""
+    """Apply several indicators' levels merged level-wise; keep public columns in chain order.
+
+    Within a level, identical expressions (e.g. the 20-row mean of close
+    that both SMA-20 and the Bollinger mid-band need, or the previous close
+    of ATR, RSI and OBV) are computed once and the other names alias it:
+    Spark does not merge equal window functions by itself.
+    """
     depth = max(len(lv) for lv in levels_list)
     for i in range(depth):
-        merged: dict[str, Column] = {}
+        first: dict[str, Column] = {}
+        aliases: dict[str, str] = {}
+        seen: dict[str, str] = {}
         for lv in levels_list:
-            if i < len(lv):
-                merged.update(lv[i])
-        if merged:
-            df = df.withColumns(merged)
+            if i >= len(lv):
+                continue
+            for name, expr in lv[i].items():
+                key = str(expr)
+                if key in seen:
+                    aliases[name] = seen[key]
+                else:
+                    seen[key] = name
+                    first[name] = expr
+        if first:
+            df = df.withColumns(first)
+        if aliases:
+            df = df.withColumns({n: F.col(src) for n, src in aliases.items()})
     private = [c for lv in levels_list for level in lv for c in level if c.startswith("_")]
     return df.drop(*private)
 
