@@ -132,6 +132,17 @@ def q_stream_expect(spark, sf):
     return spark.createDataFrame(rows, "rule STRING, expectation STRING, failed_records BIGINT, total_records BIGINT")
 
 
+def q_stream_dedup(spark, sf):
+    """O1 (stream): the second drop re-delivers the newer half of the events; copies are dropped."""
+    landing, sink, ckpt = (scratch_dir(spark, n) for n in ("dd-land", "dd-sink", "dd-ckpt"))
+    events = read_table(spark, sf, "events")
+    _, late = _event_drops(events)
+    for i, drop in enumerate((events, late)):
+        stream = _stage_events(spark, events, landing, drop, i == 0)
+        jobs.run_append(jobs.dedup_stream(stream, ["event_id"], "ts", "40 days"), sink, ckpt)
+    return norm(spark.read.parquet(sink))
+
+
 def q_stream_scd1(spark, sf):
     """Latest event per user from a change stream; the older drop arrives last."""
     landing, target, ckpt = (scratch_dir(spark, n) for n in ("scd-land", "scd-target", "scd-ckpt"))
@@ -167,6 +178,7 @@ STREAM_QUERIES = {
     "stream_incremental_append": q_stream_incremental_append,
     "stream_union": q_stream_union,
     "stream_expect": q_stream_expect,
+    "stream_dedup": q_stream_dedup,
     "stream_scd1": q_stream_scd1,
     "scd1_latest": q_scd1_latest,
     "dim_tickers_scd1": q_dim_tickers_scd1,
@@ -197,6 +209,7 @@ def stream_oracle_sql() -> dict[str, str]:
         "stream_incremental_append": EVENTS_OUT,
         "stream_union": EVENTS_OUT,
         "stream_expect": rules,
+        "stream_dedup": EVENTS_OUT,
         "stream_scd1": LATEST_EVENT,
         "scd1_latest": LATEST_EVENT,
         "dim_tickers_scd1": O.dim_tickers_sql(),

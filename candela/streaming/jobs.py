@@ -28,6 +28,20 @@ def union_streams(*dfs: DataFrame) -> DataFrame:
     return out
 
 
+def dedup_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """O1 on a stream: drop re-delivered copies of a key seen within ``delay`` of event time.
+
+    The first copy wins; the state of a key is dropped once the watermark
+    passes it, so state stays bounded by the rows of one ``delay`` window.
+    A TIMESTAMP_NTZ event time is watermarked through a session-zone cast.
+    """
+    if dict(stream.dtypes)[event_time] == "timestamp_ntz":
+        wm = "_event_time"
+        marked = stream.withColumn(wm, F.col(event_time).cast("timestamp")).withWatermark(wm, delay)
+        return marked.dropDuplicatesWithinWatermark(list(keys)).drop(wm)
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def with_load_stamp(df: DataFrame, col: str = "processed_timestamp") -> DataFrame:
     """Stateless projection adding the load time."""
     return df.withColumn(col, F.current_timestamp())
