@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from candela.operators import dims, facts, indicators, quality, views
 from candela.operators.dedup import dedup_bars
 from candela.session import ensure_checkpoint_dir
-from candela.sinks.tables import write_table
+from candela.sinks.tables import export, write_table
 from candela.sources.csv_bars import read_bars_stream
 from candela.streaming import jobs
 
@@ -62,6 +62,7 @@ def build_all(
     as_of=None,
     register_views: bool = True,
     dedup: bool = True,
+    export_root: str | None = None,
 ) -> BuildResult:
     """Run every stage; returns table paths and the expectation counters of this run.
 
@@ -69,6 +70,7 @@ def build_all(
     (plain unless a ticker is too long for one task), "plain" or "blocks".
     ``dedup`` keeps the newest copy per (ticker, date) before the indicators
     (one aggregate; turn off when the feed is known to be free of repeats).
+    ``export_root`` copies the seven exported tables there (overwrite).
     """
     ensure_checkpoint_dir(spark)
     p = {t: os.path.join(root, t) for t in TABLES}
@@ -122,4 +124,8 @@ def build_all(
         views.v_technical_screening(fact, dt, strategy).createOrReplaceTempView("v_technical_screening")
         views.v_risk_metrics(monthly, dt, as_of).createOrReplaceTempView("v_risk_metrics")
         views.v_kpi_daily_market_health(fact, stamp=True).createOrReplaceTempView("v_kpi_daily_market_health")
+    if export_root:
+        names = ("silver_cleaned", "silver_ticker_indicators", "dim_tickers", "data_quality_metrics",
+                 "fact_daily_ticker_performance", "fact_monthly_ticker_summary", "fact_weekly_ticker_summary")
+        export({n: spark.read.parquet(p[n]) for n in names}, export_root)
     return BuildResult(p, silver_counts, fact_counts)
