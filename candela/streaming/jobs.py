@@ -66,8 +66,12 @@ def run_append(
     return q
 
 
+PROGRESS_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def summed_observed(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sum a named observed metric over every micro-batch of a finished run."""
+    """Sum a named observed metric over the micro-batches kept in the query's progress
+    buffer (callers raise its retention for the run, see below)."""
     total: dict[str, int] = {}
     for p in query.recentProgress:
         row = (p.observedMetrics or {}).get(name)
@@ -86,10 +90,23 @@ def run_append_with_expectations(
     partition_by: Sequence[str] = (),
     metric_name: str = "expectations",
 ) -> dict[str, int]:
-    """Append (warn mode: all rows kept) while counting rule failures per batch."""
-    observed = observe_rules(stream, rules, metric_name)
-    q = run_append(observed, sink_path, checkpoint, partition_by)
-    return summed_observed(q, metric_name)
+    """Append (warn mode: all rows kept) while counting rule failures per batch.
+
+    The counters of every micro-batch of this run are summed; the progress
+    retention is raised for the run so no batch falls out of the buffer.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(PROGRESS_RETENTION, None)
+    spark.conf.set(PROGRESS_RETENTION, "100000")
+    try:
+        observed = observe_rules(stream, rules, metric_name)
+        q = run_append(observed, sink_path, checkpoint, partition_by)
+        return summed_observed(q, metric_name)
+    finally:
+        if before is None:
+            spark.conf.unset(PROGRESS_RETENTION)
+        else:
+            spark.conf.set(PROGRESS_RETENTION, before)
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
