@@ -92,6 +92,8 @@ def rolling(
 
     ``compute`` must only use ``w`` (optionally with bounded row frames
     reaching at most ``lookback`` rows back, including chained levels).
+    ``(key, order)`` must be unique (deduplicate first): ties would make
+    row frames, and so the results, depend on row order.
     ``strategy="auto"`` counts rows per key (one partial aggregate, one
     number back to the driver) and runs plain unless some series exceeds
     ``auto_max_rows``. A look-back that does not fit a block widens the blocks.

@@ -141,3 +141,18 @@ def test_no_ticker_folder_gives_empty_typed_frame(spark, tmp_root):
     assert df.count() == 0
     assert df.columns == ["ticker", "date", "open", "high", "low", "close", "adj_close", "volume"]
     assert dict(df.dtypes)["date"] == "date"
+
+
+def test_metadata_from_csv_file(spark, tmp_root, edge):
+    import os
+
+    from candela.sources.metadata import read_ticker_metadata
+
+    path = os.path.join(tmp_root, "meta.csv")
+    with open(path, "w") as f:
+        f.write("ticker,company_name,sector,industry,market_cap,market_cap_category,country,currency,exchange\n")
+        f.write("ONE,One Inc,Tech,Chips,5000000000,,US,USD,NMS\n")
+    meta = read_ticker_metadata(spark, path)
+    t = {r.ticker: r for r in dims.dim_tickers_source(edge, meta).collect()}
+    assert t["ONE"].market_cap == 5_000_000_000 and t["ONE"].market_cap_category == "Mid Cap"
+    assert t["FLAT"].company_name == "Unknown"
