@@ -65,3 +65,27 @@ def test_same_results_with_ansi_on_and_off(spark, chain):
         finally:
             spark.conf.unset("spark.sql.ansi.enabled")
     assert sorted(results["true"]) == sorted(results["false"])
+
+
+def test_hot_ticker_is_split_into_blocks(spark):
+    """One ticker with most of the rows spreads over many (ticker, block) groups; results stay exact."""
+    from candela.operators.frames import BLK, number_rows, with_blocks
+
+    hot = spark.range(0, 3000).select(
+        F.lit("HOT").alias("ticker"), F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+        (F.lit(100.0) + F.sin(F.col("id") / 7.0) * 5).alias("close"))
+    cold = spark.range(0, 40).select(
+        F.lit("COLD").alias("ticker"), F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+        (F.lit(50.0) + F.col("id") / 10.0).alias("close"))
+    bars = hot.unionByName(cold).select(
+        "ticker", "date", F.col("close").alias("open"), (F.col("close") + 1).alias("high"),
+        (F.col("close") - 1).alias("low"), "close", F.col("close").alias("adj_close"), F.lit(1000).cast("bigint").alias("volume"))
+    blocked = with_blocks(number_rows(bars), lookback=64, block_rows=256)
+    groups = blocked.where("ticker = 'HOT'").select(BLK).distinct().count()
+    assert groups == 12  # ceil(3000 / 256)
+    plain = indicators.silver_indicators(bars, "plain")
+    blk = indicators.silver_indicators(bars, "blocks", block_rows=256)
+    num = [c for c, t in plain.dtypes if t in ("double", "bigint")]
+    a = plain.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
+    b = blk.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
+    assert blk.count() == 3040 and a.exceptAll(b).count() == 0
