@@ -90,7 +90,3 @@ def scd1_latest(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
     best = F.max(F.struct(F.struct(*[F.col(c) for c in sequence_by]).alias("seq"), F.struct(*cols).alias("row")))
     return rows_.groupBy(*keys).agg(best.alias("_best")).select("_best.row.*")
 
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
-    """Alias of :func:`scd1_latest` without a target."""
-    return scd1_latest(df, keys, sequence_by)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from candela.operators import dims, facts, indicators, quality, views
 from candela.operators.dedup import dedup_bars
 from candela.session import ensure_checkpoint_dir
-from candela.sinks.tables import export, write_table
+from candela.sinks.tables import export, table_exists, write_table
 from candela.sources.csv_bars import read_bars_stream
 from candela.streaming import jobs
 
@@ -43,14 +43,6 @@ class BuildResult:
     fact_expectations: dict[str, int] = field(default_factory=dict)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def build_all(
     spark: SparkSession,
     raw_dir: str,
@@ -97,7 +89,7 @@ def build_all(
     # Dimensions.
     write_table(dims.dim_date(silver), p["dim_date"])
     changes = dims.dim_tickers_source(silver, metadata)
-    current = spark.read.parquet(p["dim_tickers"]) if _exists(spark, p["dim_tickers"]) else None
+    current = spark.read.parquet(p["dim_tickers"]) if table_exists(spark, p["dim_tickers"]) else None
     merged = dims.scd1_latest(changes, ["ticker_key"], ["modified_date"], target=current).checkpoint()
     write_table(merged, p["dim_tickers"])
     dd, dt = spark.read.parquet(p["dim_date"]), spark.read.parquet(p["dim_tickers"])

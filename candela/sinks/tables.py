@@ -5,7 +5,18 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """True when ``path`` holds a readable table (False only for a missing / empty location)."""
+    try:
+        spark.read.format(fmt).load(path).schema  # noqa: B018
+        return True
+    except Exception as e:  # noqa: BLE001
+        if any(m in str(e) for m in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
+            return False
+        raise
 
 
 def write_table(

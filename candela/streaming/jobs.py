@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candela.operators.dedup import dedup_bars
-from candela.operators.dims import scd1_latest
 from candela.operators.quality import Rules, observe_rules
+from candela.sinks.tables import table_exists
 
 
 def union_streams(*dfs: DataFrame) -> DataFrame:
@@ -109,16 +109,6 @@ def run_append_with_expectations(
             spark.conf.set(PROGRESS_RETENTION, before)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
-
-
 BUCKET = "_bucket"
 
 
@@ -149,7 +139,7 @@ def run_scd1(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         staged = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets))).checkpoint()
-        if _path_exists(spark, target_path):
+        if table_exists(spark, target_path):
             touched = F.broadcast(staged.select(BUCKET).distinct())  # at most `buckets` rows
             current = spark.read.parquet(target_path).join(touched, BUCKET, "left_semi")
             kept = current.join(staged.select(*keys), list(keys), "left_anti")
@@ -198,7 +188,7 @@ def run_upsert_bars(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch = batch.checkpoint()
-        if _path_exists(spark, target_path):
+        if table_exists(spark, target_path):
             touched = batch.select("ticker").distinct()
             current = spark.read.parquet(target_path).join(touched, "ticker", "left_semi")
             rows_ = current.unionByName(batch)
@@ -221,7 +211,3 @@ def run_upsert_bars(
     q.awaitTermination()
     return q
 
-
-def scd1_batch(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
-    """Batch form of :func:`run_scd1` (same semantics)."""
-    return scd1_latest(changes, keys, sequence_by, target=target)
