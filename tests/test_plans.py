@@ -75,3 +75,13 @@ def test_date_filter_pushed_to_fact_scan(stored):
     v = views.v_ticker_performance(stored["fact"], stored["dd"], stored["dt"], as_of="1998-08-01")
     p = plan(v)
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(date,", p)
+
+
+def test_plain_chain_shuffles_bars_once(stored):
+    s = indicators.silver_indicators(stored["bars"], "plain")
+    f = facts.fact_daily(s, stored["dd"], stored["dt"], strategy="plain")
+    v = views.v_technical_screening(f, stored["dt"], strategy="plain")
+    p = header(plan(v))
+    # silver, the fact's 20-row and the view's 30-row windows all reuse one exchange on ticker
+    assert len(re.findall(r"\bExchange\b", p)) == 1
+    assert len(re.findall(r"\bWindow \(", p)) <= 4
