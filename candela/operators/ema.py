@@ -8,7 +8,7 @@ and ``e_t`` is the composition of the maps up to row t applied to 0.
 A per-ticker sequential fold would put a whole ticker into one task, so
 the scan is hierarchical:
 
-1. rows are numbered per ticker (:func:`frames.number_rows`) and cut into
+1. rows are numbered per ticker (:func:`frames.number_series`) and cut into
    blocks of ``block_rows``; each block's maps are composed into one map
    on the JVM (``aggregate`` over the block's sorted ``collect_list``,
    bounded by ``block_rows`` elements) and the small summary table is
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candela.operators.frames import RN, number_rows
+from candela.operators.frames import RN, number_series
 from candela.session import ensure_checkpoint_dir
 
 DEFAULT_BLOCK_ROWS = 4096
@@ -154,7 +154,7 @@ def ema(
         out = _ema_per_series(df, col, alpha, out_col, key, order)
         return out.select(*cols, F.nanvl(F.col(out_col), F.lit(None).cast("double")).alias(out_col))
     first = F.col(RN) == 1
-    maps = number_rows(df, key, order).withColumns(
+    maps = number_series(df, key, order).withColumns(
         {
             IDX: F.col(RN) - 1,
             M: F.when(first, F.lit(0.0)).otherwise(F.lit(1 - alpha)),

@@ -6,13 +6,14 @@ partition in one task, so with a plain ``partitionBy(ticker)`` the largest
 ticker bounds the job. The block strategy keeps the result exact and lets
 one ticker spread over many tasks:
 
-1. count rows per (ticker, year) -- a tiny aggregate -- and take each
-   year's starting offset with a running sum over those few counts;
-2. number the rows: offset + row_number() over (ticker, year), a window
-   whose partitions hold at most one year of daily bars;
-3. cut blocks of ``block_rows`` consecutive rows and copy the last
+1. number the rows of each ticker: for DATE-ordered daily rows from a tiny
+   per-(ticker, year) calendar bitset that is broadcast, so the rows are
+   numbered where they lie (:func:`number_daily_rows`); otherwise with
+   row_number() over (ticker, year) plus the running count of earlier
+   years (:func:`number_rows`, one more shuffle);
+2. cut blocks of ``block_rows`` consecutive rows and copy the last
    ``lookback`` rows of each block into the next one as ghost rows;
-4. evaluate the frames over (ticker, block) ordered by row number and
+3. evaluate the frames over (ticker, block) ordered by row number and
    drop the ghosts.
 
 A row's value is unchanged as long as its whole dependency chain reaches
@@ -26,6 +27,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from candela.operators.joins import broadcast_if_small
+
 
 DEFAULT_BLOCK_ROWS = 4096
 STRATEGIES = ("plain", "blocks", "auto")
@@ -61,6 +64,56 @@ def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse:
     return numbered.withColumn(RN, F.col(OFF) + local).drop(YR, OFF)
 
 
+# Day-of-year slots as bits: 6 x 64 = 384 >= 366.
+_WORDS = 6
+# A calendar table up to this many (key, year) rows (about 70 MB) is broadcast.
+CALENDAR_BROADCAST_ROWS = 1_000_000
+
+
+def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date") -> DataFrame:
+    """``_rn`` for daily rows (one row per (key, date)) without shuffling the rows.
+
+    A per-(key, year) calendar records which days of the year have a row as
+    a 366-bit set in six BIGINT words (``bit_or``: a hash aggregate with
+    map-side partial aggregation and fixed 48-byte state). A row's number
+    is the running count of earlier years plus the number of set bits
+    before its own day. When the calendar passes the broadcast probe, the
+    rows are numbered where they are, with no exchange; otherwise the join
+    falls back to a shuffle on (key, year).
+    """
+    d = F.dayofyear(date_col) - 1
+    word, bit = F.floor(d / 64), (d % 64).cast("int")
+    one = F.lit(1).cast("bigint")
+
+    def shl(c, n):
+        return F.call_function("shiftleft", c, n)
+
+    words = [f"_cw{i}" for i in range(_WORDS)]
+    cal = df.groupBy(key, F.year(date_col).alias(YR)).agg(
+        *[F.coalesce(F.bit_or(F.when(word == i, shl(one, bit))), F.lit(0).cast("bigint")).alias(w)
+          for i, w in enumerate(words)]
+    )
+    size = sum((F.bit_count(F.col(w)) for w in words), F.lit(0))
+    before = Window.partitionBy(key).orderBy(YR).rowsBetween(Window.unboundedPreceding, -1)
+    cal = cal.withColumn(OFF, F.coalesce(F.sum(size).over(before), F.lit(0)).cast("bigint"))
+    tagged = df.withColumn(YR, F.year(date_col))
+    j = tagged.join(broadcast_if_small(cal, CALENDAR_BROADCAST_ROWS), [key, YR])
+    below = F.bitwise_not(shl(F.lit(-1).cast("bigint"), bit))  # low `bit` bits set, no overflow
+    rank = sum(
+        (F.when(word > i, F.bit_count(F.col(w))).when(word == i, F.bit_count(F.col(w).bitwiseAND(below))).otherwise(0)
+         for i, w in enumerate(words)),
+        F.lit(0),
+    )
+    return j.withColumn(RN, F.col(OFF) + rank + 1).drop(YR, OFF, *words)
+
+
+def number_series(df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
+    """``_rn`` per series: the calendar-bitset numbering for a DATE order, else the windowed one."""
+    if dict(df.dtypes).get(order) == "date":
+        return number_daily_rows(df, key, order)
+    return number_rows(df, key, order)
+
+
 def with_blocks(numbered: DataFrame, lookback: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Assign ``_blk`` and replicate each block's last ``lookback`` rows into the next as ghosts."""
     if not 0 <= lookback < block_rows:
@@ -108,7 +161,7 @@ def rolling(
     cols = df.columns
     if lookback >= block_rows:
         block_rows = 4 * lookback
-    blocked = with_blocks(number_rows(df, key, order), lookback, block_rows)
+    blocked = with_blocks(number_series(df, key, order), lookback, block_rows)
     w = Window.partitionBy(key, BLK).orderBy(RN)
     out = compute(blocked, w)
     extra = [c for c in out.columns if c not in cols and c not in (RN, BLK, GHOST)]

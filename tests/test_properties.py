@@ -89,3 +89,19 @@ def test_hot_ticker_is_split_into_blocks(spark):
     a = plain.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
     b = blk.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
     assert blk.count() == 3040 and a.exceptAll(b).count() == 0
+
+
+def test_calendar_numbering_equals_window_numbering(spark, chain):
+    import datetime as dt
+
+    from candela.operators.frames import RN, number_daily_rows, number_rows
+
+    bars = chain[0].select("ticker", "date")
+    edge = spark.createDataFrame(
+        [("E", dt.date(2020, 12, 31)), ("E", dt.date(2020, 1, 1)), ("E", dt.date(2020, 3, 4)),
+         ("E", dt.date(2024, 12, 31)), ("E", dt.date(2021, 5, 6)), ("F", dt.date(1999, 12, 31))],
+        "ticker STRING, date DATE")
+    for df in (bars, edge):
+        a = number_rows(df).select("ticker", "date", RN)
+        b = number_daily_rows(df).select("ticker", "date", RN)
+        assert a.exceptAll(b).count() == 0 and b.count() == df.count()
