@@ -63,9 +63,9 @@ def main(sf: str) -> None:
     out.append(digest("silver_ticker_indicators (plain)", indicators.silver_indicators(bars, "plain"),
                       "All twelve indicator groups: one exchange on ticker, one sort, two Window operators."))
     out.append(digest("silver_ticker_indicators (blocks)", indicators.silver_indicators(bars, "blocks"),
-                      "Exact block split: rows numbered through a broadcast per-(ticker, year) calendar bitset "
-                      "(two exchanges of that tiny table), look-back copies, one exchange of the bars on "
-                      "(ticker, block), two Window operators (+1 on the calendar)."))
+                      "Exact block split: rows numbered through a per-(ticker, year) calendar bitset that is "
+                      "written once and broadcast by the planner, look-back copies, one exchange of the bars "
+                      "on (ticker, block), two Window operators."))
     out.append(digest("fact_daily", facts.fact_daily(silver, dd, dt, strategy="plain"),
                       "Both dimensions broadcast; the 20-row volume window adds one exchange on ticker."))
     out.append(digest("fact_monthly", facts.fact_monthly(fact), "Hash/sort aggregate with partial aggregation."))

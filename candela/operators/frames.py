@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candela.operators.joins import broadcast_if_small
+from candela.session import scratch_dir
 
 
 DEFAULT_BLOCK_ROWS = 4096
@@ -66,8 +66,6 @@ def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse:
 
 # Day-of-year slots as bits: 6 x 64 = 384 >= 366.
 _WORDS = 6
-# A calendar table up to this many (key, year) rows (about 70 MB) is broadcast.
-CALENDAR_BROADCAST_ROWS = 1_000_000
 
 
 def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date") -> DataFrame:
@@ -77,9 +75,11 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
     a 366-bit set in six BIGINT words (``bit_or``: a hash aggregate with
     map-side partial aggregation and fixed 48-byte state). A row's number
     is the running count of earlier years plus the number of set bits
-    before its own day. When the calendar passes the broadcast probe, the
+    before its own day. When the calendar is small enough to broadcast, the
     rows are numbered where they are, with no exchange; otherwise the join
-    falls back to a shuffle on (key, year).
+    falls back to a shuffle on (key, year). The calendar is written once as
+    a table (one small job), so the broadcast decision is Spark's own size
+    check on real file statistics and nothing is computed twice.
     """
     d = F.dayofyear(date_col) - 1
     word, bit = F.floor(d / 64), (d % 64).cast("int")
@@ -96,8 +96,15 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
     size = sum((F.bit_count(F.col(w)) for w in words), F.lit(0))
     before = Window.partitionBy(key).orderBy(YR).rowsBetween(Window.unboundedPreceding, -1)
     cal = cal.withColumn(OFF, F.coalesce(F.sum(size).over(before), F.lit(0)).cast("bigint"))
+    # Small (one row per ticker and year): written once under the shared
+    # checkpoint folder and read back, so the planner sees its real size and
+    # broadcasts it by its own threshold (sort-merge join beyond it).
+    spark = df.sparkSession
+    path = scratch_dir(spark, "calendar")
+    cal.write.parquet(path)
+    cal = spark.read.parquet(path)
     tagged = df.withColumn(YR, F.year(date_col))
-    j = tagged.join(broadcast_if_small(cal, CALENDAR_BROADCAST_ROWS), [key, YR])
+    j = tagged.join(cal, [key, YR])
     below = F.bitwise_not(shl(F.lit(-1).cast("bigint"), bit))  # low `bit` bits set, no overflow
     rank = sum(
         (F.when(word > i, F.bit_count(F.col(w))).when(word == i, F.bit_count(F.col(w).bitwiseAND(below))).otherwise(0)
