@@ -7,7 +7,10 @@ not from the Spark code: one CTE per dependency level, ``nullif`` for
 every divisor (DuckDB gives inf/nan on x/0), ``arg_min_null`` /
 ``arg_max_null`` for first/last-by-date, BIGINT casts for integer results,
 and the tie-safe rounding ``floor(x * 1e4 + 0.50001) / 1e4`` on every
-floating-point output (the Spark side applies the same).
+floating-point output (the Spark side applies the same). Sums of dollar
+volumes across rows (``MONEY_SUMS``) are rounded to cents instead: their
+addition order follows the partitioning in Spark and the hash table in
+DuckDB, and at millions the last-bit difference can straddle a 1e-4 step.
 """
 
 from __future__ import annotations
@@ -17,10 +20,18 @@ from __future__ import annotations
 YEAR_FLOOR = 1996
 
 
+# Fixed value: aggregated dollar-volume columns compared at cents.
+MONEY_SUMS = ("total_market_volume", "total_dollar_volume", "week_dollar_vol", "month_dollar_volume")
+
+
 def r4(expr: str, alias: str) -> str:
     return f"floor(({expr}) * 10000::DOUBLE + 0.50001::DOUBLE) / 10000::DOUBLE AS {alias}"
 
 
+def r2(expr: str, alias: str) -> str:
+    return f"floor(({expr}) * 100::DOUBLE + 0.50001::DOUBLE) / 100::DOUBLE AS {alias}"
+
+
 def _w(n: int | None = None, part: str = "ticker", order: str = "date") -> str:
     frame = f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW" if n else ""
     return f"OVER (PARTITION BY {part} ORDER BY {order}{frame})"
@@ -245,7 +256,7 @@ INDICATOR_COLUMNS = {
 
 
 def _cols(cols: list[str], longs: tuple[str, ...] = ("obv", "volume")) -> str:
-    return ", ".join(c if c in longs else r4(c, c) for c in cols)
+    return ", ".join(c if c in longs else (r2(c, c) if c in MONEY_SUMS else r4(c, c)) for c in cols)
 
 
 def silver_sql() -> str:

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candela.checks.oracle import INDICATOR_COLUMNS, YEAR_FLOOR
-from candela.functions.scalar import round4
+from candela.checks.oracle import INDICATOR_COLUMNS, MONEY_SUMS, YEAR_FLOOR
+from candela.functions.scalar import round4, round_to
 from candela.operators import dims, facts, indicators, quality, views
 from candela.operators.views import latest_date
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
@@ -32,13 +32,15 @@ DROP = ("ticker_key", "modified_date", "created_timestamp", "updated_timestamp",
 
 
 def norm(df: DataFrame) -> DataFrame:
-    """Round doubles (tie-safe, 4 places), widen small ints, drop keys and stamps."""
+    """Round doubles (tie-safe: 4 places, cents for summed dollar volumes), widen small ints,
+    drop keys and stamps."""
     out = []
     for f in df.schema.fields:
         if f.name in DROP:
             continue
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(round4(f.name).alias(f.name))
+            rounded = round_to(f.name, 2) if f.name in MONEY_SUMS else round4(f.name)
+            out.append(rounded.alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             out.append(F.col(f.name).cast("bigint").alias(f.name))
         else:

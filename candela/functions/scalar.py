@@ -55,11 +55,16 @@ def market_cap_category(c: str | Column) -> Column:
     )
 
 
-def round4(c: str | Column) -> Column:
-    """Tie-safe rounding to 4 decimals used when comparing against the SQL oracle.
+def round_to(c: str | Column, places: int) -> Column:
+    """Tie-safe rounding used when comparing against the SQL oracle.
 
-    ``floor(x * 1e4 + 0.50001) / 1e4`` is evaluated identically by Spark and
-    DuckDB, so last-bit summation noise does not change the hashed value.
+    ``floor(x * 10^p + 0.50001) / 10^p`` is evaluated identically by Spark
+    and DuckDB, so last-bit summation noise does not change the hashed value.
     """
     c = col_of(c)
-    return (F.floor(c * F.lit(1e4) + F.lit(0.50001)).cast("double") / F.lit(1e4))
+    scale = float(10 ** places)
+    return F.floor(c * F.lit(scale) + F.lit(0.50001)).cast("double") / F.lit(scale)
+
+
+def round4(c: str | Column) -> Column:
+    return round_to(c, 4)
