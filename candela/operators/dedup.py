@@ -1,9 +1,10 @@
 """Deduplication of bars (O1): one row per (ticker, date).
 
 The newest copy by ``processed_timestamp`` wins; exact ties fall back to
-the full row order, so the result is deterministic. One hash aggregate
-with map-side partial aggregation: a hot key or a pile of copies of one
-bar is collapsed inside each input partition before the shuffle.
+the full row order, so the result is deterministic. One aggregate with
+map-side partial aggregation (sort-based, as its buffer holds a struct):
+a hot key or a pile of copies of one bar is collapsed inside each input
+partition before the shuffle.
 """
 
 from __future__ import annotations

@@ -83,7 +83,8 @@ def scd1_latest(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
     ``target`` (the current dimension) and ``changes`` are unioned by name;
     a late, older change loses to the stored newer row. Ties on the
     sequence are broken by the whole row's struct order, so the result is
-    deterministic. One hash aggregate with map-side partial aggregation.
+    deterministic. One aggregate with map-side partial aggregation (sort-based, as its buffer
+    holds a struct).
     """
     rows_ = changes if target is None else target.unionByName(changes, allowMissingColumns=True)
     cols = rows_.columns

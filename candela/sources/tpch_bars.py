@@ -6,7 +6,7 @@ one bar per (nation of the supplier, ship date). The price of a line is
 and last line in a total order over the line's identifying columns; high
 and low widen the price by tax and discount; volume is the summed quantity.
 
-Everything here is one join plus one aggregate; all aggregates are
+Everything here is two joins plus one aggregate; all aggregates are
 decomposable (min/max over a struct, sums), so map-side partial
 aggregation collapses even a hot (nation, day) group before the shuffle.
 
