@@ -120,7 +120,7 @@ def _ema_per_series(df: DataFrame, col: str, alpha: float, out_col: str, key: st
     names = [f.name for f in schema.fields]
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values(order, kind="stable", na_position="first")  # NULL dates first, as in a window
         c = pdf[col].to_numpy(dtype="float64")
         out = np.empty(len(pdf), dtype="float64")
         s = 0.0

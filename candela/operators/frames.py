@@ -44,6 +44,17 @@ def rows(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), 0)
 
 
+# Year given to rows whose date is NULL: before every real year.
+NULL_YEAR = -10000
+
+
+def _join_null_safe(rows_: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Equi-join on (key, year) that keeps NULL keys (a NULL ticker is a series of its own)."""
+    t = table.withColumnRenamed(key, "_k").withColumnRenamed(YR, "_y")
+    cond = rows_[key].eqNullSafe(t["_k"]) & rows_[YR].eqNullSafe(t["_y"])
+    return rows_.join(t, cond).drop("_k", "_y")
+
+
 def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse: Column | None = None) -> DataFrame:
     """Add ``_rn``: 1-based position of each row within its ``key`` ordered by ``order``.
 
@@ -51,7 +62,7 @@ def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse:
     (key, coarse) group is numbered on its own and shifted by the running
     count of the earlier groups, so no window spans a whole key.
     """
-    coarse = F.year(order) if coarse is None else coarse
+    coarse = F.coalesce(F.year(order), F.lit(NULL_YEAR)) if coarse is None else coarse
     tagged = df.withColumn(YR, coarse)
     counts = tagged.groupBy(key, YR).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy(YR).rowsBetween(Window.unboundedPreceding, -1)
@@ -59,7 +70,7 @@ def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse:
     # Plain equi-join: its hash partitioning on (key, year) is the one the
     # numbering window needs anyway, so it adds no exchange; AQE turns it
     # into a broadcast join at run time when the offsets are measured small.
-    numbered = tagged.join(offsets, [key, YR])
+    numbered = _join_null_safe(tagged, offsets, key)
     local = F.row_number().over(Window.partitionBy(key, YR).orderBy(order))
     return numbered.withColumn(RN, F.col(OFF) + local).drop(YR, OFF)
 
@@ -81,15 +92,18 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
     a table (one small job), so the broadcast decision is Spark's own size
     check on real file statistics and nothing is computed twice.
     """
-    d = F.dayofyear(date_col) - 1
+    # A NULL date gets day 0 of a sentinel year before every real year, so it
+    # is numbered first in its series, as an ascending window orders it.
+    d = F.coalesce(F.dayofyear(date_col) - 1, F.lit(0))
     word, bit = F.floor(d / 64), (d % 64).cast("int")
+    year = F.coalesce(F.year(date_col), F.lit(NULL_YEAR))
     one = F.lit(1).cast("bigint")
 
     def shl(c, n):
         return F.call_function("shiftleft", c, n)
 
     words = [f"_cw{i}" for i in range(_WORDS)]
-    cal = df.groupBy(key, F.year(date_col).alias(YR)).agg(
+    cal = df.groupBy(key, year.alias(YR)).agg(
         *[F.coalesce(F.bit_or(F.when(word == i, shl(one, bit))), F.lit(0).cast("bigint")).alias(w)
           for i, w in enumerate(words)]
     )
@@ -103,8 +117,8 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
     path = scratch_dir(spark, "calendar")
     cal.write.parquet(path)
     cal = spark.read.parquet(path)
-    tagged = df.withColumn(YR, F.year(date_col))
-    j = tagged.join(cal, [key, YR])
+    tagged = df.withColumn(YR, year)
+    j = _join_null_safe(tagged, cal, key)
     below = F.bitwise_not(shl(F.lit(-1).cast("bigint"), bit))  # low `bit` bits set, no overflow
     rank = sum(
         (F.when(word > i, F.bit_count(F.col(w))).when(word == i, F.bit_count(F.col(w).bitwiseAND(below))).otherwise(0)

@@ -156,3 +156,16 @@ def test_metadata_from_csv_file(spark, tmp_root, edge):
     t = {r.ticker: r for r in dims.dim_tickers_source(edge, meta).collect()}
     assert t["ONE"].market_cap == 5_000_000_000 and t["ONE"].market_cap_category == "Mid Cap"
     assert t["FLAT"].company_name == "Unknown"
+
+
+def test_blocks_keep_null_date_and_null_ticker_rows(spark, edge):
+    extra = spark.createDataFrame(
+        [("NUL", None, 1.0, 2.0, 0.5, 1.2, 1.2, 5), (None, D(2024, 3, 1), 3.0, 4.0, 2.0, 3.5, 3.5, 7)], BAR_DDL)
+    bars = edge.unionByName(extra)
+    plain = indicators.silver_indicators(bars, "plain")
+    blk = indicators.silver_indicators(bars, "blocks", block_rows=65)
+    num = [c for c, t in plain.dtypes if t in ("double", "bigint")]
+    a = plain.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
+    b = blk.select("ticker", "date", *[F.round(c, 8).alias(c) for c in num])
+    assert blk.count() == bars.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
