@@ -44,3 +44,18 @@ def test_ema_null_poisons_rest_of_series(spark, block_rows):
         assert (got[k] is None) == (v is None), k
         if v is not None:
             assert got[k] == pytest.approx(v, abs=1e-12)
+
+
+@pytest.mark.parametrize("block_rows", [4096, 3])
+def test_ema_orders_null_date_first(spark, block_rows):
+    rows = [("A", None, 10.0)] + [("A", dt.date(2024, 1, d), float(d)) for d in range(1, 9)]
+    df = spark.createDataFrame(rows, "ticker STRING, date DATE, close DOUBLE")
+    a = 2.0 / 13
+    want, e = {}, None
+    for _, d, c in [rows[0]] + rows[1:]:
+        e = c if e is None else a * c + (1 - a) * e
+        want[d] = e
+    got = {r.date: r.ema_12 for r in ema(df, block_rows=block_rows).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-12), k
