@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import market_cap_category
-from candela.operators.joins import join_dim
 
 # Defaults for attributes the metadata source lacks.
 TICKER_DEFAULTS = {
@@ -59,7 +58,9 @@ def dim_tickers_source(
     """
     tickers = bars.select("ticker").distinct()
     meta = metadata.select("ticker", *TICKER_DEFAULTS.keys())
-    j = join_dim(tickers, meta, "ticker", "left")
+    # Both sides hold one row per ticker (neither is the large fact): the
+    # planner's own size check picks broadcast or sort-merge, no probe job.
+    j = tickers.join(meta, "ticker", "left")
     cols = {k: F.coalesce(F.col(k), F.lit(v)) for k, v in TICKER_DEFAULTS.items()}
     cols["market_cap"] = cols["market_cap"].cast("bigint")
     out = j.select(
