@@ -1,4 +1,4 @@
-"""Structured Streaming jobs.
+"""Structured Streaming jobs (X1-X6, O1 stream form, O2).
 
 All jobs run with ``trigger(availableNow=True)``: each run processes every
 file that arrived since the last run (the file source remembers seen files
