@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="candela-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
@@ -54,9 +56,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "candela", f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    """A fresh, unique folder under the shared checkpoint root (the root's scheme is kept)."""
+    return os.path.join(ensure_checkpoint_dir(spark), "candela", f"{name}-{uuid.uuid4().hex[:12]}")
