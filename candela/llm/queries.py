@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import bpe, simhash
+from candela.llm import bpe, licenses, quality, secrets, simhash
 from candela.sources.tables import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,15 +23,44 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License detections of every document's text."""
+    found = read_table(spark, sf_dir, "documents").select("doc_id", licenses.scan("text").alias("r"))
+    return found.select(
+        "doc_id", "r.n_words", "r.n_base", "r.first_word", "r.last_word", "r.base_labels", "r.labels", "r.score"
+    )
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, scanned once per distinct text through a fresh ledger."""
+    found = secrets.scan_versions(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secrets.BASE_RULES]))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(r.kind).alias(f"n_{r.kind}") for r in secrets.BASE_RULES],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text("spans").alias("spans"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the rule ensemble."""
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_license_scan": op2_license_scan,
+    "op4_secret_scan": op4_secret_scan,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
 }
 
 
