@@ -61,6 +61,19 @@ def byte_segments(text: bytes, size: int = SEGMENT) -> Iterator[bytes]:
     yield text[at:]
 
 
+def text_segments(text: str, size: int = SEGMENT) -> Iterator[str]:
+    """Cut ``text`` into parts of about ``size`` characters before a blank that follows other characters."""
+    at, n = 0, len(text)
+    while n - at > size:
+        end = at + size
+        while end < n and not (text[end] == " " and not text[end - 1].isspace()):
+            end += 1
+        yield text[at:end]
+        at = end
+    if at < n:
+        yield text[at:]
+
+
 def unused_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have yet (names compare without regard to case)."""
     have = {c.lower() for c in df.columns}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import bpe, licenses, quality, secrets, simhash, toxicity
+from candela.llm import bpe, decontam, licenses, quality, secrets, simhash, toxicity
 from candela.sources.tables import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that leak into documents: the best passage of each (word edits up to a fifth)."""
+    return decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, scanned once per distinct text through a fresh ledger."""
     found = secrets.scan_versions(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -63,6 +68,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
+    "op3_decontamination": op3_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
