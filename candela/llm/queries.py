@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import bpe, decontam, licenses, quality, secrets, simhash, toxicity
+from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, toxicity
 from candela.sources.tables import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -65,6 +65,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector by inner product, over all vectors."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), query_every=20, k=20)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -73,8 +78,29 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_ann": op10_ann,
 }
 
 
+OP10_SQL = """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  GROUP BY vec_id
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+) WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express."""
+    return {"op10_ann": OP10_SQL}
