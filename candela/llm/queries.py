@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, toxicity
+from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, toxicity, warc
+from candela.session import scratch_dir
 from candela.sources.tables import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -49,6 +50,18 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC captures, read back and assembled to one row per capture."""
+    archive = scratch_dir(spark, "warc")
+    warc.write_archive(read_table(spark, sf_dir, "pages"), archive)
+    captures = warc.assemble(warc.read_records(spark, archive, with_payload=False))
+    return captures.select(
+        warc.capture_page_id(F.col("metadata.fields")).alias("page_id"),
+        "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"),
+        warc.referred_page_id(F.col("response.refers_to")).alias("refers_to"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
@@ -75,6 +88,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_decontamination": op3_decontamination,
     "op4_secret_scan": op4_secret_scan,
+    "op5_warc": op5_warc,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
@@ -101,6 +115,22 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages WHERE page_id IS NOT NULL
+), d AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY hex) AS latest,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      (CAST('0x' || substr(hex, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT), 1)), '')
+      AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op10_ann": OP10_SQL}
+    return {"op5_warc": OP5_SQL, "op10_ann": OP10_SQL}
