@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, toxicity, warc
+from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, tokencount, toxicity, warc
 from candela.session import scratch_dir
 from candela.sources.tables import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: The first id that the rank file leaves free.
+END_OF_DOCUMENT = 50256
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +64,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by scanning flat token files for their separators."""
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return tokencount.count_documents(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, END_OF_DOCUMENT, scratch_dir(spark, "tokens")
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
@@ -89,6 +99,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op5_warc": op5_warc,
+    "op6_token_count": op6_token_count,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
