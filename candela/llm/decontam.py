@@ -331,25 +331,31 @@ def item_blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple[i
         yield sorted((r["item_id"], r["text"]) for r in rows.collect() if r["item_id"] is not None)
 
 
+_KIND = pa.list_(pa.struct([
+    ("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("edits", pa.int32()), ("item_words", pa.int32()),
+]))
+
+
+def _leaks(items, options: tuple):
+    """Function ``text column -> array of hits`` for one broadcast block of items."""
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf(HITS)
+    def leaks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = _index(name, items, options)
+        for batch in (part for whole in batches for part in text_slices(whole)):
+            yield pa.array(index.search(batch.to_pylist()), type=_KIND)
+
+    return lambda text: leaks(empty_if_null(text))
+
+
 def leak_columns(
     spark: SparkSession, benchmark: DataFrame, max_edits: float = 0.2, samples: int = 4, target: float = 0.99,
     block_items: int = 5_000, seed: int = 11,
 ):
     """For each block of items a function ``text column -> array of hits``."""
-    kind = pa.list_(pa.struct([
-        ("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("edits", pa.int32()), ("item_words", pa.int32()),
-    ]))
-    options = (max_edits, samples, target, seed)
     for block in item_blocks(benchmark, block_items):
-        items, block_name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
-
-        @F.arrow_udf(HITS)
-        def leaks(batches: Iterator[pa.Array], items=items, block_name=block_name) -> Iterator[pa.Array]:
-            index = _index(block_name, items, options)
-            for batch in (part for whole in batches for part in text_slices(whole)):
-                yield pa.array(index.search(batch.to_pylist()), type=kind)
-
-        yield lambda text, leaks=leaks: leaks(empty_if_null(text))
+        yield _leaks(spark.sparkContext.broadcast(block), (max_edits, samples, target, seed))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

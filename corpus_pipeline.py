@@ -3,31 +3,65 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All stages
 but the last return the columns of ``docs``.
+
+Defined results: a stage passes NULL and empty texts on by the rule of its
+operator (the quality of the empty text, fingerprint zero, no leak, no
+secret, no ids); extra columns are kept by every stage but the last.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candela.llm import simhash
+from candela.llm import bpe, decontam, quality, secrets, simhash
 from candela.llm.common import stored
+from candela.llm.queries import RANKS
 from candela.sources.tables import read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rule-ensemble quality classifier: documents scored under 0.3 go."""
+    return quality.keep_quality(docs, read_table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: the document of smallest doc_id of each component stays."""
     return simhash.drop_near_duplicates(docs, shingle_words=4, max_bits=4)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item within a fifth of its words in edits go."""
+    return decontam.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every found secret is replaced by a mark; all documents stay."""
+    return secrets.redact(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of the remaining texts: doc_id, lang, source, n_tokens, ids."""
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    ids = docs.select(*kept, tokenizer.encode_array("text").alias("ids"))
+    return ids.select(*kept, F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_filter),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("secrets", redact_secrets),
+    ("tokenize", tokenize),
 ]
 
-#: Fingerprints, fitted models and token ids are beyond SQL.
+#: Fitted models, fingerprints, edit distances and token ids are beyond SQL.
 ORACLE_SQL: str | None = None
 
 
