@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from candela.llm.common import SEGMENT, empty_if_null, text_slices
+from candela.llm.common import SEGMENT, empty_if_null, text_segments, text_slices
 
 #: Bucket widths of the padded matrices, in bytes.
 WIDTHS = (4, 8, 16, 32, 64, 128, 256)
@@ -245,7 +245,7 @@ class Vocabulary:
             pieces, spans, held = [], [], 0
 
         for k, text in enumerate(texts):
-            for segment in cut(text):
+            for segment in text_segments(text):
                 found = self.pattern.findall(segment)
                 pieces += found
                 spans.append((k, len(found)))
@@ -270,19 +270,6 @@ class Vocabulary:
         return self.token_bytes[shift + np.arange(len(shift))].tobytes()
 
 
-def cut(text: str, size: int = SEGMENT) -> Iterator[str]:
-    """Cut a text before white space that follows other characters: no piece crosses such a place."""
-    at, n = 0, len(text)
-    while n - at > size:
-        end = at + size
-        while end < n and not (text[end] == " " and not text[end - 1].isspace()):
-            end += 1
-        yield text[at:end]
-        at = end
-    if at < n:
-        yield text[at:]
-
-
 _LOADED: dict[tuple[int, str], Vocabulary] = {}
 
 

@@ -18,8 +18,9 @@ is a plain sort-merge join that Spark splits on a hot blob, or a broadcast
 where the findings are small.
 
 Defined results: NULL text is the empty blob; repeated rows each get the
-blob's findings; positions are code points, ends exclusive; columns of the
-versions frame other than the text are kept and may have any name.
+blob's findings; positions are code points, ends exclusive; other columns of
+the versions frame are kept, but for ``blob_id`` and ``spans``, which the
+results replace.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm.common import empty_if_null, text_slices
+from candela.llm.common import empty_if_null, stored, text_slices, unused_name
 from candela.session import scratch_dir
 from candela.sinks.tables import table_exists
 
@@ -195,11 +196,10 @@ def scan_versions(
     ledger = ledger or scratch_dir(spark, "secret-ledger")
     blob = F.sha2(empty_if_null(text), 256)
     rows = update_ledger(versions.select(blob.alias("blob_id"), empty_if_null(text).alias("text")), ledger, rules)
-    found = findings(rows, rules).select(F.col("blob_id").alias("_found_blob"), F.col("spans").alias("_found_spans"))
-    kept = [c for c in versions.columns if c != text]
-    paths = versions.select(*kept, blob.alias("_blob"))
-    joined = paths.join(found, F.col("_blob") == F.col("_found_blob"), "left")
-    return joined.select(*kept, F.col("_blob").alias("blob_id"), F.coalesce("_found_spans", F.array().cast(SPANS)).alias("spans"))
+    kept = [c for c in versions.columns if c != text and c.lower() not in ("blob_id", "spans")]
+    paths = versions.select(*kept, blob.alias("blob_id"))
+    joined = paths.join(findings(rows, rules), "blob_id", "left")
+    return joined.select(*kept, "blob_id", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
 def span_text(spans: str | F.Column) -> F.Column:
@@ -217,12 +217,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<secre
     spark: SparkSession = docs.sparkSession
     blob = F.sha2(empty_if_null("text"), 256)
     ledger = update_ledger(docs.select(blob.alias("blob_id"), empty_if_null("text").alias("text")), scratch_dir(spark, "secret-ledger"), rules)
-    from candela.llm.common import stored
-
-    found = stored(
-        findings(ledger, rules).select(F.col("blob_id").alias("_found_blob"), F.col("spans").alias("_found_spans")), "secret-findings"
-    )
-    joined = docs.withColumn("_blob", blob).join(found, F.col("_blob") == F.col("_found_blob"), "left")
+    id_, spans = unused_name(docs, "_blob"), unused_name(docs, "_spans")
+    found = stored(findings(ledger, rules).select(F.col("blob_id").alias(id_), F.col("spans").alias(spans)), "secret-findings")
+    joined = docs.withColumn(id_, blob).join(found, id_, "left")
     # Fold over the spans by start: (text so far, position after the last secret).
     empty = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
@@ -234,16 +231,15 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<secre
             F.greatest(acc["at"], s["end"]).alias("at"),
         )
 
-    cleaned = F.aggregate("_found_spans", empty, step, lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1)))
-    new_text = F.when(F.col("_found_spans").isNull(), F.col("text")).otherwise(cleaned)
-    out = joined.withColumn("_clean", new_text)
+    cleaned = F.aggregate(spans, empty, step, lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1)))
+    clean, new_text = F.col(spans).isNull(), unused_name(docs, "_clean")
+    out = joined.withColumn(new_text, F.when(clean, F.col("text")).otherwise(cleaned))
     columns = []
     for c in docs.columns:
         if c == "text":
-            columns.append(F.col("_clean").alias("text"))
+            columns.append(F.col(new_text).alias("text"))
         elif c == "n_chars":
-            size = F.length("_clean").cast(docs.schema[c].dataType)
-            columns.append(F.when(F.col("_found_spans").isNull(), F.col(c)).otherwise(size).alias(c))
+            columns.append(F.when(clean, F.col(c)).otherwise(F.length(new_text).cast(docs.schema[c].dataType)).alias(c))
         else:
             columns.append(F.col(c))
     return out.select(columns)

@@ -116,7 +116,7 @@ def document_counts(blocks: DataFrame) -> DataFrame:
     before = Window.partitionBy("shard", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("shard", "file")
     heads = blocks.select(
-        "shard", "file", "block", "tokens", F.size("separators").cast("long").alias("n"), F.element_at("separators", -1).alias("last")
+        "shard", "file", "block", "tokens", F.size("separators").cast("long").alias("n"), F.try_element_at("separators", F.lit(-1)).alias("last")
     )
     scanned = heads.select(
         "shard", "file", "block",
@@ -126,7 +126,7 @@ def document_counts(blocks: DataFrame) -> DataFrame:
     )
     joined = blocks.join(scanned, ["shard", "file", "block"])
     # the tokens after the last separator of a file end at the file's end
-    open_end = F.col("final") & (F.coalesce(F.element_at("separators", -1) + 1, F.col("carried")) < F.col("tokens"))
+    open_end = F.col("final") & (F.coalesce(F.try_element_at("separators", F.lit(-1)) + 1, F.col("carried")) < F.col("tokens"))
     ends = F.when(open_end, F.concat("separators", F.array("tokens"))).otherwise(F.col("separators"))
     starts = F.concat(F.array("carried"), F.transform("ends", lambda p: p + 1))
     spans = joined.withColumn("ends", ends).withColumn("starts", starts)
