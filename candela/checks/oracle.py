@@ -385,17 +385,58 @@ FACT_RULES = [
 ]
 
 
+def _broken(src: str, close: str) -> str:
+    """The checks' input: rows of some days of the month break a rule each."""
+    day = "day(date)"
+    return (
+        f"broken AS (SELECT * REPLACE (CASE WHEN {day} = 3 THEN NULL ELSE ticker END AS ticker, "
+        f"CASE WHEN {day} = 5 THEN 0 ELSE {close} END AS {close}, "
+        f"CAST(CASE WHEN {day} = 7 THEN -1 ELSE volume END AS BIGINT) AS volume, "
+        f"CASE WHEN {day} = 2 THEN NULL ELSE date END AS date) FROM {src})"
+    )
+
+
 def expect_silver_sql() -> str:
-    return f"{with_(BARS)} {_rules_union('bars', SILVER_RULES)}"
+    return f"{with_(BARS, _broken('bars', 'close'))} {_rules_union('broken', SILVER_RULES)}"
 
 
 def expect_drop_sql() -> str:
     cond = " AND ".join(f"coalesce({e}, false)" for _, e in SILVER_RULES)
-    return f"{with_(BARS)} SELECT {', '.join(BAR_OUT)} FROM bars WHERE {cond}"
+    cols = [c if "adj_close" not in c else r4("adj", "adj_close") for c in BAR_OUT]
+    src = "(SELECT *, close AS adj FROM bars)"
+    return f"{with_(BARS, _broken(src, 'close'))} SELECT {', '.join(cols)} FROM broken WHERE {cond}"
 
 
 def expect_fact_sql() -> str:
-    return f"{with_(*STAR)} {_rules_union('fact', FACT_RULES)}"
+    return f"{with_(*STAR, _broken('fact', 'close_price'))} {_rules_union('broken', FACT_RULES)}"
+
+
+def ind_chain_sql() -> str:
+    return f"""{with_(*CHAIN)},
+chain AS (
+  SELECT ticker, date, ema_12, sma_5, rsi,
+    CASE WHEN row_number() {_w()} = 1 THEN close ELSE (2::DOUBLE / 27) * close END AS ema_26
+  FROM silver
+)
+SELECT ticker, date, {_cols(['ema_12', 'ema_26', 'sma_5', 'rsi'])}, {r4(f"avg(rsi) {_w(3)}", "sma_3")} FROM chain"""
+
+
+def macd_ema_sql(fast: int = 12, slow: int = 26, signal: int = 9) -> str:
+    """MACD with recursive EMAs: both legs in one recursion, the signal in a second one over the MACD."""
+    f, s, g = (f"(2::DOUBLE / {n + 1})" for n in (fast, slow, signal))
+    return f"""WITH RECURSIVE {BARS.strip()},
+numbered AS (
+  SELECT ticker, date, CAST(close AS DOUBLE) AS c, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM bars
+),
+rec AS (
+  SELECT ticker, rn, date, c AS ef, c AS es, CAST(0 AS DOUBLE) AS sg FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.ticker, n.rn, n.date, {f} * n.c + (1 - {f}) * r.ef, {s} * n.c + (1 - {s}) * r.es,
+    {g} * (({f} * n.c + (1 - {f}) * r.ef) - ({s} * n.c + (1 - {s}) * r.es)) + (1 - {g}) * r.sg
+  FROM rec r JOIN numbered n ON n.ticker = r.ticker AND n.rn = r.rn + 1
+)
+SELECT ticker, date, {r4("ef", "ema_fast")}, {r4("es", "ema_slow")}, {r4("ef - es", "macd")},
+  {r4("sg", "macd_signal")}, {r4("ef - es - sg", "macd_gap")} FROM rec"""
 
 
 def v_ticker_performance_sql() -> str:

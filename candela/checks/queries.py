@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 from candela.checks.oracle import INDICATOR_COLUMNS, MONEY_SUMS, YEAR_FLOOR
 from candela.functions.scalar import round4, round_to
-from candela.operators import dims, facts, indicators, quality, views
+from candela.operators import dims, facts, frames, indicators, quality, views
 from candela.operators.views import latest_date
+from candela.session import scratch_dir
+from candela.sources.staging import broken_bars
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
 
 # Fixed stamp for the ticker change feed in checks (any constant works).
@@ -49,13 +51,33 @@ def norm(df: DataFrame) -> DataFrame:
 
 
 class Star:
-    """The star schema of one scale-factor directory, built lazily from the test tables."""
+    """The star schema of one scale-factor directory.
+
+    The bars are written once under the checkpoint folder (as the pipeline
+    stores them), so a query reads the line items once. With
+    ``strategy="blocks"`` the rows are numbered and cut once for the whole
+    chain bars -> indicators -> fact -> screening, which carries the blocks.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "blocks"):
-        self.bars = load_bars(spark, sf_dir)
+        path = scratch_dir(spark, "star-bars")
+        bars = load_bars(spark, sf_dir)
+        bars.write.parquet(path)
+        self.bars = spark.read.schema(bars.schema).parquet(path)
         self.meta = load_ticker_metadata(spark, sf_dir)
         self.strategy = strategy
 
+    @property
+    def _chain_bars(self) -> DataFrame:
+        if self.strategy == "plain":
+            return self.bars
+        return frames.block_once(self.bars, indicators.silver_lookback() + facts.MEASURES_LOOKBACK + views.SCREEN_LOOKBACK)
+
+    @property
+    def _chain_fact(self) -> DataFrame:
+        silver = indicators.silver_indicators(self._chain_bars, self.strategy)
+        return facts.fact_daily(silver, self.dim_date, self.dim_tickers, strategy=self.strategy)
+
     @property
     def silver(self) -> DataFrame:
         return indicators.silver_indicators(self.bars, self.strategy)
@@ -70,7 +92,11 @@ class Star:
 
     @property
     def fact(self) -> DataFrame:
-        return facts.fact_daily(self.silver, self.dim_date, self.dim_tickers, strategy=self.strategy)
+        return frames.drop_ghosts(self._chain_fact)
+
+    @property
+    def screening(self) -> DataFrame:
+        return views.v_technical_screening(self._chain_fact, self.dim_tickers, strategy=self.strategy)
 
     @property
     def monthly(self) -> DataFrame:
@@ -118,6 +144,19 @@ def q_ind_ema(spark, sf):
     return norm(ema(load_bars(spark, sf)).select("ticker", "date", "ema_12"))
 
 
+def q_ind_chain(spark, sf):
+    """Fluent chain: two EMAs by repeated calls, positional arguments, and an SMA over the RSI."""
+    chain = indicators.IndicatorChain(load_bars(spark, sf), "ticker", "date")
+    out = chain.ema(span=12).ema(span=26, out_col="ema_26").sma("close", [5]).rsi().sma(col="rsi", periods=[3]).get_df()
+    return norm(out.select("ticker", "date", "ema_12", "ema_26", "sma_5", "rsi", "sma_3"))
+
+
+def q_ind_macd_ema(spark, sf):
+    """T3 with recursive EMA legs."""
+    out = indicators.IndicatorChain(load_bars(spark, sf), "ticker", "date").macd(kind="ema").get_df()
+    return norm(out.select("ticker", "date", "ema_fast", "ema_slow", "macd", "macd_signal", "macd_gap"))
+
+
 def q_silver(spark, sf):
     return norm(Star(spark, sf).silver)
 
@@ -133,15 +172,17 @@ def _silver_rules():
 
 
 def q_expect_silver(spark, sf):
-    return quality.violation_counts(load_bars(spark, sf), _silver_rules())
+    """Failures of every silver rule, over bars of which some break each rule."""
+    return quality.violation_counts(broken_bars(load_bars(spark, sf)), _silver_rules())
 
 
 def q_expect_drop(spark, sf):
-    return norm(quality.expect_all(load_bars(spark, sf), _silver_rules(), mode="drop"))
+    return norm(quality.expect_all(broken_bars(load_bars(spark, sf)), _silver_rules(), mode="drop"))
 
 
 def q_expect_fact(spark, sf):
-    return quality.violation_counts(Star(spark, sf).fact, quality.FACT_RULES)
+    """Failures of every fact rule, over a fact of which some rows break each rule."""
+    return quality.violation_counts(broken_bars(Star(spark, sf).fact, "close_price"), quality.FACT_RULES)
 
 
 def q_data_quality(spark, sf):
@@ -171,7 +212,7 @@ def q_left_join_dim_date(spark, sf):
     s = Star(spark, sf)
     from candela.operators.joins import join_dim
 
-    j = join_dim(s.bars, s.dim_date, "date", "left", bounded=True)
+    j = join_dim(s.bars, s.dim_date, "date", "left")
     return norm(j.select("ticker", "date", "date_key", "year", "week_of_year", "day_name", "close"))
 
 
@@ -219,7 +260,7 @@ def q_v_sector_performance(spark, sf):
 
 def q_v_technical_screening(spark, sf):
     s = Star(spark, sf)
-    return norm(views.v_technical_screening(s.fact, s.dim_tickers))
+    return norm(s.screening)
 
 
 def q_v_risk_metrics(spark, sf):
@@ -236,6 +277,8 @@ QUERIES = {
     "dedup_bars": q_dedup_bars,
     **{k: _indicator_query(k) for k in INDICATOR_COLUMNS},
     "ind_ema": q_ind_ema,
+    "ind_chain": q_ind_chain,
+    "ind_macd_ema": q_ind_macd_ema,
     "silver_ticker_indicators": q_silver,
     "silver_ticker_indicators_plain": q_silver_plain,
     "expect_silver": q_expect_silver,

@@ -14,6 +14,8 @@ def oracle_sql() -> dict[str, str]:
         "dedup_bars": bars,
         **{k: O.indicator_sql(k) for k in O.INDICATOR_COLUMNS},
         "ind_ema": O.ema_recursive_sql(),
+        "ind_chain": O.ind_chain_sql(),
+        "ind_macd_ema": O.macd_ema_sql(),
         "silver_ticker_indicators": O.silver_sql(),
         "silver_ticker_indicators_plain": O.silver_sql(),
         "expect_silver": O.expect_silver_sql(),

@@ -16,10 +16,10 @@ from candela.checks.queries import check_stamp, norm
 from candela.operators import dims
 from candela.schema import BAR_COLUMNS
 from candela.session import scratch_dir
-from candela.sinks.tables import export, write_table
-from candela.sources.csv_bars import read_bars_stream, write_bars_csv
-from candela.sources.staging import LATE, stale_copies, stamped
-from candela.sources.tables import read_table
+from candela.sinks.tables import export
+from candela.sources.csv_bars import read_bars_csv, read_bars_stream, write_bars_csv
+from candela.sources.staging import LATE, broken_bars, broken_events, null_users, stale_copies, stamped, with_symbols
+from candela.sources.tables import read_stored, read_table
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
 from candela.streaming import jobs
 
@@ -57,7 +57,19 @@ def q_ingest_bars(spark, sf):
     for drop in (first, second):
         write_bars_csv(drop, raw)
         jobs.run_append(read_bars_stream(spark, raw), sink, ckpt, partition_by=["ticker"])
-    return norm(spark.read.parquet(sink).select(*BAR_COLUMNS))
+    return norm(read_stored(spark, sink, first.schema).select(*BAR_COLUMNS))
+
+
+def q_ingest_symbols(spark, sf):
+    """Futures, index, '+' and all-digit symbols, from folders named by the source and by Spark."""
+    raw, spark_raw, sink, ckpt = (scratch_dir(spark, n) for n in ("sym-raw", "sym-spark", "sym-sink", "sym-ckpt"))
+    bars = with_symbols(load_bars(spark, sf))
+    write_bars_csv(bars, raw)
+    jobs.run_append(read_bars_stream(spark, raw), sink, ckpt, partition_by=["ticker"])
+    # what the table holds is written once more as drops and read back: names survive both ways
+    write_bars_csv(read_stored(spark, sink, bars.schema), spark_raw)
+    names = [r["ticker"] for r in bars.select("ticker").distinct().collect()]
+    return norm(read_bars_csv(spark, spark_raw, tickers=names).select(*BAR_COLUMNS))
 
 
 def q_union_bars(spark, sf):
@@ -69,7 +81,7 @@ def q_union_bars(spark, sf):
     write_bars_csv(part_b, raw_b)
     stream = jobs.union_streams(read_bars_stream(spark, raw_a), read_bars_stream(spark, raw_b))
     jobs.run_append(stream, sink, ckpt, partition_by=["ticker"])
-    return norm(spark.read.parquet(sink).select(*BAR_COLUMNS))
+    return norm(read_stored(spark, sink, bars.schema).select(*BAR_COLUMNS))
 
 
 def q_export_roundtrip(spark, sf):
@@ -78,18 +90,26 @@ def q_export_roundtrip(spark, sf):
     tables = {"silver_cleaned": stamped(load_bars(spark, sf), LATE)}
     for _ in range(2):
         paths = export(tables, root, partition_by={"silver_cleaned": ["ticker"]})
-    return norm(spark.read.parquet(paths["silver_cleaned"]).select(*BAR_COLUMNS))
+    return norm(read_stored(spark, paths["silver_cleaned"], tables["silver_cleaned"].schema).select(*BAR_COLUMNS))
 
 
-def q_upsert_bars(spark, sf):
-    """O2: stale copies in the table, corrected bars arrive as two CSV drops and are merged."""
+def _upserted(spark, bars: DataFrame) -> DataFrame:
     target, raw, ckpt = (scratch_dir(spark, n) for n in ("upsert", "upsert-raw", "upsert-ckpt"))
-    bars = load_bars(spark, sf)
-    write_table(stale_copies(bars), target, partition_by=["ticker"])
+    jobs.create_bars_table(stale_copies(bars), target, buckets=2)
     for drop in _bar_drops(bars):
         write_bars_csv(drop, raw)
         jobs.run_upsert_bars(spark, jobs.with_load_stamp(read_bars_stream(spark, raw)), target, ckpt)
-    return norm(spark.read.parquet(target).select(*BAR_COLUMNS))
+    return jobs.read_bars_table(spark, target)
+
+
+def q_upsert_bars(spark, sf):
+    """O2: stale copies in the table, corrected bars arrive as two CSV drops and are merged."""
+    return norm(_upserted(spark, load_bars(spark, sf)).select(*BAR_COLUMNS))
+
+
+def q_upsert_null_keys(spark, sf):
+    """O2 with NULL tickers and dates: rows without a full key are all kept, the others merged."""
+    return norm(_upserted(spark, broken_bars(load_bars(spark, sf))).select(*BAR_COLUMNS))
 
 
 def _stage_events(spark, events: DataFrame, landing: str, drop: DataFrame, first: bool) -> DataFrame:
@@ -119,30 +139,47 @@ def q_stream_union(spark, sf):
 
 
 def q_stream_expect(spark, sf):
-    """Rule failures counted per micro-batch and summed over two runs (rows are kept)."""
+    """Rule failures counted per micro-batch (one file each) over two runs; rows are kept, counts are stored."""
     landing, sink, ckpt = (scratch_dir(spark, n) for n in ("ex-land", "ex-sink", "ex-ckpt"))
-    events = read_table(spark, sf, "events")
-    totals: dict[str, int] = {}
+    events = broken_events(read_table(spark, sf, "events"))
     for i, drop in enumerate(_event_drops(events)):
-        stream = _stage_events(spark, events, landing, drop, i == 0)
-        got = jobs.run_append_with_expectations(stream, EVENT_RULES, sink, ckpt)
-        for k, v in got.items():
-            totals[k] = totals.get(k, 0) + v
-    rows = [(n, e, totals.get(n, 0), totals.get("total", 0)) for n, e in EVENT_RULES]
+        _stage_events(spark, events, landing, drop.repartition(3, "event_id"), i == 0)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        jobs.run_append_with_expectations(stream, EVENT_RULES, sink, ckpt)
+    totals = jobs.expectation_counts(spark, sink)
+    kept = jobs.read_appended(spark, sink).count()
+    rows = [(n, e, totals.get(n, 0), kept) for n, e in EVENT_RULES]
     return spark.createDataFrame(rows, "rule STRING, expectation STRING, failed_records BIGINT, total_records BIGINT")
 
 
 def q_stream_dedup(spark, sf):
-    """O1 (stream): the second drop re-delivers the newer half of the events; copies are dropped."""
+    """O1 (stream): the second drop re-delivers the newer half of the events and brings the older half, late.
+
+    The first drop lacks a part of the older events; the watermark delay (40
+    days) exceeds their lateness, so the late first copies stay and the
+    re-delivered ones go.
+    """
     landing, sink, ckpt = (scratch_dir(spark, n) for n in ("dd-land", "dd-sink", "dd-ckpt"))
     events = read_table(spark, sf, "events")
-    _, late = _event_drops(events)
-    for i, drop in enumerate((events, late)):
+    early, late = _event_drops(events)
+    held, rest = _split(early, F.col("event_id") % 3 == 0)
+    for i, drop in enumerate((late.unionByName(rest), late.unionByName(held))):
         stream = _stage_events(spark, events, landing, drop, i == 0)
         jobs.run_append(jobs.dedup_stream(stream, ["event_id"], "ts", "40 days"), sink, ckpt)
     return norm(spark.read.parquet(sink))
 
 
+def q_stream_scd1_restart(spark, sf):
+    """X6 over a restart: newer changes first, then older ones with a fresh checkpoint and another bucket
+    count; some users are NULL (one key)."""
+    landing, other, target = (scratch_dir(spark, n) for n in ("scr-land", "scr-other", "scr-target"))
+    events = null_users(read_table(spark, sf, "events"))
+    for folder, drop, buckets in zip((landing, other), _event_drops(events, newer_first=True), (8, 16), strict=True):
+        stream = _stage_events(spark, events, folder, drop, True)
+        jobs.run_scd1(stream, ["user_id"], ["ts", "event_id"], target, scratch_dir(spark, "scr-ckpt"), buckets=buckets)
+    return norm(jobs.read_scd1(spark, target))
+
+
 def q_stream_scd1(spark, sf):
     """Latest event per user from a change stream; the older drop arrives last."""
     landing, target, ckpt = (scratch_dir(spark, n) for n in ("scd-land", "scd-target", "scd-ckpt"))
@@ -174,7 +211,10 @@ STREAM_QUERIES = {
     "ingest_bars": q_ingest_bars,
     "union_bars": q_union_bars,
     "export_roundtrip": q_export_roundtrip,
+    "ingest_symbols": q_ingest_symbols,
     "upsert_bars": q_upsert_bars,
+    "upsert_null_keys": q_upsert_null_keys,
+    "stream_scd1_restart": q_stream_scd1_restart,
     "stream_incremental_append": q_stream_incremental_append,
     "stream_union": q_stream_union,
     "stream_expect": q_stream_expect,
@@ -185,32 +225,51 @@ STREAM_QUERIES = {
 }
 
 EVENTS_OUT = f"SELECT event_id, ts, user_id, event_type, {r4('value', 'value')}, props FROM events"
-LATEST_EVENT = (
-    f"SELECT event_id, ts, user_id, event_type, {r4('value', 'value')}, props FROM ("
-    "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events"
-    ") WHERE rn = 1"
+NULL_USERS = "(SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS user_id) FROM events)"
+BROKEN_EVENTS = (
+    "(SELECT * REPLACE (CASE WHEN event_id % 11 = 0 THEN NULL ELSE user_id END AS user_id, "
+    "CASE WHEN event_id % 13 = 0 THEN -1 WHEN event_id % 13 = 1 THEN 1000 ELSE value END AS value) FROM events)"
 )
 
 
+def latest_event_sql(src: str = "events") -> str:
+    return (
+        f"SELECT event_id, ts, user_id, event_type, {r4('value', 'value')}, props FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM {src}"
+        ") WHERE rn = 1"
+    )
+
+
 def stream_oracle_sql() -> dict[str, str]:
     from candela.checks import oracle as O
 
     bars = f"{with_(BARS)} {bars_select()}"
     rules = " UNION ALL ".join(
         f"SELECT '{n}' AS rule, '{e.replace(chr(39), chr(39) * 2)}' AS expectation, "
-        f"count(*) FILTER (WHERE NOT coalesce({e}, false)) AS failed_records, count(*) AS total_records FROM events"
+        f"count(*) FILTER (WHERE NOT coalesce({e}, false)) AS failed_records, count(*) AS total_records FROM {BROKEN_EVENTS}"
         for n, e in EVENT_RULES
     )
+    symbol = (
+        "CASE WHEN length(ticker) % 4 = 0 THEN ticker || '=F' WHEN length(ticker) % 4 = 1 THEN 'A+' || ticker "
+        "WHEN length(ticker) % 4 = 2 THEN lpad(CAST(ascii(ticker) AS VARCHAR), 4, '0') ELSE '^' || ticker || '%x' END"
+    )
+    symbols = f"{with_(BARS)} {bars_select(f'(SELECT * REPLACE ({symbol} AS ticker) FROM bars)')}"
+    broken = O._broken("(SELECT *, close AS adj FROM bars)", "close")
+    columns = ", ".join(c if "adj_close" not in c else r4("adj", "adj_close") for c in O.BAR_OUT)
+    stale = f"SELECT {columns.replace('(close)', '(close + 1.0)').replace('(adj)', '(adj + 1.0)')} FROM broken WHERE ticker IS NULL OR date IS NULL"
     return {
         "ingest_bars": bars,
+        "ingest_symbols": symbols,
         "union_bars": bars,
         "export_roundtrip": bars,
         "upsert_bars": bars,
+        "upsert_null_keys": f"{with_(BARS, broken)} SELECT {columns} FROM broken UNION ALL {stale}",
         "stream_incremental_append": EVENTS_OUT,
         "stream_union": EVENTS_OUT,
         "stream_expect": rules,
         "stream_dedup": EVENTS_OUT,
-        "stream_scd1": LATEST_EVENT,
-        "scd1_latest": LATEST_EVENT,
+        "stream_scd1": latest_event_sql(),
+        "stream_scd1_restart": latest_event_sql(NULL_USERS),
+        "scd1_latest": latest_event_sql(),
         "dim_tickers_scd1": O.dim_tickers_sql(),
     }

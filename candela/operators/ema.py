@@ -8,129 +8,112 @@ and ``e_t`` is the composition of the maps up to row t applied to 0.
 A per-ticker sequential fold would put a whole ticker into one task, so
 the scan is hierarchical:
 
-1. rows are numbered per ticker (:func:`frames.number_series`) and cut into
-   blocks of ``block_rows``; each block's maps are composed into one map
-   on the JVM (``aggregate`` over the block's sorted ``collect_list``,
-   bounded by ``block_rows`` elements) and the small summary table is
-   checkpointed;
-2. if some ticker has more than one block, the block maps are scanned the
-   same way (recursively, each level ``block_rows`` times smaller), which
-   yields the state at the end of every block;
+1. rows are numbered per ticker (:func:`frames.number_series`) and gathered
+   into blocks of ``block_rows`` (one shuffle); each block's maps are
+   composed into one map, and the small summary table is written;
+2. the block maps are scanned the same way (recursively, each level
+   ``block_rows`` times smaller), which yields the state at the end of
+   every block; the recursion ends where each series has one block;
 3. every block gets the previous block's end state through an equi-join
-   and folds its own rows from there in an Arrow-batched
-   ``applyInPandas`` task (at most ``block_rows`` rows per group).
-
-No group ever holds more than ``block_rows`` elements, and the only
-driver round trip per level is one number (the largest block index).
-When a row count per series (one partial aggregate, one number back)
-shows that every series fits one block, the scan collapses to a single
-grouped fold per series: one shuffle, same bound.
+   and applies its own maps from there.
+
+Within a block the composition is a doubling scan over numpy arrays (12
+vectorised passes for 4,096 rows); only the arrays of coefficients go to
+Python, the rows' other columns stay in the JVM. No group ever holds more
+than ``block_rows`` rows, and the only driver round trip per level is one
+number (the largest block index).
+
+A NULL input makes every later value of its series NULL, as in the plain
+recurrence; NaN and infinite inputs follow floating-point arithmetic.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candela.operators.frames import RN, number_series
-from candela.session import ensure_checkpoint_dir
+from candela.session import scratch_dir
 
 DEFAULT_BLOCK_ROWS = 4096
-IDX, M, Q, GRP, ENTRY = "_idx", "_m", "_q", "_grp", "_entry"
+IDX, M, Q, NUL, GRP = "_idx", "_m", "_q", "_null", "_grp"
+ENTRY, ENTRY_NUL = "_entry", "_entry_null"
 
 
-def _compose(block_rows: int, key: str, df: DataFrame) -> DataFrame:
-    """One map per (key, block): composition of the block's maps in index order.
+def prefix_maps(m: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Compositions of the first 1, 2, ... maps ``x -> m*x + q``, by doubling."""
+    d = 1
+    while d < len(m):
+        q = np.concatenate([q[:d], m[d:] * q[:-d] + q[d:]])
+        m = np.concatenate([m[:d], m[d:] * m[:-d]])
+        d *= 2
+    return m, q
 
-    NULL coefficients enter as NaN, which poisons the rest of the series the
-    same way NULL arithmetic would (the fold's accumulator is a non-nullable
-    struct, so NULLs must not reach it).
-    """
-    g = F.floor(F.col(IDX) / block_rows)
-    nan = F.lit(float("nan"))
-    elem = F.struct(
-        F.col(IDX).alias("i"), F.coalesce(F.col(M), nan).alias("m"), F.coalesce(F.col(Q), nan).alias("q")
-    )
-    elems = F.array_sort(F.collect_list(elem))
-    init = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
-    folded = F.aggregate(
-        elems, init, lambda acc, x: F.struct((acc["a"] * x["m"]).alias("a"), (x["m"] * acc["b"] + x["q"]).alias("b"))
-    )
-    return (
-        df.groupBy(key, g.alias(IDX))
-        .agg(folded.alias("_f"))
-        .select(key, IDX, F.col("_f.a").alias(M), F.col("_f.b").alias(Q))
-    )
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    return column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
 
-def _fold_groups(df: DataFrame, key: str, out_col: str) -> DataFrame:
-    """Within each (key, group): start from ``_entry`` and apply the maps in index order."""
-    schema = T.StructType(
-        [f for f in df.schema.fields if f.name != ENTRY] + [T.StructField(out_col, T.DoubleType(), True)]
-    )
-    names = [f.name for f in schema.fields]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(IDX, kind="stable")
-        m = pdf[M].to_numpy(dtype="float64")
-        q = pdf[Q].to_numpy(dtype="float64")
-        out = np.empty(len(pdf), dtype="float64")
-        s = float(pdf[ENTRY].iloc[0])
-        for i in range(len(out)):
-            s = m[i] * s + q[i]
-            out[i] = s
-        pdf[out_col] = out
-        return pdf[names]
+def compose_blocks(m: pa.Array, q: pa.Array) -> pa.Array:
+    """One map per block: the composition of its maps."""
+    flat_m, at = _lists(m)
+    flat_q, _ = _lists(q)
+    ends = [tuple(x[-1] for x in prefix_maps(flat_m[a:b], flat_q[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
+    return pa.StructArray.from_arrays([pa.array([e[k] for e in ends], type=pa.float64()) for k in (0, 1)], names=["m", "q"])
 
-    return df.groupBy(key, GRP).applyInPandas(fold, schema)
+
+def block_states(m: pa.Array, q: pa.Array, entry: pa.Array) -> pa.Array:
+    """The states after each map of a block that starts from ``entry``."""
+    flat_m, at = _lists(m)
+    flat_q, _ = _lists(q)
+    start = entry.to_numpy(zero_copy_only=False)
+    out = np.empty(len(flat_q))
+    for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        pm, pq = prefix_maps(flat_m[a:b], flat_q[a:b])
+        out[a - at[0] : b - at[0]] = pm * start[k] + pq
+    return pa.ListArray.from_arrays(pa.array(at - at[0], type=pa.int32()), pa.array(out))
 
 
 def affine_scan(df: DataFrame, key: str, out_col: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """For rows ``(key, _idx, _m, _q, ...)`` with ``_idx`` = 0, 1, 2, ... per key, add
-    ``out_col`` = state after applying maps 0.._idx to an initial state of 0."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    summaries = _compose(block_rows, key, df).checkpoint()
-    top = summaries.agg(F.max(IDX)).first()[0]
-    if top is None:
-        return df.withColumn(out_col, F.lit(None).cast("double"))
-    if top == 0:
-        entries = None
+    """For rows ``(key, _idx, _m, _q, _null, ...)`` with ``_idx`` = 0, 1, 2, ... per key, add
+    ``out_col`` = state after applying maps 0.._idx to an initial state of 0 (NULL from the first
+    row on whose ``_null`` is set)."""
+    rest = [c for c in df.columns if c not in (key, IDX, M, Q, NUL)]
+    row = F.struct(IDX, M, Q, NUL, F.struct(F.lit(0).alias("_"), *rest).alias("rest"))
+    blocks = df.groupBy(key, F.floor(F.col(IDX) / block_rows).alias(GRP)).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    coefficients = [F.transform("rows", lambda r: r[M]), F.transform("rows", lambda r: r[Q])]
+
+    narrow = df.select(key, IDX, M, Q, NUL).groupBy(key, F.floor(F.col(IDX) / block_rows).alias(GRP)).agg(
+        F.array_sort(F.collect_list(F.struct(IDX, M, Q))).alias("rows"), F.max(NUL).alias(NUL)
+    )
+    path = scratch_dir(df.sparkSession, "ema-blocks")
+    narrow.withColumn("map", F.arrow_udf(compose_blocks, "struct<m:double,q:double>")(*coefficients)).select(
+        key, F.col(GRP).alias(IDX), F.col("map.m").alias(M), F.col("map.q").alias(Q), NUL
+    ).write.parquet(path)
+    summaries = df.sparkSession.read.parquet(path)
+    if (summaries.agg(F.max(IDX)).first()[0] or 0) == 0:  # every series ends within its first block
+        entered = blocks.withColumns({ENTRY: F.lit(0.0), ENTRY_NUL: F.lit(False)})
     else:
         ends = affine_scan(summaries, key, "_end", block_rows)
-        entries = ends.select(key, (F.col(IDX) + 1).alias(GRP), F.col("_end").alias(ENTRY))
-    grouped = df.withColumn(GRP, F.floor(F.col(IDX) / block_rows))
-    if entries is None:
-        grouped = grouped.withColumn(ENTRY, F.lit(0.0))
-    else:
-        # Co-partitioned with the per-block fold below (both on key, group): no extra exchange.
-        # Only the first block has no predecessor; a NULL end state elsewhere stays NULL.
-        grouped = grouped.join(entries, [key, GRP], "left").withColumn(
-            ENTRY, F.when(F.col(GRP) == 0, F.lit(0.0)).otherwise(F.col(ENTRY))
+        ends = ends.select(
+            F.col(key).alias("_key"), (F.col(IDX) + 1).alias("_next"), F.coalesce("_end", F.lit(0.0)).alias(ENTRY),
+            F.col("_end").isNull().alias(ENTRY_NUL),
         )
-    return _fold_groups(grouped, key, out_col).drop(GRP)
-
-
-def _ema_per_series(df: DataFrame, col: str, alpha: float, out_col: str, key: str, order: str) -> DataFrame:
-    """One grouped fold per series (used only when every series has at most ``block_rows`` rows)."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType(), True)])
-    names = [f.name for f in schema.fields]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable", na_position="first")  # NULL dates first, as in a window
-        c = pdf[col].to_numpy(dtype="float64")
-        out = np.empty(len(pdf), dtype="float64")
-        s = 0.0
-        for i in range(len(out)):
-            s = c[i] if i == 0 else alpha * c[i] + (1 - alpha) * s
-            out[i] = s
-        pdf[out_col] = out
-        return pdf[names]
-
-    return df.groupBy(key).applyInPandas(fold, schema)
+        same = blocks[key].eqNullSafe(ends["_key"]) & (blocks[GRP] == ends["_next"])
+        entered = blocks.join(ends, same, "left").withColumns(
+            {ENTRY: F.coalesce(ENTRY, F.lit(0.0)), ENTRY_NUL: F.coalesce(ENTRY_NUL, F.lit(False))}
+        )
+    # the number of NULL inputs up to each row, as a running flag over the sorted rows
+    first_null = F.array_position(F.transform("rows", lambda r: r[NUL]), True)
+    states = entered.withColumns({"_states": F.arrow_udf(block_states, "array<double>")(*coefficients, F.col(ENTRY)), "_from": first_null})
+    out = states.select(key, F.posexplode(F.arrays_zip("rows", "_states")).alias("_at", "z"), "_from", ENTRY_NUL)
+    is_null: Column = F.col(ENTRY_NUL) | ((F.col("_from") > 0) & (F.col("_at") + 1 >= F.col("_from")))
+    return out.select(
+        key, *[F.col(f"z.rows.{c}").alias(c) for c in (IDX, M, Q, NUL)], *[F.col(f"z.rows.rest.{c}").alias(c) for c in rest],
+        F.when(~is_null, F.col("z._states")).alias(out_col),
+    )
 
 
 def ema(
@@ -142,24 +125,35 @@ def ema(
     order: str = "date",
     block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
-    """Add the recursive EMA of ``col`` per ``key`` ordered by ``order``.
-
-    As in the plain recurrence, a NULL input makes every later value of its
-    series NULL.
-    """
+    """Add the recursive EMA of ``col`` per ``key`` ordered by ``order``."""
     alpha = 2.0 / (span + 1)
-    cols = df.columns
-    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if longest <= block_rows:
-        out = _ema_per_series(df, col, alpha, out_col, key, order)
-        return out.select(*cols, F.nanvl(F.col(out_col), F.lit(None).cast("double")).alias(out_col))
+    cols = [c for c in df.columns if c != out_col]
     first = F.col(RN) == 1
-    maps = number_series(df, key, order).withColumns(
-        {
-            IDX: F.col(RN) - 1,
-            M: F.when(first, F.lit(0.0)).otherwise(F.lit(1 - alpha)),
-            Q: F.when(first, F.col(col)).otherwise(F.lit(alpha) * F.col(col)).cast("double"),
-        }
+    value = F.coalesce(F.col(col).cast("double"), F.lit(0.0))
+    maps = number_series(df, key, order).select(
+        *df.columns,
+        (F.col(RN) - 1).cast("bigint").alias(IDX),
+        F.when(first, F.lit(0.0)).otherwise(F.lit(1 - alpha)).alias(M),
+        F.when(first, value).otherwise(F.lit(alpha) * value).alias(Q),
+        F.col(col).isNull().alias(NUL),
     )
-    out = affine_scan(maps, key, out_col, block_rows)
-    return out.select(*cols, F.nanvl(F.col(out_col), F.lit(None).cast("double")).alias(out_col))
+    if out_col in df.columns:
+        maps = maps.drop(out_col)
+    return affine_scan(maps, key, out_col, block_rows).select(*cols, out_col)
+
+
+def macd_ema(
+    df: DataFrame,
+    col: str = "close",
+    fast: int = 12,
+    slow: int = 26,
+    signal: int = 9,
+    key: str = "ticker",
+    order: str = "date",
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """T3 with EMA legs: the columns of the SMA form, with recursive EMAs for both legs and the signal."""
+    scan = dict(key=key, order=order, block_rows=block_rows)
+    out = ema(ema(df, col, fast, "ema_fast", **scan), col, slow, "ema_slow", **scan)
+    out = ema(out.withColumn("macd", F.col("ema_fast") - F.col("ema_slow")), "macd", signal, "macd_signal", **scan)
+    return out.withColumn("macd_gap", F.col("macd") - F.col("macd_signal"))

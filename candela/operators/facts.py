@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import bucket, safe_div
-from candela.operators.frames import rolling, rows
+from candela.operators.frames import carried, rolling, rows
 from candela.operators.joins import join_dim
 from candela.schema import FACT_INDICATORS
 
@@ -14,6 +14,10 @@ from candela.schema import FACT_INDICATORS
 RSI_SIGNAL_DAILY = [(">", 70, "Overbought"), ("<", 30, "Oversold")]
 
 
+#: Rows that the daily measures look back.
+MEASURES_LOOKBACK = 19
+
+
 def daily_measures(df: DataFrame, w: WindowSpec) -> DataFrame:
     """intraday return / range, dollar volume, candle colour, volume flag, RSI signal.
 
@@ -37,7 +41,7 @@ def fact_daily_base(silver: DataFrame, dim_date_df: DataFrame, dim_tickers_df: D
     """F1 without measures: silver left-joined to both dimensions, 35 columns."""
     dd = dim_date_df.select("date", "date_key")
     dt = dim_tickers_df.select("ticker", "ticker_key")
-    j = join_dim(silver, dd, "date", "left", bounded=True)
+    j = join_dim(silver, dd, "date", "left")
     j = join_dim(j, dt, "ticker", "left")
     return j.select(
         "date_key",
@@ -51,6 +55,7 @@ def fact_daily_base(silver: DataFrame, dim_date_df: DataFrame, dim_tickers_df: D
         F.col("close").alias("close_price"),
         "volume",
         *FACT_INDICATORS,
+        *carried(j),
     )
 
 
@@ -63,7 +68,7 @@ def fact_daily(
 ) -> DataFrame:
     """``fact_daily_ticker_performance``: base columns, indicators and daily measures."""
     base = fact_daily_base(silver, dim_date_df, dim_tickers_df)
-    out = rolling(base, daily_measures, lookback=19, strategy=strategy)
+    out = rolling(base, daily_measures, lookback=MEASURES_LOOKBACK, strategy=strategy)
     if stamp:
         out = out.withColumns({"created_timestamp": F.current_timestamp(), "updated_timestamp": F.current_timestamp()})
     return out

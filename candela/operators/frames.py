@@ -31,9 +31,7 @@ from candela.session import scratch_dir
 
 
 DEFAULT_BLOCK_ROWS = 4096
-STRATEGIES = ("plain", "blocks", "auto")
-# "auto": plain while the longest series fits one task comfortably.
-AUTO_MAX_SERIES_ROWS = 5_000_000
+STRATEGIES = ("plain", "blocks")
 
 # Helper column names (dropped before returning).
 RN, BLK, GHOST, YR, OFF = "_rn", "_blk", "_ghost", "_yr", "_off"
@@ -55,14 +53,32 @@ def _join_null_safe(rows_: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return rows_.join(t, cond).drop("_k", "_y")
 
 
+#: Rows of order values that a numbering group of a number-ordered series spans.
+_NUMBER_STEP = 65_536
+
+
+def _coarse(df: DataFrame, order: str) -> Column:
+    """A coarse key that is monotone in ``order``: the month of a date or time, a step of a number, else one group."""
+    kind = dict(df.dtypes)[order]
+    if kind == "date" or kind.startswith("timestamp"):
+        group = F.year(order) * 12 + F.month(order)
+    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        group = F.floor(F.col(order) / _NUMBER_STEP).cast("bigint")
+    else:
+        group = F.lit(0)
+    return F.coalesce(group, F.lit(NULL_YEAR).cast("bigint") * F.lit(1 << 40)).cast("bigint")
+
+
 def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse: Column | None = None) -> DataFrame:
     """Add ``_rn``: 1-based position of each row within its ``key`` ordered by ``order``.
 
-    ``coarse`` (default ``year(order)``) must be monotone in ``order``; each
-    (key, coarse) group is numbered on its own and shifted by the running
-    count of the earlier groups, so no window spans a whole key.
+    ``coarse`` (default: the month of a date or time, a step of a number) must
+    be monotone in ``order``; each (key, coarse) group is numbered on its own
+    and shifted by the running count of the earlier groups. Only an order of
+    another type (text) is numbered in one group per key.
     """
-    coarse = F.coalesce(F.year(order), F.lit(NULL_YEAR)) if coarse is None else coarse
+    if coarse is None:
+        coarse = _coarse(df, order)
     tagged = df.withColumn(YR, coarse)
     counts = tagged.groupBy(key, YR).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy(YR).rowsBetween(Window.unboundedPreceding, -1)
@@ -138,7 +154,7 @@ def number_series(df: DataFrame, key: str = "ticker", order: str = "date") -> Da
 def with_blocks(numbered: DataFrame, lookback: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Assign ``_blk`` and replicate each block's last ``lookback`` rows into the next as ghosts."""
     if not 0 <= lookback < block_rows:
-        raise ValueError("lookback must be smaller than block_rows")
+        raise ValueError(f"block_rows={block_rows} must exceed the look-back of {lookback} rows: pass a larger block_rows")
     idx = F.col(RN) - 1
     own = F.floor(idx / block_rows)
     tail = (idx % block_rows) >= (block_rows - lookback)
@@ -160,7 +176,6 @@ def rolling(
     lookback: int,
     strategy: str = "blocks",
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    auto_max_rows: int = AUTO_MAX_SERIES_ROWS,
 ) -> DataFrame:
     """Apply ``compute(frame, w)`` where ``w`` orders each series' rows.
 
@@ -168,22 +183,50 @@ def rolling(
     reaching at most ``lookback`` rows back, including chained levels).
     ``(key, order)`` must be unique (deduplicate first): ties would make
     row frames, and so the results, depend on row order.
-    ``strategy="auto"`` counts rows per key (one partial aggregate, one
-    number back to the driver) and runs plain unless some series exceeds
-    ``auto_max_rows``. A look-back that does not fit a block widens the blocks.
+
+    A frame that :func:`block_once` cut carries its blocks: ``compute`` runs
+    on them as they are, and the caller drops the ghosts at the end of the
+    chain (:func:`drop_ghosts`).
     """
-    if strategy == "auto":
-        longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-        strategy = "plain" if longest <= auto_max_rows else "blocks"
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if GHOST in df.columns:
+        return compute(df, Window.partitionBy(key, BLK).orderBy(RN))
     if strategy == "plain":
         return compute(df, Window.partitionBy(key).orderBy(order))
-    if strategy != "blocks":
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
     cols = df.columns
-    if lookback >= block_rows:
-        block_rows = 4 * lookback
     blocked = with_blocks(number_series(df, key, order), lookback, block_rows)
     w = Window.partitionBy(key, BLK).orderBy(RN)
     out = compute(blocked, w)
     extra = [c for c in out.columns if c not in cols and c not in (RN, BLK, GHOST)]
     return out.where(~F.col(GHOST)).select(*cols, *extra)
+
+
+def fitting_block_rows(lookback: int, block_rows: int | None = None) -> int:
+    """Block size for indicators with ``lookback``: as asked (default 4,096), four look-backs at least if that is under the look-back."""
+    block_rows = DEFAULT_BLOCK_ROWS if block_rows is None else block_rows
+    return block_rows if lookback < block_rows else 4 * lookback
+
+
+CARRIED = (RN, BLK, GHOST)
+
+
+def block_once(
+    df: DataFrame, lookback: int, key: str = "ticker", order: str = "date", block_rows: int = DEFAULT_BLOCK_ROWS
+) -> DataFrame:
+    """Number and cut the rows once for a whole chain of rolling stages.
+
+    ``lookback`` is the sum of the stages' look-backs: a ghost row of the
+    last stage must itself have complete inputs from the stages before.
+    """
+    return with_blocks(number_series(df, key, order), lookback, block_rows)
+
+
+def carried(df: DataFrame) -> list[str]:
+    """The block columns that a stage has to pass on (none for a plain frame)."""
+    return [c for c in CARRIED if c in df.columns]
+
+
+def drop_ghosts(df: DataFrame) -> DataFrame:
+    """End of a chain over :func:`block_once`: the series' own rows, without the block columns."""
+    return df.where(~F.col(GHOST)).drop(*CARRIED) if GHOST in df.columns else df

@@ -19,13 +19,15 @@ of one per indicator. ``silver_indicators`` runs the chain through
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import safe_div
-from candela.operators.frames import rolling, rows
+from candela.operators.ema import macd_ema
+from candela.operators.frames import fitting_block_rows, rolling, rows
 from candela.schema import SILVER_LOOKBACK
 
 Levels = list[dict[str, Column]]
@@ -255,10 +257,10 @@ def run_indicators(
 ) -> DataFrame:
     """Run several indicator groups in one pass (merged levels) with the chosen frame strategy."""
     params = params or {}
-    kw = {} if block_rows is None else {"block_rows": block_rows}
+    lookback = reach(names, params)
     return rolling(
         df, lambda d, w: with_indicators(d, w, names, params), key=key, order=order,
-        lookback=reach(names, params), strategy=strategy, **kw,
+        lookback=lookback, strategy=strategy, block_rows=fitting_block_rows(lookback, block_rows),
     )
 
 
@@ -270,47 +272,96 @@ def indicator(df: DataFrame, name: str, strategy: str = "blocks", block_rows: in
 def silver_indicators(bars: DataFrame, strategy: str = "blocks", block_rows: int | None = None) -> DataFrame:
     """``silver_ticker_indicators``: bars plus every indicator and helper column."""
     kw = {} if block_rows is None else {"block_rows": block_rows}
-    return rolling(bars, all_indicators, lookback=max(SILVER_LOOKBACK, reach(CHAIN)), strategy=strategy, **kw)
+    return rolling(bars, all_indicators, lookback=silver_lookback(), strategy=strategy, **kw)
+
+
+def silver_lookback() -> int:
+    return max(SILVER_LOOKBACK, reach(CHAIN))
 
 
 class IndicatorChain:
     """Fluent form: ``IndicatorChain(df, "symbol", "date").sma().rsi(period=10).get_df()``.
 
-    Methods record indicator groups (same names and parameters as the
-    level builders above); ``get_df`` evaluates them all in one pass with
-    merged dependency levels, so the chain costs one exchange (plain) or
-    the block machinery once, whatever its length.
+    Methods take the parameters of the level builders above, by position or
+    by name, and may be called repeatedly; an indicator may read an earlier
+    call's output (``.rsi().sma(col="rsi")``). ``get_df`` groups the calls
+    into steps: calls that do not depend on one another share their
+    dependency levels, a call that reads or replaces a column of the
+    current step (or repeats an indicator) opens the next step. All steps
+    run on one numbering and one exchange; their look-backs add up, so the
+    ghost rows of the blocks are deep enough for the last step.
+
+    ``macd(kind="ema")`` uses recursive EMAs, which reach back to the start
+    of a series: it runs as a scan of its own between the windowed steps.
     """
 
     def __init__(self, df: DataFrame, symbol_col: str = "symbol", date_col: str = "date",
                  strategy: str = "blocks", block_rows: int | None = None):
         self._df, self._key, self._order = df, symbol_col, date_col
         self._strategy, self._block_rows = strategy, block_rows
-        self._names: list[str] = []
-        self._params: dict[str, dict] = {}
-
-    def _add(self, name: str, params: dict) -> "IndicatorChain":
-        if name in self._params:
-            raise ValueError(f"{name} already in the chain")
-        self._names.append(name)
-        self._params[name] = params
+        self._calls: list[tuple[str, dict]] = []
+
+    def _add(self, name: str, args: tuple, params: dict) -> "IndicatorChain":
+        builder = macd_ema if name == "macd_ema" else INDICATORS[name][0]
+        bound = inspect.signature(builder).bind(None, *args, **params).arguments
+        first = next(iter(inspect.signature(builder).parameters))
+        self._calls.append((name, {k: v for k, v in bound.items() if k != first}))
         return self
 
-    def sma(self, **kw): return self._add("sma", kw)  # noqa: E704
-    def ema(self, **kw): return self._add("ema_seeded", kw)  # noqa: E704
-    def macd(self, **kw): return self._add("macd", kw)  # noqa: E704
-    def bollinger_bands(self, **kw): return self._add("bollinger_bands", kw)  # noqa: E704
-    def atr(self, **kw): return self._add("atr", kw)  # noqa: E704
-    def rsi(self, **kw): return self._add("rsi", kw)  # noqa: E704
-    def stochastic(self, **kw): return self._add("stochastic", kw)  # noqa: E704
-    def cci(self, **kw): return self._add("cci", kw)  # noqa: E704
-    def mfi(self, **kw): return self._add("mfi", kw)  # noqa: E704
-    def obv(self, **kw): return self._add("obv", kw)  # noqa: E704
-    def adl(self, **kw): return self._add("adl", kw)  # noqa: E704
-    def support_resistance(self, **kw): return self._add("support_resistance", kw)  # noqa: E704
+    def sma(self, *a, **kw): return self._add("sma", a, kw)  # noqa: E704
+    def ema(self, *a, **kw): return self._add("ema_seeded", a, kw)  # noqa: E704
+    def bollinger_bands(self, *a, **kw): return self._add("bollinger_bands", a, kw)  # noqa: E704
+    def atr(self, *a, **kw): return self._add("atr", a, kw)  # noqa: E704
+    def rsi(self, *a, **kw): return self._add("rsi", a, kw)  # noqa: E704
+    def stochastic(self, *a, **kw): return self._add("stochastic", a, kw)  # noqa: E704
+    def cci(self, *a, **kw): return self._add("cci", a, kw)  # noqa: E704
+    def mfi(self, *a, **kw): return self._add("mfi", a, kw)  # noqa: E704
+    def obv(self, *a, **kw): return self._add("obv", a, kw)  # noqa: E704
+    def adl(self, *a, **kw): return self._add("adl", a, kw)  # noqa: E704
+    def support_resistance(self, *a, **kw): return self._add("support_resistance", a, kw)  # noqa: E704
+
+    def macd(self, *a, kind: str = "sma", **kw):
+        if kind not in ("sma", "ema"):
+            raise ValueError("kind must be 'sma' or 'ema'")
+        return self._add("macd" if kind == "sma" else "macd_ema", a, kw)
+
+    def _steps(self) -> list[list[tuple[str, dict]]]:
+        """Calls grouped into steps (see the class); an EMA scan is a step of its own."""
+        steps: list[list[tuple[str, dict]]] = []
+        made: set[str] = set()
+        w = Window.partitionBy(self._key).orderBy(self._order)
+        for name, params in self._calls:
+            scan = name == "macd_ema"
+            outputs = set() if scan else {c for level in INDICATORS[name][0](w, **params) for c in level}
+            own = not steps or scan or steps[-1][0][0] == "macd_ema"
+            if own or params.get("col") in made or outputs & made or any(name == n for n, _ in steps[-1]):
+                steps.append([])
+                made = set()
+            steps[-1].append((name, params))
+            made |= outputs
+        return steps
 
     def get_df(self) -> DataFrame:
-        if not self._names:
-            return self._df
-        return run_indicators(self._df, self._names, self._params, self._strategy, self._block_rows,
-                              key=self._key, order=self._order)
+        out, run = self._df, []
+        for step in [*self._steps(), None]:
+            if step is not None and step[0][0] != "macd_ema":
+                run.append(step)
+                continue
+            if run:
+                out = self._windowed(out, run)
+                run = []
+            if step is not None:
+                out = macd_ema(out, key=self._key, order=self._order, **step[0][1])
+        return out
+
+    def _windowed(self, df: DataFrame, steps: list[list[tuple[str, dict]]]) -> DataFrame:
+        def compute(d: DataFrame, w: WindowSpec) -> DataFrame:
+            for step in steps:
+                d = with_indicators(d, w, [n for n, _ in step], dict(step))
+            return d
+
+        lookback = sum(reach([n for n, _ in step], dict(step)) for step in steps)
+        return rolling(
+            df, compute, key=self._key, order=self._order, lookback=lookback, strategy=self._strategy,
+            block_rows=fitting_block_rows(lookback, self._block_rows),
+        )

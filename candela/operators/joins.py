@@ -1,39 +1,16 @@
-"""Dimension joins with a checked broadcast.
+"""Dimension joins.
 
-A side is broadcast only after a bounded probe proves it holds at most
-``max_rows`` rows; otherwise the join is left to the planner (sort-merge
-with AQE's skew-join splitting and runtime broadcast conversion).
+The build side is the planner's choice: it broadcasts a side whose size
+statistics (or, under AQE, whose measured shuffle size) stay under
+``spark.sql.autoBroadcastJoinThreshold`` and sort-merge joins beyond it, with
+AQE splitting a hot key. No probe job runs and nothing is forced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    on,
-    how: str = "left",
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    bounded: bool = False,
-) -> DataFrame:
-    """Join a (usually small) dimension onto a fact.
-
-    ``bounded=True`` states that the dimension's size is bounded by
-    construction (e.g. one row per calendar day), so the probe is skipped.
-    """
-    side = F.broadcast(dim) if bounded else broadcast_if_small(dim, max_rows)
-    return fact.join(side, on, how)
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a (usually small) dimension onto a fact."""
+    return fact.join(dim, on, how)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import bucket, safe_div
-from candela.operators.frames import rolling, rows
+from candela.operators.frames import carried, drop_ghosts, rolling, rows
 from candela.operators.joins import join_dim
 
 # Labels and thresholds of the views.
@@ -37,6 +37,13 @@ def as_of_col(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+def recent_rows(fact: DataFrame, as_of, days: int) -> DataFrame:
+    """Rows of the last ``days`` days; a stored fact's ``year`` partitions are pruned by the implied year."""
+    first = F.date_sub(as_of_col(as_of), days)
+    recent = fact.where(F.col("date") >= first)
+    return recent.where(F.col("year") >= F.year(first)).drop("year") if "year" in fact.columns else recent
+
+
 def latest_date(df: DataFrame, date_col: str = "date") -> Column:
     """``max(date)`` of ``df`` as a scalar subquery column (no driver round trip)."""
     return df.select(F.max(date_col)).scalar()
@@ -48,8 +55,8 @@ def _count_if(cond: Column) -> Column:
 
 def v_ticker_performance(fact: DataFrame, dim_date_df: DataFrame, dim_tickers_df: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     """V1: last ``days`` days per ticker with performance, RSI and volume labels."""
-    recent = fact.where(F.col("date") >= F.date_sub(as_of_col(as_of), days))
-    j = join_dim(recent, dim_date_df.select("date_key", "day_name"), "date_key", "left", bounded=True)
+    recent = recent_rows(fact, as_of, days)
+    j = join_dim(recent, dim_date_df.select("date_key", "day_name"), "date_key", "left")
     j = join_dim(j, dim_tickers_df.select("ticker_key", "sector", "industry"), "ticker_key", "left")
     return j.select(
         "ticker", "sector", "industry", "date", "day_name", "close_price", "daily_return_pct",
@@ -62,8 +69,8 @@ def v_ticker_performance(fact: DataFrame, dim_date_df: DataFrame, dim_tickers_df
 
 def v_sector_performance(fact: DataFrame, dim_date_df: DataFrame, dim_tickers_df: DataFrame, as_of=None, days: int = 90) -> DataFrame:
     """V2: per sector and day over the last ``days`` days."""
-    recent = fact.where(F.col("date") >= F.date_sub(as_of_col(as_of), days))
-    j = join_dim(recent, dim_date_df.select("date_key", "year", "month", "quarter"), "date_key", "left", bounded=True)
+    recent = recent_rows(fact, as_of, days)
+    j = join_dim(recent, dim_date_df.select("date_key", "year", "month", "quarter"), "date_key", "left")
     j = join_dim(j, dim_tickers_df.select("ticker_key", "sector"), "ticker_key", "left")
     r = F.col("daily_return_pct")
     out = j.groupBy("sector", "date", "year", "month", "quarter").agg(
@@ -83,6 +90,10 @@ def v_sector_performance(fact: DataFrame, dim_date_df: DataFrame, dim_tickers_df
     )
 
 
+#: Rows that the screening view looks back.
+SCREEN_LOOKBACK = 29
+
+
 def _screen(df: DataFrame, w: WindowSpec) -> DataFrame:
     return df.withColumn("_vol_avg_30", F.avg("volume").over(rows(w, 30)))
 
@@ -91,12 +102,13 @@ def v_technical_screening(fact: DataFrame, dim_tickers_df: DataFrame, strategy:
     """V3: trend / MACD / band / RSI / volume-spike / mover flags for every row.
 
     Unlike the reference the output keeps ``date`` so rows are identifiable.
+    The end of the chain: ghosts of a blocked fact are dropped here.
     """
     base = fact.select(
         "date", "ticker", "ticker_key", "close_price", "volume", "daily_return_pct", "sma_20", "sma_50",
-        "rsi", "macd", "macd_signal", "bbands_pct", "atr",
+        "rsi", "macd", "macd_signal", "bbands_pct", "atr", *carried(fact),
     )
-    flagged = rolling(base, _screen, lookback=29, strategy=strategy)
+    flagged = drop_ghosts(rolling(base, _screen, lookback=SCREEN_LOOKBACK, strategy=strategy))
     j = join_dim(flagged, dim_tickers_df.select("ticker_key", "sector"), "ticker_key", "left")
     c, s20, s50 = F.col("close_price"), F.col("sma_20"), F.col("sma_50")
     return j.select(

@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -29,6 +30,7 @@ def write_table(
     dynamic: bool = True,
     before_write: Callable[[DataFrame], DataFrame] | None = None,
     cluster: bool = True,
+    files_per_partition: int = 16,
 ) -> None:
     """Write ``df``. With ``partition_by`` and overwrite, only the partitions present are replaced.
 
@@ -39,17 +41,18 @@ def write_table(
     the clustering step, e.g. to attach observed metrics that the range
     partitioner's sampling pass must not count.
 
-    ``cluster=False`` writes the partitions as they come (only sorted):
-    right for the output of a window stage, which is already clustered by
-    series, and whose expensive lineage the range partitioner's sampling
-    pass would otherwise run twice.
+    ``cluster=False`` skips the range partitioner, whose sampling pass would
+    run an expensive lineage (a window stage) twice: the rows are hashed on
+    the partition columns and a spread of at most ``files_per_partition``
+    tasks, which bounds the files of a folder all the same.
     """
     out = df
     if partition_by and cluster:
         out = out.repartitionByRange(*partition_by, *sort_within)
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     elif partition_by:
-        out = out.sortWithinPartitions(*partition_by, *sort_within)
+        spread = F.pmod(F.xxhash64(*(sort_within or partition_by)), F.lit(files_per_partition))
+        out = out.repartition(*partition_by, spread).sortWithinPartitions(*partition_by, *sort_within)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     if before_write is not None:

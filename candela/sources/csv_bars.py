@@ -1,52 +1,75 @@
 """Raw bar files: one folder per ticker, CSV with a header, columns bound by position.
 
-The ticker comes from the file's folder name (``raw/<T>/file.csv``, or
-``raw/ticker=<T>/file.csv`` as Spark writes partitioned output), so one
-glob scan covers every ticker; an optional ticker list becomes a filter.
-A ticker list narrows the glob itself (``raw/{AAPL,BAC}/``), so folders of
-other tickers are not even listed. ``date`` is cast to DATE once at
-landing; unparseable text becomes NULL and is caught by the
+The ticker is the file's folder name as the data source wrote it
+(``raw/CL=F/file.csv``), or the value of a ``ticker=`` folder as Spark writes
+partitioned output, so one glob scan covers every ticker. A ticker list
+narrows the glob itself, so folders of other tickers are not even listed; an
+empty list names no ticker and gives no rows. ``date`` is cast to DATE once
+at landing; unparseable text becomes NULL and is caught by the
 ``date IS NOT NULL`` rule.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.schema import RAW_BAR
 
-# Fixed value: folder-name pattern of a ticker directory.
-TICKER_FROM_PATH = r"/(?:ticker=)?([^/=]+)/[^/]+$"
+# The prefix and the NULL name of Spark's partition folders, and the characters that it escapes in them.
+PARTITION_PREFIX = "ticker="
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = "\"#%'*/:=?\\{}[]^\x7f"
+
+
+def partition_name(ticker: str) -> str:
+    """Folder name of a ticker in partitioned output."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in ticker)
+
+
+def ticker_from_path(path: Column) -> Column:
+    """Ticker of a file's URI: its folder name, percent-decoded without form rules (a ``+`` is a ``+``)."""
+    decoded = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    folder = decoded(F.nullif(F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1), F.lit("")))
+    value = F.substring(folder, len(PARTITION_PREFIX) + 1, 1 << 30)
+    inner = F.nullif(F.coalesce(decoded(value), value), F.lit(NULL_PARTITION))
+    return F.when(folder.startswith(PARTITION_PREFIX), inner).otherwise(folder)
 
 
 def _glob(raw_dir: str, tickers: Sequence[str] | None = None) -> str:
-    """All ticker folders, or only the listed ones (a brace glob: unlisted folders are never listed)."""
-    if not tickers:
+    """All ticker folders, or only the listed ones (a brace glob: unlisted folders are never listed).
+
+    Characters with a meaning in globs become ``?``; the filter in ``land``
+    makes the choice exact.
+    """
+    if tickers is None:
         return raw_dir.rstrip("/") + "/*/"
-    names = sorted(set(tickers) | {f"ticker={t}" for t in tickers})
-    return raw_dir.rstrip("/") + "/{" + ",".join(names) + "}/"
+    names = sorted({n for t in tickers for n in (t, PARTITION_PREFIX + partition_name(t))})
+    plain = [re.sub(r"[*?{}\[\]\\,^:]", "?", n) for n in names]
+    return raw_dir.rstrip("/") + "/{" + ",".join(dict.fromkeys(plain)) + "}/"
 
 
 def land(raw: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
     """Add ``ticker`` from the file path and cast ``date``; works on batch and streaming frames."""
-    path = F.url_decode(F.col("_metadata.file_path"))
     out = raw.select(
-        F.regexp_extract(path, TICKER_FROM_PATH, 1).alias("ticker"),
+        ticker_from_path(F.col("_metadata.file_path")).alias("ticker"),
         F.try_to_date(F.col("date")).alias("date"),
         "open", "high", "low", "close", "adj_close", "volume",
     )
-    if tickers:
-        out = out.where(F.col("ticker").isin(list(tickers)))
+    if tickers is not None:
+        out = out.where(F.col("ticker").isin(list(tickers)) if tickers else F.lit(False))
     return out
 
 
 def read_bars_csv(spark: SparkSession, raw_dir: str, tickers: Sequence[str] | None = None) -> DataFrame:
-    """Batch read of every raw file; no ticker folder at all gives an empty, typed frame."""
+    """Batch read of every raw file; no ticker folder at all (or an empty list) gives an empty, typed frame."""
     try:
+        if tickers is not None and not tickers:
+            raise AnalysisException("PATH_NOT_FOUND: no ticker is listed")
         raw = spark.read.schema(RAW_BAR).option("header", True).csv(_glob(raw_dir, tickers))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
@@ -76,7 +99,7 @@ def read_bars_stream(
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    return land(reader.csv(_glob(raw_dir, tickers)), tickers)
+    return land(reader.csv(_glob(raw_dir, tickers or None)), tickers)
 
 
 def write_bars_csv(bars: DataFrame, raw_dir: str, mode: str = "append") -> None:

@@ -31,3 +31,39 @@ def stale_copies(bars: DataFrame) -> DataFrame:
 def bars_with_stale_copies(bars: DataFrame) -> DataFrame:
     """The bars stamped late, plus a stale earlier copy of each."""
     return stale_copies(bars).unionByName(stamped(bars, LATE))
+
+
+def broken_bars(bars: DataFrame, close: str = "close") -> DataFrame:
+    """Bars of which those of some days of the month break a rule: NULL date, NULL ticker, close and volume not positive."""
+    day, broken = F.dayofmonth("date"), F.lit(None)
+    return bars.withColumns({
+        "ticker": F.when(day == 3, broken.cast("string")).otherwise(F.col("ticker")),
+        close: F.when(day == 5, F.lit(0.0)).otherwise(F.col(close)),
+        "volume": F.when(day == 7, F.lit(-1)).otherwise(F.col("volume")).cast("bigint"),
+        "date": F.when(day == 2, broken.cast("date")).otherwise(F.col("date")),
+    })
+
+
+def with_symbols(bars: DataFrame) -> DataFrame:
+    """Bars whose tickers are written as data sources write them: punctuation, digits only, leading zeros."""
+    n = F.length("ticker")
+    return bars.withColumn(
+        "ticker",
+        F.when(n % 4 == 0, F.concat("ticker", F.lit("=F"))).when(n % 4 == 1, F.concat(F.lit("A+"), F.col("ticker")))
+        .when(n % 4 == 2, F.lpad(F.ascii("ticker").cast("string"), 4, "0")).otherwise(F.concat(F.lit("^"), F.col("ticker"), F.lit("%x"))),
+    )
+
+
+def broken_events(events: DataFrame) -> DataFrame:
+    """Events of which some have no user and some a value out of range."""
+    n = F.col("event_id")
+    value = F.when(n % 13 == 0, F.lit(-1.0)).when(n % 13 == 1, F.lit(1000.0)).otherwise(F.col("value"))
+    return events.withColumns({
+        "user_id": F.when(n % 11 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")),
+        "value": value.cast(events.schema["value"].dataType),
+    })
+
+
+def null_users(events: DataFrame) -> DataFrame:
+    """Events of which some users are unknown."""
+    return events.withColumn("user_id", F.when(F.col("user_id") % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")))

@@ -10,13 +10,9 @@ Everything here is two joins plus one aggregate; all aggregates are
 decomposable (min/max over a struct, sums), so map-side partial
 aggregation collapses even a hot (nation, day) group before the shuffle.
 
-Nation joins supplier by the planner's own size check (file statistics
-against ``autoBroadcastJoinThreshold``). The supplier side of the line-item
-join is broadcast only after a bounded row-count probe; beyond the bound
-the line items are shuffle-joined to suppliers (AQE splits a hot supplier
-key). Fixing the build side matters: left to AQE, a small scale factor's
-line items can measure under the broadcast threshold and get broadcast
-themselves, which streams the one-partition supplier side in a single task.
+Both joins are left to the planner's size check (file statistics against
+``autoBroadcastJoinThreshold``); beyond it the line items are shuffle-joined
+to suppliers and AQE splits a hot supplier key.
 """
 
 from __future__ import annotations
@@ -25,8 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import safe_div
-from candela.operators.joins import broadcast_if_small
-from candela.operators.parallel import spread
 from candela.sources.tables import read_table
 
 
@@ -36,13 +30,13 @@ def bars_from_lineitem(lineitem: DataFrame, supplier: DataFrame, nation: DataFra
     sup = supplier.select("s_suppkey", "s_nationkey").join(
         nat, F.col("s_nationkey") == F.col("n_nationkey")
     ).select("s_suppkey", F.col("n_name").alias("ticker"))
-    li = spread(lineitem.select(
+    li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-    ), "l_orderkey", "l_linenumber")
+    )
     px = safe_div("l_extendedprice", "l_quantity")
     lines = (
-        li.join(broadcast_if_small(sup), F.col("l_suppkey") == F.col("s_suppkey"))
+        li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             "ticker",
             F.to_date("l_shipdate").alias("date"),

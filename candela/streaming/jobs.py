@@ -9,13 +9,16 @@ exactly where the last committed batch ended.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from candela.operators.dedup import dedup_bars
+from candela.operators.dims import scd1_latest
 from candela.operators.quality import Rules, observe_rules
 from candela.sinks.tables import table_exists
 
@@ -33,6 +36,10 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay:
 
     The first copy wins; the state of a key is dropped once the watermark
     passes it, so state stays bounded by the rows of one ``delay`` window.
+    Structured Streaming drops rows that arrive later than the watermark,
+    also first copies: choose ``delay`` over the greatest lateness of the
+    source, or merge by key instead (:func:`run_upsert_bars`,
+    :func:`run_scd1`), which loses no late row.
     A TIMESTAMP_NTZ event time is watermarked through a session-zone cast.
     """
     if dict(stream.dtypes)[event_time] == "timestamp_ntz":
@@ -47,6 +54,12 @@ def with_load_stamp(df: DataFrame, col: str = "processed_timestamp") -> DataFram
     return df.withColumn(col, F.current_timestamp())
 
 
+def clustered(df: DataFrame, partition_by: Sequence[str], files: int) -> DataFrame:
+    """Gather the rows of a partition folder into at most ``files`` tasks (a hot folder keeps that many writers)."""
+    spread = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(files))
+    return df.repartition(*partition_by, spread)
+
+
 def run_append(
     stream: DataFrame,
     sink_path: str,
@@ -54,8 +67,15 @@ def run_append(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     name: str | None = None,
+    files_per_partition: int = 4,
 ) -> StreamingQuery:
-    """Append every new row to a file sink and stop when caught up."""
+    """Append every new row to a file sink and stop when caught up.
+
+    With ``partition_by`` a batch writes at most ``files_per_partition``
+    files per partition folder.
+    """
+    if partition_by:
+        stream = clustered(stream, partition_by, files_per_partition)
     w = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -66,20 +86,57 @@ def run_append(
     return q
 
 
-PROGRESS_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+def _run_batches(stream: DataFrame, checkpoint: str, batch_fn) -> StreamingQuery:
+    q = (
+        stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch_fn).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return q
+
+
+# -- layouts of tables that jobs rewrite by parts ----------------------------
+#
+# ``<table>/_layout`` holds the table's schema (with its partition columns) and
+# its number of hash buckets, written when the table is created. Readers take
+# the schema from there, so folder names are never read as numbers or dates,
+# and a job that is started with another bucket count keeps the table's.
+
 
+def _layout(spark: SparkSession, path: str) -> tuple[StructType, int] | None:
+    if not table_exists(spark, f"{path}/_layout", "json"):
+        return None
+    row = spark.read.schema("schema string, buckets int").json(f"{path}/_layout").first()
+    return StructType.fromJson(json.loads(row["schema"])), row["buckets"]
 
-def summed_observed(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sum a named observed metric over the micro-batches kept in the query's progress
-    buffer (callers raise its retention for the run, see below)."""
-    total: dict[str, int] = {}
-    for p in query.recentProgress:
-        row = (p.observedMetrics or {}).get(name)
-        if row is None:
-            continue
-        for k, v in row.asDict().items():
-            total[k] = total.get(k, 0) + int(v or 0)
-    return total
+
+def _buckets(spark: SparkSession, path: str, schema: StructType, buckets: int) -> int:
+    """The stored bucket count of the table, or ``buckets`` for a table that does not exist yet."""
+    known = _layout(spark, path)
+    if known is not None:
+        return known[1]
+    row = [(json.dumps(schema.jsonValue()), buckets)]
+    spark.createDataFrame(row, "schema string, buckets int").coalesce(1).write.mode("overwrite").json(f"{path}/_layout")
+    return buckets
+
+
+def _read_parts(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table with its partition columns; None before the first write."""
+    known = _layout(spark, path)
+    if known is None or not table_exists(spark, path):
+        return None
+    return spark.read.schema(known[0]).parquet(path).select(known[0].names)
+
+
+def _replace_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+    """Write the part folders that ``df`` has rows for; other folders are not touched."""
+    (
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    )
+
+
+# -- expectations -------------------------------------------------------------
+
+BATCH = "_batch"
 
 
 def run_append_with_expectations(
@@ -89,25 +146,57 @@ def run_append_with_expectations(
     checkpoint: str,
     partition_by: Sequence[str] = (),
     metric_name: str = "expectations",
+    files_per_partition: int = 4,
 ) -> dict[str, int]:
     """Append (warn mode: all rows kept) while counting rule failures per batch.
 
-    The counters of every micro-batch of this run are summed; the progress
-    retention is raised for the run so no batch falls out of the buffer.
+    A micro-batch writes its rows under ``_batch=<id>`` and its counters
+    under ``_counts/_batch=<id>``, both by overwriting, so a batch that is
+    run again after a crash replaces itself: counts and rows are neither
+    lost nor doubled. Read the rows with :func:`read_appended` and the
+    counters of all runs with :func:`expectation_counts`; returned are those
+    of the batches of this run.
     """
     spark = stream.sparkSession
-    before = spark.conf.get(PROGRESS_RETENTION, None)
-    spark.conf.set(PROGRESS_RETENTION, "100000")
-    try:
-        observed = observe_rules(stream, rules, metric_name)
-        q = run_append(observed, sink_path, checkpoint, partition_by)
-        return summed_observed(q, metric_name)
-    finally:
-        if before is None:
-            spark.conf.unset(PROGRESS_RETENTION)
-        else:
-            spark.conf.set(PROGRESS_RETENTION, before)
+    schema = stream.schema
+    _buckets(spark, sink_path, StructType([*schema.fields, StructField(BATCH, LongType())]), 0)
+
+    ran: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ran.append(batch_id)
+        seen = Observation(f"{metric_name}_{batch_id}")
+        rows_ = clustered(batch, partition_by, files_per_partition) if partition_by else batch
+        rows_ = observe_rules(rows_, rules, seen).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        _replace_parts(rows_, sink_path, [BATCH, *partition_by])
+        counts = [(batch_id, k, int(v or 0)) for k, v in seen.get.items()]
+        _replace_parts(
+            spark.createDataFrame(counts, f"{BATCH} long, rule string, failed long").coalesce(1), f"{sink_path}/_counts", [BATCH]
+        )
+
+    _run_batches(stream, checkpoint, write)
+    return expectation_counts(spark, sink_path, ran)
+
 
+def read_appended(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Rows written by :func:`run_append_with_expectations`, with their declared types."""
+    schema, _ = _layout(spark, sink_path)
+    if not table_exists(spark, sink_path):
+        return spark.createDataFrame([], StructType(schema.fields[:-1]))
+    return spark.read.schema(schema).parquet(sink_path).select(schema.names[:-1])
+
+
+def expectation_counts(spark: SparkSession, sink_path: str, batches: Sequence[int] | None = None) -> dict[str, int]:
+    """Rule failures (and ``total`` rows) over all batches of the sink, or over the given ones."""
+    if not table_exists(spark, f"{sink_path}/_counts"):
+        return {}
+    counts = spark.read.schema(f"rule string, failed long, {BATCH} long").parquet(f"{sink_path}/_counts")
+    if batches is not None:
+        counts = counts.where(F.col(BATCH).isin(list(batches)) if batches else F.lit(False))
+    return {r["rule"]: r["failed"] for r in counts.groupBy("rule").agg(F.sum("failed").alias("failed")).collect()}
+
+
+# -- merges -------------------------------------------------------------------
 
 BUCKET = "_bucket"
 
@@ -122,51 +211,60 @@ def run_scd1(
 ) -> StreamingQuery:
     """Keep the latest row per key from a change stream (SCD type 1).
 
-    A streaming aggregate keeps, per key, the row with the greatest
-    sequence in the state store, so a late, older change cannot displace a
-    newer one. In update mode each micro-batch emits only the keys it
-    touched; they are merged into a target partitioned by a hash bucket of
-    the key: the touched buckets are read (partition pruning through a
-    semi-join with at most ``buckets`` values), the emitted keys replaced,
-    and only those buckets rewritten (dynamic partition overwrite). The
-    batch is checkpointed first so it is computed once and survives a lost
-    executor.
+    Each micro-batch is reduced to its latest row per key, unioned with the
+    target's rows of the hash buckets that it touches (partition pruning),
+    and the greatest sequence per key stays: a late, older change never
+    displaces a stored row, also after a restart with a fresh checkpoint,
+    and NULL keys are one key, as in a group-by. Only touched buckets are
+    rewritten. The target is the only state. ``buckets`` holds for a new
+    target; an existing one keeps its own count.
     """
     spark = changes.sparkSession
-    cols = changes.columns
-    best = F.max(F.struct(F.struct(*[F.col(c) for c in sequence_by]).alias("seq"), F.struct(*cols).alias("row")))
-    latest = changes.groupBy(*keys).agg(best.alias("_best")).select("_best.row.*")
+    schema = StructType([*changes.schema.fields, StructField(BUCKET, LongType())])
+    count = _buckets(spark, target_path, schema, buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        staged = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets))).checkpoint()
-        if table_exists(spark, target_path):
-            touched = F.broadcast(staged.select(BUCKET).distinct())  # at most `buckets` rows
-            current = spark.read.parquet(target_path).join(touched, BUCKET, "left_semi")
-            kept = current.join(staged.select(*keys), list(keys), "left_anti")
-            merged = kept.unionByName(staged).checkpoint()
-        else:
-            merged = staged
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(target_path)
-        )
+        latest = scd1_latest(batch, keys, sequence_by)
+        latest = latest.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(count))).select(schema.names).checkpoint()
+        current = _read_parts(spark, target_path)
+        merged = latest
+        if current is not None:
+            touched = F.broadcast(latest.select(BUCKET).distinct())  # at most `count` rows
+            current = current.join(touched, BUCKET, "left_semi").select(schema.names)
+            merged = scd1_latest(current.unionByName(latest), keys, sequence_by).checkpoint()
+        _replace_parts(clustered(merged, [BUCKET], 1), target_path, [BUCKET])
 
-    q = (
-        latest.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(merge)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return q
+    return _run_batches(changes, checkpoint, merge)
 
 
 def read_scd1(spark: SparkSession, target_path: str) -> DataFrame:
     """The dimension written by :func:`run_scd1` (without the bucket column)."""
-    return spark.read.parquet(target_path).drop(BUCKET)
+    return _read_parts(spark, target_path).drop(BUCKET)
+
+
+PERIOD = "_period"
+NO_PERIOD = "none"
+
+
+def _placed(bars: DataFrame, count: int, source: str) -> DataFrame:
+    """Bars with their part columns: the month of the date, a hash bucket of the ticker, the batch that brought them."""
+    return bars.withColumns({
+        BATCH: F.lit(source),
+        PERIOD: F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(NO_PERIOD)),
+        BUCKET: F.pmod(F.xxhash64("ticker"), F.lit(count)),
+    })
+
+
+def create_bars_table(bars: DataFrame, target_path: str, buckets: int = 16) -> None:
+    """A bars table for :func:`run_upsert_bars`, partitioned by month and ticker bucket."""
+    fields = [*bars.schema.fields, StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())]
+    count = _buckets(bars.sparkSession, target_path, StructType(fields), buckets)
+    _replace_parts(clustered(_placed(bars, count, ""), [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
+
+
+def read_bars_table(spark: SparkSession, target_path: str) -> DataFrame:
+    """The rows of a bars table, with their declared types."""
+    return _read_parts(spark, target_path).drop(BATCH, PERIOD, BUCKET)
 
 
 def run_upsert_bars(
@@ -176,38 +274,31 @@ def run_upsert_bars(
     checkpoint: str,
     keys: Sequence[str] = ("ticker", "date"),
     sequence_by: str = "processed_timestamp",
+    buckets: int = 16,
 ) -> StreamingQuery:
-    """O2: merge changed bars into a table partitioned by ticker.
-
-    Per micro-batch: the target rows of the touched tickers are read
-    through a semi-join (dynamic partition pruning), unioned with the
-    batch, reduced to the latest copy per key, checkpointed to cut the
-    lineage to the files about to be replaced, and written back with
-    dynamic partition overwrite, so untouched tickers are not rewritten.
+    """O2: merge changed bars into a table partitioned by month and ticker bucket.
+
+    Per micro-batch: the rows of the touched (month, bucket) parts are read
+    (partition pruning), unioned with the batch, reduced to the latest copy
+    per key, checkpointed to cut the lineage to the files about to be
+    replaced, and written back over just those parts; other parts' files
+    stay as they are. Rows with a NULL key part have no identity: all are
+    kept, and a batch that is run again after a crash replaces its own.
     """
+    plain = updates.schema.fields
+    schema = StructType([*plain, StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())])
+    count = _buckets(spark, target_path, schema, buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.checkpoint()
-        if table_exists(spark, target_path):
-            touched = batch.select("ticker").distinct()
-            current = spark.read.parquet(target_path).join(touched, "ticker", "left_semi")
-            rows_ = current.unionByName(batch)
-        else:
-            rows_ = batch
+        source = f"{checkpoint}#{batch_id}"
+        new = _placed(batch, count, source).checkpoint()
+        rows_ = new
+        current = _read_parts(spark, target_path)
+        if current is not None:
+            touched = F.broadcast(new.select(PERIOD, BUCKET).distinct())  # months of the batch x buckets
+            current = current.join(touched, [PERIOD, BUCKET], "left_semi").where(F.col(BATCH) != source)
+            rows_ = current.unionByName(new)
         merged = dedup_bars(rows_, keys, sequence_by, keep_sequence=True).checkpoint()
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ticker")
-            .parquet(target_path)
-        )
-
-    q = (
-        updates.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(merge)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return q
+        _replace_parts(clustered(merged, [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
 
+    return _run_batches(updates, checkpoint, merge)
