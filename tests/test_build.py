@@ -64,3 +64,22 @@ def test_export_has_seven_tables(spark, built):
     names = sorted(os.listdir(os.path.join(root, "export")))
     assert len(names) == 7
     assert spark.read.parquet(os.path.join(root, "export", "dim_tickers")).count() == 10
+
+
+def test_recent_views_prune_the_fact_s_years(spark, built):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.table("v_ticker_performance").explain(mode="formatted")
+        spark.table("v_sector_performance").explain(mode="formatted")
+    assert buf.getvalue().count("PartitionFilters: [isnotnull(year") == 2
+
+
+def test_files_of_partitioned_tables_are_bounded(built):
+    _, res = built
+    for name, most in (("silver_ticker_indicators", 16), ("fact_daily_ticker_performance", 16), ("bronze", 8)):
+        for folder in os.scandir(res.paths[name]):
+            if folder.is_dir() and "=" in folder.name:
+                assert len([f for f in os.listdir(folder.path) if f.endswith(".parquet")]) <= most, folder.path

@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-from candela.operators import dims, facts, indicators, views
+from candela.operators import dims, facts, frames, indicators, views
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
 from tests.conftest import SF_SMALL
 
@@ -89,3 +89,28 @@ def test_plain_chain_shuffles_bars_once(stored):
     # silver, the fact's 20-row and the view's 30-row windows all reuse one exchange on ticker
     assert len(re.findall(r"\bExchange\b", p)) == 1
     assert len(re.findall(r"\bWindow \(", p)) <= 4
+
+
+def test_blocked_chain_shuffles_bars_once(stored):
+    bars = stored["bars"]
+    blocked = frames.block_once(bars, indicators.silver_lookback() + facts.MEASURES_LOOKBACK + views.SCREEN_LOOKBACK)
+    f = facts.fact_daily(indicators.silver_indicators(blocked), stored["dd"], stored["dt"])
+    v = views.v_technical_screening(f, stored["dt"])
+    p = header(plan(v))
+    # numbered and cut once: one exchange and one copying step for indicators, fact and screening
+    assert len(re.findall(r"\bExchange\b", p)) == 1
+    assert len(re.findall(r"\bGenerate\b", p)) == 1
+    assert len(re.findall(r"\bSort \(", p)) == 1
+    plain = views.v_technical_screening(
+        facts.fact_daily(indicators.silver_indicators(bars, "plain"), stored["dd"], stored["dt"], strategy="plain"),
+        stored["dt"], strategy="plain",
+    )
+    assert v.columns == plain.columns and v.count() == plain.count()
+
+
+def test_registered_chain_reads_line_items_once(spark):
+    from candela.checks.queries import QUERIES
+
+    for name in ("v_technical_screening", "fact_daily", "v_ticker_performance"):
+        left = QUERIES[name](spark, SF_SMALL)  # the bars were written once while it was built
+        assert not any("lineitem" in f for f in left.inputFiles()), name
