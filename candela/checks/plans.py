@@ -11,7 +11,7 @@ import os
 import re
 import sys
 
-from candela.operators import dims, facts, indicators, views
+from candela.operators import dims, facts, frames, indicators, views
 from candela.operators.ema import ema
 from candela.session import local_session, scratch_dir
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
@@ -58,7 +58,7 @@ def main(sf: str) -> None:
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `python -m candela.checks.plans` over `{sf}` with stored inputs (as the pipeline"
            " stores them). Trees are Spark's formatted physical plans before adaptive re-planning.", ""]
-    out.append(digest("bars fixture", bars0, "Line items joined to suppliers (broadcast after a bounded probe), "
+    out.append(digest("bars fixture", bars0, "Line items joined to suppliers by the planner's size check, "
                       "one ordered aggregate with map-side partial aggregation."))
     out.append(digest("silver_ticker_indicators (plain)", indicators.silver_indicators(bars, "plain"),
                       "All twelve indicator groups: one exchange on ticker, one sort, two Window operators."))
@@ -74,8 +74,12 @@ def main(sf: str) -> None:
     out.append(digest("v_ticker_performance (as_of literal)",
                       views.v_ticker_performance(fact, dd, dt, as_of="2001-01-01"),
                       "The 30-day filter reaches the parquet scan of the fact."))
-    out.append(digest("ind_ema (single-block path)", ema(bars),
-                      "Every series fits one block here: one grouped Arrow fold per ticker."))
+    blocked = frames.block_once(bars, indicators.silver_lookback() + facts.MEASURES_LOOKBACK + views.SCREEN_LOOKBACK)
+    chain = facts.fact_daily(indicators.silver_indicators(blocked), dd, dt)
+    out.append(digest("v_technical_screening (blocked chain from the bars)", views.v_technical_screening(chain, dt),
+                      "Rows numbered and cut once for indicators, fact and screening: one exchange, one copying step, one sort."))
+    out.append(digest("ind_ema", ema(bars),
+                      "Rows gathered into blocks (one exchange); coefficients scanned in Arrow batches, the other columns stay in the JVM."))
     print("\n".join(out))
 
 

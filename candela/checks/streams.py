@@ -16,8 +16,9 @@ from candela.checks.queries import check_stamp, norm
 from candela.operators import dims
 from candela.schema import BAR_COLUMNS
 from candela.session import scratch_dir
-from candela.sinks.tables import export
+from candela.sinks.tables import export, write_table
 from candela.sources.csv_bars import read_bars_csv, read_bars_stream, write_bars_csv
+from candela.sources.metadata import empty_ticker_metadata, read_ticker_metadata
 from candela.sources.staging import LATE, broken_bars, broken_events, null_users, stale_copies, stamped, with_symbols
 from candela.sources.tables import read_stored, read_table
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
@@ -25,6 +26,7 @@ from candela.streaming import jobs
 
 # Fixed values used to split test tables into two file drops.
 BAR_SPLIT_YEAR = 1998
+LISTED = ["NATION_1", "NATION_10", "NATION_7", "NO SUCH TICKER"]
 EVENT_SPLIT = "2024-01-16 00:00:00"
 
 # Expectations checked on the event stream.
@@ -72,6 +74,42 @@ def q_ingest_symbols(spark, sf):
     return norm(read_bars_csv(spark, spark_raw, tickers=names).select(*BAR_COLUMNS))
 
 
+def q_ingest_listed(spark, sf):
+    """S3: a ticker list narrows the scan to its folders."""
+    raw = scratch_dir(spark, "listed-raw")
+    write_bars_csv(load_bars(spark, sf), raw)
+    return norm(read_bars_csv(spark, raw, tickers=LISTED).select(*BAR_COLUMNS))
+
+
+def q_metadata_records(spark, sf):
+    """Metadata as records of a JSON file source, joined to the tickers of the bars."""
+    path = scratch_dir(spark, "metadata")
+    load_ticker_metadata(spark, sf).write.json(path)
+    return norm(dims.dim_tickers_source(load_bars(spark, sf), read_ticker_metadata(spark, path, "json"), modified=check_stamp()))
+
+
+def q_metadata_empty(spark, sf):
+    """An empty, typed metadata relation gives every ticker the defaults."""
+    return norm(dims.dim_tickers_source(load_bars(spark, sf), empty_ticker_metadata(spark), modified=check_stamp()))
+
+
+def q_view_of_table(spark, sf):
+    """A stored table behind a temporary view, aggregated by SQL."""
+    path, name = scratch_dir(spark, "view-bars"), "candela_check_bars"
+    write_table(load_bars(spark, sf), path)
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    return spark.sql(f"SELECT ticker, count(*) AS bars, min(date) AS first_date, sum(volume) AS volume FROM {name} GROUP BY ticker")
+
+
+def q_keys_and_stamps(spark, sf):
+    """Per year, distinct hash keys equal distinct tickers, and the load stamp is the time of the run."""
+    bars = jobs.with_load_stamp(load_bars(spark, sf)).withColumn("key", F.xxhash64("ticker"))
+    stamped_now = F.abs(F.unix_timestamp("processed_timestamp") - F.unix_timestamp(F.now())) < 60
+    return bars.groupBy(F.year("date").cast("bigint").alias("year")).agg(
+        F.countDistinct("key").alias("keys"), F.countDistinct("ticker").alias("tickers"), F.min(stamped_now).alias("stamped"),
+    )
+
+
 def q_union_bars(spark, sf):
     """Two raw roots streamed separately and unioned by name."""
     raw_a, raw_b, sink, ckpt = (scratch_dir(spark, n) for n in ("raw-a", "raw-b", "union", "union-ckpt"))
@@ -212,6 +250,11 @@ STREAM_QUERIES = {
     "union_bars": q_union_bars,
     "export_roundtrip": q_export_roundtrip,
     "ingest_symbols": q_ingest_symbols,
+    "ingest_listed": q_ingest_listed,
+    "metadata_records": q_metadata_records,
+    "metadata_empty": q_metadata_empty,
+    "view_of_table": q_view_of_table,
+    "keys_and_stamps": q_keys_and_stamps,
     "upsert_bars": q_upsert_bars,
     "upsert_null_keys": q_upsert_null_keys,
     "stream_scd1_restart": q_stream_scd1_restart,
@@ -250,8 +293,8 @@ def stream_oracle_sql() -> dict[str, str]:
         for n, e in EVENT_RULES
     )
     symbol = (
-        "CASE WHEN length(ticker) % 4 = 0 THEN ticker || '=F' WHEN length(ticker) % 4 = 1 THEN 'A+' || ticker "
-        "WHEN length(ticker) % 4 = 2 THEN lpad(CAST(ascii(ticker) AS VARCHAR), 4, '0') ELSE '^' || ticker || '%x' END"
+        "CASE ascii(right(ticker, 1)) % 4 WHEN 0 THEN ticker || '=F' WHEN 1 THEN 'A+' || ticker "
+        "WHEN 2 THEN lpad(regexp_extract(ticker, '[0-9]*$'), 4, '0') ELSE '^' || ticker || '%x' END"
     )
     symbols = f"{with_(BARS)} {bars_select(f'(SELECT * REPLACE ({symbol} AS ticker) FROM bars)')}"
     broken = O._broken("(SELECT *, close AS adj FROM bars)", "close")
@@ -262,6 +305,13 @@ def stream_oracle_sql() -> dict[str, str]:
         "ingest_symbols": symbols,
         "union_bars": bars,
         "export_roundtrip": bars,
+        "ingest_listed": f"{bars} WHERE ticker IN ({', '.join(repr(t) for t in LISTED)})",
+        "metadata_records": O.dim_tickers_sql(),
+        "metadata_empty": f"{with_(BARS, O.META.replace('FROM nation n', 'FROM (SELECT * FROM nation WHERE false) n'), O.DIM_TICKERS)} SELECT * FROM dim_tickers",
+        "view_of_table": f"{with_(BARS)} SELECT ticker, count(*) AS bars, min(date) AS first_date, "
+        "CAST(sum(volume) AS BIGINT) AS volume FROM bars GROUP BY ticker",
+        "keys_and_stamps": f"{with_(BARS)} SELECT year(date) AS year, count(DISTINCT ticker) AS keys, "
+        "count(DISTINCT ticker) AS tickers, true AS stamped FROM bars GROUP BY 1",
         "upsert_bars": bars,
         "upsert_null_keys": f"{with_(BARS, broken)} SELECT {columns} FROM broken UNION ALL {stale}",
         "stream_incremental_append": EVENTS_OUT,

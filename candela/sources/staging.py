@@ -46,11 +46,12 @@ def broken_bars(bars: DataFrame, close: str = "close") -> DataFrame:
 
 def with_symbols(bars: DataFrame) -> DataFrame:
     """Bars whose tickers are written as data sources write them: punctuation, digits only, leading zeros."""
-    n = F.length("ticker")
+    kind = F.ascii(F.right("ticker", F.lit(1))) % 4
     return bars.withColumn(
         "ticker",
-        F.when(n % 4 == 0, F.concat("ticker", F.lit("=F"))).when(n % 4 == 1, F.concat(F.lit("A+"), F.col("ticker")))
-        .when(n % 4 == 2, F.lpad(F.ascii("ticker").cast("string"), 4, "0")).otherwise(F.concat(F.lit("^"), F.col("ticker"), F.lit("%x"))),
+        F.when(kind == 0, F.concat("ticker", F.lit("=F"))).when(kind == 1, F.concat(F.lit("A+"), F.col("ticker")))
+        .when(kind == 2, F.lpad(F.regexp_extract("ticker", "[0-9]*$", 0), 4, "0"))
+        .otherwise(F.concat(F.lit("^"), F.col("ticker"), F.lit("%x"))),
     )
 
 
