@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.operators.frames import RN, number_series
-from candela.session import scratch_dir
+from candela.session import scratch_dir, workers_find_package
 
 DEFAULT_BLOCK_ROWS = 4096
 IDX, M, Q, NUL, GRP = "_idx", "_m", "_q", "_null", "_grp"
@@ -80,6 +80,7 @@ def affine_scan(df: DataFrame, key: str, out_col: str, block_rows: int = DEFAULT
     """For rows ``(key, _idx, _m, _q, _null, ...)`` with ``_idx`` = 0, 1, 2, ... per key, add
     ``out_col`` = state after applying maps 0.._idx to an initial state of 0 (NULL from the first
     row on whose ``_null`` is set)."""
+    workers_find_package(df.sparkSession)
     rest = [c for c in df.columns if c not in (key, IDX, M, Q, NUL)]
     row = F.struct(IDX, M, Q, NUL, F.struct(F.lit(0).alias("_"), *rest).alias("rest"))
     blocks = df.groupBy(key, F.floor(F.col(IDX) / block_rows).alias(GRP)).agg(F.array_sort(F.collect_list(row)).alias("rows"))

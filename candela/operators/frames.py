@@ -105,8 +105,9 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
     before its own day. When the calendar is small enough to broadcast, the
     rows are numbered where they are, with no exchange; otherwise the join
     falls back to a shuffle on (key, year). The calendar is written once as
-    a table (one small job), so the broadcast decision is Spark's own size
-    check on real file statistics and nothing is computed twice.
+    a table, so the broadcast decision is Spark's own size check on real file
+    statistics. Writing it is a job that reads ``df`` once more: give a stored
+    table, not a long lineage. The calendar stays in the scratch folder.
     """
     # A NULL date gets day 0 of a sentinel year before every real year, so it
     # is numbered first in its series, as an ascending window orders it.

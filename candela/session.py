@@ -55,6 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's copy of it.
+
+    Adds the package's folder to the PYTHONPATH of workers started from now
+    on (on a cluster: where the executors see that folder or have the package
+    installed).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (the root's scheme is kept)."""
     return os.path.join(ensure_checkpoint_dir(spark), "candela", f"{name}-{uuid.uuid4().hex[:12]}")

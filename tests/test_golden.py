@@ -1,7 +1,6 @@
 """Golden values from the ten sample CSV files (FIXTURES section 3), through the whole pipeline."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +11,6 @@ from candela.plans.build import build_all
 from candela.schema import TICKER_META_DDL
 from tests.conftest import SAMPLE_CSV
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(SAMPLE_CSV), reason="sample CSV files not present")
-
 # Expected indicator values (FIXTURES section 3).
 GOLDEN = {
     ("AAPL", dt.date(2025, 8, 29)): dict(
