@@ -1,6 +1,7 @@
 """Golden values from the ten sample CSV files (FIXTURES section 3), through the whole pipeline."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
