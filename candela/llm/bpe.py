@@ -294,16 +294,16 @@ class Tokenizer:
             self._data = spark.sparkContext.broadcast(f.read())
         self.pattern = pattern
 
-    def encode(self, text: str | Column) -> Column:
-        """Ids of a text column, packed as little-endian unsigned 32-bit integers (binary)."""
-        data, pattern = self._data, self.pattern
+    def encode(self, text: str | Column, width: int = 4) -> Column:
+        """Ids of a text column, packed as little-endian unsigned integers of ``width`` bytes (binary)."""
+        data, pattern, dtype = self._data, self.pattern, f"<u{width}"
 
         @F.arrow_udf("binary")
         def encode_packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary = _vocabulary(data.value, pattern)
             for batch in (part for whole in batches for part in text_slices(whole)):
                 ids = vocabulary.encode_texts(batch.to_pylist())
-                yield pa.array([x.astype("<u4").tobytes() for x in ids], type=pa.binary())
+                yield pa.array([x.astype(dtype).tobytes() for x in ids], type=pa.binary())
 
         return encode_packed(empty_if_null(text))
 

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from candela.session import scratch_dir
+from candela.session import scratch_dir, workers_find_package
 
+#: Bytes of an Arrow batch that Spark hands to a Python worker at one time.
+BATCH_BYTES = 8 << 20
 #: Characters (or bytes) of a text that a task holds as separate pieces at one time.
 SEGMENT = 1 << 20
 
@@ -29,6 +31,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Prepare the session for Python stages: Arrow batches are cut at BATCH_BYTES, workers find this package.
+
+    Spark's own bound is 64 MB. A stage holds several copies of a batch (JVM
+    buffers, the worker's input and output), which long texts make large.
+    """
+    workers_find_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def empty_if_null(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -39,7 +51,7 @@ def crc_mod(col: str | Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def text_slices(batch: pa.Array, limit: int = 4 * SEGMENT) -> Iterator[pa.Array]:
+def text_slices(batch: pa.Array, limit: int = 2 * SEGMENT) -> Iterator[pa.Array]:
     """Cut an Arrow text array into parts of about ``limit`` bytes (one row at least)."""
     ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch), 0).cast("int64")).to_numpy()
     at, base = 0, 0

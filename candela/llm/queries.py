@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, tokencount, toxicity, warc
+from candela.llm.common import bounded_batches
 from candela.session import scratch_dir
 from candela.sources.tables import read_table
 
@@ -15,10 +16,16 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 END_OF_DOCUMENT = 50256
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table; texts go to Python in batches of bounded size."""
+    bounded_batches(spark)
+    return read_table(spark, sf_dir, "documents")
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text encoded to ids and decoded again."""
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    return bpe.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer).select(
+    return bpe.encode_decode(documents(spark, sf_dir), tokenizer).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -28,7 +35,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License detections of every document's text."""
-    found = read_table(spark, sf_dir, "documents").select("doc_id", licenses.scan("text").alias("r"))
+    found = documents(spark, sf_dir).select("doc_id", licenses.scan("text").alias("r"))
     return found.select(
         "doc_id", "r.n_words", "r.n_base", "r.first_word", "r.last_word", "r.base_labels", "r.labels", "r.score"
     )
@@ -36,12 +43,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that leak into documents: the best passage of each (word edits up to a fifth)."""
-    return decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontam.find_leaks(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, scanned once per distinct text through a fresh ledger."""
-    found = secrets.scan_versions(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secrets.scan_versions(documents(spark, sf_dir).select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secrets.BASE_RULES]))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
@@ -54,9 +61,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC captures, read back and assembled to one row per capture."""
+    bounded_batches(spark)
     archive = scratch_dir(spark, "warc")
     warc.write_archive(read_table(spark, sf_dir, "pages"), archive)
-    captures = warc.assemble(warc.read_records(spark, archive, with_payload=False))
+    captures = warc.read_captures(spark, archive, with_payload=False)
     return captures.select(
         warc.capture_page_id(F.col("metadata.fields")).alias("page_id"),
         "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"),
@@ -68,28 +76,29 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted by scanning flat token files for their separators."""
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return tokencount.count_documents(
-        read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, END_OF_DOCUMENT, scratch_dir(spark, "tokens")
+        documents(spark, sf_dir).select("doc_id", "text"), tokenizer, END_OF_DOCUMENT, scratch_dir(spark, "tokens")
     )
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
-    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle_words=4, max_bits=4)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by the rule ensemble."""
-    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return quality.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document after deobfuscation."""
-    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector by inner product, over all vectors."""
+    bounded_batches(spark)
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), query_every=20, k=20)
 
 

@@ -42,13 +42,12 @@ def id_width(largest: int) -> int:
     return 2 if largest < 1 << 16 else 4
 
 
-def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str, documents_per_file: int = 20_000) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str, documents_per_file: int = 5_000) -> DataFrame:
     """Write the flat files of ``docs`` under ``path``; returns (doc_id, shard, file, position)."""
     width = id_width(end_id)
     separator = end_id.to_bytes(width, "little").decode("latin-1")
-    packed = narrow(tokenizer.encode("text"), width)
     (
-        docs.select(packed.cast("string").alias("value"))
+        docs.select(tokenizer.encode("text", width).cast("string").alias("value"))
         .write.option("lineSep", separator).option("encoding", "ISO-8859-1")
         .option("maxRecordsPerFile", documents_per_file).text(path)
     )
@@ -63,18 +62,6 @@ def write_tokens(docs: DataFrame, tokenizer: Tokenizer, end_id: int, path: str,
     )
 
 
-def narrow(packed: F.Column, width: int) -> F.Column:
-    """Packed 32-bit ids with ``width`` bytes each."""
-    if width == 4:
-        return packed
-
-    @F.arrow_udf("binary")
-    def to_short(batch: pa.Array) -> pa.Array:
-        return pa.array([np.frombuffer(x, dtype="<u4").astype("<u2").tobytes() for x in batch.to_pylist()], type=pa.binary())
-
-    return to_short(packed)
-
-
 def scan_blocks(tokens: np.ndarray, end_id: int, block_tokens: int) -> Iterator[tuple[int, np.ndarray]]:
     """(block, positions of its separators in the file) for every block."""
     for block, at in enumerate(range(0, len(tokens), block_tokens)):

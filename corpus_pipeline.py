@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.llm import bpe, decontam, quality, secrets, simhash
-from candela.llm.common import stored
+from candela.llm.common import bounded_batches, stored
 from candela.llm.queries import RANKS
 from candela.sources.tables import read_table
 
@@ -27,26 +27,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rule-ensemble quality classifier: documents scored under 0.3 go."""
+    bounded_batches(spark)
     return quality.keep_quality(docs, read_table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: the document of smallest doc_id of each component stays."""
+    bounded_batches(spark)
     return simhash.drop_near_duplicates(docs, shingle_words=4, max_bits=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item within a fifth of its words in edits go."""
+    bounded_batches(spark)
     return decontam.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every found secret is replaced by a mark; all documents stay."""
+    bounded_batches(spark)
     return secrets.redact(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of the remaining texts: doc_id, lang, source, n_tokens, ids."""
+    bounded_batches(spark)
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
     ids = docs.select(*kept, tokenizer.encode_array("text").alias("ids"))
