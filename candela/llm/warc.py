@@ -278,6 +278,11 @@ def assemble(records: DataFrame) -> DataFrame:
     return response.join(side("request"), "capture_id", "left").join(side("metadata"), "capture_id", "left")
 
 
+def read_captures(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+    """The captures of the archive under ``path``: its records are parsed once, stored, and assembled."""
+    return assemble(stored(read_records(spark, path, with_payload), "warc-records"))
+
+
 def capture_page_id(fields: Column) -> Column:
     """The pageId field of a metadata record."""
     return F.regexp_extract(fields, r"(?m)^pageId: (-?\d+)", 1).cast("long")
