@@ -11,7 +11,9 @@ the vector's length estimates the inner product without bias, and its error
 is within ``epsilon * |q| * length * sqrt((1 - c^2) / c^2 / (bits - 1))`` but
 for a small probability. Each query's threshold is the k-th largest lower
 bound over the whole index; the entries whose upper bound reaches it are
-reranked by the exact inner product on the original vectors.
+reranked by the exact inner product on the original vectors. As threshold and
+upper bound each keep ``epsilon`` deviations, a true neighbour is lost only
+where its estimate errs by about twice as many.
 
 Queries are taken in blocks of at most about ``BLOCK`` (by a hash of the id),
 each a scan of the codes with the block sent to the executors; per query a
@@ -116,7 +118,7 @@ def _best_lower(queries, names, k, **index):
         for _, lower, _ in _bounds(batches, queries.value, **index):
             best = np.concatenate([best, lower])
             if len(best) > k:
-                best = -np.partition(-best, k - 1, axis=0)[:k]
+                best = np.partition(best, len(best) - k, axis=0)[-k:]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.tile(names.value, len(best))), pa.array(best.astype(np.float64).ravel())], names=["query", "lower"]
         )
@@ -143,7 +145,7 @@ def inner_product(a: str, b: str) -> F.Column:
 
 
 def nearest(
-    table: DataFrame, query_every: int = 20, k: int = 20, bits_per_dim: int = 8, epsilon: float = 3.5, seed: int = 5
+    table: DataFrame, query_every: int = 20, k: int = 20, bits_per_dim: int = 12, epsilon: float = 1.9, seed: int = 5
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest of each row whose id is divisible by ``query_every``."""
     spark = table.sparkSession
@@ -184,20 +186,19 @@ def nearest(
         kth = lows.withColumn("at", F.row_number().over(by_query)).where(F.col("at") == k + 1).select("query", "lower")
         threshold = {r["query"]: r["lower"] for r in kth.collect()}  # at most a block of numbers
         thresholds = send(np.array([threshold.get(q, -math.inf) for q in order.tolist()]))
-        pairs = stored(codes.mapInArrow(_over(queries, names, thresholds, **index), "query long, entry long"), "ann-pairs")
-        found = pairs if found is None else found.unionByName(pairs)
+        pairs = codes.mapInArrow(_over(queries, names, thresholds, **index), "query long, entry long")
+        # the block's query vectors are broadcast (a block is bounded), so no vector of a pair is shuffled again
+        asking = spark.createDataFrame(block).select(F.col("entry").alias("query"), F.col("v").alias("q"))
+        scored = pairs.join(entries, "entry").join(F.broadcast(asking), "query").select("query", "ids", inner_product("q", "v").alias("score"))
+        part = stored(scored, "ann-scored")
+        found = part if found is None else found.unionByName(part)
     if found is None:
         return empty
 
-    of_query = searched.select(F.col("entry").alias("query"), F.col("v").alias("q"))
-    scored = (
-        found.join(entries, "entry").join(of_query, "query")
-        .select("query", "ids", inner_product("q", "v").alias("score"))
-    )
     # k + 1 entries hold k other rows at least, whichever row asks.
     top = Window.partitionBy("query").orderBy(F.desc("score"), F.element_at("ids", 1))
     kept = stored(
-        scored.withColumn("at", F.row_number().over(top)).where(F.col("at") <= k + 1).select("query", "ids", "score"), "ann-kept"
+        found.withColumn("at", F.row_number().over(top)).where(F.col("at") <= k + 1).select("query", "ids", "score"), "ann-kept"
     )
     answers = asked.join(kept, "query").select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
