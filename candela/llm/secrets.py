@@ -29,6 +29,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,6 +209,34 @@ def span_text(spans: str | F.Column) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+#: Bits of the filter that keeps clean texts out of a join (8 MB, whatever the number of findings).
+FILTER_BITS = 1 << 26
+
+
+def may_hold(found: DataFrame, id_col: str):
+    """Function of an id column: False for ids that ``found`` does not have, True for all that it has and a few others.
+
+    A bit set of fixed size, gathered by an aggregate of at most
+    FILTER_BITS / 64 words and broadcast; more findings only raise the share
+    of rows that are joined in vain.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    one = F.lit(1).cast("long")
+    words = found.select(place(id_col).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", one, F.col("at").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
+    ).toArrow()
+    table = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    sent = found.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf("boolean")
+    def in_filter(at: pa.Array) -> pa.Array:
+        x = at.to_numpy()
+        return pa.array(((sent.value[x >> 6] >> (x & 63)) & 1).astype(bool))
+
+    return lambda c: in_filter(place(c))
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<secret>") -> DataFrame:
     """``docs`` with every found span of the text replaced by ``mark`` (overlapping spans by one mark).
 
@@ -219,7 +248,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<secre
     ledger = update_ledger(docs.select(blob.alias("blob_id"), empty_if_null("text").alias("text")), scratch_dir(spark, "secret-ledger"), rules)
     id_, spans = unused_name(docs, "_blob"), unused_name(docs, "_spans")
     found = stored(findings(ledger, rules).select(F.col("blob_id").alias(id_), F.col("spans").alias(spans)), "secret-findings")
-    joined = docs.withColumn(id_, blob).join(found, id_, "left")
+    # Only rows whose blob may have a finding are joined: the texts of all others stay where they are.
+    marked = docs.withColumn(id_, blob)
+    may = may_hold(found, id_)
+    passed = marked.where(~may(id_)).select(docs.columns)
+    joined = marked.where(may(id_)).join(found, id_, "left")
     # Fold over the spans by start: (text so far, position after the last secret).
     empty = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
@@ -242,4 +275,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<secre
             columns.append(F.when(clean, F.col(c)).otherwise(F.length(new_text).cast(docs.schema[c].dataType)).alias(c))
         else:
             columns.append(F.col(c))
-    return out.select(columns)
+    return passed.unionByName(out.select(columns))
