@@ -167,7 +167,9 @@ def fit(
     labelled: DataFrame, train_rows: int = 30_000, trees: int = 24, depth: int = 3, penalty: float = 0.001, seed: int = 7
 ) -> RuleModel:
     """Fit the ensemble to ``labelled``: doc_id, ``stats`` (struct) and ``label`` (0 or 1)."""
-    train = stored(sample_by_hash(labelled, train_rows).coalesce(6), "quality-train")
+    # Rows in a fixed order in fixed partitions: forest and weights do not depend on how the join dealt them.
+    ordered = sample_by_hash(labelled, train_rows).repartition(6, "doc_id").sortWithinPartitions("doc_id", "label", "stats")
+    train = stored(ordered, "quality-train")
     classes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
         return RuleModel((), (), {0: -20.0, 1: 20.0}.get(next(iter(classes), None), 0.0))
