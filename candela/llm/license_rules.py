@@ -3,7 +3,8 @@
 One rule a line: ``label | priority | gate words | pattern``. Patterns are
 regular expressions over a text's words in lower case, one blank between
 words (so "CC-BY 4.0" reads "cc by 4 0"); a match starts and ends at word
-borders. A rule is tried only where all its gate words occur in the text.
+borders. A rule is tried only where all its gate words occur in the text, so
+a gate holds only words that every match of its pattern contains.
 ``#`` starts a comment. Priorities: 90 machine-readable tags, 70 notices
 that name license and version, 60 titles with version, 50 titles, 40 URLs,
 30 short names, 20 phrases quoted from a license's body, 10 general hints.
@@ -46,7 +47,7 @@ cc-by-4.0 | 90 | spdx cc by | spdx license identifier cc by 4 0
 cc-by-sa-4.0 | 90 | spdx cc sa | spdx license identifier cc by sa 4 0
 ofl-1.1 | 90 | spdx ofl | spdx license identifier ofl 1 1
 postgresql | 90 | spdx postgresql | spdx license identifier postgresql
-python-2.0 | 90 | spdx python | spdx license identifier (?:python|psf) 2 0
+python-2.0 | 90 | spdx identifier 2 | spdx license identifier (?:python|psf) 2 0
 busl-1.1 | 90 | spdx busl | spdx license identifier busl 1 1
 sspl-1.0 | 90 | spdx sspl | spdx license identifier sspl 1 0
 
@@ -74,7 +75,7 @@ cc-by-nd | 60 | cc by nd | cc by nd
 cc-by-nc-sa | 61 | cc by nc sa | cc by nc sa
 cc-by-nc-nd | 61 | cc by nc nd | cc by nc nd
 cc0-1.0 | 70 | cc0 | cc0 (?:version )?1 0(?: universal)?
-cc0-1.0 | 60 | cc zero | (?:creative commons|cc) zero(?: 1 0)?
+cc0-1.0 | 60 | zero | (?:creative commons|cc) zero(?: 1 0)?
 cc0-1.0 | 30 | cc0 | cc0
 cc-by-4.0 | 70 | creative attribution 4 | creative commons attribution 4 0(?: international)?(?: (?:public )?licen[sc]e)?
 cc-by-3.0 | 70 | creative attribution 3 | creative commons attribution 3 0(?: unported)?(?: (?:public )?licen[sc]e)?
@@ -117,7 +118,7 @@ gpl-3.0 | 60 | gpl version 3 | gpl version 3
 gpl-2.0 | 60 | gpl version 2 | gpl version 2
 gpl | 30 | gpl | gpl
 gpl | 30 | gpled | gpled
-gpl | 40 | gnu copyleft gpl | gnu org (?:licen[sc]es|copyleft) gpl(?: \d(?: \d)?)?(?: html)?
+gpl | 40 | gnu org gpl | gnu org (?:licen[sc]es|copyleft) gpl(?: \d(?: \d)?)?(?: html)?
 lgpl-3.0 | 70 | lesser general public 3 | (?:gnu )?lesser general public licen[sc]e (?:as published by the free software foundation )?(?:either )?(?:version|v) 3(?: 0)?
 lgpl-2.1 | 70 | lesser general public 2 | (?:gnu )?lesser general public licen[sc]e (?:as published by the free software foundation )?(?:either )?(?:version|v) 2 1
 lgpl-2.0 | 70 | library general public 2 | (?:gnu )?library general public licen[sc]e (?:as published by the free software foundation )?(?:either )?(?:version|v) 2(?: 0)?
@@ -145,25 +146,26 @@ mit | 50 | mit | (?:the )?mit licen[sc]e
 mit | 50 | expat | (?:the )?expat licen[sc]e
 mit | 50 | x11 | (?:the )?x11 licen[sc]e
 mit | 40 | opensource mit | opensource org licen[sc]es mit(?: licen[sc]e)?(?: php| html)?
-mit | 20 | permission sublicense | permission is hereby granted free of charge to any person obtaining a copy of this software
+mit | 20 | permission hereby granted charge obtaining | permission is hereby granted free of charge to any person obtaining a copy of this software
 mit-0 | 60 | mit attribution | mit no attribution(?: licen[sc]e)?
-apache-2.0 | 72 | apache licensed 2 | licen[sc]ed under the apache licen[sc]e version 2 0
-apache-2.0 | 70 | apache version 2 | apache (?:software )?licen[sc]e (?:version |v )2(?: 0)?
+apache-2.0 | 72 | apache under version 2 | licen[sc]ed under the apache licen[sc]e version 2 0
+apache-2.0 | 70 | apache 2 | apache (?:software )?licen[sc]e (?:version |v )2(?: 0)?
 apache-2.0 | 60 | apache 2 | apache (?:licen[sc]e |software licen[sc]e )?2(?: 0)?(?: licen[sc]e)?
 apache-2.0 | 60 | apache v2 | apache (?:licen[sc]e )?v2(?: 0)?
 apache-1.1 | 70 | apache 1 | apache (?:software )?licen[sc]e (?:version |v )?1 1
 apache-1.0 | 70 | apache 1 0 | apache (?:software )?licen[sc]e (?:version |v )?1 0
 apache | 50 | apache | apache (?:software )?licen[sc]e
-apache-2.0 | 40 | apache licenses 2 | apache org licen[sc]es licen[sc]e 2 0(?: txt| html)?
-apache-2.0 | 20 | express unless applicable | unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis
+apache-2.0 | 40 | apache org 2 | apache org licen[sc]es licen[sc]e 2 0(?: txt| html)?
+apache-2.0 | 20 | unless applicable basis | unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis
 bsd-2-clause | 70 | bsd 2 | (?:the )?bsd 2 clause(?: licen[sc]e)?
 bsd-3-clause | 70 | bsd 3 | (?:the )?bsd 3 clause(?: licen[sc]e)?
 bsd-4-clause | 70 | bsd 4 | (?:the )?bsd 4 clause(?: licen[sc]e)?
-bsd-2-clause | 70 | bsd two | (?:two|2) clause bsd(?: licen[sc]e)?
-bsd-3-clause | 70 | bsd three | three clause bsd(?: licen[sc]e)?
+bsd-2-clause | 70 | bsd clause | (?:two|2) clause bsd(?: licen[sc]e)?
+bsd-3-clause | 70 | bsd clause | (?:three|3) clause bsd(?: licen[sc]e)?
+bsd-4-clause | 70 | bsd clause | (?:four|4) clause bsd(?: licen[sc]e)?
 bsd-2-clause | 60 | bsd simplified | simplified bsd(?: licen[sc]e)?
 bsd-2-clause | 60 | freebsd | freebsd licen[sc]e
-bsd-3-clause | 60 | bsd new | (?:new|revised|modified) bsd(?: licen[sc]e)?
+bsd-3-clause | 60 | bsd | (?:new|revised|modified) bsd(?: licen[sc]e)?
 bsd-3-clause-clear | 70 | bsd clear | clear bsd(?: licen[sc]e)?
 0bsd | 70 | bsd zero | (?:bsd zero clause|zero clause bsd)(?: licen[sc]e)?
 0bsd | 30 | 0bsd | 0bsd
@@ -173,19 +175,20 @@ bsd-3-clause | 20 | endorse promote | may be used to endorse or promote products
 isc | 50 | isc | (?:the )?isc licen[sc]e
 isc | 20 | copy modify distribute fee | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 zlib | 50 | zlib | (?:the )?zlib(?: libpng)? licen[sc]e
-zlib | 20 | warranty held | in no event will the authors be held liable for any damages arising from the use of this software
+zlib | 20 | authors held liable | in no event will the authors be held liable for any damages arising from the use of this software
 libpng | 50 | libpng | (?:the )?libpng licen[sc]e
 bsl-1.0 | 70 | boost 1 | boost software licen[sc]e (?:version )?1 0
 bsl-1.0 | 50 | boost | boost software licen[sc]e
 unlicense | 50 | unlicense | (?:the )?unlicense
 unlicense | 20 | unencumbered | this is free and unencumbered software released into the public domain
 wtfpl | 30 | wtfpl | wtfpl
-ncsa | 60 | illinois ncsa | (?:university of illinois )?ncsa open source licen[sc]e
+ncsa | 60 | ncsa | (?:university of illinois )?ncsa open source licen[sc]e
 artistic-2.0 | 70 | artistic 2 | artistic licen[sc]e (?:version )?2 0
 artistic-1.0 | 70 | artistic 1 | artistic licen[sc]e (?:version )?1 0
 artistic | 50 | artistic | (?:the )?artistic licen[sc]e
 postgresql | 50 | postgresql | postgresql licen[sc]e
-python-2.0 | 60 | python software foundation | (?:python software foundation|psf) licen[sc]e(?: (?:version )?2)?
+python-2.0 | 60 | python software foundation | python software foundation licen[sc]e(?: (?:version )?2)?
+python-2.0 | 60 | psf 2 | psf licen[sc]e (?:version )?2
 psf | 50 | psf | psf licen[sc]e
 php-3.01 | 70 | php 3 | php licen[sc]e (?:version )?3 01
 php | 50 | php | (?:the )?php licen[sc]e
@@ -196,7 +199,8 @@ hpnd | 50 | historical permission notice | historical permission notice and disc
 afl-3.0 | 60 | academic free | academic free licen[sc]e(?: (?:version |v )?3 0)?
 ecl-2.0 | 60 | educational community | educational community licen[sc]e(?: (?:version )?2 0)?
 unicode | 50 | unicode | unicode (?:data files and software )?licen[sc]e(?: agreement)?
-beerware | 50 | beer | beer ?ware licen[sc]e
+beerware | 50 | beer ware | beer ware licen[sc]e
+beerware | 50 | beerware | beerware licen[sc]e
 beerware | 30 | beerware | beerware
 
 # Weak copyleft and vendor licenses
@@ -237,8 +241,9 @@ pddl-1.0 | 60 | domain dedication | (?:open data commons )?public domain dedicat
 cdla-permissive-2.0 | 60 | community data permissive | community data licen[sc]e agreement permissive(?: (?:version )?2 0)?
 cdla-sharing-1.0 | 60 | community data sharing | community data licen[sc]e agreement sharing(?: (?:version )?1 0)?
 ogl-uk-3.0 | 60 | open government | open government licen[sc]e(?: (?:version |v )?3 0| v3 0)?
-ofl-1.1 | 60 | sil font | (?:sil )?open font licen[sc]e(?: (?:version )?1 1)?
-openrail | 60 | openrail | (?:creativeml )?open ?rail(?: m| \+\+)?(?: licen[sc]e)?
+ofl-1.1 | 60 | open font | (?:sil )?open font licen[sc]e(?: (?:version )?1 1)?
+openrail | 60 | openrail | (?:creativeml )?openrail(?: m)?(?: licen[sc]e)?
+openrail | 60 | open rail | (?:creativeml )?open rail(?: m)?(?: licen[sc]e)?
 busl-1.1 | 60 | business source | business source licen[sc]e(?: 1 1)?
 sspl-1.0 | 60 | server side public | server side public licen[sc]e(?: (?:version |v )?1)?
 elastic-2.0 | 60 | elastic | elastic licen[sc]e(?: 2 0)?
@@ -254,15 +259,17 @@ reserved | 50 | rights reserved | all rights reserved
 reserved | 50 | rights reserved | some rights reserved
 no-redistribution | 40 | redistribution prohibited | redistribution (?:of this \w+ )?is (?:strictly )?prohibited
 proprietary | 40 | proprietary confidential | proprietary and confidential
-proprietary | 40 | unauthorized copying | unauthori[sz]ed copying of this file via any medium is strictly prohibited
+proprietary | 40 | copying medium prohibited | unauthori[sz]ed copying of this file via any medium is strictly prohibited
 no-commercial-use | 40 | commercial use | (?:not for|no) commercial use
 no-commercial-use | 40 | personal use only | for personal use only
-academic-use | 40 | research purposes only | for (?:academic|research|non commercial research) purposes only
-used-with-permission | 40 | used permission | (?:used|reprinted|reproduced) with permission
+academic-use | 40 | purposes only | for (?:academic|research|non commercial research) purposes only
+used-with-permission | 40 | with permission | (?:used|reprinted|reproduced) with permission
 copyright-notice | 30 | copyright | copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)?
-see-license-file | 20 | license file | see (?:the )?(?:accompanying )?licen[sc]e(?: txt| md)? file
-license-hint | 10 | licensed under | licen[sc]ed under
+see-license-file | 20 | see file | see (?:the )?(?:accompanying )?licen[sc]e(?: txt| md)? file
+license-hint | 10 | licensed under | licensed under
+license-hint | 10 | licenced under | licenced under
 license-hint | 10 | released under | released under
-license-hint | 10 | terms license | terms of (?:the|this) licen[sc]e
-license-hint | 10 | license agreement | end user licen[sc]e agreement
+license-hint | 10 | terms license | terms of (?:the|this) license
+license-hint | 10 | terms licence | terms of (?:the|this) licence
+license-hint | 10 | end user agreement | end user licen[sc]e agreement
 """

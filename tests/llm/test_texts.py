@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 import re
+from re import _constants as sre
+from re import _parser as sre_parser
 
 import numpy as np
 import public_tokenizers
@@ -150,6 +152,55 @@ def test_rules_are_many_and_gates_lose_nothing():
     assert ungated == {s.label for s in licenses.SIGNATURES if s.gates <= have and s.pattern.search(line)}
 
 
+def expansions(tree):
+    """Texts of every alternative of a parsed pattern (a digit or a word for each class, zero or one of each repeat)."""
+    out = [""]
+    for op, arg in tree:
+        if op is sre.LITERAL:
+            parts = [chr(arg)]
+        elif op is sre.IN:
+            parts = [chr(a) if o is sre.LITERAL else {sre.CATEGORY_DIGIT: "7", sre.CATEGORY_WORD: "module"}[a] for o, a in arg]
+        elif op is sre.BRANCH:
+            parts = [x for branch in arg[1] for x in expansions(branch)]
+        elif op is sre.SUBPATTERN:
+            parts = expansions(arg[3])
+        else:
+            assert op is sre.MAX_REPEAT
+            parts = [""] * (arg[0] == 0) + expansions(arg[2])
+        out = [a + b for a in out for b in parts]
+    return out
+
+
+def test_gates_lose_no_expansion_of_any_rule():
+    patterns = [line.split("|", 3)[3].strip() for line in licenses.RULES.splitlines() if line.strip() and not line.startswith("#")]
+    assert len(patterns) == len(licenses.SIGNATURES)
+    for pattern, own in zip(patterns, licenses.SIGNATURES, strict=True):
+        for text in expansions(sre_parser.parse(pattern)):
+            have = set(text.encode().split())
+            assert own.pattern.search(b" " + text.encode() + b" ") and own.gates <= have, (pattern, text)
+            line = b" " + text.encode() + b" "
+            matching = [s for s in licenses.SIGNATURES if s.pattern.search(line)]
+            assert all(s.gates <= have for s in matching), text
+            detected = licenses.scan_text(text.encode())["detections"]
+            assert any(d["start"] == 0 and d["end"] == len(text.split()) and d["priority"] >= own.priority for d in detected)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("the 2-clause BSD license", "bsd-2-clause"), ("a 3-clause BSD license", "bsd-3-clause"), ("Revised BSD", "bsd-3-clause"),
+        ("Modified BSD License", "bsd-3-clause"), ("NCSA Open Source License", "ncsa"), ("Open Font License", "ofl-1.1"),
+        ("Unauthorised copying of this file, via any medium is strictly prohibited", "proprietary"),
+        ("for academic purposes only", "academic-use"), ("Reprinted with permission", "used-with-permission"),
+        ("Licenced under the Apache Licence, Version 2.0", "apache-2.0"), ("Apache License 2.0", "apache-2.0"),
+        ("see the accompanying licence file", "see-license-file"), ("licenced under", "license-hint"), ("PSF License 2", "python-2.0"),
+        ("PSF License", "psf"), ("Open RAIL-M", "openrail"),
+    ],
+)
+def test_licenses_named_by_one_alternative(text, label):
+    assert label in licenses.scan_text(text.encode())["labels"].split(",")
+
+
 # -- secrets --------------------------------------------------------------
 
 
