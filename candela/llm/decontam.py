@@ -10,9 +10,12 @@ is within ``floor(max_edits * n)`` word edits of the item's ``n`` words.
 * Bit-sampling LSH: a repetition keeps the emitted words of a few sampled
   steps as a key. Every item-sized window of every document (a window starts
   at every word) is embedded by the same walks; equal keys make a
-  candidate. The number of repetitions per class of item lengths follows
-  from the collision rate measured on the items themselves, edited up to the
-  limit, so that the target recall is reached.
+  candidate. Walks are added per class of item lengths until they find the
+  target share of the items themselves, edited up to the limit, for every
+  kind of edits (insertions only, deletions only, ...), and half as many again.
+* Pieces: classes that MOST_REPETITIONS do not bring there are searched without loss. An item cut into k + 1 pieces
+  keeps one of them unchanged in every passage within k edits, so passages
+  around equal pieces are the candidates.
 * Verification: word edit distance of the item to the best passage around
   the candidate, exactly, by dynamic programming over whole batches.
 
@@ -54,8 +57,11 @@ HITS = "array<struct<item_id:bigint,start_word:bigint,end_word:bigint,edits:int,
 CLASS_RATIO = 1.3
 #: Window starts walked at a time.
 WALK_ROWS = 1 << 16
-#: Repetitions of a class whose edited items never collide in the trial (its recall is then not known).
+#: A class that needs more repetitions is searched by pieces.
 MOST_REPETITIONS = 400
+#: Kinds of edits that the walks of a class must find, and trial passages of each.
+EDIT_KINDS = ("mixed", "insert", "delete", "substitute")
+TRIALS = 400
 #: Bits of the table of item word pairs (its false positives only cost time).
 PAIR_BITS = 22
 SETS_PER_WALK = 8
@@ -74,14 +80,23 @@ class Repetition:
     items: np.ndarray  # item index of each key
 
 
+@dataclass
+class Pieces:
+    """Pieces of ``length`` words: of an item's pieces every passage within its limit holds one unchanged."""
+
+    length: int
+    keys: np.ndarray  # sorted
+    items: np.ndarray  # item index of each key
+    offsets: np.ndarray  # where in the item the piece starts
+
+
 @dataclass
 class LengthClass:
     shortest: int
     longest: int
     walks: list[tuple[np.ndarray, list[Repetition]]]  # multipliers of the steps' random bits, sample sets
+    pieces: list[Pieces]  # instead of walks
     sizes: list[int]  # distinct item lengths
-    collision: float  # measured rate of a repetition
-    repetitions: int
 
 
 _FOREIGN = np.uint64(0x6A09E667F3BCC909)  # hash of every word that no item has
@@ -114,6 +129,25 @@ def walk_keys(
     return keys
 
 
+def piece_keys(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the ``length`` hashed words from each of ``starts``."""
+    keys = np.zeros(len(starts), dtype=np.uint64)
+    for j in range(length):
+        keys = (keys ^ words[starts + j]) * _MIX
+        keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def equal_keys(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (position in the sorted ``table``, position in ``keys``) of equal keys."""
+    low = np.searchsorted(table, keys)
+    hit = np.nonzero(table[np.minimum(low, len(table) - 1)] == keys)[0]
+    low = low[hit]
+    counts = np.searchsorted(table, keys[hit], side="right") - low
+    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(low, counts) + within, np.repeat(hit, counts)
+
+
 def passage_edits(item: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least word edits of ``item`` to any passage of each row of ``regions``, and the passage's end.
 
@@ -157,51 +191,76 @@ class Index:
 
     def _class(self, members: list[int], samples: int, target: float, random: np.random.Generator) -> LengthClass:
         sizes = [len(self.items[k]) for k in members]
-        shortest, longest = min(sizes), max(sizes)
-        n_steps = max(1, 2 * shortest - 1)
+        walks = self._walks(members, samples, target, random)
+        return LengthClass(min(sizes), max(sizes), walks, [] if walks else self._pieces(members), sorted(set(sizes)))
+
+    def _walks(
+        self, members: list[int], samples: int, target: float, random: np.random.Generator
+    ) -> list[tuple[np.ndarray, list[Repetition]]]:
+        """Walks that reach the target on trial passages of every kind of edits; none if MOST_REPETITIONS do not."""
+        sizes = [len(self.items[k]) for k in members]
+        n_steps = max(1, 2 * min(sizes) - 1)
         samples = min(samples, n_steps)
         flat = np.concatenate([self.hashed[self.items[k]] for k in members])
         ends = np.cumsum(sizes)
         starts = ends - sizes
-
-        def new_walk() -> tuple[np.ndarray, list[np.ndarray]]:
+        # Items with as many edits as the limit allows, one behind the other: a walk reads on in benchmark words.
+        trials = random.integers(len(members), size=len(EDIT_KINDS) * TRIALS)
+        edited = [
+            self.hashed[self._edit(self.items[members[t]], self.limits[members[t]], EDIT_KINDS[at // TRIALS], random)]
+            for at, t in enumerate(trials)
+        ]
+        passages = np.concatenate(edited)
+        begins = np.cumsum([0, *map(len, edited[:-1])])
+        missed = np.ones(len(trials), dtype=bool)
+        walks: list[tuple[np.ndarray, list[Repetition]]] = []
+        needed = None
+        while needed is None or len(walks) < needed:
+            if (len(walks) + 1) * SETS_PER_WALK > MOST_REPETITIONS:
+                return []
             sets = [np.sort(random.choice(n_steps, size=samples, replace=False)) for _ in range(SETS_PER_WALK)]
-            return random.integers(0, 1 << 63, size=n_steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1), sets
-
-        # Collision rate between items and their versions with as many edits as the limit allows.
-        trials = random.integers(len(members), size=300)
-        edited = [self.hashed[self._edit(self.items[members[t]], self.limits[members[t]], random)] for t in trials]
-        edited_end = np.cumsum([len(x) for x in edited])
-        edited_start = edited_end - [len(x) for x in edited]
-        agree = []
-        for _ in range(6):
-            multipliers, sets = new_walk()
-            own = walk_keys(flat, starts[trials], multipliers, sets, ends[trials])
-            other = walk_keys(np.concatenate(edited), edited_start, multipliers, sets, edited_end)
-            agree += [a == b for a, b in zip(own, other, strict=True)]
-        rate = float(np.mean(agree))
-        repetitions = 1 if rate >= 1 else math.ceil(math.log(1 - target) / math.log(1 - rate)) if rate > 0 else MOST_REPETITIONS
-        # trials of one class differ in their rates, and sets of one walk are not independent: half as many again
-        repetitions = min(MOST_REPETITIONS, max(SETS_PER_WALK, math.ceil(1.5 * repetitions)))
-        walks = []
-        for _ in range(math.ceil(repetitions / SETS_PER_WALK)):
-            multipliers, sets = new_walk()
+            multipliers = random.integers(0, 1 << 63, size=n_steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            keys = walk_keys(flat, starts, multipliers, sets, ends)
             table = []
-            for steps, key in zip(sets, walk_keys(flat, starts, multipliers, sets, ends), strict=True):
+            for steps, key in zip(sets, keys, strict=True):
                 by_key = np.argsort(key, kind="stable")
                 table.append(Repetition(steps, key[by_key], np.array(members)[by_key]))
             walks.append((multipliers, table))
-        return LengthClass(shortest, longest, walks, sorted(set(sizes)), rate, repetitions)
+            if needed is None:
+                for own, other in zip(keys, walk_keys(passages, begins, multipliers, sets), strict=True):
+                    missed &= own[trials] != other
+                if missed.reshape(len(EDIT_KINDS), TRIALS).mean(axis=1).max() <= 1 - target:
+                    needed = math.ceil(1.5 * len(walks))  # the trials are a sample, and these walks were picked on them
+        return walks
+
+    def _pieces(self, members: list[int]) -> list[Pieces]:
+        """The members cut into one piece more than their limits, by length of the pieces."""
+        cut: dict[int, list[tuple[int, int]]] = {}
+        for k in members:
+            n = len(self.items[k])
+            parts = min(self.limits[k] + 1, n)
+            bounds = [p * n // parts for p in range(parts + 1)]
+            for low, high in zip(bounds, bounds[1:], strict=False):
+                cut.setdefault(high - low, []).append((k, low))
+        out = []
+        for length, places in sorted(cut.items()):
+            items, offsets = np.array(places).T
+            words = np.concatenate([self.hashed[self.items[k][low : low + length]] for k, low in places])
+            keys = piece_keys(words, np.arange(len(places)) * length, length)
+            by_key = np.argsort(keys, kind="stable")
+            out.append(Pieces(length, keys[by_key], items[by_key], offsets[by_key]))
+        return out
 
     @staticmethod
-    def _edit(item: np.ndarray, edits: int, random: np.random.Generator) -> np.ndarray:
-        """``item`` with random substitutions and insertions of foreign words (code 0) and deletions."""
+    def _edit(item: np.ndarray, edits: int, kind: str, random: np.random.Generator) -> np.ndarray:
+        """``item`` with random edits of ``kind`` (or of any): substitutions and insertions of foreign words (code 0), deletions."""
         out = item.tolist()
         for _ in range(edits):
-            at, kind = int(random.integers(len(out) + 1)), int(random.integers(3))
-            if kind == 0 or at == len(out):
+            one = EDIT_KINDS[int(random.integers(1, len(EDIT_KINDS)))] if kind == "mixed" else kind
+            at = int(random.integers(len(out)))
+            if one == "insert":
                 out.insert(at, 0)
-            elif kind == 1 and len(out) > 1:
+            elif one == "delete" and len(out) > 1:
                 del out[at]
             else:
                 out[at] = 0
@@ -251,6 +310,9 @@ class Index:
                 high = np.minimum(at + n + k, n_codes)
                 may |= (pairs[high - 1] - pairs[at] >= n - 1 - 2 * k) & (known[high] - known[at] >= n - k)
             starts = at[may]
+            if c.pieces:
+                found.append(self._around_pieces(words, starts, widest, c, ends))
+                continue
             for low in range(0, len(starts), WALK_ROWS):
                 found.append(self._candidates(words, starts[low : low + WALK_ROWS], c))
         candidates = np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *found]), axis=0)
@@ -274,13 +336,24 @@ class Index:
         for multipliers, table in c.walks:
             keys = walk_keys(words, starts, multipliers, [r.steps for r in table])
             for r, key in zip(table, keys, strict=True):
-                at = np.searchsorted(r.keys, key)
-                hit = np.nonzero(r.keys[np.minimum(at, len(r.keys) - 1)] == key)[0]
-                while len(hit):  # every item with this key
-                    out.append(np.stack([r.items[at[hit]], starts[hit]], axis=1))
-                    at[hit] += 1
-                    hit = hit[at[hit] < len(r.keys)]
-                    hit = hit[r.keys[at[hit]] == key[hit]]
+                entry, hit = equal_keys(r.keys, key)
+                out.append(np.stack([r.items[entry], starts[hit]], axis=1))
+        return np.concatenate([np.zeros((0, 2), dtype=np.int64), *out])
+
+    @staticmethod
+    def _around_pieces(words: np.ndarray, starts: np.ndarray, widest: int, c: LengthClass, ends: np.ndarray) -> np.ndarray:
+        """(item, place of its first word) pairs where a piece of the item lies in a window of ``widest`` words."""
+        inside = np.zeros(len(words) + 1, dtype=np.int32)
+        np.add.at(inside, starts, 1)
+        np.add.at(inside, np.minimum(starts + widest, len(words)), -1)
+        places = np.nonzero(np.cumsum(inside[:-1]))[0]
+        begins = np.concatenate([[0], ends[:-1]])
+        out = []
+        for piece in c.pieces:
+            at = places[places <= len(words) - piece.length]
+            entry, hit = equal_keys(piece.keys, piece_keys(words, at, piece.length))
+            begin = begins[np.searchsorted(ends, at[hit], side="right")]
+            out.append(np.stack([piece.items[entry], np.maximum(at[hit] - piece.offsets[entry], begin)], axis=1))
         return np.concatenate([np.zeros((0, 2), dtype=np.int64), *out])
 
     def _verify(self, codes: np.ndarray, ends: np.ndarray, pairs: np.ndarray, hits: list[list[dict]]) -> None:

@@ -176,6 +176,48 @@ def test_item_blocks_give_the_same_leaks(spark, docs_of):
     assert {(k, k) for k in range(40)} <= one
 
 
+def edit_by(kind, words, edits, rng):
+    out = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        if kind == "insert":
+            out.insert(at, f"new{rng.randrange(1000)}")
+        elif kind == "delete":
+            del out[at]
+        else:
+            out[at] = f"sub{rng.randrange(1000)}"
+    return out
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete", "substitute"])
+def test_passages_with_one_kind_of_edits_are_found_at_the_limit(kind):
+    rng = random.Random(6)
+    words = lambda n: [f"v{rng.randrange(400)}" for _ in range(n)]
+    items = [(k, words(15 + k % 45)) for k in range(360)]
+    index = decontam.Index([(k, " ".join(w)) for k, w in items], 0.2, 4, 0.99, 11)
+    # amid words of the benchmark, so that a walk that leaves the passage reads no foreign words
+    texts = [" ".join(words(20) + edit_by(kind, w, len(w) // 5, rng) + words(20)) for _, w in items]
+    found = sum(any(h["item_id"] == k for h in hits) for (k, _), hits in zip(items, index.search(texts), strict=True))
+    assert found >= 0.99 * len(items)
+
+
+def test_pieces_find_every_passage(monkeypatch):
+    monkeypatch.setattr(decontam, "MOST_REPETITIONS", 0)
+    rng = random.Random(9)
+    words = lambda n: [f"v{rng.randrange(60)}" for _ in range(n)]
+    items = [(k, words(rng.randrange(1, 60))) for k in range(60)]
+    texts = []
+    for k in range(120):
+        item = items[k % 60][1]
+        passage = edit(item, rng.randrange(int(0.3 * len(item)) + 1), rng)
+        texts.append(words(rng.randrange(4)) + passage + words(rng.randrange(4)))
+    index = decontam.Index([(k, " ".join(w)) for k, w in items], 0.2, 4, 0.99, 11)
+    assert all(c.pieces and not c.walks for c in index.classes)
+    got = [{(h["item_id"], h["edits"]) for h in hits} for hits in index.search([" ".join(t) for t in texts])]
+    costs = [[(k, plain_edits(w, t), len(w)) for k, w in items] for t in texts]
+    assert got == [{(k, e) for k, e, n in row if e <= n // 5} for row in costs]
+
+
 # -- WARC -----------------------------------------------------------------
 
 
