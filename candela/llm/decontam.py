@@ -13,7 +13,8 @@ is within ``floor(max_edits * n)`` word edits of the item's ``n`` words.
   candidate. Walks are added per class of item lengths until they find the
   target share of the items themselves, edited up to the limit, for every
   kind of edits (insertions only, deletions only, ...), and half as many again.
-* Pieces: classes that MOST_REPETITIONS do not bring there are searched without loss. An item cut into k + 1 pieces
+* Pieces: classes that MOST_REPETITIONS do not bring there, or with items too
+  short for an edit, are searched without loss. An item cut into k + 1 pieces
   keeps one of them unchanged in every passage within k edits, so passages
   around equal pieces are the candidates.
 * Verification: word edit distance of the item to the best passage around
@@ -30,7 +31,8 @@ items (by a hash of item_id); each block is one map-only pass, so documents
 are never shuffled and the driver holds one block at a time.
 
 Defined results: NULL and word-free texts have no leak; NULL and word-free
-items match nothing; items too short for an edit match only as they are;
+items match nothing; items too short for an edit match only as they are,
+and always do;
 repeated documents and items give one row each; words are runs of letters
 and digits in lower case.
 """
@@ -191,7 +193,7 @@ class Index:
 
     def _class(self, members: list[int], samples: int, target: float, random: np.random.Generator) -> LengthClass:
         sizes = [len(self.items[k]) for k in members]
-        walks = self._walks(members, samples, target, random)
+        walks = self._walks(members, samples, target, random) if all(self.limits[k] for k in members) else []
         return LengthClass(min(sizes), max(sizes), walks, [] if walks else self._pieces(members), sorted(set(sizes)))
 
     def _walks(

@@ -201,6 +201,16 @@ def test_passages_with_one_kind_of_edits_are_found_at_the_limit(kind):
     assert found >= 0.99 * len(items)
 
 
+def test_exact_copies_of_short_items_are_always_found():
+    rng = random.Random(8)
+    words = lambda n: [f"v{rng.randrange(400)}" for _ in range(n)]
+    items = [(k, " ".join(words(1 + k % 9))) for k in range(300)]
+    index = decontam.Index(items, 0.2, 4, 0.99, 11)
+    short = [(k, t) for k, t in items if len(t.split()) < 5]
+    texts = [" ".join([*words(5), t, *words(5)]) for _, t in short]
+    assert all(any(h["item_id"] == k for h in hits) for (k, _), hits in zip(short, index.search(texts), strict=True))
+
+
 def test_pieces_find_every_passage(monkeypatch):
     monkeypatch.setattr(decontam, "MOST_REPETITIONS", 0)
     rng = random.Random(9)
