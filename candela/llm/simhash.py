@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from candela.llm.common import byte_segments, empty_if_null, stored, text_slices
+from candela.llm.common import byte_segments, empty_if_null, stored, text_slices, unused_name
 
 BYTES = 8
 #: Fingerprints of one chunk of a posting list.
@@ -217,7 +217,7 @@ def forest_edges(prints: DataFrame, max_bits: int) -> DataFrame:
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, label): the smallest ``id`` reachable from each node over ``edges`` (a, b).
+    """(fp, root, label): a name of the component (one of its fingerprints) and the smallest ``id`` reachable from each node over ``edges`` (a, b).
 
     ``nodes`` has (fp, id). Only nodes with edges iterate; each round takes
     the minimum over the neighbours' labels and then follows labels one
@@ -239,15 +239,20 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             break
     member = nodes.join(labels, "fp", "left").select("fp", "id", F.coalesce("label", "fp").alias("root"))
     smallest = stored(member.groupBy("root").agg(F.min("id").alias("label")), "simhash-smallest")
-    return member.join(smallest, "root").select("fp", "label")
+    return member.join(smallest, "root").select("fp", "root", "label")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, text: str = "text") -> DataFrame:
-    """doc_id, fp (BIGINT), component_id: one row per row of ``docs``."""
-    prints = stored(docs.select("doc_id", fingerprint(text, shingle_words).alias("fp")), "simhash-prints")
+def _classified(docs: DataFrame, shingle_words: int, max_bits: int, text: str, *more: Column) -> DataFrame:
+    """doc_id, fp, root, component_id and the columns ``more``: one row per row of ``docs``."""
+    prints = stored(docs.select("doc_id", fingerprint(text, shingle_words).alias("fp"), *more), "simhash-prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-distinct")
     classes = components(distinct, forest_edges(distinct.select("fp"), max_bits))
-    return prints.join(classes.withColumnRenamed("label", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes.withColumnRenamed("label", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, text: str = "text") -> DataFrame:
+    """doc_id, fp (BIGINT), component_id: one row per row of ``docs``."""
+    return _classified(docs, shingle_words, max_bits, text).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:
@@ -258,20 +263,23 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one document of each component: the row of its smallest doc_id.
 
-    Rows that repeat the doc_id that stays are cut to one (the least by
-    text); a component without any doc_id is left as it is.
+    Rows go by doc_id and text, so a doc_id on several texts stays in each
+    component whose smallest it is. Rows of one component that share its
+    smallest doc_id are cut to one (the least by text); rows without a
+    doc_id are left as they are.
     """
-    found = near_duplicates(docs, shingle_words, max_bits)
-    out = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(stored(out, "simhash-dropped"), "doc_id", "left_anti")
-    repeated = stored(
-        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
-        "simhash-repeated",
-    )
-    once = kept.join(repeated, "doc_id", "left_anti")
+    key, root = unused_name(docs, "_key"), unused_name(docs, "_root")
+    found = _classified(docs, shingle_words, max_bits, "text", F.xxhash64("text").alias(key))
+    out = found.where("doc_id <> component_id").select("doc_id", key).distinct()
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    kept = keyed.join(stored(out, "simhash-dropped"), ["doc_id", key], "left_anti")
+    first = found.where("doc_id = component_id").select("doc_id", key, F.col("root").alias(root))
+    repeated = stored(first.groupBy(root).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(root), "simhash-repeated")
     if repeated.isEmpty():
-        return once.select(docs.columns)
-    rest = kept.join(repeated, "doc_id", "left_semi")
-    first = rest.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
+        return kept.select(docs.columns)
+    several = stored(first.join(repeated, root, "left_semi").distinct(), "simhash-several")
+    once = kept.join(several.select("doc_id", key), ["doc_id", key], "left_anti")
+    rest = kept.join(several, ["doc_id", key])
+    least = rest.groupBy("doc_id", root).agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
     columns = [F.col("doc_id") if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return once.select(docs.columns).unionByName(first.select(columns))
+    return once.select(docs.columns).unionByName(least.select(columns))

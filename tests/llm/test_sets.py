@@ -107,6 +107,15 @@ def test_near_duplicates_edge_rows(docs_of, rows_of):
     assert simhash.drop_near_duplicates(docs_of([])).count() == 0
 
 
+def test_a_doc_id_on_several_texts_leaves_one_row_of_each_component(docs_of):
+    text = lambda t: " ".join(f"{t}{i}" for i in range(40))
+    a, b, c, d = map(text, "abcd")
+    # 2 is the smallest of a's component but not of b's; 5 names two texts without copies
+    rows = [(2, a), (3, a), (1, b), (2, b), (5, c), (5, d), (5, d), (6, c)]
+    kept = simhash.drop_near_duplicates(docs_of(rows, clashing=True)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, b), (2, a), (5, c), (5, d)]
+
+
 # -- decontamination ------------------------------------------------------
 
 
