@@ -85,11 +85,16 @@ MORE_RULES = (
     Rule("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"), triggers=(b"eyj",)),
     Rule("npm", re.compile(r"\bnpm_[A-Za-z0-9]{36}"), triggers=(b"npm_",)),
     Rule("sendgrid", re.compile(r"\bSG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{32,}"), triggers=(b"sg.",)),
-    Rule("url_login", re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,128}@[A-Za-z0-9.-]+"), triggers=(b"://",)),
+    Rule("url_login", re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]++:[^\s/:@]{3,}+@[A-Za-z0-9.-]+"), triggers=(b"://",), version=2),
     Rule(
         "private_key",
-        re.compile(r"-----BEGIN (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----)?"),
-        triggers=(b"private key",),
+        # To the END line, whatever stands between; without one, as far as header lines and base64 go (line ends may be escaped).
+        re.compile(
+            r"-----BEGIN (?:[A-Z]{2,10} ){0,2}PRIVATE KEY(?: BLOCK)?-----"
+            r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END (?:[A-Z]{2,10} ){0,2}PRIVATE KEY(?: BLOCK)?-----"
+            r"|(?:(?<=[n\n])[A-Z][A-Za-z0-9-]{1,30}:[^\r\n\\]*|\\+[nr]|[A-Za-z0-9+/=\s])*+)"
+        ),
+        triggers=(b"private key",), version=2,
     ),
 )
 RULES = BASE_RULES + MORE_RULES
