@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, bpe, decontam, licenses, quality, secrets, simhash, tokencount, toxicity, warc
+from candela.llm import ann, bpe, decontam, fim, licenses, quality, secrets, simhash, tokencount, toxicity, warc
 from candela.llm.common import bounded_batches
 from candela.session import scratch_dir
 from candela.sources.tables import read_table
@@ -102,6 +102,19 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), query_every=20, k=20)
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document's text, and the text restored from it."""
+    seed = F.concat(F.lit("1:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fim.transform(docs, seed=seed).select("doc_id", "fim.*")
+    return found.select(
+        "doc_id", "n", "form",
+        F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -113,6 +126,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_ann": op10_ann,
+    "op12_fim": op12_fim,
 }
 
 
@@ -151,6 +165,35 @@ FROM d
 """
 
 
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+  FROM documents
+), h AS (
+  SELECT *, len(units) AS n, CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2,
+    CAST('0x' || hex[17:24] AS BIGINT) AS h3, CAST('0x' || hex[25:32] AS BIGINT) AS h4
+  FROM d
+), f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid,
+    array_to_string(units[b + 1:n], '') AS suf
+  FROM f
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+    ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op5_warc": OP5_SQL, "op10_ann": OP10_SQL}
+    return {"op5_warc": OP5_SQL, "op10_ann": OP10_SQL, "op12_fim": OP12_SQL}
