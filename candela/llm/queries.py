@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, bpe, decontam, fim, licenses, quality, secrets, simhash, tokencount, toxicity, warc
+from candela.llm import ann, bpe, decontam, fim, licenses, quality, secrets, simhash, tokencount, toxicity, warc, wordbpe
 from candela.llm.common import bounded_batches
 from candela.session import scratch_dir
 from candela.sources.tables import read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
 #: The first id that the rank file leaves free.
 END_OF_DOCUMENT = 50256
 
@@ -102,6 +103,17 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), query_every=20, k=20)
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text encoded by word-end BPE and decoded again."""
+    tokenizer = wordbpe.Tokenizer(spark, public_tokenizers.path(WORD_FILE))
+    return wordbpe.encode_decode(documents(spark, sf_dir), tokenizer).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("decimal").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-the-middle form of every document's text, and the text restored from it."""
     seed = F.concat(F.lit("1:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -126,6 +138,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_ann": op10_ann,
+    "op11_word_bpe": op11_word_bpe,
     "op12_fim": op12_fim,
 }
 
