@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import ann, bpe, decontam, fim, licenses, quality, secrets, simhash, tokencount, toxicity, warc, wordbpe
+from candela.llm import (
+    ann, bpe, decontam, divergence, fim, licenses, quality, secrets, simhash, tokencount, toxicity, warc, wordbpe,
+)
 from candela.llm.common import bounded_batches
 from candela.session import scratch_dir
 from candela.sources.tables import read_table
@@ -127,6 +129,11 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the term shares of the sources of each lang lie apart, and the terms that set each apart."""
+    return divergence.audit(documents(spark, sf_dir), min_docs=30, smooth=5, scale=10**9, top=50)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -140,6 +147,7 @@ QUERIES = {
     "op10_ann": op10_ann,
     "op11_word_bpe": op11_word_bpe,
     "op12_fim": op12_fim,
+    "op13_divergence": op13_divergence,
 }
 
 
@@ -207,6 +215,48 @@ FROM p
 """
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), t AS (
+  SELECT id, lang, source, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), l AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(total) AS n FROM kept GROUP BY lang
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), gt AS (
+  SELECT g.lang, g.source, k.term, CAST(coalesce(c.n, 0) AS HUGEINT) AS n, k.total
+  FROM g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT gt.lang, gt.source, gt.term, gt.n,
+    1 + (1000000000 * (gt.n + 5)) // (sum(gt.n) OVER (PARTITION BY gt.lang, gt.source) + 5 * l.v) AS p,
+    1 + (1000000000 * (gt.total + 5)) // (l.n + 5 * l.v) AS q
+  FROM gt JOIN l ON l.lang = gt.lang
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM parts
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op5_warc": OP5_SQL, "op10_ann": OP10_SQL, "op12_fim": OP12_SQL}
+    return {"op5_warc": OP5_SQL, "op10_ann": OP10_SQL, "op12_fim": OP12_SQL, "op13_divergence": OP13_SQL}
