@@ -39,11 +39,10 @@ from __future__ import annotations
 
 import json
 import re
-import sys
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -60,7 +59,7 @@ from candela.llm.common import SEGMENT, empty_if_null, text_segments, text_slice
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Distinct words that a worker keeps with their ids, pairs it keeps with their answer, before it forgets them.
 MEMO_WORDS = 300_000
-MEMO_PAIRS = 2_000_000
+MEMO_PAIRS = 500_000
 #: Symbols that go through the automaton at one time, and matches taken from it at one time.
 SYMBOLS = 1 << 18
 MATCHES = 1 << 16
@@ -78,18 +77,6 @@ def byte_signs() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
-def unassigned() -> re.Pattern[str]:
-    """Matches the code points that this Python's Unicode tables do not assign."""
-    spans: list[list[int]] = []
-    for c in range(sys.maxunicode + 1):
-        if unicodedata.category(chr(c)) == "Cn":
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-    return re.compile("[%s]" % "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans))
-
-
 class Growing:
     """A flat integer array that grows by doubling."""
 
@@ -97,6 +84,7 @@ class Growing:
         self.data, self.n = np.zeros(1024, dtype=np.int64), 0
 
     def extend(self, values: list[int]) -> None:
+        """Add ``values`` at the end."""
         need = self.n + len(values)
         if need > len(self.data):
             self.data = np.concatenate([self.data, np.zeros(max(need, len(self.data)), dtype=np.int64)])
@@ -125,9 +113,10 @@ class Merges:
             self.joined[pair] = self.number[joined] = len(self.split)
             self.text.append(self.text[pair[0]] + self.text[pair[1]])
             self.split.append(pair)
-        self.id_of = np.array([vocab[name] for name in names], dtype=np.int64)
+        self.id_of = [vocab[name] for name in names]
         self.length = [len(t) for t in self.text]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        #: Known answers of :meth:`compatible`, by ``left * len(split) + right``.
+        self.pairs: dict[int, bool] = {}
         # A token takes part only if merging its own text gives it.
         made = [True] * len(self.split)
         for token in range(512, len(self.split)):
@@ -135,9 +124,12 @@ class Merges:
             made[token] = made[left] and made[right] and self.crosses_no_merge(left, right, token)
         at = {text: token for token, text in enumerate(self.text) if made[token]}
         self.shorter = [self._prefix(text, at) for text in self.text]
+        # Single symbols match everywhere: they are filled in without the automaton.
         self.automaton = ahocorasick.Automaton()
+        self.lengths = np.array(self.length, dtype=np.int32)
         for text, token in at.items():
-            self.automaton.add_word(text, token)
+            if token >= 512:
+                self.automaton.add_word(text, token)
         self.automaton.make_automaton()
 
     @staticmethod
@@ -165,27 +157,26 @@ class Merges:
                 limit, right = right + 1, self.split[right][0]
 
     def compatible(self, left: int, right: int) -> bool:
-        """Merging the texts of both tokens, side by side, gives just both tokens."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= MEMO_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.crosses_no_merge(left, right, len(self.split) + 1)
-        return known
+        """Merging the texts of both tokens, side by side, gives just both tokens (the answer is kept)."""
+        if len(self.pairs) >= MEMO_PAIRS:
+            self.pairs.clear()
+        fits = self.pairs[left * len(self.split) + right] = self.crosses_no_merge(left, right, len(self.split) + 1)
+        return fits
 
     def longest_matches(self, symbols: str) -> array:
         """For every position the longest token that starts there (-1 at a seam)."""
-        length = np.array(self.length, dtype=np.int64)
-        out = np.full(len(symbols), -1, dtype=np.int32)
-        found = self.automaton.iter(symbols)
-        while part := list(islice(found, MATCHES)):
-            end, token = np.array(part, dtype=np.int64).T
-            out[end - length[token] + 1] = token  # ends ascend, so the longest of a start comes last
+        out = np.frombuffer(symbols.encode("utf-32-le"), dtype=np.int32).copy()
+        out[out == ord(SEAM)] = -1
+        if len(self.automaton):
+            found = chain.from_iterable(self.automaton.iter(symbols))
+            while len(part := np.fromiter(islice(found, 2 * MATCHES), np.int32)):
+                end, token = part[::2], part[1::2]
+                out[end - self.lengths[token] + 1] = token  # ends ascend, so the longest of a start comes last
         return array("i", out.tobytes())
 
     def backtrack(self, longest: array, start: int, end: int) -> list[int]:
         """Tokens of the word at ``start:end`` of the text that ``longest`` was made from."""
-        length, shorter, compatible = self.length, self.shorter, self.compatible
+        length, shorter, pairs, tokens_in_all = self.length, self.shorter, self.pairs, len(self.split)
         token = longest[start]
         if length[token] == end - start:
             return [token]
@@ -195,8 +186,12 @@ class Merges:
         while True:
             last = tokens[-1] if tokens else -1
             while token >= 0:
-                if is_open[at + length[token] - start] and (last < 0 or compatible(last, token)):
-                    break
+                if is_open[at + length[token] - start]:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last * tokens_in_all + token)
+                    if self.compatible(last, token) if fits is None else fits:
+                        break
                 token = shorter[token]
             if token >= 0:
                 tokens.append(token)
@@ -224,12 +219,8 @@ class Vocabulary:
         marks = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(%s)" % "|".join(map(re.escape, marks))) if marks else None
         self.words = regex.compile(WORDS)
-        self.unassigned = unassigned()
-        self.library = LibraryTokenizer.from_str(data.decode())
-        self.bytes_of_sign = {s: b for b, s in enumerate(byte_signs())}
-        names = {i: name.encode() for name, i in [*model["vocab"].items(), *self.added.items()]}
-        self.token_at, self.token_len, self.token_bytes = offset_table(names)
-        self.decimal_at, self.decimal_len, self.decimal_bytes = offset_table({i: b"%d" % i for i in names})
+        self.known_signs: set[str] = set()
+        self._data, self._library = data, None
         self._forget()
 
     @staticmethod
@@ -270,12 +261,22 @@ class Vocabulary:
     def _plain_words(self, text: str) -> list[str]:
         if text.isascii():
             return self.words.findall(text.lower())
-        if self.unassigned.search(text):
-            signs = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-            return [bytes(map(self.bytes_of_sign.__getitem__, s)).decode() for s, _ in signs]
-        # lower() is context-free but for the final sigma, which the tokenizer does not know
+        new = set(text) - self.known_signs
+        if any(unicodedata.category(sign) == "Cn" for sign in new):
+            return self._words_of_new_signs(text)
+        self.known_signs |= new
+        # lower() looks at one code point but for the final sigma, which the tokenizer does not know
         return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
+    def _words_of_new_signs(self, text: str) -> list[str]:
+        """The words of a text with code points that this Python's Unicode tables do not assign."""
+        if self._library is None:
+            byte_of = {s: b for b, s in enumerate(byte_signs())}
+            self._library = LibraryTokenizer.from_str(self._data.decode()), byte_of
+        library, byte_of = self._library
+        signs = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
+        return [bytes(map(byte_of.__getitem__, s)).decode() for s, _ in signs]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word."""
         out: list[list[int]] = []
@@ -291,11 +292,10 @@ class Vocabulary:
         return out + self._encode_part(part)
 
     def _encode_part(self, part: list[str]) -> list[list[int]]:
-        longest = self.merges.longest_matches(SEAM.join(part))
+        longest, backtrack, id_of = self.merges.longest_matches(SEAM.join(part)), self.merges.backtrack, self.merges.id_of
         out, at = [], 0
         for symbols in part:
-            tokens = self.merges.backtrack(longest, at, at + len(symbols))
-            out.append(self.merges.id_of[tokens].tolist())
+            out.append([id_of[token] for token in backtrack(longest, at, at + len(symbols))])
             at += len(symbols) + 1
         return out
 
@@ -306,10 +306,10 @@ class Vocabulary:
         memo = self._memo
         new = [w for w in dict.fromkeys(words) if w not in memo]
         if new:
-            for word, ids in zip(new, self.encode_words(new), strict=True):
-                memo[word] = len(memo)
-                self._ids.extend(ids)
-                self._lens.extend([len(ids)])
+            ids = self.encode_words(new)
+            memo.update(zip(new, range(len(memo), len(memo) + len(new)), strict=True))
+            self._ids.extend(list(chain.from_iterable(ids)))
+            self._lens.extend(list(map(len, ids)))
         known = self._lens.data[: self._lens.n]
         code = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
         return gather(self._ids.data, (np.cumsum(known) - known)[code], known[code]), known[code]
@@ -343,7 +343,16 @@ class Vocabulary:
         none = np.zeros(0, dtype=np.int64)
         return [none if not p else p[0] if len(p) == 1 else np.concatenate(p) for p in parts]
 
-    # -- decoding ---------------------------------------------------------
+
+class Spelling:
+    """The tables of the decoder: every id's text and its decimal form, by offset and length."""
+
+    def __init__(self, data: bytes):
+        file = json.loads(data)
+        names = {i: name.encode() for name, i in file["model"]["vocab"].items()}
+        names.update((t["id"], t["content"].encode()) for t in file["added_tokens"])
+        self.token_at, self.token_len, self.token_bytes = offset_table(names)
+        self.decimal_at, self.decimal_len, self.decimal_bytes = offset_table({i: b"%d" % i for i in names})
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens of ``ids`` joined by blanks; ids outside the vocabulary are left out."""
@@ -352,7 +361,7 @@ class Vocabulary:
         return joined(self.token_at, self.token_len, self.token_bytes, ids[self.token_len[ids] > 0])
 
     def decimal(self, ids: np.ndarray) -> bytes:
-        """The ids in decimal, joined by blanks."""
+        """The ids (of the vocabulary) in decimal, joined by blanks."""
         return joined(self.decimal_at, self.decimal_len, self.decimal_bytes, ids.astype(np.int64))
 
 
@@ -375,16 +384,15 @@ def joined(at: np.ndarray, length: np.ndarray, table: np.ndarray, ids: np.ndarra
     return gather(table, at[ids], length[ids])[:-1].tobytes() if len(ids) else b""
 
 
-_LOADED: dict[int, Vocabulary] = {}
+_LOADED: dict[type, tuple[int, Vocabulary | Spelling]] = {}
 
 
-def _vocabulary(data: bytes) -> Vocabulary:
-    """The worker's tables, built once per process and file."""
+def _loaded(kind: type, data: bytes) -> Vocabulary | Spelling:
+    """The worker's tables of one kind, built once per process and file."""
     key = hash(data)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Vocabulary(data)
-    return _LOADED[key]
+    if kind not in _LOADED or _LOADED[kind][0] != key:
+        _LOADED[kind] = (key, kind(data))
+    return _LOADED[kind][1]
 
 
 class Tokenizer:
@@ -404,37 +412,30 @@ class Tokenizer:
 
         @F.arrow_udf("binary")
         def encode_packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            vocabulary = _vocabulary(data.value)
+            vocabulary = _loaded(Vocabulary, data.value)
             for batch in (part for whole in batches for part in text_slices(whole)):
                 ids = vocabulary.encode_texts(batch.to_pylist())
                 yield pa.array([x.astype("<u4").tobytes() for x in ids], type=pa.binary())
 
         return encode_packed(empty_if_null(text))
 
-    def _spelled(self, packed: str | Column, how: str) -> Column:
+    def spell(self, packed: str | Column) -> Column:
+        """Struct of ``decoded`` (the tokens) and ``decimal`` (the numbers) of packed ids, each joined by blanks (NULL: empty)."""
         data = self._data
 
-        @F.arrow_udf("string")
-        def spell(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            write = getattr(_vocabulary(data.value), how)
+        @F.arrow_udf("struct<decoded:string,decimal:string>")
+        def spell_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            spelling = _loaded(Spelling, data.value)
             for batch in (part for whole in batches for part in text_slices(whole)):
-                texts = [write(np.frombuffer(x or b"", dtype="<u4")) for x in batch.to_pylist()]
-                yield pa.array(texts, type=pa.binary()).cast(pa.string())
-
-        return spell(F.col(packed) if isinstance(packed, str) else packed)
-
-    def decode(self, packed: str | Column) -> Column:
-        """Text of a column of packed ids (NULL: empty)."""
-        return self._spelled(packed, "decode")
+                ids = [np.frombuffer(x or b"", dtype="<u4") for x in batch.to_pylist()]
+                texts = [pa.array([f(x) for x in ids], pa.binary()).cast(pa.string()) for f in (spelling.decode, spelling.decimal)]
+                yield pa.StructArray.from_arrays(texts, names=["decoded", "decimal"])
 
-    def decimal(self, packed: str | Column) -> Column:
-        """Packed ids as decimal numbers joined by blanks (NULL: empty)."""
-        return self._spelled(packed, "decimal")
+        return spell_ids(F.col(packed) if isinstance(packed, str) else packed)
 
 
 def encode_decode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """doc_id, packed ids, their decimal form and their text, one row per row of ``docs``."""
     encoded = docs.select("doc_id", tokenizer.encode("text").alias("ids"))
-    return encoded.select(
-        "doc_id", "ids", tokenizer.decimal("ids").alias("decimal"), tokenizer.decode("ids").alias("decoded")
-    )
+    spelled = encoded.select("doc_id", "ids", tokenizer.spell("ids").alias("spelled"))
+    return spelled.select("doc_id", "ids", F.col("spelled.decimal").alias("decimal"), F.col("spelled.decoded").alias("decoded"))
