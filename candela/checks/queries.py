@@ -50,20 +50,24 @@ def norm(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars written once under the checkpoint folder (as the pipeline stores them): the line items are read once."""
+    path = scratch_dir(spark, "star-bars")
+    bars = load_bars(spark, sf_dir)
+    bars.write.parquet(path)
+    return spark.read.schema(bars.schema).parquet(path)
+
+
 class Star:
     """The star schema of one scale-factor directory.
 
-    The bars are written once under the checkpoint folder (as the pipeline
-    stores them), so a query reads the line items once. With
+    The bars are stored once (:func:`stored_bars`). With
     ``strategy="blocks"`` the rows are numbered and cut once for the whole
     chain bars -> indicators -> fact -> screening, which carries the blocks.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "blocks"):
-        path = scratch_dir(spark, "star-bars")
-        bars = load_bars(spark, sf_dir)
-        bars.write.parquet(path)
-        self.bars = spark.read.schema(bars.schema).parquet(path)
+        self.bars = stored_bars(spark, sf_dir)
         self.meta = load_ticker_metadata(spark, sf_dir)
         self.strategy = strategy
 
@@ -131,7 +135,7 @@ _IND_NAME = {
 
 def _indicator_query(key: str):
     def run(spark, sf):
-        out = indicators.indicator(load_bars(spark, sf), _IND_NAME[key])
+        out = indicators.indicator(stored_bars(spark, sf), _IND_NAME[key])
         return norm(out.select("ticker", "date", *INDICATOR_COLUMNS[key]))
 
     run.__name__ = f"q_{key}"
@@ -141,19 +145,19 @@ def _indicator_query(key: str):
 def q_ind_ema(spark, sf):
     from candela.operators.ema import ema
 
-    return norm(ema(load_bars(spark, sf)).select("ticker", "date", "ema_12"))
+    return norm(ema(stored_bars(spark, sf)).select("ticker", "date", "ema_12"))
 
 
 def q_ind_chain(spark, sf):
     """Fluent chain: two EMAs by repeated calls, positional arguments, and an SMA over the RSI."""
-    chain = indicators.IndicatorChain(load_bars(spark, sf), "ticker", "date")
+    chain = indicators.IndicatorChain(stored_bars(spark, sf), "ticker", "date")
     out = chain.ema(span=12).ema(span=26, out_col="ema_26").sma("close", [5]).rsi().sma(col="rsi", periods=[3]).get_df()
     return norm(out.select("ticker", "date", "ema_12", "ema_26", "sma_5", "rsi", "sma_3"))
 
 
 def q_ind_macd_ema(spark, sf):
     """T3 with recursive EMA legs."""
-    out = indicators.IndicatorChain(load_bars(spark, sf), "ticker", "date").macd(kind="ema").get_df()
+    out = indicators.IndicatorChain(stored_bars(spark, sf), "ticker", "date").macd(kind="ema").get_df()
     return norm(out.select("ticker", "date", "ema_fast", "ema_slow", "macd", "macd_signal", "macd_gap"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candela.functions.scalar import safe_div
-from candela.operators.ema import macd_ema
+from candela.operators.ema import Leg, ema_legs, macd_legs, with_macd_lines
 from candela.operators.frames import fitting_block_rows, rolling, rows
 from candela.schema import SILVER_LOOKBACK
 
@@ -279,6 +279,18 @@ def silver_lookback() -> int:
     return max(SILVER_LOOKBACK, reach(CHAIN))
 
 
+def _recursive_legs(w, col: str = "close", span: int = 12, out_col: str = "ema_12") -> list[Leg]:
+    return [Leg(out_col, span, col)]
+
+
+def _macd_ema_legs(w, col: str = "close", fast: int = 12, slow: int = 26, signal: int = 9) -> list[Leg]:
+    return macd_legs(col, fast, slow, signal)
+
+
+#: Calls of the fluent form that are scans over a whole series: the averages of each.
+SCANS = {"ema_recursive": _recursive_legs, "macd_ema": _macd_ema_legs}
+
+
 class IndicatorChain:
     """Fluent form: ``IndicatorChain(df, "symbol", "date").sma().rsi(period=10).get_df()``.
 
@@ -291,8 +303,9 @@ class IndicatorChain:
     run on one numbering and one exchange; their look-backs add up, so the
     ghost rows of the blocks are deep enough for the last step.
 
-    ``macd(kind="ema")`` uses recursive EMAs, which reach back to the start
-    of a series: it runs as a scan of its own between the windowed steps.
+    ``macd(kind="ema")`` and ``ema(kind="recursive")`` reach back to the start
+    of a series: they run as scans between the windowed steps. Neighbouring
+    calls that do not read one another's output are one scan.
     """
 
     def __init__(self, df: DataFrame, symbol_col: str = "symbol", date_col: str = "date",
@@ -302,14 +315,13 @@ class IndicatorChain:
         self._calls: list[tuple[str, dict]] = []
 
     def _add(self, name: str, args: tuple, params: dict) -> "IndicatorChain":
-        builder = macd_ema if name == "macd_ema" else INDICATORS[name][0]
+        builder = SCANS[name] if name in SCANS else INDICATORS[name][0]
         bound = inspect.signature(builder).bind(None, *args, **params).arguments
         first = next(iter(inspect.signature(builder).parameters))
         self._calls.append((name, {k: v for k, v in bound.items() if k != first}))
         return self
 
     def sma(self, *a, **kw): return self._add("sma", a, kw)  # noqa: E704
-    def ema(self, *a, **kw): return self._add("ema_seeded", a, kw)  # noqa: E704
     def bollinger_bands(self, *a, **kw): return self._add("bollinger_bands", a, kw)  # noqa: E704
     def atr(self, *a, **kw): return self._add("atr", a, kw)  # noqa: E704
     def rsi(self, *a, **kw): return self._add("rsi", a, kw)  # noqa: E704
@@ -320,21 +332,30 @@ class IndicatorChain:
     def adl(self, *a, **kw): return self._add("adl", a, kw)  # noqa: E704
     def support_resistance(self, *a, **kw): return self._add("support_resistance", a, kw)  # noqa: E704
 
+    def ema(self, *a, kind: str = "seeded", **kw):
+        """``seeded``: as the reference computes it; ``recursive``: the recurrence itself."""
+        if kind not in ("seeded", "recursive"):
+            raise ValueError("kind must be 'seeded' or 'recursive'")
+        return self._add("ema_seeded" if kind == "seeded" else "ema_recursive", a, kw)
+
     def macd(self, *a, kind: str = "sma", **kw):
         if kind not in ("sma", "ema"):
             raise ValueError("kind must be 'sma' or 'ema'")
         return self._add("macd" if kind == "sma" else "macd_ema", a, kw)
 
     def _steps(self) -> list[list[tuple[str, dict]]]:
-        """Calls grouped into steps (see the class); an EMA scan is a step of its own."""
+        """Calls grouped into steps (see the class): windowed calls, or calls of one scan."""
         steps: list[list[tuple[str, dict]]] = []
         made: set[str] = set()
         w = Window.partitionBy(self._key).orderBy(self._order)
         for name, params in self._calls:
-            scan = name == "macd_ema"
-            outputs = set() if scan else {c for level in INDICATORS[name][0](w, **params) for c in level}
-            own = not steps or scan or steps[-1][0][0] == "macd_ema"
-            if own or params.get("col") in made or outputs & made or any(name == n for n, _ in steps[-1]):
+            if name in SCANS:
+                outputs = {leg.out for leg in SCANS[name](None, **params)} | ({"macd", "macd_gap"} if name == "macd_ema" else set())
+            else:
+                outputs = {c for level in INDICATORS[name][0](w, **params) for c in level}
+            other = not steps or (name in SCANS) != (steps[-1][0][0] in SCANS)
+            again = not other and name not in SCANS and any(name == n for n, _ in steps[-1])
+            if other or again or params.get("col") in made or outputs & made:
                 steps.append([])
                 made = set()
             steps[-1].append((name, params))
@@ -344,16 +365,22 @@ class IndicatorChain:
     def get_df(self) -> DataFrame:
         out, run = self._df, []
         for step in [*self._steps(), None]:
-            if step is not None and step[0][0] != "macd_ema":
+            if step is not None and step[0][0] not in SCANS:
                 run.append(step)
                 continue
             if run:
                 out = self._windowed(out, run)
                 run = []
             if step is not None:
-                out = macd_ema(out, key=self._key, order=self._order, **step[0][1])
+                out = self._scanned(out, step)
         return out
 
+    def _scanned(self, df: DataFrame, step: list[tuple[str, dict]]) -> DataFrame:
+        """All averages of the step's calls by one scan."""
+        legs = [leg for name, params in step for leg in SCANS[name](None, **params)]
+        out = ema_legs(df, legs, key=self._key, order=self._order)
+        return with_macd_lines(out) if any(name == "macd_ema" for name, _ in step) else out
+
     def _windowed(self, df: DataFrame, steps: list[list[tuple[str, dict]]]) -> DataFrame:
         def compute(d: DataFrame, w: WindowSpec) -> DataFrame:
             for step in steps:
