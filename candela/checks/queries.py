@@ -142,6 +142,13 @@ def _indicator_query(key: str):
     return run
 
 
+def q_ind_text_order(spark, sf):
+    """The moving averages of bars whose order is a text (rows numbered by sampled ranges)."""
+    bars = stored_bars(spark, sf).withColumn("day", F.date_format("date", "yyyy-MM-dd"))
+    out = indicators.run_indicators(bars.drop("date"), ["sma"], order="day")
+    return norm(out.select("ticker", F.col("day").cast("date").alias("date"), *INDICATOR_COLUMNS["ind_sma"]))
+
+
 def q_ind_ema(spark, sf):
     from candela.operators.ema import ema
 
@@ -280,6 +287,7 @@ QUERIES = {
     "bars_fixture": q_bars,
     "dedup_bars": q_dedup_bars,
     **{k: _indicator_query(k) for k in INDICATOR_COLUMNS},
+    "ind_text_order": q_ind_text_order,
     "ind_ema": q_ind_ema,
     "ind_chain": q_ind_chain,
     "ind_macd_ema": q_ind_macd_ema,

@@ -13,6 +13,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_fixture": bars,
         "dedup_bars": bars,
         **{k: O.indicator_sql(k) for k in O.INDICATOR_COLUMNS},
+        "ind_text_order": O.indicator_sql("ind_sma"),
         "ind_ema": O.ema_recursive_sql(),
         "ind_chain": O.ind_chain_sql(),
         "ind_macd_ema": O.macd_ema_sql(),

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from candela.operators.frames import RN, number_series
+from candela.operators.frames import RN, changes, number_series
 from candela.session import scratch_dir, workers_find_package
 
 DEFAULT_BLOCK_ROWS = 4096
@@ -151,17 +151,6 @@ class System:
 # -- streaming over sorted rows ------------------------------------------------
 
 
-def _changes(column: pa.Array, before: pa.Scalar | None) -> np.ndarray:
-    """True where a value differs from the one before (NULLs are equal)."""
-    first = pa.array([None if before is None else before.as_py()], type=column.type)
-    left = pa.concat_arrays([first, column.slice(0, len(column) - 1)])
-    differs = pc.fill_null(pc.not_equal(left, column), False).to_numpy(zero_copy_only=False)
-    differs |= pc.is_null(left).to_numpy(zero_copy_only=False) != pc.is_null(column).to_numpy(zero_copy_only=False)
-    if before is None:
-        differs[0] = True
-    return differs
-
-
 def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -205,7 +194,7 @@ class Walk:
 
     def runs(self, batch: pa.RecordBatch, key: str) -> np.ndarray:
         """Number of the block of each row: 0 is the open one, if the first row goes on with it, else 1 is the first."""
-        new = _changes(batch.column(key), self.key) | _changes(batch.column(BLK), self.blk)
+        new = changes(batch.column(key), self.key) | changes(batch.column(BLK), self.blk)
         last = batch.num_rows - 1
         self.key, self.blk = batch.column(key)[last], batch.column(BLK)[last]
         return np.cumsum(new)

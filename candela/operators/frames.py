@@ -8,9 +8,9 @@ one ticker spread over many tasks:
 
 1. number the rows of each ticker: for DATE-ordered daily rows from a tiny
    per-(ticker, year) calendar bitset that is broadcast, so the rows are
-   numbered where they lie (:func:`number_daily_rows`); otherwise with
-   row_number() over (ticker, year) plus the running count of earlier
-   years (:func:`number_rows`, one more shuffle);
+   numbered where they lie (:func:`number_daily_rows`); in any other order
+   by sampled ranges of (ticker, order) and a running count over the
+   partitions (:func:`number_rows`, one more shuffle);
 2. cut blocks of ``block_rows`` consecutive rows and copy the last
    ``lookback`` rows of each block into the next one as ghost rows;
 3. evaluate the frames over (ticker, block) ordered by row number and
@@ -22,12 +22,16 @@ at most ``lookback`` rows back, which the callers guarantee.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from candela.session import scratch_dir
+from candela.session import scratch_dir, workers_find_package
 
 
 DEFAULT_BLOCK_ROWS = 4096
@@ -53,42 +57,62 @@ def _join_null_safe(rows_: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return rows_.join(t, cond).drop("_k", "_y")
 
 
-#: Rows of order values that a numbering group of a number-ordered series spans.
-_NUMBER_STEP = 65_536
-
-
-def _coarse(df: DataFrame, order: str) -> Column:
-    """A coarse key that is monotone in ``order``: the month of a date or time, a step of a number, else one group."""
-    kind = dict(df.dtypes)[order]
-    if kind == "date" or kind.startswith("timestamp"):
-        group = F.year(order) * 12 + F.month(order)
-    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
-        group = F.floor(F.col(order) / _NUMBER_STEP).cast("bigint")
-    else:
-        group = F.lit(0)
-    return F.coalesce(group, F.lit(NULL_YEAR).cast("bigint") * F.lit(1 << 40)).cast("bigint")
-
-
-def number_rows(df: DataFrame, key: str = "ticker", order: str = "date", coarse: Column | None = None) -> DataFrame:
-    """Add ``_rn``: 1-based position of each row within its ``key`` ordered by ``order``.
-
-    ``coarse`` (default: the month of a date or time, a step of a number) must
-    be monotone in ``order``; each (key, coarse) group is numbered on its own
-    and shifted by the running count of the earlier groups. Only an order of
-    another type (text) is numbered in one group per key.
+#: Partition that the range exchange gave a row, and its place among the rows of its key there.
+PID, LOCAL = "_pid", "_local"
+
+
+def changes(column: pa.Array, before: pa.Scalar | None) -> np.ndarray:
+    """True where a value differs from the one before (NULLs are equal; ``before``: the value before the first, if any)."""
+    first = pa.array([None if before is None else before.as_py()], type=column.type)
+    left = pa.concat_arrays([first, column.slice(0, len(column) - 1)])
+    differs = pc.fill_null(pc.not_equal(left, column), False).to_numpy(zero_copy_only=False)
+    differs |= pc.is_null(left).to_numpy(zero_copy_only=False) != pc.is_null(column).to_numpy(zero_copy_only=False)
+    if before is None:
+        differs[0] = True
+    return differs
+
+
+def count_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Add to sorted rows their place (from 1) among the consecutive rows of their key."""
+    before, count = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place = np.arange(batch.num_rows, dtype=np.int64)
+        new = changes(batch.column(key), before)
+        start = np.maximum.accumulate(np.where(new, place, -1))
+        local = np.where(start < 0, place + count, place - start) + 1
+        before, count = batch.column(key)[batch.num_rows - 1], int(local[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local)], names=[*batch.schema.names, LOCAL])
+
+
+def number_rows(df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
+    """Add ``_rn``: 1-based position of each row within its ``key`` ordered by ``order``, a column of any sortable type.
+
+    The rows are dealt by ranges of (key, order), whose bounds Spark samples
+    so that the partitions hold about equal shares: a hot key spreads over
+    as many partitions as its rows fill. They are sorted there, counted per
+    key, and written once (the bounds of another run would differ). Only the
+    first key of a partition can have begun in an earlier one, so the table
+    of running counts has at most one row per partition and is broadcast.
+    This is the only exchange of the rows. NULL order values come first.
     """
-    if coarse is None:
-        coarse = _coarse(df, order)
-    tagged = df.withColumn(YR, coarse)
-    counts = tagged.groupBy(key, YR).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy(YR).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, YR, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(OFF))
-    # Plain equi-join: its hash partitioning on (key, year) is the one the
-    # numbering window needs anyway, so it adds no exchange; AQE turns it
-    # into a broadcast join at run time when the offsets are measured small.
-    numbered = _join_null_safe(tagged, offsets, key)
-    local = F.row_number().over(Window.partitionBy(key, YR).orderBy(order))
-    return numbered.withColumn(RN, F.col(OFF) + local).drop(YR, OFF)
+    spark = df.sparkSession
+    workers_find_package(spark)
+    ranged = df.repartitionByRange(key, order).sortWithinPartitions(key, order).withColumn(PID, F.spark_partition_id())
+    schema = StructType([*[StructField(f.name, f.dataType) for f in df.schema.fields], StructField(PID, IntegerType()), StructField(LOCAL, LongType())])
+    counted = ranged.mapInArrow(lambda batches: count_runs(batches, key), schema)
+    path = scratch_dir(spark, "numbered")
+    counted.write.parquet(path)
+    counted = spark.read.schema(schema).parquet(path)
+
+    here = counted.groupBy(key, PID).agg(F.max(LOCAL).alias("_n"))
+    before = Window.partitionBy(key).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    begun = here.withColumn(OFF, F.sum("_n").over(before)).where(F.col(OFF) > 0)
+    begun = F.broadcast(begun.select(PID, F.col(key).alias("_k"), OFF))  # at most one row per partition
+    numbered = counted.join(begun, PID, "left")
+    earlier = F.when(F.col(key).eqNullSafe(F.col("_k")), F.coalesce(OFF, F.lit(0))).otherwise(F.lit(0))
+    return numbered.withColumn(RN, F.col(LOCAL) + earlier).select(*df.columns, RN)
 
 
 # Day-of-year slots as bits: 6 x 64 = 384 >= 366.
@@ -104,7 +128,7 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
     is the running count of earlier years plus the number of set bits
     before its own day. When the calendar is small enough to broadcast, the
     rows are numbered where they are, with no exchange; otherwise the join
-    falls back to a shuffle on (key, year). The calendar is written once as
+    is a sort-merge join, which moves the rows once more. The calendar is written once as
     a table, so the broadcast decision is Spark's own size check on real file
     statistics. Writing it is a job that reads ``df`` once more: give a stored
     table, not a long lineage. The calendar stays in the scratch folder.
@@ -146,7 +170,7 @@ def number_daily_rows(df: DataFrame, key: str = "ticker", date_col: str = "date"
 
 
 def number_series(df: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
-    """``_rn`` per series: the calendar-bitset numbering for a DATE order, else the windowed one."""
+    """``_rn`` per series: the calendar-bitset numbering for a DATE order, else the one by sampled ranges."""
     if dict(df.dtypes).get(order) == "date":
         return number_daily_rows(df, key, order)
     return number_rows(df, key, order)
@@ -204,9 +228,12 @@ def rolling(
 
 
 def fitting_block_rows(lookback: int, block_rows: int | None = None) -> int:
-    """Block size for indicators with ``lookback``: as asked (default 4,096), four look-backs at least if that is under the look-back."""
-    block_rows = DEFAULT_BLOCK_ROWS if block_rows is None else block_rows
-    return block_rows if lookback < block_rows else 4 * lookback
+    """The asked block size (a block must be longer than the look-back), else 4,096 rows or four look-backs."""
+    if block_rows is None:
+        return DEFAULT_BLOCK_ROWS if lookback < DEFAULT_BLOCK_ROWS else 4 * lookback
+    if lookback >= block_rows:
+        raise ValueError(f"block_rows={block_rows} must exceed the look-back of {lookback} rows: pass a larger block_rows")
+    return block_rows
 
 
 CARRIED = (RN, BLK, GHOST)

@@ -40,7 +40,7 @@ def test_reach_of_defaults():
 
 def test_long_custom_period_stays_exact_with_blocks(bars):
     plain = IndicatorChain(bars, "ticker", "date", strategy="plain").sma(periods=[120]).obv(period=90).get_df()
-    blk = IndicatorChain(bars, "ticker", "date", strategy="blocks", block_rows=65).sma(periods=[120]).obv(
+    blk = IndicatorChain(bars, "ticker", "date", strategy="blocks", block_rows=130).sma(periods=[120]).obv(
         period=90).get_df()
     assert _same(plain, blk)
 

@@ -91,7 +91,7 @@ def test_hot_ticker_is_split_into_blocks(spark):
     assert blk.count() == 3040 and a.exceptAll(b).count() == 0
 
 
-def test_calendar_numbering_equals_window_numbering(spark, chain):
+def test_calendar_numbering_equals_numbering_by_ranges(spark, chain):
     import datetime as dt
 
     from candela.operators.frames import RN, number_daily_rows, number_rows
