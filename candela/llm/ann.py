@@ -20,6 +20,10 @@ each a scan of the codes with the block sent to the executors; per query a
 partition returns its k best lower bounds, and then the entries over the
 threshold. No vector is shuffled but for the rerank.
 
+Bounds are computed for queries of unit length and in DOUBLE (only the product
+of signs and turned query is a float32 one), with lengths scaled by a power of
+two, so that any finite vectors can be compared.
+
 Defined results: vectors that are NULL, zero or hold a NULL or non-finite
 component take no part, neither do rows without an id; of several vectors
 with one id the least (as arrays) takes part; vectors shorter than the
@@ -41,6 +45,8 @@ from candela.llm.common import stored
 
 #: Queries of a block, and code entries compared at a time.
 BLOCK, ROWS = 1024, 2048
+#: Lengths are stored times this power of two: those of finite vectors stay finite.
+LENGTH_SCALE = 2.0**-16
 #: Salts of the first level that gathers the ids of equal vectors.
 SALTS = 256
 
@@ -87,7 +93,7 @@ def encode(entries: DataFrame, dim: int, bits: int, seed: int) -> DataFrame:
             c = np.abs(turned).sum(axis=1) / math.sqrt(bits)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("entry"), pa.array([row.tobytes() for row in code], type=pa.binary()),
-                 pa.array((norm * largest)[:, 0]), pa.array(c)],
+                 pa.array((norm * (largest * LENGTH_SCALE))[:, 0]), pa.array(c)],
                 names=["entry", "code", "length", "c"],
             )
 
@@ -95,18 +101,18 @@ def encode(entries: DataFrame, dim: int, bits: int, seed: int) -> DataFrame:
 
 
 def _bounds(batches: Iterator[pa.RecordBatch], queries: np.ndarray, dim: int, bits: int, seed: int, epsilon: float):
-    """(entries, lower, upper) per slice of codes: bounds [entry, query] of the inner products."""
-    turned = (queries @ rotation(dim, bits, seed)).astype(np.float32)
-    size = np.sqrt((queries * queries).sum(axis=1))
+    """(entries, lower, upper) per slice of codes: bounds [entry, query] of the products with the query scaled to unit length."""
+    unit = queries / np.abs(queries).max(axis=1, keepdims=True)
+    unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    turned = (unit @ rotation(dim, bits, seed)).astype(np.float32)
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS):
             batch = whole.slice(at, ROWS)
             packed = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
             signs = np.unpackbits(packed, axis=1, count=bits).astype(np.float32) * 2 - 1
             length, c = batch.column("length").to_numpy(), batch.column("c").to_numpy()
-            estimate = (signs @ turned.T) * (length / c / math.sqrt(bits)).astype(np.float32)[:, None]
-            spread = length * np.sqrt(np.maximum(1 - c * c, 0) / (c * c) / (bits - 1)) * epsilon + length * 1e-5
-            error = np.outer(spread, size).astype(np.float32)
+            estimate = (signs @ turned.T) * (length / c / math.sqrt(bits))[:, None]
+            error = (length * np.sqrt(np.maximum(1 - c * c, 0) / (c * c) / (bits - 1)) * epsilon + length * 1e-5)[:, None]
             yield batch.column("entry").to_numpy(), estimate - error, estimate + error
 
 
@@ -114,13 +120,13 @@ def _best_lower(queries, names, k, **index):
     """Task: per query the ``k`` largest lower bounds of the partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = np.zeros((0, len(names.value)), dtype=np.float32)
+        best = np.zeros((0, len(names.value)))
         for _, lower, _ in _bounds(batches, queries.value, **index):
             best = np.concatenate([best, lower])
             if len(best) > k:
                 best = np.partition(best, len(best) - k, axis=0)[-k:]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.tile(names.value, len(best))), pa.array(best.astype(np.float64).ravel())], names=["query", "lower"]
+            [pa.array(np.tile(names.value, len(best))), pa.array(best.ravel())], names=["query", "lower"]
         )
 
     return run
@@ -130,9 +136,9 @@ def _over(queries, names, thresholds, **index):
     """Task: (query, entry) pairs whose upper bound reaches the query's threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = thresholds.value.astype(np.float32)
+        low = np.where(np.isfinite(thresholds.value), thresholds.value, -math.inf)
         for entries, _, upper in _bounds(batches, queries.value, **index):
-            e, q = np.nonzero(upper >= low[None, :])
+            e, q = np.nonzero(~(upper < low[None, :]))
             yield pa.RecordBatch.from_arrays([pa.array(names.value[q]), pa.array(entries[e])], names=["query", "entry"])
 
     return run

@@ -8,13 +8,17 @@
 4. ``RuleModel.score``: the remaining rules compiled into one Spark column
    expression over the statistics.
 
-The model is fitted on at most about ``train_rows`` labelled rows, chosen by
-a hash of doc_id; all documents are scored.
-
-Defined results: NULL text has the statistics of the empty text; labels
-without a document, documents without a label and NULL labels take no part
-in the fit; repeated rows count as often as they occur; with labels of one
-class only (or none) the score is the share of class 1 (0.5).
+The model is fitted on the documents of at most about ``train_rows`` labels,
+chosen by a hash of doc_id; all documents are scored.
+
+Defined results: NULL text has the statistics of the empty text; texts of any
+length have those of the whole text (they are read in pieces, with the open
+line and the last word carried on); labels without a document, documents
+without a label and NULL labels take no part in the fit; repeated rows count
+as often as they occur and get equal scores; with labels of one class only
+(or none) the score is the share of class 1 (0.5); an empty table gives no
+rows; only doc_id and text are read, and filtering keeps all other columns,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -65,6 +69,8 @@ def statistics_of(text: bytes) -> list[float]:
     words: Counter[bytes] = Counter()
     lines: Counter[int] = Counter()
     n_words = word_bytes = longest = repeats = short = marked = 0
+    last = b""  # the word before the segment
+    line: list[bytes] = []  # the line that the segments so far left open
     for segment in byte_segments(text):
         by_byte += np.bincount(np.frombuffer(segment, dtype=np.uint8), minlength=256)
         found = segment.split()
@@ -75,9 +81,16 @@ def statistics_of(text: bytes) -> list[float]:
             word_bytes += sum(sizes)
             longest = max(longest, max(sizes))
             short += sum(x <= 3 for x in sizes)
-            repeats += sum(map(eq, found, found[1:]))
+            repeats += sum(map(eq, found, found[1:])) + (found[0] == last)
+            last = found[-1]
             marked += sum(not w[-1:].isalnum() and w[-1] < 128 for w in found)
-        lines.update(map(hash, segment.split(b"\n")))
+        first, *others = segment.split(b"\n")
+        line.append(first)
+        if others:
+            lines[hash(b"".join(line))] += 1
+            lines.update(map(hash, others[:-1]))
+            line = [others[-1]]
+    lines[hash(b"".join(line))] += 1
     count = np.bincount(_CLASS, weights=by_byte, minlength=10)
     share = count / n
     letters = max(1.0, count[_LOWER] + count[_UPPER])
@@ -159,16 +172,14 @@ def sample_by_hash(df: DataFrame, rows: int, id_col: str = "doc_id") -> DataFram
     n = df.count()
     if n <= rows:
         return df
-    steps = 1 << 20
+    steps = 1 << 62
     return df.where(F.pmod(F.xxhash64(id_col), F.lit(steps)) < int(steps * rows / n))
 
 
-def fit(
-    labelled: DataFrame, train_rows: int = 30_000, trees: int = 24, depth: int = 3, penalty: float = 0.001, seed: int = 7
-) -> RuleModel:
+def fit(labelled: DataFrame, trees: int = 24, depth: int = 3, penalty: float = 0.001, seed: int = 7) -> RuleModel:
     """Fit the ensemble to ``labelled``: doc_id, ``stats`` (struct) and ``label`` (0 or 1)."""
     # Rows in a fixed order in fixed partitions: forest and weights do not depend on how the join dealt them.
-    ordered = sample_by_hash(labelled, train_rows).repartition(6, "doc_id").sortWithinPartitions("doc_id", "label", "stats")
+    ordered = labelled.repartition(6, "doc_id").sortWithinPartitions("doc_id", "label", "stats")
     train = stored(ordered, "quality-train")
     classes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
@@ -192,25 +203,34 @@ def fit(
     )
 
 
-def training_rows(stats: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:
-    """doc_id, stats, label of the labelled documents outside the held-out fold."""
+def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int, folds: int = 5, held_out: int = 0) -> DataFrame:
+    """doc_id, stats, label of about ``train_rows`` labelled documents outside the held-out fold.
+
+    Labels are sampled before they meet the documents, so only the sample's
+    texts are looked at, and they are found without moving any text.
+    """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & (crc_mod("doc_id", folds) != held_out)
     )
-    return stats.select("doc_id", "stats").join(known, "doc_id")
+    known = F.broadcast(stored(sample_by_hash(known, train_rows), "quality-labels"))  # about train_rows small rows
+    return docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", statistics("text").alias("stats"), "label")
+
+
+def fitted(docs: DataFrame, labels: DataFrame, train_rows: int = 30_000, **options) -> RuleModel:
+    """The ensemble fitted on a sample of the labelled documents."""
+    return fit(training_rows(docs, labels, train_rows), **options)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    stats = stored(docs.select("doc_id", statistics("text").alias("stats")), "quality-statistics")
-    model = fit(training_rows(stats, labels), **options)
+    model = fitted(docs, labels, **options)
+    stats = docs.select("doc_id", statistics("text").alias("stats"))
     scored = stats.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), model.score("stats").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
-    stats = stored(docs.select("doc_id", statistics("text").alias("stats")), "quality-statistics")
-    model = fit(training_rows(stats, labels), **options)
+    model = fitted(docs, labels, **options)
     name = unused_name(docs, "_stats")
     return docs.withColumn(name, statistics("text")).where(model.score(name) >= threshold).select(docs.columns)

@@ -280,6 +280,8 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int
     several = stored(first.join(repeated, root, "left_semi").distinct(), "simhash-several")
     once = kept.join(several.select("doc_id", key), ["doc_id", key], "left_anti")
     rest = kept.join(several, ["doc_id", key])
-    least = rest.groupBy("doc_id", root).agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
+    ordered = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
+    others = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    least = rest.groupBy("doc_id", root).agg(F.min_by(others, F.struct("text", *ordered)).alias("row"))
     columns = [F.col("doc_id") if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns]
     return once.select(docs.columns).unionByName(least.select(columns))

@@ -21,8 +21,10 @@ vocabulary to a class. The language model has no such bound.
 Defined results: NULL text reads as empty and gets the score of a text
 without any feature; labels without a document and NULL labels take no part;
 with labels of one class only (or none) the score is 0 for class 0, 1 for
-class 1 and 0 without labels; tokens longer than LONGEST characters are
-never words and stay as they are.
+class 1 and 0 without labels; repeated rows get equal scores; an empty table
+gives no rows; texts and spans of any length are restored whole (a span of
+more than PIECE characters piece by piece); only doc_id and text are read,
+other columns may have any name.
 """
 
 from __future__ import annotations
@@ -47,7 +49,8 @@ from candela.llm.quality import sample_by_hash
 
 SYMBOLS = 28
 BORDER, OTHER = 26, 27
-LONGEST = 48
+#: Characters that are decoded at one time; a longer span is decoded piece by piece.
+PIECE = 2000
 
 # Signs that stand for letters.
 LEET = {
@@ -70,23 +73,28 @@ SUSPECT = re.compile(
     rf"(?<![\w]){_LETTER}(?:[ .\-_*~]{{1,2}}{_LETTER}){{2,}}(?![\w])"
     # a word with signs or digits among or before its letters
     rf"|(?<![\w@$]){_LETTER}*(?:(?:[0-9@$|+€£(]|[!*.\-_'​­](?={_LETTER}))+{_LETTER}+)+(?:[0-9$]+)?(?![\w])"
+    # a word whose only signs come last
+    rf"|(?<![\w@$]){_LETTER}+[0-9@$|+£*]{{1,3}}(?![\w])"
     # a letter three and more times
     rf"|(?<![\w]){_LETTER}*({_LETTER})\1\1{_LETTER}*(?![\w])"
 )
+#: Runs of one character: more than three of it say no more than three.
+_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
 # Classes of Latin-1 bytes for the search of places where SUSPECT can match.
 _IS_LETTER = np.array([chr(i).isalpha() for i in range(256)])
 _IS_SIGN = np.array([chr(i) in "0123456789@$|+(!*.-_'?" or 0x80 <= i < 0xC0 for i in range(256)])
+_IS_LAST_SIGN = np.array([chr(i) in "0123456789@$|+£*" for i in range(256)])
 
 
 def suspects(folded: str) -> np.ndarray:
     """Positions (ascending) in lines where SUSPECT may match; lines without one have no match.
 
-    A sign before a letter, a letter three times, or three letters that
-    stand alone with at most two characters between them.
+    A sign before a letter or behind one, a letter three times, or three
+    letters that stand alone with at most two characters between them.
     """
     byte = np.frombuffer(folded.encode("latin-1", "replace"), dtype=np.uint8)
     letter = _IS_LETTER[byte]
-    found = [np.nonzero(_IS_SIGN[byte[:-1]] & letter[1:])[0]]
+    found = [np.nonzero((_IS_SIGN[byte[:-1]] & letter[1:]) | (letter[:-1] & _IS_LAST_SIGN[byte[1:]]))[0]]
     same = byte[1:] == byte[:-1]
     found.append(np.nonzero(same[1:] & same[:-1] & letter[2:])[0])
     wide = np.concatenate([[False], letter, [False]])
@@ -186,7 +194,7 @@ def viterbi(span: str, model: np.ndarray) -> str:
     back = []
     for _, drop, edges in steps:
         new = best + drop if drop > -np.inf else np.full_like(best, -np.inf)
-        came = np.full((SYMBOLS, SYMBOLS), -1, dtype=np.int64)  # the symbol before the last two; -1: dropped
+        came = np.full((SYMBOLS, SYMBOLS), -1, dtype=np.int8)  # the symbol before the last two; -1: dropped
         for symbol, cost in edges:
             through = best + model[:, :, symbol] + cost  # (a, b) -> (b, symbol)
             a = through.argmax(axis=0)
@@ -217,14 +225,13 @@ class Restorer:
         self.memo: dict[str, str] = {}
 
     def _decode(self, m: re.Match) -> str:
-        span = m.group()
-        if len(span) > LONGEST and " " not in span:
-            return span
+        span = _RUN.sub(r"\1\1\1", m.group())
         known = self.memo.get(span)
         if known is None:
             if len(self.memo) > 100_000:
                 self.memo.clear()
-            known = self.memo[span] = viterbi(span, self.model)
+            parts = [span[at : at + PIECE] for at in range(0, len(span), PIECE)]
+            known = self.memo[span] = "".join(viterbi(part, self.model) for part in parts)
         return known
 
     def restore(self, text: str) -> str:

@@ -3,7 +3,9 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
+from collections import Counter
 import re
 import zlib
 
@@ -107,6 +109,13 @@ def test_near_duplicates_edge_rows(docs_of, rows_of):
     assert simhash.drop_near_duplicates(docs_of([])).count() == 0
 
 
+def test_copies_of_a_doc_id_with_map_columns(spark, docs_of):
+    docs = docs_of([(1, "one two three four five"), (1, "one two three four five"), (2, "one two three four five"), (3, "other words")])
+    docs = docs.withColumn("tags", F.create_map(F.lit("a"), F.col("doc_id"))).withColumn("parts", F.array(F.create_map(F.lit("b"), F.lit(1))))
+    out = simhash.drop_near_duplicates(docs)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 3]
+
+
 def test_a_doc_id_on_several_texts_leaves_one_row_of_each_component(docs_of):
     text = lambda t: " ".join(f"{t}{i}" for i in range(40))
     a, b, c, d = map(text, "abcd")
@@ -320,6 +329,80 @@ def test_statistics_of_edge_texts(docs_of, rows_of):
     assert set(out[0]["s"].values()) == {0.0} and out[0]["s"] == out[1]["s"]
 
 
+def plain_statistics(text):
+    """The statistics as their names say, over the whole text at one time."""
+    n = len(text)
+    if not n:
+        return [0.0] * len(quality.STATISTICS)
+    share = lambda test: sum(map(test, text)) / n
+    words, lines = text.split(), text.split(b"\n")
+    per = max(1, len(words))
+    letters = [b for b in text if chr(b).isalpha() and b < 128]
+    by_word, by_line = Counter(words), Counter(lines)
+    marks, blanks = b".,;:?'\"()-", b" \t\r\x0b\x0c"
+    symbol = lambda b: b < 128 and not chr(b).isalnum() and b not in marks + blanks + b"!|\n"
+    p = np.array(list(Counter(text).values())) / n
+    return [
+        math.log1p(n), math.log1p(len(words)), sum(map(len, words)) / per, math.log1p(max(map(len, words), default=0)),
+        sum(chr(b).isupper() for b in letters) / max(1, len(letters)), share(lambda b: 48 <= b <= 57), share(lambda b: b in marks),
+        share(lambda b: b == ord("!")), share(symbol), share(lambda b: b == ord("|")), share(lambda b: b in blanks),
+        math.log1p(n / len(lines)), share(lambda b: b >= 128), len(by_word) / per, max(by_word.values(), default=0) / per,
+        sum(a == b for a, b in zip(words, words[1:])) / per, sum(len(w) <= 3 for w in words) / per, len(by_line) / len(lines),
+        max(by_line.values()) / len(lines), sum(not w[-1:].isalnum() and w[-1] < 128 for w in words) / per, float(-(p * np.log2(p)).sum()),
+    ]
+
+
+def test_statistics_equal_a_plain_version_of_the_whole_text(docs_of, rows_of, monkeypatch):
+    rng = random.Random(9)
+    mixed = "".join(rng.choice(["word ", "Word\n", "é|", "12! ", "\n\n", "$ ", "same same ", "\t"]) for _ in range(400_000))
+    texts = [mixed, "the same line again\n" * 160_000, "one long line without its end " * 100_000, "w" * 3_300_000, "a b\n" + " " * 1_200_000 + "\nb b"]
+    for r, text in zip(rows_of(docs_of(texts).select("doc_id", quality.statistics("text").alias("s"))), texts, strict=True):
+        assert list(r["s"].values()) == pytest.approx(plain_statistics(text.encode()), rel=1e-9, abs=1e-12)
+    plain = quality.byte_segments
+    monkeypatch.setattr(quality, "byte_segments", lambda text: plain(text, 7))
+    for _ in range(300):
+        text = "".join(rng.choice("ab \n\té!1") for _ in range(rng.randrange(1, 90))).encode()
+        assert quality.statistics_of(text) == pytest.approx(plain_statistics(text), rel=1e-9, abs=1e-12)
+
+
+def test_compiled_rules_equal_plain_evaluation(spark, docs_of):
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("abc DEF!1|\n.") for _ in range(rng.randrange(0, 300))) for _ in range(200)] + [None]
+    found = docs_of(texts).select("doc_id", quality.statistics("text").alias("_s")).collect()
+    values = {r["doc_id"]: list(r["_s"]) for r in found}
+    for _ in range(5):
+        rules = tuple(
+            tuple((k := rng.randrange(len(quality.STATISTICS)), rng.random() < 0.5, values[rng.randrange(200)][k]) for _ in range(rng.randrange(1, 4)))
+            for _ in range(30)
+        )
+        model = quality.RuleModel(rules, tuple(rng.uniform(-2, 2) for _ in rules), rng.uniform(-1, 1))
+        out = docs_of(texts).select("doc_id", quality.statistics("text").alias("_s")).select("doc_id", model.score("_s").alias("x"))
+        for r in out.collect():
+            v = values[r["doc_id"]]
+            holds = [all(v[k] <= t if at_most else v[k] > t for k, at_most, t in rule) for rule in rules]
+            total = model.intercept + sum(w for w, h in zip(model.weights, holds, strict=True) if h)
+            assert r["x"] == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_samples_of_very_many_rows_are_not_empty(spark):
+    class Many:
+        """A frame that says it has 1e13 rows."""
+
+        def __init__(self, df):
+            self.df = df
+
+        def count(self):
+            return 10**13
+
+        def where(self, condition):
+            return condition
+
+    df = spark.range(1000).withColumnRenamed("id", "doc_id")
+    limit = quality.sample_by_hash(Many(df), 30_000)
+    assert str(int((1 << 62) * 30_000 / 10**13)) in str(limit) and df.where(limit).count() == 0
+    assert 380 < quality.sample_by_hash(df, 500).count() < 620 and quality.sample_by_hash(df, 1000).count() == 1000
+
+
 def test_tree_paths_are_conjunctions():
     tree = (
         "DecisionTreeClassificationModel: depth=2\n  If (feature 3 <= 0.5)\n   If (feature 3 <= 0.2)\n    Predict: 0.0\n"
@@ -366,9 +449,66 @@ def test_viterbi_restores_disguised_words():
     pairs = {
         "you 1d10t, and m0r0n": "you idiot, and moron", "i d i o t": "idiot", "idiiiiot": "idiot", "w.o.r.t.h.l.e.s.s": "worthless",
         "$cum": "scum", "p@thetic": "pathetic", "lo$er people": "loser people", "a normal line, of words!": "a normal line, of words!",
-        "": "", "x" * 60: "x" * 60, "line one\ncl0wn\nline two": "line one\nclown\nline two",
+        "": "", "line one\ncl0wn\nline two": "line one\nclown\nline two",
+    }
+    assert {k: restorer.restore(k) for k in pairs} == pairs
+
+
+def small_language_model(words):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["  ".join([" ".join(words)] * 50)])], names=["text"])
+    out = list(toxicity._count_trigrams([batch]))[0]
+    counts = np.zeros(toxicity.SYMBOLS**3)
+    counts[out.column(0).to_numpy()] = out.column(1).to_numpy()
+    return toxicity.language_model(counts)
+
+
+def test_signs_at_the_end_and_long_spans_are_restored():
+    words = ["idiot", "ass", "damn", "scum", "moron", "and", "the", "quiet", "text", "of", "people"]
+    restorer = toxicity.Restorer(small_language_model(words))
+    pairs = {
+        "idio7": "idiot", "idi0+": "idiot", "a55": "ass", "a$$": "ass", "you a55, idio7.": "you ass, idiot.",
+        "i" + "d" * 70 + "iot": "idiot", "m" * 200 + "o" * 200 + "ron": "moron", "-".join("moron" * 30): "moron" * 30,
+        "quiet text!": "quiet text!", "the text of people.": "the text of people.",
     }
     assert {k: restorer.restore(k) for k in pairs} == pairs
+    assert all(toxicity.SUSPECT.fullmatch(w) and len(toxicity.suspects(w)) for w in ("dam*", "idio7", "idi0+", "a55", "as$"))
+    long = "".join(random.Random(1).choice("0123456789abcdef") for _ in range(9000))
+    assert len(restorer.restore(long)) > 4000 and restorer.restore("z" * 60) in ("z", "zz", "zzz")
+
+
+def test_viterbi_equals_search_of_all_paths():
+    model = small_language_model(["idiot", "ass", "damn", "zoo", "bee", "too"])
+    rng = random.Random(12)
+
+    def paths(steps, k=0):
+        if k == len(steps):
+            yield 0.0, ()
+            return
+        _, drop, edges = steps[k]
+        for cost, rest in paths(steps, k + 1):
+            if drop > -math.inf:
+                yield cost + drop, rest
+            for symbol, c in edges:
+                yield cost + c, ((symbol, steps[k][0]), *rest)
+
+    def score(path):
+        a = b = toxicity.BORDER
+        total = 0.0
+        for symbol, _ in path:
+            total, a, b = total + model[a, b, symbol], b, symbol
+        return total + model[a, b, toxicity.BORDER]
+
+    for _ in range(150):
+        span = "".join(rng.choice("ado0155s$1i..-") for _ in range(rng.randrange(1, 7)))
+        steps = toxicity.lattice(span)
+        best = max(cost + score(path) for cost, path in paths(steps))
+        found = {
+            "".join(chr(97 + x) if x < 26 else " " if x == toxicity.BORDER else c for x, c in path)
+            for cost, path in paths(steps) if cost + score(path) > best - 1e-9
+        }
+        assert toxicity.viterbi(span, model) in found
 
 
 def test_lines_without_suspect_places_have_no_match():
@@ -423,11 +563,15 @@ def plain_nearest(rows, every, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("case", ["plain", "copies", "few", "empty"])
+@pytest.mark.parametrize("case", ["plain", "copies", "few", "empty", "large", "mixed"])
 def test_neighbours_against_brute_force(spark, case):
     rng = np.random.default_rng(3)
-    count = {"plain": 300, "copies": 300, "few": 7, "empty": 0}[case]
+    count = {"plain": 300, "copies": 300, "few": 7, "empty": 0, "large": 200, "mixed": 200}[case]
     rows = [(k, rng.standard_normal(12).astype(np.float32).astype(float).tolist()) for k in range(count)]
+    if case == "large":  # products beyond the range of single precision, up to the end of double precision
+        rows = [(k, [x * (1e20, 1e150)[k // 5 % 2] for x in v]) for k, v in rows] + [(305, [1e157] * 12)]
+    if case == "mixed":
+        rows = [(k, [x * (1.0, 1e25, 1e-25)[k % 3] for x in v]) for k, v in rows]
     if case == "copies":
         rows = [(k, rows[0][1] if k % 3 else v) for k, v in rows]
         rows += [(500, [1.0] * 5), (501, None), (502, [0.0] * 12), (503, [None] + [1.0] * 11), (504, [float("nan")] * 12),
@@ -451,7 +595,7 @@ def test_error_bounds_hold_for_nearly_all_pairs():
     )
     inside = total = 0
     for entries, low, high in ann._bounds([codes], q, 32, bits, 5, 3.5):
-        exact = x[entries] @ q.T
+        exact = x[entries] @ (q / np.linalg.norm(q, axis=1, keepdims=True)).T  # bounds are for queries of unit length
         inside += ((low <= exact) & (exact <= high)).sum()
         total += exact.size
     assert inside / total > 0.999
