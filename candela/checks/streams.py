@@ -17,9 +17,11 @@ from candela.operators import dims
 from candela.schema import BAR_COLUMNS
 from candela.session import scratch_dir
 from candela.sinks.tables import export, write_table
-from candela.sources.csv_bars import read_bars_csv, read_bars_stream, write_bars_csv
+from candela.sources.csv_bars import read_bars_csv, read_bars_stream, read_checked_stream, write_bars_csv
 from candela.sources.metadata import empty_ticker_metadata, read_ticker_metadata
-from candela.sources.staging import LATE, broken_bars, broken_events, null_users, stale_copies, stamped, with_symbols
+from candela.sources.staging import (
+    LATE, broken_bars, broken_events, null_users, stale_copies, stamped, with_symbols, write_malformed_csv,
+)
 from candela.sources.tables import read_stored, read_table
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
 from candela.streaming import jobs
@@ -81,6 +83,17 @@ def q_ingest_listed(spark, sf):
     return norm(read_bars_csv(spark, raw, tickers=LISTED).select(*BAR_COLUMNS))
 
 
+def q_ingest_quarantine(spark, sf):
+    """Good rows land as they are; malformed ones are held back with their reason, over two incremental runs."""
+    raw, sink, bad, ckpt = (scratch_dir(spark, n) for n in ("bad-raw", "bad-sink", "bad-rows", "bad-ckpt"))
+    for drop in _bar_drops(load_bars(spark, sf)):
+        write_malformed_csv(drop, raw)
+        jobs.run_ingest_with_quarantine(read_checked_stream(spark, raw), sink, bad, ckpt)
+    good = jobs.read_appended(spark, sink).select(*BAR_COLUMNS, F.lit(None).cast("string").alias("reason"), F.lit(1).alias("n_rows"))
+    held = jobs.read_appended(spark, bad).groupBy("ticker", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return norm(good.unionByName(held, allowMissingColumns=True))
+
+
 def q_metadata_records(spark, sf):
     """Metadata as records of a JSON file source, joined to the tickers of the bars."""
     path = scratch_dir(spark, "metadata")
@@ -251,6 +264,7 @@ STREAM_QUERIES = {
     "export_roundtrip": q_export_roundtrip,
     "ingest_symbols": q_ingest_symbols,
     "ingest_listed": q_ingest_listed,
+    "ingest_quarantine": q_ingest_quarantine,
     "metadata_records": q_metadata_records,
     "metadata_empty": q_metadata_empty,
     "view_of_table": q_view_of_table,
@@ -300,8 +314,18 @@ def stream_oracle_sql() -> dict[str, str]:
     broken = O._broken("(SELECT *, close AS adj FROM bars)", "close")
     columns = ", ".join(c if "adj_close" not in c else r4("adj", "adj_close") for c in O.BAR_OUT)
     stale = f"SELECT {columns.replace('(close)', '(close + 1.0)').replace('(adj)', '(adj + 1.0)')} FROM broken WHERE ticker IS NULL OR date IS NULL"
+    reason = (
+        "CASE day(date) WHEN 4 THEN 'short row: 4 fields' WHEN 6 THEN 'long row: 8 fields' WHEN 8 THEN 'not parsed: close' "
+        "WHEN 9 THEN 'not parsed: date' WHEN 10 THEN 'not parsed: close, volume' END"
+    )
+    empty = ", ".join("NULL" for _ in BAR_COLUMNS[1:])
+    quarantine = (
+        f"{with_(BARS)} SELECT *, NULL AS reason, 1 AS n_rows FROM ({bars_select(f'(SELECT * FROM bars WHERE {reason} IS NULL)')}) "
+        f"UNION ALL SELECT ticker, {empty}, {reason}, count(*) FROM bars WHERE {reason} IS NOT NULL GROUP BY ticker, {reason}"
+    )
     return {
         "ingest_bars": bars,
+        "ingest_quarantine": quarantine,
         "ingest_symbols": symbols,
         "union_bars": bars,
         "export_roundtrip": bars,

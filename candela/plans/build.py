@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from candela.operators import dims, facts, indicators, quality, views
 from candela.operators.dedup import dedup_bars
 from candela.session import ensure_checkpoint_dir
+from candela.sinks import parts
 from candela.sinks.tables import export, table_exists, write_table
 from candela.sources.csv_bars import read_bars_stream
 from candela.sources.tables import read_stored
@@ -71,15 +72,16 @@ def build_all(
     p = {t: os.path.join(root, t) for t in TABLES}
     ck = lambda name: os.path.join(root, "_checkpoints", name)
 
-    # Bronze: new raw files only, one table partitioned by ticker.
+    # Bronze: new raw files only, one table with a folder per month (folders and files do not grow with the tickers).
     raw = read_bars_stream(spark, raw_dir)
-    jobs.run_append(raw, p["bronze"], ck("bronze"), partition_by=["ticker"])
+    landed = raw.withColumn(jobs.PERIOD, jobs.period_of(raw.columns, "date"))
+    jobs.run_append(landed, p["bronze"], ck("bronze"), partition_by=[jobs.PERIOD])
 
     # Silver landing: stream from bronze, stamp, count rule failures (rows kept).
-    bronze_stream = spark.readStream.schema(raw.schema).parquet(p["bronze"])
+    bronze_stream = spark.readStream.schema(landed.schema).parquet(p["bronze"])
     silver_counts = jobs.run_append_with_expectations(
         jobs.with_load_stamp(bronze_stream.select(raw.columns)), quality.silver_rules(year_floor), p["silver_cleaned"],
-        ck("silver_cleaned"), partition_by=["ticker"], metric_name="silver_expectations",
+        ck("silver_cleaned"),
     )
 
     # Indicators over the deduplicated bars (duplicate dates would make row frames ambiguous).
@@ -94,9 +96,10 @@ def build_all(
     # Dimensions.
     write_table(dims.dim_date(silver), p["dim_date"])
     changes = dims.dim_tickers_source(silver, metadata)
+    parts.finish_table(spark, p["dim_tickers"])
     current = read_stored(spark, p["dim_tickers"], changes.schema) if table_exists(spark, p["dim_tickers"]) else None
-    merged = dims.scd1_latest(changes, ["ticker_key"], ["modified_date"], target=current).checkpoint()
-    write_table(merged, p["dim_tickers"])
+    merged = dims.scd1_latest(changes, ["ticker_key"], ["modified_date"], target=current)
+    parts.replace_table(merged, p["dim_tickers"], "dim_tickers")
     dd, dt = spark.read.parquet(p["dim_date"]), spark.read.parquet(p["dim_tickers"])
 
     # Facts. The daily fact keeps its ``year`` partition column, which the views filter on beside the date.

@@ -68,3 +68,23 @@ def broken_events(events: DataFrame) -> DataFrame:
 def null_users(events: DataFrame) -> DataFrame:
     """Events of which some users are unknown."""
     return events.withColumn("user_id", F.when(F.col("user_id") % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")))
+
+
+#: Days of the month whose staged rows are malformed, and how.
+SHORT_DAY, LONG_DAY, TEXT_DAY, DATE_DAY, TWO_DAY = 4, 6, 8, 9, 10
+
+
+def write_malformed_csv(bars: DataFrame, raw_dir: str) -> None:
+    """Raw drops of the bars in which the rows of some days of the month are malformed, as lines of text under a header."""
+    day = F.coalesce(F.dayofmonth("date"), F.lit(0))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    fields = {c: text(c) for c in ("open", "high", "low", "close", "adj_close", "volume")}
+    fields["close"] = F.when(day.isin(TEXT_DAY, TWO_DAY), "oops").otherwise(fields["close"])
+    fields["volume"] = F.when(day == TWO_DAY, "n/a").otherwise(fields["volume"])
+    date = F.when(day == DATE_DAY, "someday").otherwise(text("date"))
+    line = F.concat_ws(",", date, *fields.values())
+    line = F.when(day == SHORT_DAY, F.substring_index(line, ",", 4)).when(day == LONG_DAY, F.concat(line, F.lit(",extra"))).otherwise(line)
+    rows = bars.select("ticker", F.lit(1).alias("at"), line.alias("line"))
+    header = bars.select("ticker").distinct().select("ticker", F.lit(0).alias("at"), F.lit("Date,Open,High,Low,Close,Adj Close,Volume").alias("line"))
+    ordered = rows.unionByName(header).repartition("ticker").sortWithinPartitions("ticker", "at")
+    ordered.select("ticker", "line").write.mode("append").partitionBy("ticker").text(raw_dir)

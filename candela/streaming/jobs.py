@@ -9,10 +9,11 @@ exactly where the last committed batch ended.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+import datetime as dt
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -20,7 +21,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from candela.operators.dedup import dedup_bars
 from candela.operators.dims import scd1_latest
 from candela.operators.quality import Rules, observe_rules
+from candela.sinks import parts
 from candela.sinks.tables import table_exists
+from candela.sources import csv_bars
 
 
 def union_streams(*dfs: DataFrame) -> DataFrame:
@@ -54,12 +57,6 @@ def with_load_stamp(df: DataFrame, col: str = "processed_timestamp") -> DataFram
     return df.withColumn(col, F.current_timestamp())
 
 
-def clustered(df: DataFrame, partition_by: Sequence[str], files: int) -> DataFrame:
-    """Gather the rows of a partition folder into at most ``files`` tasks (a hot folder keeps that many writers)."""
-    spread = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(files))
-    return df.repartition(*partition_by, spread)
-
-
 def run_append(
     stream: DataFrame,
     sink_path: str,
@@ -75,7 +72,7 @@ def run_append(
     files per partition folder.
     """
     if partition_by:
-        stream = clustered(stream, partition_by, files_per_partition)
+        stream = parts.clustered(stream, partition_by, files_per_partition)
     w = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -94,49 +91,79 @@ def _run_batches(stream: DataFrame, checkpoint: str, batch_fn) -> StreamingQuery
     return q
 
 
-# -- layouts of tables that jobs rewrite by parts ----------------------------
-#
-# ``<table>/_layout`` holds the table's schema (with its partition columns) and
-# its number of hash buckets, written when the table is created. Readers take
-# the schema from there, so folder names are never read as numbers or dates,
-# and a job that is started with another bucket count keeps the table's.
+# -- appends that replace themselves ---------------------------------------------
 
+BATCH, ATTEMPT, PERIOD = "_batch", "_attempt", "_period"
+NO_PERIOD = "none"
+COUNTS = f"{BATCH} long, {ATTEMPT} string, rule string, failed long, at timestamp"
 
-def _layout(spark: SparkSession, path: str) -> tuple[StructType, int] | None:
-    if not table_exists(spark, f"{path}/_layout", "json"):
-        return None
-    row = spark.read.schema("schema string, buckets int").json(f"{path}/_layout").first()
-    return StructType.fromJson(json.loads(row["schema"])), row["buckets"]
 
+def period_of(names: Sequence[str], date_col: str) -> Column:
+    """Folder of a row: the month of its date; one folder for rows without one."""
+    if date_col not in names:
+        return F.lit(NO_PERIOD)
+    return F.coalesce(F.date_format(date_col, "yyyy-MM"), F.lit(NO_PERIOD))
 
-def _buckets(spark: SparkSession, path: str, schema: StructType, buckets: int) -> int:
-    """The stored bucket count of the table, or ``buckets`` for a table that does not exist yet."""
-    known = _layout(spark, path)
-    if known is not None:
-        return known[1]
-    row = [(json.dumps(schema.jsonValue()), buckets)]
-    spark.createDataFrame(row, "schema string, buckets int").coalesce(1).write.mode("overwrite").json(f"{path}/_layout")
-    return buckets
 
+class BatchSink:
+    """A table to which micro-batches append, each exactly once.
 
-def _read_parts(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table with its partition columns; None before the first write."""
-    known = _layout(spark, path)
-    if known is None or not table_exists(spark, path):
-        return None
-    return spark.read.schema(known[0]).parquet(path).select(known[0].names)
+    The rows lie in one folder per month of ``date_col``, so the number of
+    folders does not grow with the number of batches or tickers. A batch
+    appends its rows under an attempt of its own, and then its counters (and
+    a total) with the name of that attempt. Readers take, for each batch, the
+    rows of the attempt that wrote its counters last: a batch that is run
+    again after a crash replaces itself, and rows without counters do not
+    count.
+    """
 
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, date_col: str, partition_by: Sequence[str] = (), files_per_partition: int = 4
+    ):
+        extra = [StructField(BATCH, LongType()), StructField(ATTEMPT, StringType()), StructField(PERIOD, StringType())]
+        parts.create(spark, path, StructType([*schema.fields, *extra]))
+        self.spark, self.path, self.period = spark, path, period_of(schema.names, date_col)
+        self.folders, self.files = [PERIOD, *partition_by], files_per_partition
+
+    def append(self, rows_: DataFrame, batch_id: int, rules: Rules = ()) -> None:
+        attempt = uuid.uuid4().hex
+        seen = Observation(f"batch_{batch_id}_{attempt}")
+        placed = rows_.withColumns({BATCH: F.lit(batch_id).cast("long"), ATTEMPT: F.lit(attempt), PERIOD: self.period})
+        placed = observe_rules(parts.clustered(placed, self.folders, self.files), list(rules), seen)
+        placed.write.mode("append").partitionBy(*self.folders).parquet(self.path)
+        now = dt.datetime.now(dt.timezone.utc)
+        counts = [(batch_id, attempt, k, int(v or 0), now) for k, v in seen.get.items()]
+        self.spark.createDataFrame(counts, COUNTS).coalesce(1).write.mode("append").parquet(f"{self.path}/_counts")
+
+
+def _attempts(spark: SparkSession, sink_path: str) -> DataFrame | None:
+    """The counters of the attempt that holds for each batch; None before the first."""
+    if not table_exists(spark, f"{sink_path}/_counts"):
+        return None
+    counts = spark.read.schema(COUNTS).parquet(f"{sink_path}/_counts")
+    last = counts.groupBy(BATCH).agg(F.max_by(ATTEMPT, F.struct("at", ATTEMPT)).alias(ATTEMPT))
+    return counts.join(last, [BATCH, ATTEMPT], "left_semi")
 
-def _replace_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
-    """Write the part folders that ``df`` has rows for; other folders are not touched."""
-    (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-    )
 
+def read_appended(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Rows of a :class:`BatchSink`, with their declared types."""
+    schema, _ = parts.layout(spark, sink_path)
+    names = [c for c in schema.names if c not in (BATCH, ATTEMPT, PERIOD)]
+    held = _attempts(spark, sink_path)
+    if held is None or not table_exists(spark, sink_path):
+        return spark.createDataFrame([], schema).select(names)
+    rows_ = spark.read.schema(schema).parquet(sink_path)
+    return rows_.join(held.select(BATCH, ATTEMPT).distinct(), [BATCH, ATTEMPT], "left_semi").select(names)
 
-# -- expectations -------------------------------------------------------------
 
-BATCH = "_batch"
+def expectation_counts(spark: SparkSession, sink_path: str, batches: Sequence[int] | None = None) -> dict[str, int]:
+    """Rule failures (and ``total`` rows) over all batches of the sink, or over the given ones."""
+    counts = _attempts(spark, sink_path)
+    if counts is None:
+        return {}
+    if batches is not None:
+        counts = counts.where(F.col(BATCH).isin(list(batches)) if batches else F.lit(False))
+    return {r["rule"]: r["failed"] for r in counts.groupBy("rule").agg(F.sum("failed").alias("failed")).collect()}
 
 
 def run_append_with_expectations(
@@ -145,55 +172,54 @@ def run_append_with_expectations(
     sink_path: str,
     checkpoint: str,
     partition_by: Sequence[str] = (),
-    metric_name: str = "expectations",
     files_per_partition: int = 4,
+    date_col: str = "date",
 ) -> dict[str, int]:
-    """Append (warn mode: all rows kept) while counting rule failures per batch.
-
-    A micro-batch writes its rows under ``_batch=<id>`` and its counters
-    under ``_counts/_batch=<id>``, both by overwriting, so a batch that is
-    run again after a crash replaces itself: counts and rows are neither
-    lost nor doubled. Read the rows with :func:`read_appended` and the
-    counters of all runs with :func:`expectation_counts`; returned are those
-    of the batches of this run.
+    """Append (warn mode: all rows kept) to a :class:`BatchSink` while counting rule failures per batch.
+
+    Read the rows with :func:`read_appended` and the counters of all runs
+    with :func:`expectation_counts`; returned are those of the batches of
+    this run. ``partition_by`` adds folders below those of the months.
     """
     spark = stream.sparkSession
-    schema = stream.schema
-    _buckets(spark, sink_path, StructType([*schema.fields, StructField(BATCH, LongType())]), 0)
-
+    sink = BatchSink(spark, sink_path, stream.schema, date_col, partition_by, files_per_partition)
     ran: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         ran.append(batch_id)
-        seen = Observation(f"{metric_name}_{batch_id}")
-        rows_ = clustered(batch, partition_by, files_per_partition) if partition_by else batch
-        rows_ = observe_rules(rows_, rules, seen).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        _replace_parts(rows_, sink_path, [BATCH, *partition_by])
-        counts = [(batch_id, k, int(v or 0)) for k, v in seen.get.items()]
-        _replace_parts(
-            spark.createDataFrame(counts, f"{BATCH} long, rule string, failed long").coalesce(1), f"{sink_path}/_counts", [BATCH]
-        )
+        sink.append(batch, batch_id, rules)
 
     _run_batches(stream, checkpoint, write)
     return expectation_counts(spark, sink_path, ran)
 
 
-def read_appended(spark: SparkSession, sink_path: str) -> DataFrame:
-    """Rows written by :func:`run_append_with_expectations`, with their declared types."""
-    schema, _ = _layout(spark, sink_path)
-    if not table_exists(spark, sink_path):
-        return spark.createDataFrame([], StructType(schema.fields[:-1]))
-    return spark.read.schema(schema).parquet(sink_path).select(schema.names[:-1])
+def run_ingest_with_quarantine(
+    checked: DataFrame, sink_path: str, quarantine_path: str, checkpoint: str, rules: Rules = ()
+) -> dict[str, int]:
+    """Good rows to one sink, malformed ones with their text, file and reason to another.
 
+    ``checked`` comes from :func:`candela.sources.csv_bars.read_checked_stream`.
+    Both sinks replace the rows of a batch that is run again. Returned are
+    this run's counts: ``total`` and the failures of ``rules`` among the good
+    rows, and ``malformed``. Read both with :func:`read_appended`.
+    """
+    spark = checked.sparkSession
+    good = lambda df: df.where(F.col(csv_bars.REASON).isNull()).drop(*csv_bars.CHECK_COLUMNS)
+    bad = lambda df: df.where(F.col(csv_bars.REASON).isNotNull()).select("ticker", *csv_bars.CHECK_COLUMNS)
+    rows_sink = BatchSink(spark, sink_path, good(checked).schema, "date")
+    bad_sink = BatchSink(spark, quarantine_path, bad(checked).schema, "date")
+    ran: list[int] = []
 
-def expectation_counts(spark: SparkSession, sink_path: str, batches: Sequence[int] | None = None) -> dict[str, int]:
-    """Rule failures (and ``total`` rows) over all batches of the sink, or over the given ones."""
-    if not table_exists(spark, f"{sink_path}/_counts"):
-        return {}
-    counts = spark.read.schema(f"rule string, failed long, {BATCH} long").parquet(f"{sink_path}/_counts")
-    if batches is not None:
-        counts = counts.where(F.col(BATCH).isin(list(batches)) if batches else F.lit(False))
-    return {r["rule"]: r["failed"] for r in counts.groupBy("rule").agg(F.sum("failed").alias("failed")).collect()}
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ran.append(batch_id)
+        batch.persist()  # the files are parsed once for both sinks
+        rows_sink.append(good(batch), batch_id, rules)
+        bad_sink.append(bad(batch), batch_id)
+        batch.unpersist()
+
+    _run_batches(checked, checkpoint, write)
+    counts = expectation_counts(spark, sink_path, ran)
+    return {**counts, "malformed": expectation_counts(spark, quarantine_path, ran).get("total", 0)}
 
 
 # -- merges -------------------------------------------------------------------
@@ -221,29 +247,30 @@ def run_scd1(
     """
     spark = changes.sparkSession
     schema = StructType([*changes.schema.fields, StructField(BUCKET, LongType())])
-    count = _buckets(spark, target_path, schema, buckets)
+    count = parts.create(spark, target_path, schema, buckets)
+    parts.finish_pending(spark, target_path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         latest = scd1_latest(batch, keys, sequence_by)
         latest = latest.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(count))).select(schema.names).checkpoint()
-        current = _read_parts(spark, target_path)
-        merged = latest
-        if current is not None:
+
+        def merged() -> DataFrame:
+            current = parts.read_parts(spark, target_path)
+            if current is None:
+                return latest
             touched = F.broadcast(latest.select(BUCKET).distinct())  # at most `count` rows
             current = current.join(touched, BUCKET, "left_semi").select(schema.names)
-            merged = scd1_latest(current.unionByName(latest), keys, sequence_by).checkpoint()
-        _replace_parts(clustered(merged, [BUCKET], 1), target_path, [BUCKET])
+            return scd1_latest(current.unionByName(latest), keys, sequence_by)
+
+        parts.publish(spark, target_path, [BUCKET], f"{checkpoint}#{batch_id}", merged)
 
     return _run_batches(changes, checkpoint, merge)
 
 
 def read_scd1(spark: SparkSession, target_path: str) -> DataFrame:
-    """The dimension written by :func:`run_scd1` (without the bucket column)."""
-    return _read_parts(spark, target_path).drop(BUCKET)
-
-
-PERIOD = "_period"
-NO_PERIOD = "none"
+    """The dimension written by :func:`run_scd1` (without the bucket column); None before the first batch."""
+    stored = parts.read_parts(spark, target_path)
+    return None if stored is None else stored.drop(BUCKET)
 
 
 def _placed(bars: DataFrame, count: int, source: str) -> DataFrame:
@@ -258,13 +285,13 @@ def _placed(bars: DataFrame, count: int, source: str) -> DataFrame:
 def create_bars_table(bars: DataFrame, target_path: str, buckets: int = 16) -> None:
     """A bars table for :func:`run_upsert_bars`, partitioned by month and ticker bucket."""
     fields = [*bars.schema.fields, StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())]
-    count = _buckets(bars.sparkSession, target_path, StructType(fields), buckets)
-    _replace_parts(clustered(_placed(bars, count, ""), [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
+    count = parts.create(bars.sparkSession, target_path, StructType(fields), buckets)
+    parts.replace_parts(parts.clustered(_placed(bars, count, ""), [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
 
 
 def read_bars_table(spark: SparkSession, target_path: str) -> DataFrame:
     """The rows of a bars table, with their declared types."""
-    return _read_parts(spark, target_path).drop(BATCH, PERIOD, BUCKET)
+    return parts.read_parts(spark, target_path).drop(BATCH, PERIOD, BUCKET)
 
 
 def run_upsert_bars(
@@ -275,30 +302,42 @@ def run_upsert_bars(
     keys: Sequence[str] = ("ticker", "date"),
     sequence_by: str = "processed_timestamp",
     buckets: int = 16,
+    on_merged: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """O2: merge changed bars into a table partitioned by month and ticker bucket.
 
     Per micro-batch: the rows of the touched (month, bucket) parts are read
     (partition pruning), unioned with the batch, reduced to the latest copy
-    per key, checkpointed to cut the lineage to the files about to be
-    replaced, and written back over just those parts; other parts' files
-    stay as they are. Rows with a NULL key part have no identity: all are
-    kept, and a batch that is run again after a crash replaces its own.
+    per key, and written back over just those parts by way of a redo record
+    (:func:`candela.sinks.parts.publish`); other parts' files stay as they
+    are. Rows with a NULL key part have no identity: all are kept, and a
+    batch that is run again after a crash replaces its own.
+
+    ``on_merged(batch, batch_id)`` is called after a batch is published and
+    before the stream commits it, e.g. to refresh tables that follow from
+    this one (:func:`candela.streaming.refresh.refresh_indicators`); like the
+    merge it runs again after a crash, so it must be repeatable.
     """
     plain = updates.schema.fields
     schema = StructType([*plain, StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())])
-    count = _buckets(spark, target_path, schema, buckets)
+    count = parts.create(spark, target_path, schema, buckets)
+    parts.finish_pending(spark, target_path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         source = f"{checkpoint}#{batch_id}"
         new = _placed(batch, count, source).checkpoint()
-        rows_ = new
-        current = _read_parts(spark, target_path)
-        if current is not None:
-            touched = F.broadcast(new.select(PERIOD, BUCKET).distinct())  # months of the batch x buckets
-            current = current.join(touched, [PERIOD, BUCKET], "left_semi").where(F.col(BATCH) != source)
-            rows_ = current.unionByName(new)
-        merged = dedup_bars(rows_, keys, sequence_by, keep_sequence=True).checkpoint()
-        _replace_parts(clustered(merged, [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
+
+        def merged() -> DataFrame:
+            rows_ = new
+            current = parts.read_parts(spark, target_path)
+            if current is not None:
+                touched = F.broadcast(new.select(PERIOD, BUCKET).distinct())  # months of the batch x buckets
+                current = current.join(touched, [PERIOD, BUCKET], "left_semi").where(F.col(BATCH) != source)
+                rows_ = current.unionByName(new)
+            return dedup_bars(rows_, keys, sequence_by, keep_sequence=True)
+
+        parts.publish(spark, target_path, [PERIOD, BUCKET], source, merged)
+        if on_merged is not None:
+            on_merged(new.drop(BATCH, PERIOD, BUCKET), batch_id)
 
     return _run_batches(updates, checkpoint, merge)
