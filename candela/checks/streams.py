@@ -20,15 +20,16 @@ from candela.sinks.tables import export, write_table
 from candela.sources.csv_bars import read_bars_csv, read_bars_stream, read_checked_stream, write_bars_csv
 from candela.sources.metadata import empty_ticker_metadata, read_ticker_metadata
 from candela.sources.staging import (
-    LATE, broken_bars, broken_events, null_users, stale_copies, stamped, with_symbols, write_malformed_csv,
+    EARLY, LATE, broken_bars, broken_events, null_users, stale_copies, stamped, with_symbols, write_malformed_csv,
 )
 from candela.sources.tables import read_stored, read_table
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
-from candela.streaming import jobs
+from candela.streaming import jobs, refresh
 
 # Fixed values used to split test tables into two file drops.
 BAR_SPLIT_YEAR = 1998
 LISTED = ["NATION_1", "NATION_10", "NATION_7", "NO SUCH TICKER"]
+CORRECTED_MONTHS = ("1996-03", "1998-11")
 EVENT_SPLIT = "2024-01-16 00:00:00"
 
 # Expectations checked on the event stream.
@@ -163,6 +164,38 @@ def q_upsert_null_keys(spark, sf):
     return norm(_upserted(spark, broken_bars(load_bars(spark, sf))).select(*BAR_COLUMNS))
 
 
+def _refreshed(spark, sf, table_of):
+    """A derived table built from bars of which two months hold stale copies and two more days are missing, refreshed after upserts."""
+    bars = load_bars(spark, sf)
+    month = F.date_format("date", "yyyy-MM")
+    late = month.isin(*CORRECTED_MONTHS)
+    missing = late & F.dayofmonth("date").isin(11, 12)
+    base, target, raw, ckpt = (scratch_dir(spark, n) for n in ("rf-bars", "rf-target", "rf-raw", "rf-ckpt"))
+    first = stamped(bars.where(~late), EARLY).unionByName(stale_copies(bars.where(late & ~missing)))
+    jobs.create_bars_table(first, base, buckets=2)
+    table = table_of(bars)
+    refresh.build_derived(spark, base, target, table)
+    for name in CORRECTED_MONTHS:
+        write_bars_csv(bars.where(month == name), raw)
+        jobs.run_upsert_bars(
+            spark, jobs.with_load_stamp(read_bars_stream(spark, raw)), base, ckpt,
+            on_merged=lambda batch, k: refresh.refresh(spark, base, target, batch, table, f"{ckpt}#{k}"),
+        )
+    return refresh.read_derived(spark, target)
+
+
+def q_refresh_indicators(spark, sf):
+    """O2 -> T13: corrected and added bars are upserted; only the rows that they reach are computed again."""
+    return norm(_refreshed(spark, sf, lambda bars: refresh.silver_table()))
+
+
+def q_refresh_fact(spark, sf):
+    """O2 -> F1: the same for the daily fact."""
+    meta = load_ticker_metadata(spark, sf)
+    tables = lambda bars: refresh.fact_table(dims.dim_date(bars), dims.dim_tickers_source(bars, meta, modified=check_stamp()))
+    return norm(_refreshed(spark, sf, tables))
+
+
 def _stage_events(spark, events: DataFrame, landing: str, drop: DataFrame, first: bool) -> DataFrame:
     drop.write.mode("overwrite" if first else "append").parquet(landing)
     return spark.readStream.schema(events.schema).parquet(landing)
@@ -271,6 +304,8 @@ STREAM_QUERIES = {
     "keys_and_stamps": q_keys_and_stamps,
     "upsert_bars": q_upsert_bars,
     "upsert_null_keys": q_upsert_null_keys,
+    "refresh_indicators": q_refresh_indicators,
+    "refresh_fact": q_refresh_fact,
     "stream_scd1_restart": q_stream_scd1_restart,
     "stream_incremental_append": q_stream_incremental_append,
     "stream_union": q_stream_union,
@@ -338,6 +373,8 @@ def stream_oracle_sql() -> dict[str, str]:
         "count(DISTINCT ticker) AS tickers, true AS stamped FROM bars GROUP BY 1",
         "upsert_bars": bars,
         "upsert_null_keys": f"{with_(BARS, broken)} SELECT {columns} FROM broken UNION ALL {stale}",
+        "refresh_indicators": O.silver_sql(),
+        "refresh_fact": O.fact_sql(),
         "stream_incremental_append": EVENTS_OUT,
         "stream_union": EVENTS_OUT,
         "stream_expect": rules,
