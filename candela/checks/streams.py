@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.checks.oracle import BARS, bars_select, r4, with_
-from candela.checks.queries import check_stamp, norm
-from candela.operators import dims
+from candela.checks.queries import Star, check_stamp, norm
+from candela.operators import dims, partials
 from candela.schema import BAR_COLUMNS
 from candela.session import scratch_dir
 from candela.sinks.tables import export, write_table
@@ -24,11 +24,12 @@ from candela.sources.staging import (
 )
 from candela.sources.tables import read_stored, read_table
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
-from candela.streaming import jobs, refresh
+from candela.streaming import jobs, refresh, summaries
 
 # Fixed values used to split test tables into two file drops.
 BAR_SPLIT_YEAR = 1998
 LISTED = ["NATION_1", "NATION_10", "NATION_7", "NO SUCH TICKER"]
+SUMMARY_CUT = "1998-05-14"
 CORRECTED_MONTHS = ("1996-03", "1998-11")
 EVENT_SPLIT = "2024-01-16 00:00:00"
 
@@ -196,6 +197,44 @@ def q_refresh_fact(spark, sf):
     return norm(_refreshed(spark, sf, tables))
 
 
+def _merged_summary(spark, sf, summary):
+    """A summary merged from two drops of daily rows; the cut lies inside weeks, months and (by ticker) inside a day."""
+    landing, target, ckpt = (scratch_dir(spark, n) for n in ("sum-land", "sum-target", "sum-ckpt"))
+    fact = Star(spark, sf).fact
+    cut = F.lit(SUMMARY_CUT).cast("date")
+    early = (F.col("date") < cut) | ((F.col("date") == cut) & (F.xxhash64("ticker") % 2 == 0))
+    for drop in _split(fact, early):
+        drop.write.mode("append").parquet(landing)
+        summaries.run_merge_summaries(spark, spark.readStream.schema(fact.schema).parquet(landing), {target: summary}, ckpt)
+    return norm(summaries.read_summary(spark, target, summary))
+
+
+def q_fact_weekly_merged(spark, sf):
+    """F3 by merging the partial states of two drops."""
+    return _merged_summary(spark, sf, partials.weekly())
+
+
+def q_fact_monthly_merged(spark, sf):
+    """F4 by merging the partial states of two drops."""
+    return _merged_summary(spark, sf, partials.monthly())
+
+
+def q_kpi_merged(spark, sf):
+    """V5 by merging the partial states of two drops that share a day."""
+    return _merged_summary(spark, sf, partials.daily_health())
+
+
+def q_distinct_tickers_monthly(spark, sf):
+    """Q3 / V5: exact distinct tickers per month from the daily bitmaps of two drops with growing ids."""
+    ids, daily = None, None
+    for drop in _bar_drops(with_symbols(load_bars(spark, sf))):
+        ids = partials.dense_ids(drop, ids)
+        new = partials.ticker_bitmaps(drop, ids, ["date"])
+        daily = new if daily is None else daily.unionByName(new)
+    month = {"year": F.year("date").cast("bigint"), "month": F.month("date").cast("bigint")}
+    return partials.distinct_tickers(partials.merge_bitmaps(daily, month), list(month))
+
+
 def _stage_events(spark, events: DataFrame, landing: str, drop: DataFrame, first: bool) -> DataFrame:
     drop.write.mode("overwrite" if first else "append").parquet(landing)
     return spark.readStream.schema(events.schema).parquet(landing)
@@ -306,6 +345,10 @@ STREAM_QUERIES = {
     "upsert_null_keys": q_upsert_null_keys,
     "refresh_indicators": q_refresh_indicators,
     "refresh_fact": q_refresh_fact,
+    "fact_weekly_merged": q_fact_weekly_merged,
+    "fact_monthly_merged": q_fact_monthly_merged,
+    "kpi_merged": q_kpi_merged,
+    "distinct_tickers_monthly": q_distinct_tickers_monthly,
     "stream_scd1_restart": q_stream_scd1_restart,
     "stream_incremental_append": q_stream_incremental_append,
     "stream_union": q_stream_union,
@@ -375,6 +418,11 @@ def stream_oracle_sql() -> dict[str, str]:
         "upsert_null_keys": f"{with_(BARS, broken)} SELECT {columns} FROM broken UNION ALL {stale}",
         "refresh_indicators": O.silver_sql(),
         "refresh_fact": O.fact_sql(),
+        "fact_weekly_merged": O.weekly_sql(),
+        "fact_monthly_merged": O.monthly_sql(),
+        "kpi_merged": O.v_kpi_sql(),
+        "distinct_tickers_monthly": f"{with_(BARS)} SELECT year(date) AS year, month(date) AS month, "
+        f"count(DISTINCT {symbol}) AS unique_tickers FROM bars GROUP BY 1, 2",
         "stream_incremental_append": EVENTS_OUT,
         "stream_union": EVENTS_OUT,
         "stream_expect": rules,

@@ -165,7 +165,11 @@ def v_kpi_daily_market_health(fact: DataFrame, strict: bool = True, stamp: bool
     ]
     if stamp:
         aggs.append(F.current_timestamp().alias("calculated_timestamp"))
-    out = fact.groupBy("date").agg(*aggs)
+    return with_health_labels(fact.groupBy("date").agg(*aggs), strict)
+
+
+def with_health_labels(out: DataFrame, strict: bool = True) -> DataFrame:
+    """Ratio, sentiment and volatility labels of the daily counts."""
     out = out.withColumn("advance_decline_ratio", safe_div("gainers", "losers"))
     sentiment = bucket("advance_decline_ratio", MARKET_SENTIMENT, "Very bearish")
     if not strict:

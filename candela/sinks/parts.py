@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from candela.files import delete_path, folder_names, path_exists
 from candela.sinks.tables import table_exists
 
-REDO = "_redo"
+REDO, DONE = "_redo", "_done"
 
 
 # -- layout -----------------------------------------------------------------------
@@ -89,30 +89,57 @@ def finish_pending(spark: SparkSession, path: str) -> list[str]:
 
 
 def _publish_record(spark: SparkSession, path: str, record: str) -> str:
-    mark = spark.read.schema("source string, schema string, parts array<string>").json(f"{record}/mark").first()
+    mark = spark.read.schema(MARK).json(f"{record}/mark").first()
     schema = StructType.fromJson(json.loads(mark["schema"]))
     replace_parts(spark.read.schema(schema).parquet(f"{record}/rows"), path, mark["parts"])
+    if mark["stream"] is not None:
+        _note_done(spark, path, mark["stream"], mark["batch"])
     delete_path(spark, f"{record}/mark")  # from here on the record is of no use
     delete_path(spark, record)
     return mark["source"]
 
 
+MARK = "source string, schema string, parts array<string>, stream string, batch long"
+
+
+def _done_file(path: str, stream: str) -> str:
+    return f"{path}/{DONE}/{hashlib.sha256(stream.encode()).hexdigest()[:24]}"
+
+
+def _note_done(spark: SparkSession, path: str, stream: str, batch: int) -> None:
+    spark.createDataFrame([(batch,)], "batch long").coalesce(1).write.mode("overwrite").json(_done_file(path, stream))
+
+
+def last_done(spark: SparkSession, path: str, stream: str) -> int:
+    """The last batch of the stream that is merged for good; -1 before the first."""
+    if not table_exists(spark, _done_file(path, stream), "json"):
+        return -1
+    return spark.read.schema("batch long").json(_done_file(path, stream)).agg(F.max("batch")).first()[0]
+
+
 def publish(
-    spark: SparkSession, path: str, parts: Sequence[str], source: str, merged: Callable[[], DataFrame], files_per_part: int = 1
+    spark: SparkSession, path: str, parts: Sequence[str], source: str, merged: Callable[[], DataFrame], files_per_part: int = 1,
+    once: tuple[str, int] | None = None,
 ) -> None:
     """Replace the parts that ``merged()`` has rows for, by way of a redo record.
 
     ``source`` names the batch: if a record of it is complete already, it is
     published as it is, and nothing is merged again. ``merged`` is called
     after pending records are published, so it may read the table.
+
+    ``once=(stream, batch)`` is for merges that must not be repeated (sums):
+    the table notes the last batch of each stream before the record goes, and
+    a batch that it has is left out.
     """
     if source in finish_pending(spark, path):
         return
+    if once is not None and last_done(spark, path, once[0]) >= once[1]:
+        return
     record = f"{path}/{REDO}/{hashlib.sha256(source.encode()).hexdigest()[:24]}"
     rows = merged()
     clustered(rows, parts, files_per_part).write.mode("overwrite").parquet(f"{record}/rows")
-    mark = [(source, json.dumps(rows.schema.jsonValue()), list(parts))]
-    spark.createDataFrame(mark, "source string, schema string, parts array<string>").coalesce(1).write.mode("overwrite").json(f"{record}/mark")
+    mark = [(source, json.dumps(rows.schema.jsonValue()), list(parts), *(once or (None, None)))]
+    spark.createDataFrame(mark, MARK).coalesce(1).write.mode("overwrite").json(f"{record}/mark")
     _publish_record(spark, path, record)
 
 
