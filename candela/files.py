@@ -32,3 +32,22 @@ def bytes_of(spark: SparkSession, path: str) -> int:
     """Size of all files below ``path`` (0, if it does not exist)."""
     files, place = _file_system(spark, path)
     return files.getContentSummary(place).getLength() if files.exists(place) else 0
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (none, if it does not exist)."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isFile())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written under another name and then moved, so that no reader sees a part of it."""
+    files, place = _file_system(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f"_new-{place.getName()}")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(place, False)
+    files.rename(beside, place)

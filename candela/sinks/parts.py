@@ -6,6 +6,15 @@ Readers take the schema from there, so folder names are never read as
 numbers or dates, and a job that is started with another bucket count keeps
 the table's.
 
+Buckets. A table's rows are dealt to hash buckets by a directory that grows
+(extendible hashing): ``<table>/_directory/<version>`` lists the buckets, each
+the last ``depth`` bits of the keys' hash, and a bucket that has grown over a
+byte bound is split in two by one more bit. Bucket ids are ``2^depth + bits``,
+so old and new buckets never share a folder. A split writes the new folders,
+then the new directory, and removes the old folder last; readers open only
+the folders that the latest directory names, so they see a bucket or its
+halves, whenever a crash happens.
+
 Publishing. Replacing a part deletes its folder and then moves the new one
 in; between the two the part is missing. So the new rows of all parts that
 a batch touches are first written as a redo record under
@@ -23,14 +32,16 @@ import hashlib
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from candela.files import delete_path, folder_names, path_exists
+from candela.files import bytes_of, delete_path, folder_names, path_exists
 from candela.sinks.tables import table_exists
 
 REDO, DONE = "_redo", "_done"
+#: Partition column of the hash buckets.
+BUCKET = "_bucket"
 
 
 # -- layout -----------------------------------------------------------------------
@@ -59,7 +70,97 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame | None:
     known = layout(spark, path)
     if known is None or not table_exists(spark, path):
         return None
-    return spark.read.schema(known[0]).parquet(path).select(known[0].names)
+    rows = spark.read.schema(known[0]).parquet(path).select(known[0].names)
+    ids = directory(spark, path)
+    return rows if ids is None else rows.where(F.col(BUCKET).isin(ids))
+
+
+# -- directory of buckets --------------------------------------------------------------
+
+DIRECTORY = "_directory"
+
+
+def directory(spark: SparkSession, path: str) -> list[int] | None:
+    """The bucket ids of the table; None for a table without a directory."""
+    for name in reversed(folder_names(spark, f"{path}/{DIRECTORY}")):
+        if table_exists(spark, f"{path}/{DIRECTORY}/{name}", "json"):
+            return sorted(r["id"] for r in spark.read.schema("id long").json(f"{path}/{DIRECTORY}/{name}").collect())
+    return None
+
+
+def _write_directory(spark: SparkSession, path: str, ids: Sequence[int]) -> None:
+    versions = folder_names(spark, f"{path}/{DIRECTORY}")
+    version = int(versions[-1]) + 1 if versions else 0
+    rows = spark.createDataFrame([(i,) for i in ids], "id long").coalesce(1)
+    rows.write.mode("overwrite").json(f"{path}/{DIRECTORY}/{version:08d}")
+    for old in versions[:-1]:
+        delete_path(spark, f"{path}/{DIRECTORY}/{old}")
+
+
+def create_directory(spark: SparkSession, path: str, buckets: int) -> list[int]:
+    """The table's bucket ids; a new table gets at least ``buckets`` of them (a power of two)."""
+    known = directory(spark, path)
+    if known is not None:
+        return known
+    depth = max(0, buckets - 1).bit_length()
+    ids = [(1 << depth) | code for code in range(1 << depth)]
+    _write_directory(spark, path, ids)
+    return ids
+
+
+def bucket_in(keys: Sequence[str], ids: Sequence[int]) -> Column:
+    """Id of a row's bucket: the one whose bits end the hash of the keys."""
+    hashed, by_depth = F.xxhash64(*keys), {}
+    for i in ids:
+        by_depth.setdefault(i.bit_length() - 1, []).append(i)
+    found = []
+    for depth, some in sorted(by_depth.items()):
+        candidate = hashed.bitwiseAND(F.lit((1 << depth) - 1).cast("long")) + F.lit(1 << depth).cast("long")
+        found.append(F.when(candidate.isin(some), candidate))
+    return F.coalesce(*found)
+
+
+def bucket_of(spark: SparkSession, path: str, keys: Sequence[str]) -> Column:
+    """Bucket of a row of the table, by its directory, or by its fixed bucket count if it has none."""
+    ids = directory(spark, path)
+    if ids is not None:
+        return bucket_in(keys, ids)
+    return F.pmod(F.xxhash64(*keys), F.lit(layout(spark, path)[1]))
+
+
+def split_large(
+    spark: SparkSession, path: str, keys: Sequence[str], parts: Sequence[str], bucket: str, touched: Sequence[int], most_bytes: int
+) -> list[int]:
+    """Split the touched buckets of which a part is larger than ``most_bytes``, once each; returns the new ids.
+
+    ``parts`` are the table's partition columns, ``bucket`` the last of them.
+    """
+    ids = set(directory(spark, path) or ())
+    new: list[int] = []
+    for old in [i for i in touched if i in ids]:
+        folders = _bucket_folders(spark, path, len(parts) - 1, f"{bucket}={old}")
+        if max((bytes_of(spark, f) for f in folders), default=0) <= most_bytes:
+            continue
+        depth = old.bit_length() - 1
+        low = old - (1 << depth)
+        halves = [(2 << depth) | low, (2 << depth) | low | (1 << depth)]
+        schema = layout(spark, path)[0]
+        rows = spark.read.schema(schema).parquet(path).where(F.col(bucket) == old).select(schema.names)
+        replace_parts(clustered(rows.withColumn(bucket, bucket_in(keys, halves)), parts, 1), path, parts)
+        ids = (ids - {old}) | set(halves)
+        _write_directory(spark, path, sorted(ids))
+        for folder in folders:
+            delete_path(spark, folder)
+        new += halves
+    return new
+
+
+def _bucket_folders(spark: SparkSession, path: str, depth: int, name: str) -> list[str]:
+    """Folders of a bucket, ``depth`` levels of other partition columns below the table."""
+    if not depth:
+        return [f"{path}/{name}"] if path_exists(spark, f"{path}/{name}") else []
+    inner = [n for n in folder_names(spark, path) if "=" in n]
+    return [f for n in inner for f in _bucket_folders(spark, f"{path}/{n}", depth - 1, name)]
 
 
 # -- publishing ---------------------------------------------------------------------

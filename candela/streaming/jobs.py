@@ -224,7 +224,9 @@ def run_ingest_with_quarantine(
 
 # -- merges -------------------------------------------------------------------
 
-BUCKET = "_bucket"
+BUCKET = parts.BUCKET
+#: Bytes of a part from which on its bucket is split.
+MOST_PART_BYTES = 256 << 20
 
 
 def run_scd1(
@@ -234,6 +236,7 @@ def run_scd1(
     target_path: str,
     checkpoint: str,
     buckets: int = 64,
+    most_part_bytes: int = MOST_PART_BYTES,
 ) -> StreamingQuery:
     """Keep the latest row per key from a change stream (SCD type 1).
 
@@ -242,27 +245,32 @@ def run_scd1(
     and the greatest sequence per key stays: a late, older change never
     displaces a stored row, also after a restart with a fresh checkpoint,
     and NULL keys are one key, as in a group-by. Only touched buckets are
-    rewritten. The target is the only state. ``buckets`` holds for a new
-    target; an existing one keeps its own count.
+    rewritten, and one that has grown over ``most_part_bytes`` is split. The
+    target is the only state. ``buckets`` holds for a new target; an
+    existing one keeps its own.
     """
     spark = changes.sparkSession
     schema = StructType([*changes.schema.fields, StructField(BUCKET, LongType())])
-    count = parts.create(spark, target_path, schema, buckets)
+    known = parts.layout(spark, target_path) is not None
+    parts.create(spark, target_path, schema, buckets)
+    if not known:
+        parts.create_directory(spark, target_path, buckets)
     parts.finish_pending(spark, target_path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        latest = scd1_latest(batch, keys, sequence_by)
-        latest = latest.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(count))).select(schema.names).checkpoint()
+        latest = scd1_latest(batch, keys, sequence_by).withColumn(BUCKET, parts.bucket_of(spark, target_path, keys))
+        latest = latest.select(schema.names).checkpoint()
+        touched = [r[BUCKET] for r in latest.select(BUCKET).distinct().collect()]  # at most the buckets
 
         def merged() -> DataFrame:
             current = parts.read_parts(spark, target_path)
             if current is None:
                 return latest
-            touched = F.broadcast(latest.select(BUCKET).distinct())  # at most `count` rows
-            current = current.join(touched, BUCKET, "left_semi").select(schema.names)
+            current = current.where(F.col(BUCKET).isin(touched)).select(schema.names)
             return scd1_latest(current.unionByName(latest), keys, sequence_by)
 
         parts.publish(spark, target_path, [BUCKET], f"{checkpoint}#{batch_id}", merged)
+        parts.split_large(spark, target_path, keys, [BUCKET], BUCKET, touched, most_part_bytes)
 
     return _run_batches(changes, checkpoint, merge)
 
@@ -273,20 +281,27 @@ def read_scd1(spark: SparkSession, target_path: str) -> DataFrame:
     return None if stored is None else stored.drop(BUCKET)
 
 
-def _placed(bars: DataFrame, count: int, source: str) -> DataFrame:
+def _placed(bars: DataFrame, bucket: Column, source: str) -> DataFrame:
     """Bars with their part columns: the month of the date, a hash bucket of the ticker, the batch that brought them."""
-    return bars.withColumns({
-        BATCH: F.lit(source),
-        PERIOD: F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(NO_PERIOD)),
-        BUCKET: F.pmod(F.xxhash64("ticker"), F.lit(count)),
-    })
+    period = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(NO_PERIOD))
+    return bars.withColumns({BATCH: F.lit(source), PERIOD: period, BUCKET: bucket})
+
+
+def _create_bars(spark: SparkSession, path: str, bars: StructType, buckets: int) -> StructType:
+    extra = [StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())]
+    schema = StructType([*bars.fields, *extra])
+    if parts.layout(spark, path) is None:
+        parts.create(spark, path, schema, buckets)
+        parts.create_directory(spark, path, buckets)
+    return schema
 
 
 def create_bars_table(bars: DataFrame, target_path: str, buckets: int = 16) -> None:
     """A bars table for :func:`run_upsert_bars`, partitioned by month and ticker bucket."""
-    fields = [*bars.schema.fields, StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())]
-    count = parts.create(bars.sparkSession, target_path, StructType(fields), buckets)
-    parts.replace_parts(parts.clustered(_placed(bars, count, ""), [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
+    spark = bars.sparkSession
+    _create_bars(spark, target_path, bars.schema, buckets)
+    placed = _placed(bars, parts.bucket_of(spark, target_path, ["ticker"]), "")
+    parts.replace_parts(parts.clustered(placed, [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
 
 
 def read_bars_table(spark: SparkSession, target_path: str) -> DataFrame:
@@ -303,6 +318,7 @@ def run_upsert_bars(
     sequence_by: str = "processed_timestamp",
     buckets: int = 16,
     on_merged: Callable[[DataFrame, int], None] | None = None,
+    most_part_bytes: int = MOST_PART_BYTES,
 ) -> StreamingQuery:
     """O2: merge changed bars into a table partitioned by month and ticker bucket.
 
@@ -311,32 +327,33 @@ def run_upsert_bars(
     per key, and written back over just those parts by way of a redo record
     (:func:`candela.sinks.parts.publish`); other parts' files stay as they
     are. Rows with a NULL key part have no identity: all are kept, and a
-    batch that is run again after a crash replaces its own.
+    batch that is run again after a crash replaces its own. A bucket with a
+    part over ``most_part_bytes`` is split.
 
     ``on_merged(batch, batch_id)`` is called after a batch is published and
     before the stream commits it, e.g. to refresh tables that follow from
     this one (:func:`candela.streaming.refresh.refresh_indicators`); like the
     merge it runs again after a crash, so it must be repeatable.
     """
-    plain = updates.schema.fields
-    schema = StructType([*plain, StructField(BATCH, StringType()), StructField(PERIOD, StringType()), StructField(BUCKET, LongType())])
-    count = parts.create(spark, target_path, schema, buckets)
+    _create_bars(spark, target_path, updates.schema, buckets)
     parts.finish_pending(spark, target_path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         source = f"{checkpoint}#{batch_id}"
-        new = _placed(batch, count, source).checkpoint()
+        new = _placed(batch, parts.bucket_of(spark, target_path, ["ticker"]), source).checkpoint()
+        touched = [r[BUCKET] for r in new.select(BUCKET).distinct().collect()]  # at most the buckets
 
         def merged() -> DataFrame:
             rows_ = new
             current = parts.read_parts(spark, target_path)
             if current is not None:
-                touched = F.broadcast(new.select(PERIOD, BUCKET).distinct())  # months of the batch x buckets
-                current = current.join(touched, [PERIOD, BUCKET], "left_semi").where(F.col(BATCH) != source)
+                places = F.broadcast(new.select(PERIOD, BUCKET).distinct())  # months of the batch x buckets
+                current = current.join(places, [PERIOD, BUCKET], "left_semi").where(F.col(BATCH) != source)
                 rows_ = current.unionByName(new)
             return dedup_bars(rows_, keys, sequence_by, keep_sequence=True)
 
         parts.publish(spark, target_path, [PERIOD, BUCKET], source, merged)
+        parts.split_large(spark, target_path, ["ticker"], [PERIOD, BUCKET], BUCKET, touched, most_part_bytes)
         if on_merged is not None:
             on_merged(new.drop(BATCH, PERIOD, BUCKET), batch_id)
 

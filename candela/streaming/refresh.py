@@ -31,7 +31,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from candela.operators import facts, frames, indicators
 from candela.session import scratch_dir
 from candela.sinks import parts
-from candela.streaming.jobs import BATCH, BUCKET, PERIOD
+from candela.streaming.jobs import BATCH, BUCKET, MOST_PART_BYTES, PERIOD
 
 #: Derived rows from bars that :func:`frames.block_once` has cut (their block columns are carried on).
 Derive = Callable[[DataFrame], DataFrame]
@@ -66,8 +66,9 @@ def _bars(spark: SparkSession, bars_path: str) -> DataFrame:
     return stored.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
 
 
-def _place(rows: DataFrame, buckets: int) -> DataFrame:
-    return rows.withColumns({PERIOD: F.date_format("date", "yyyy-MM"), BUCKET: F.pmod(F.xxhash64("ticker"), F.lit(buckets))})
+def _place(rows: DataFrame, target_path: str) -> DataFrame:
+    bucket = parts.bucket_of(rows.sparkSession, target_path, ["ticker"])
+    return rows.withColumns({PERIOD: F.date_format("date", "yyyy-MM"), BUCKET: bucket})
 
 
 def _derive(bars: DataFrame, table: Derived, block_rows: int) -> DataFrame:
@@ -82,7 +83,8 @@ def build_derived(
     rows = _derive(_bars(spark, bars_path).drop(PERIOD, BUCKET), table, block_rows)
     schema = StructType([*rows.schema.fields, StructField(PERIOD, StringType()), StructField(BUCKET, LongType())])
     parts.create(spark, target_path, schema, buckets)
-    parts.replace_parts(parts.clustered(_place(rows, buckets), [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
+    parts.create_directory(spark, target_path, buckets)
+    parts.replace_parts(parts.clustered(_place(rows, target_path), [PERIOD, BUCKET], 1), target_path, [PERIOD, BUCKET])
 
 
 def read_derived(spark: SparkSession, target_path: str) -> DataFrame:
@@ -146,7 +148,7 @@ def affected_runs(bars: DataFrame, changed: DataFrame, lookback: int, margin: in
 
 def refresh(
     spark: SparkSession, bars_path: str, target_path: str, changed: DataFrame, table: Derived, source: str,
-    block_rows: int = frames.DEFAULT_BLOCK_ROWS, margin: int = 4,
+    block_rows: int = frames.DEFAULT_BLOCK_ROWS, margin: int = 4, most_part_bytes: int = MOST_PART_BYTES,
 ) -> None:
     """Bring the derived table up to date with the bars whose (ticker, date) are in ``changed``.
 
@@ -154,13 +156,12 @@ def refresh(
     had computed. ``margin`` is the number of months by which runs are
     widened at first.
     """
-    _, buckets = parts.layout(spark, target_path)
     parts.finish_pending(spark, target_path)
     keys = changed.select("ticker", "date").where("ticker IS NOT NULL AND date IS NOT NULL").distinct()
     keys = _stored(keys, "refresh-changed")
     if keys.isEmpty():
         return
-    touched = [r[BUCKET] for r in _place(keys, buckets).select(BUCKET).distinct().collect()]  # at most the buckets
+    touched = [r[BUCKET] for r in _place(keys, bars_path).select(BUCKET).distinct().collect()]  # at most the buckets
     bars = _bars(spark, bars_path).where(F.col(BUCKET).isin(touched))
     runs = affected_runs(bars, keys, table.lookback, margin)
     rows = _in_runs(bars, runs).drop(RUN, "first", "last", LOW, HIGH, MONTH, PERIOD, BUCKET)
@@ -174,7 +175,7 @@ def refresh(
         lookback=table.lookback, block_rows=block_rows,
     )
     dirty = _stored(dirty.where("_dirty = 1").select("ticker", "date"), "refresh-dirty")
-    fresh = _stored(_place(_derive(rows, table, block_rows).join(dirty, ["ticker", "date"], "left_semi"), buckets), "refresh-rows")
+    fresh = _stored(_place(_derive(rows, table, block_rows).join(dirty, ["ticker", "date"], "left_semi"), target_path), "refresh-rows")
 
     def merged() -> DataFrame:
         places = fresh.select(PERIOD, BUCKET).distinct()
@@ -185,6 +186,8 @@ def refresh(
         return kept.unionByName(fresh.select(stored.columns))
 
     parts.publish(spark, target_path, [PERIOD, BUCKET], source, merged)
+    places = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]  # at most the buckets
+    parts.split_large(spark, target_path, ["ticker"], [PERIOD, BUCKET], BUCKET, places, most_part_bytes)
 
 
 def refresh_indicators(

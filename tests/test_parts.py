@@ -159,3 +159,68 @@ def test_a_batch_that_stops_half_way_counts_once(spark, root, monkeypatch, step)
         monkeypatch.undo()
     assert run() == {"total": 10, "small": 7}
     assert jobs.read_appended(spark, f"{root}/out").count() == 10 and spark.read.parquet(f"{root}/out").count() == 20
+
+
+# -- buckets that split -----------------------------------------------------------
+
+
+def test_every_key_has_one_bucket_in_any_directory(spark):
+    ids = [(1 << 1) | 0, (1 << 2) | 1, (1 << 3) | 3, (1 << 4) | 7, (1 << 4) | 15]  # 0, 01, 011, 0111 and 1111 from the last bit on
+    df = spark.range(5000).withColumn("b", parts.bucket_in(["id"], ids)).withColumn("h", F.xxhash64("id"))
+    got = {r["b"]: r["n"] for r in df.groupBy("b").agg(F.count("*").alias("n")).collect()}
+    assert set(got) == set(ids) and abs(got[2] - 2500) < 200 and abs(got[31] - 312) < 90
+    assert df.where("b = 2 and h % 2 <> 0").count() == 0
+    assert spark.range(9).select(parts.bucket_in(["id"], [1]).alias("b")).distinct().collect()[0]["b"] == 1
+
+
+def test_buckets_split_between_batches_and_the_result_stays(spark, root):
+    target, want = f"{root}/dim", {}
+    sizes = []
+    for k in range(5):
+        rows = [(f"key{i:05d}", k, f"v{k}" * 20) for i in range(k * 300, k * 300 + 900)]
+        want.update((r[0], r) for r in rows)
+        stream = changes(spark, root, "in", rows)
+        jobs.run_scd1(stream, ["k"], ["seq"], target, f"{root}/ck", buckets=2, most_part_bytes=2_500)
+        got = {r["k"]: tuple(r) for r in jobs.read_scd1(spark, target).collect()}
+        assert got == want and jobs.read_scd1(spark, target).count() == len(want)
+        sizes.append(len(parts.directory(spark, target)))
+    folders = {int(f.split("=")[1]) for f in folder_names(spark, target) if f.startswith("_bucket=")}
+    assert sizes[0] > 2 and sizes[-1] > sizes[0] and folders == set(parts.directory(spark, target))
+
+
+@pytest.mark.parametrize("step", ["replace_parts", "_write_directory", "delete_path"])
+def test_a_split_that_stops_loses_and_doubles_nothing(spark, root, monkeypatch, step):
+    target = f"{root}/dim"
+    stream = changes(spark, root, "in", [(f"k{i}", 1, "x" * 30) for i in range(800)])
+    run = lambda most: jobs.run_scd1(stream, ["k"], ["seq"], target, f"{root}/ck", buckets=2, most_part_bytes=most)
+    run(1 << 30)
+    changes(spark, root, "in", [("k5", 2, "new")])
+    plain, calls = getattr(parts, step), []
+
+    def die(*a, **kw):
+        inside = any(isinstance(x, str) and "_bucket=" in x for x in a) if step == "delete_path" else len(calls) == (1 if step == "replace_parts" else 0)
+        calls.append(1)
+        if inside:
+            raise Crash
+        return plain(*a, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(parts, step, die)
+        with pytest.raises(Exception, match="Crash"):
+            run(1_000)
+    for most in (1_000, 1 << 30):
+        got = {r["k"]: r["v"] for r in jobs.read_scd1(spark, target).collect()}
+        assert len(got) == 800 == jobs.read_scd1(spark, target).count() and got["k5"] == "new"
+        run(most)
+
+
+def test_bars_tables_split_in_every_month(spark, root):
+    target = f"{root}/bars"
+    rows = [bar(f"t{k}", d, float(k), 1) for k in range(60) for d in range(0, 56, 2)]
+    jobs.create_bars_table(bars_of(spark, rows), target, buckets=1)
+    bars_of(spark, [bar("t7", 4, 99.0, 2)]).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(bars_of(spark, []).schema).parquet(f"{root}/in")
+    jobs.run_upsert_bars(spark, stream, target, f"{root}/ck", most_part_bytes=2_000)
+    got = {(r["ticker"], r["date"]): r["close"] for r in jobs.read_bars_table(spark, target).collect()}
+    assert len(got) == len(rows) == jobs.read_bars_table(spark, target).count() and got["t7", dt.date(2024, 1, 5)] == 99.0
+    assert parts.directory(spark, target) == [2, 3] and folder_names(spark, f"{target}/_period=2024-01") == ["_bucket=2", "_bucket=3"]
