@@ -24,7 +24,7 @@ from candela.sources.staging import (
 )
 from candela.sources.tables import read_stored, read_table
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
-from candela.streaming import jobs, refresh, summaries
+from candela.streaming import counters, jobs, late_dedup, refresh, summaries
 
 # Fixed values used to split test tables into two file drops.
 BAR_SPLIT_YEAR = 1998
@@ -292,6 +292,30 @@ def q_stream_dedup(spark, sf):
     return norm(spark.read.parquet(sink))
 
 
+def q_stream_dedup_late(spark, sf):
+    """O1 without a watermark: the newer half first, then the older half with all copies of the newer one; nothing is lost."""
+    landing, sink, ckpt = (scratch_dir(spark, n) for n in ("dl-land", "dl-sink", "dl-ckpt"))
+    events = read_table(spark, sf, "events")
+    early, late = _event_drops(events)
+    held, rest = _split(early, F.col("event_id") % 3 == 0)
+    for i, drop in enumerate((late.unionByName(rest), late.unionByName(held).unionByName(held))):
+        stream = _stage_events(spark, events, landing, drop, i == 0)
+        late_dedup.run_dedup_append(stream, ["event_id"], "ts", sink, ckpt, buckets=4)
+    return norm(late_dedup.read_deduplicated(spark, sink))
+
+
+def q_stream_expect_listener(spark, sf):
+    """X5 on a plain append stream: counters stored by a query listener, over two runs of several batches."""
+    landing, sink, ckpt = (scratch_dir(spark, n) for n in ("li-land", "li-sink", "li-ckpt"))
+    events = broken_events(read_table(spark, sf, "events"))
+    for i, drop in enumerate(_event_drops(events)):
+        _stage_events(spark, events, landing, drop.repartition(3, "event_id"), i == 0)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        totals = counters.run_append_counted(stream, EVENT_RULES, sink, ckpt)
+    rows = [(n, e, totals.get(n, 0), totals["total"]) for n, e in EVENT_RULES]
+    return spark.createDataFrame(rows, "rule STRING, expectation STRING, failed_records BIGINT, total_records BIGINT")
+
+
 def q_stream_scd1_restart(spark, sf):
     """X6 over a restart: newer changes first, then older ones with a fresh checkpoint and another bucket
     count; some users are NULL (one key)."""
@@ -354,6 +378,8 @@ STREAM_QUERIES = {
     "stream_union": q_stream_union,
     "stream_expect": q_stream_expect,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_late": q_stream_dedup_late,
+    "stream_expect_listener": q_stream_expect_listener,
     "stream_scd1": q_stream_scd1,
     "scd1_latest": q_scd1_latest,
     "dim_tickers_scd1": q_dim_tickers_scd1,
@@ -427,6 +453,8 @@ def stream_oracle_sql() -> dict[str, str]:
         "stream_union": EVENTS_OUT,
         "stream_expect": rules,
         "stream_dedup": EVENTS_OUT,
+        "stream_dedup_late": EVENTS_OUT,
+        "stream_expect_listener": rules,
         "stream_scd1": latest_event_sql(),
         "stream_scd1_restart": latest_event_sql(NULL_USERS),
         "scd1_latest": latest_event_sql(),

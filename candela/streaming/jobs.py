@@ -71,16 +71,26 @@ def run_append(
     With ``partition_by`` a batch writes at most ``files_per_partition``
     files per partition folder.
     """
+    q = start_append(stream, sink_path, checkpoint, partition_by, files_per_partition, fmt=fmt, name=name)
+    q.awaitTermination()
+    return q
+
+
+def start_append(
+    stream: DataFrame, sink_path: str, checkpoint: str, partition_by: Sequence[str] = (), files_per_partition: int = 4,
+    before_write: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet", name: str | None = None,
+) -> StreamingQuery:
+    """Start the query of :func:`run_append`; ``before_write`` is applied behind the clustering exchange."""
     if partition_by:
         stream = parts.clustered(stream, partition_by, files_per_partition)
+    if before_write is not None:
+        stream = before_write(stream)
     w = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
-    q = w.trigger(availableNow=True).start(sink_path)
-    q.awaitTermination()
-    return q
+    return w.trigger(availableNow=True).start(sink_path)
 
 
 def _run_batches(stream: DataFrame, checkpoint: str, batch_fn) -> StreamingQuery:
