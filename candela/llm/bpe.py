@@ -294,6 +294,14 @@ class Tokenizer:
             self._data = spark.sparkContext.broadcast(f.read())
         self.pattern = pattern
 
+    def token_lengths(self) -> np.ndarray:
+        """Bytes of each id's token (0 for ids that are free)."""
+        ranks = parse_ranks(self._data.value)
+        out = np.zeros(max(ranks.values(), default=-1) + 1, dtype=np.int64)
+        for token, i in ranks.items():
+            out[i] = len(token)
+        return out
+
     def encode(self, text: str | Column, width: int = 4) -> Column:
         """Ids of a text column, packed as little-endian unsigned integers of ``width`` bytes (binary)."""
         data, pattern, dtype = self._data, self.pattern, f"<u{width}"

@@ -12,7 +12,10 @@ byte-position sets such that every possible set of ``8 - k`` shared
 positions contains one of them. Its entries are (positions, bytes) ->
 fingerprint; each posting list is short. Within a list, the shared
 positional bytes of each pair are tallied, pairs below the minimum are
-dropped, and the rest are verified by their differing bits.
+dropped, and the rest are verified by their differing bits. ``key_bytes``
+says how many bytes a group has: three make 23 entries a fingerprint and
+about 23 / 2^24 of all pairs to tally; four (for corpora of more than some
+10^9 distinct fingerprints) make 70 entries and 70 / 2^32 of the pairs.
 
 Skew. Equal fingerprints are one entry. A long posting list is cut by hash
 into chunks of at most ``CHUNK`` fingerprints on average, and each pair of
@@ -26,8 +29,10 @@ rounds over the forest edges, each written to the shared folder; nothing is
 collected to the driver but a count per round.
 
 Defined results: NULL or word-free text has fingerprint zero and is linked
-like any other; repeated rows keep one output row each; a NULL doc_id gets
-the smallest non-NULL id of its component (NULL if there is none).
+like any other; texts of any length are read whole; repeated rows keep one
+output row each; a NULL doc_id gets the smallest non-NULL id of its component
+(NULL if there is none); an empty table gives no rows; only doc_id and text
+are read, and dropping keeps all other columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -97,16 +102,19 @@ def fingerprint(text: str | Column, shingle_words: int) -> Column:
     return simhash(empty_if_null(text))
 
 
-def position_sets(max_bits: int) -> list[tuple[int, ...]]:
-    """Sets of byte positions: every choice of ``8 - max_bits`` of the 8 positions contains one.
+def position_sets(max_bits: int, key_bytes: int | None = None) -> list[tuple[int, ...]]:
+    """Sets of ``key_bytes`` byte positions: every choice of ``8 - max_bits`` of the 8 positions contains one.
 
-    One position less than the guaranteed number, found greedily: three
-    positions (2^24 lists per set) for four differing bits.
+    Found greedily. By default the sets have one position less than the
+    guaranteed number: three positions (2^24 lists per set) for four
+    differing bits.
     """
     shared = BYTES - max_bits
     if shared < 1:
         raise ValueError("max_bits must be under 8: no shared byte is guaranteed")
-    size = max(1, shared - 1)
+    size = max(1, shared - 1) if key_bytes is None else key_bytes
+    if key_bytes is not None and not 1 <= size <= min(shared, 6):
+        raise ValueError(f"key_bytes must be from 1 to {min(shared, 6)}: so many bytes are shared for certain and fit a key")
     left = set(combinations(range(BYTES), shared))
     chosen = []
     while left:
@@ -189,11 +197,11 @@ def _links(max_bits: int):
     return run
 
 
-def forest_edges(prints: DataFrame, max_bits: int) -> DataFrame:
+def forest_edges(prints: DataFrame, max_bits: int, key_bytes: int | None = None) -> DataFrame:
     """(a, b) edges whose components are those of all links between the distinct ``fp`` of ``prints``."""
     byte = lambda p: F.shiftrightunsigned("fp", 8 * p).bitwiseAND(F.lit(0xFF).cast("long"))
     entries = []
-    for k, positions in enumerate(position_sets(max_bits)):
+    for k, positions in enumerate(position_sets(max_bits, key_bytes)):
         key = F.lit(k << 8 * len(positions)).cast("long")
         for at, p in enumerate(positions):
             key = key.bitwiseOR(F.shiftleft(byte(p), 8 * at))
@@ -242,17 +250,21 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return member.join(smallest, "root").select("fp", "root", "label")
 
 
-def _classified(docs: DataFrame, shingle_words: int, max_bits: int, text: str, *more: Column) -> DataFrame:
+def _classified(
+    docs: DataFrame, shingle_words: int, max_bits: int, text: str, *more: Column, key_bytes: int | None = None
+) -> DataFrame:
     """doc_id, fp, root, component_id and the columns ``more``: one row per row of ``docs``."""
     prints = stored(docs.select("doc_id", fingerprint(text, shingle_words).alias("fp"), *more), "simhash-prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-distinct")
-    classes = components(distinct, forest_edges(distinct.select("fp"), max_bits))
+    classes = components(distinct, forest_edges(distinct.select("fp"), max_bits, key_bytes))
     return prints.join(classes.withColumnRenamed("label", "component_id"), "fp")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, text: str = "text", key_bytes: int | None = None
+) -> DataFrame:
     """doc_id, fp (BIGINT), component_id: one row per row of ``docs``."""
-    return _classified(docs, shingle_words, max_bits, text).select("doc_id", "fp", "component_id")
+    return _classified(docs, shingle_words, max_bits, text, key_bytes=key_bytes).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:
@@ -260,7 +272,7 @@ def hex_fingerprint(fp: str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, key_bytes: int | None = None) -> DataFrame:
     """``docs`` with one document of each component: the row of its smallest doc_id.
 
     Rows go by doc_id and text, so a doc_id on several texts stays in each
@@ -269,7 +281,7 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int
     doc_id are left as they are.
     """
     key, root = unused_name(docs, "_key"), unused_name(docs, "_root")
-    found = _classified(docs, shingle_words, max_bits, "text", F.xxhash64("text").alias(key))
+    found = _classified(docs, shingle_words, max_bits, "text", F.xxhash64("text").alias(key), key_bytes=key_bytes)
     out = found.where("doc_id <> component_id").select("doc_id", key).distinct()
     keyed = docs.withColumn(key, F.xxhash64("text"))
     kept = keyed.join(stored(out, "simhash-dropped"), ["doc_id", key], "left_anti")

@@ -5,17 +5,21 @@ of an equal payload) and a metadata record; request and metadata name the
 response in WARC-Concurrent-To. Records are built by Spark expressions and
 written through Spark's text writer: every record ends in CRLF CRLF, which is
 the writer's line separator, so the files are WARC/1.1 files (gzip), written
-under Spark's commit protocol to any file system that Spark reaches.
-``captures_per_file`` bounds a file.
+under Spark's commit protocol to any file system that Spark reaches. A file
+holds at most ``captures_per_file`` captures, and so few that it stays under
+``FILE_BYTES`` if all were as long as the longest.
 
 Which capture of equal payloads is the response (the one with the largest
 id) is decided on narrow rows (id, digest): a partial aggregate, so a payload
 that a third of all pages share is one row per input split. Only the revisits
 are joined back to the pages, by a join planned on their stored size.
 
-Reading. Files come through Spark's binary reader, one task a file, and are
-parsed by Content-Length (a payload may hold any bytes, also separators or
-record headers). Block and payload digests are checked.
+Reading. Plain (.warc) and gzip (.gz) files come through Spark's binary
+reader, one task a file, and are parsed by Content-Length (a payload may hold
+any bytes, also separators or record headers). SHA-1 digests of blocks and of
+response payloads are checked where a record has them (this writer gives
+payload digests); a wrong one fails the read, or, on request, drops the
+record or keeps it with ``digest_ok`` false.
 
 Transaction assembly. Requests, responses or revisits, and metadata are
 joined through the concurrent-to identifiers into one nested row per capture.
@@ -24,7 +28,10 @@ Defined results: a NULL html is an empty payload; payloads under
 ``revisit_from`` bytes are never revisited; a NULL url is written as an empty
 target; repeated rows with one id are captures of their own, with names of
 their own, and rows that repeat the id and payload of a response are
-responses too; rows without an id are not written (a record needs a name).
+responses too; rows without an id are not written (a record needs a name); an
+empty table gives no captures; pages of any length that a row can hold are
+written whole, a very long one in a file of its own; other columns of the
+pages may have any name.
 """
 
 from __future__ import annotations
@@ -42,6 +49,8 @@ from pyspark.sql.column import Column
 
 from candela.llm.common import stored
 
+#: Bytes of an archive file before compression, unless one capture needs more.
+FILE_BYTES = 256 << 20
 CRLF = "\r\n"
 END = CRLF + CRLF
 # The RFC 4648 alphabet, the revisit profile, record names of this writer.
@@ -55,6 +64,9 @@ RECORD = (
 )
 
 
+DIGEST_OK = [c.split()[0] for c in RECORD.split(", ")].index("digest_ok")
+
+
 def base32_sha1(payload: Column) -> Column:
     """Upper-case base32 of the SHA-1 of a column: five bits a letter, 40 bits (ten hex digits) at a time."""
     digest = F.sha1(payload)
@@ -100,6 +112,8 @@ def write_archive(
     rows = pages.where("page_id IS NOT NULL").select(
         "page_id", F.coalesce("url", F.lit("")).alias("url"), html.alias("html"), base32_sha1(html).alias("digest")
     )
+    longest = rows.agg(F.max(F.octet_length("html") + 2 * F.octet_length("url"))).first()[0] or 0
+    captures_per_file = max(1, min(captures_per_file, FILE_BYTES // (longest + 2000)))
     digests = stored(rows.select("page_id", "digest", F.octet_length("html").cast("long").alias("bytes")), "warc-digests")
     repeated = digests.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("page_id")
     again = digests.join(stored(repeated, "warc-ids"), "page_id", "left_semi").select("page_id", "digest", F.lit(True).alias("again")).distinct()
@@ -149,21 +163,31 @@ def write_archive(
 _HEADER = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 
 
-def _plain(data: bytes) -> Iterator[bytes]:
-    """Decompressed parts of a file: plain, or any number of gzip members."""
-    if data[:2] != b"\x1f\x8b":
-        yield data
+#: Bytes of a file that are looked at in one step.
+STEP = 1 << 20
+
+
+def _plain(data: bytes | memoryview) -> Iterator[bytes]:
+    """Decompressed parts of a file: plain, or any number of gzip members. The file itself is never copied as a whole."""
+    view = memoryview(data)
+    if bytes(view[:2]) != b"\x1f\x8b":
+        for at in range(0, len(view), STEP):
+            yield bytes(view[at : at + STEP])
         return
-    while data:
-        member = zlib.decompressobj(wbits=31)
-        while not member.eof:
-            part = member.decompress(data, 1 << 20)
-            data = member.unconsumed_tail
+    member, left = zlib.decompressobj(wbits=31), b""
+    for at in range(0, len(view), STEP):
+        left = bytes(view[at : at + STEP])
+        while left:
+            if member.eof:
+                member = zlib.decompressobj(wbits=31)
+            part = member.decompress(left, STEP)
+            left = member.unused_data if member.eof else member.unconsumed_tail
             if part:
                 yield part
-            elif not data and not member.eof:
-                raise ValueError("a gzip member is cut off")
-        data = member.unused_data
+        while not member.eof and (part := member.decompress(b"", STEP)):
+            yield part
+    if not member.eof:
+        raise ValueError("a gzip member is cut off")
 
 
 def parse_records(parts: Iterator[bytes]) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -208,29 +232,49 @@ def parse_records(parts: Iterator[bytes]) -> Iterator[tuple[int, dict[str, str],
 def _row(file: str, at: int, h: dict[str, str], block: bytes, with_payload: bool) -> tuple:
     kind = h.get("warc-type")
     bare = lambda name: h[name].strip("<>") if name in h else None
-    payload = size = ok = fields = None
-    digest = h["warc-payload-digest"].removeprefix("sha1:") if "warc-payload-digest" in h else None
+    payload = size = fields = None
+    said_digest, block_digest = _sha1_of(h, "warc-payload-digest"), _sha1_of(h, "warc-block-digest")
+    digest, checks = said_digest, []
+    if block_digest is not None:
+        checks.append(block_digest == _base32(block))
     if kind in ("response", "revisit"):
         cut = block.find(b"\r\n\r\n") + 4
         http, payload = block[:cut], block[cut:]
         said = {k.strip().lower(): v.strip() for k, v in _HEADER.findall(http)}
         if kind == "response":
             size = len(payload)
-            real = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-            ok = digest is None or digest == real
-            digest = real
+            digest = _base32(payload)
+            if said_digest is not None:
+                checks.append(said_digest == digest)
         else:  # its block has the HTTP header of the payload that it leaves out
             size, payload = int(said[b"content-length"]) if b"content-length" in said else None, None
     elif kind == "metadata":
         fields = block.decode("utf-8", "replace")
     return (
         file, at, kind, bare("warc-record-id"), bare("warc-concurrent-to"), h.get("warc-target-uri"), h.get("warc-date"),
-        bare("warc-refers-to"), digest, size, ok, payload if with_payload else None, fields,
+        bare("warc-refers-to"), digest, size, all(checks) if checks else None, payload if with_payload else None, fields,
     )
 
 
-def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """All records of the WARC files under ``path`` (see RECORD); payloads are NULL without ``with_payload``."""
+def _sha1_of(h: dict[str, str], name: str) -> str | None:
+    """The SHA-1 that a header gives; None without one, or where it is of another kind."""
+    kind, _, value = h.get(name, "").partition(":")
+    return value.upper() if kind.lower() == "sha1" and value else None
+
+
+def _base32(data: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def read_records(spark: SparkSession, path: str, with_payload: bool = True, bad_digests: str = "fail") -> DataFrame:
+    """All records of the WARC files under ``path`` (see RECORD); payloads are NULL without ``with_payload``.
+
+    ``digest_ok`` is NULL where a record has no digest that is checked;
+    ``bad_digests`` says what becomes of a record with a wrong one: "fail",
+    "drop" or "keep".
+    """
+    if bad_digests not in ("fail", "drop", "keep"):
+        raise ValueError("bad_digests must be 'fail', 'drop' or 'keep'")
     names = [c.split()[0] for c in RECORD.split(", ")]
     kinds = [
         pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(),
@@ -242,8 +286,13 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
             for k in range(batch.num_rows):
                 file, content = batch.column("path")[k].as_py(), batch.column("content")[k].as_buffer()
                 rows, held = [], 0
-                for at, headers, block in parse_records(_plain(memoryview(content).tobytes())):
-                    rows.append(_row(file, at, headers, block, with_payload))
+                for at, headers, block in parse_records(_plain(memoryview(content))):
+                    row = _row(file, at, headers, block, with_payload)
+                    if row[DIGEST_OK] is False and bad_digests != "keep":
+                        if bad_digests == "fail":
+                            raise ValueError(f"wrong digest of the record at {at} in {file}")
+                        continue
+                    rows.append(row)
                     held += len(block) if with_payload else 200
                     if held > 8 << 20:
                         yield _batch(rows)
@@ -254,7 +303,7 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "{*.gz,*.warc}").load(path).select("path", "content")
     return files.mapInArrow(run, RECORD)
 
 

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import math
+import os
 import random
 from collections import Counter
 import re
@@ -79,8 +80,16 @@ def test_fingerprints_equal_a_plain_version(docs_of, rows_of, monkeypatch):
     assert simhash.fingerprint_of(cut_at_words.encode(), 4) == plain_fingerprint(cut_at_words)
 
 
-@pytest.mark.parametrize("chunk", [2, 1024])
-def test_components_equal_brute_force(spark, chunk, monkeypatch):
+def test_sets_of_four_positions():
+    assert len(simhash.position_sets(4)) == 23 and len(simhash.position_sets(4, key_bytes=4)) == 70
+    assert {len(s) for s in simhash.position_sets(4, key_bytes=2)} == {2}
+    for wrong in (0, 5):
+        with pytest.raises(ValueError):
+            simhash.position_sets(4, key_bytes=wrong)
+
+
+@pytest.mark.parametrize(("chunk", "key_bytes"), [(2, None), (1024, None), (1024, 4), (2, 4)])
+def test_components_equal_brute_force(spark, chunk, key_bytes, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", chunk)
     rng = random.Random(chunk)
     prints = [rng.getrandbits(64) for _ in range(40)]
@@ -92,7 +101,7 @@ def test_components_equal_brute_force(spark, chunk, monkeypatch):
     distinct = sorted(set(prints))
     signed = [p - (1 << 64) if p >> 63 else p for p in distinct]
     nodes = spark.createDataFrame([(s, k) for k, s in enumerate(signed)], "fp long, id long")
-    got = simhash.components(nodes, simhash.forest_edges(nodes.select("fp"), 4)).collect()
+    got = simhash.components(nodes, simhash.forest_edges(nodes.select("fp"), 4, key_bytes)).collect()
     want = plain_components(distinct, 4)
     assert {r["fp"]: r["label"] for r in got} == {s: want[k] for k, s in enumerate(signed)}
 
@@ -288,6 +297,54 @@ def test_archive_round_trip(spark):
     assert warc.read_records(spark, nothing).count() == 0
 
 
+def put(spark, files):
+    folder = scratch_dir(spark, "test-warc-files")
+    os.makedirs(folder)
+    for name, data in files.items():
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(data)
+    return folder
+
+
+def response(payload, *headers):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+    lines = [b"WARC/1.1", b"WARC-Type: response", b"WARC-Record-ID: <urn:x>", *headers, b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def sha1(data):
+    return b"sha1:" + base64.b32encode(hashlib.sha1(data).digest())
+
+
+def test_plain_and_compressed_files_of_a_folder_are_read(spark):
+    record = response(b"abc")
+    folder = put(spark, {"a.warc": record * 2, "b.warc.gz": gzip.compress(record), "c.gz": gzip.compress(record) * 2, "notes.txt": b"x"})
+    found = warc.read_records(spark, folder).collect()
+    assert sorted(r["file"].rsplit("/", 1)[1] for r in found) == ["a.warc", "a.warc", "b.warc.gz", "c.gz", "c.gz"]
+
+
+def test_wrong_digests_fail_or_are_kept_apart(spark):
+    block = b"HTTP/1.1 200 OK\r\n\r\nabc"
+    good = response(b"abc", b"WARC-Payload-Digest: " + sha1(b"abc"), b"WARC-Block-Digest: " + sha1(block))
+    other = response(b"abc", b"WARC-Payload-Digest: md5:900150983cd24fb0d6963f7d28e17f72")  # of a kind that is not checked
+    for bad in (b"WARC-Payload-Digest: " + sha1(b"abd"), b"WARC-Block-Digest: " + sha1(b"abc")):
+        folder = put(spark, {"a.warc": good + other + response(b"abc", bad)})
+        with pytest.raises(Exception, match="digest"):
+            warc.read_records(spark, folder).collect()
+        kept = warc.read_records(spark, folder, bad_digests="keep").orderBy("offset").collect()
+        assert [r["digest_ok"] for r in kept] == [True, None, False]
+        assert warc.read_records(spark, folder, bad_digests="drop").count() == 2
+
+
+def test_archive_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    pages = spark.createDataFrame([(k, "http://a", f"{k}" * 900) for k in range(30)], "page_id long, url string, html string").coalesce(1)
+    path = scratch_dir(spark, "test-warc")
+    warc.write_archive(pages, path)
+    assert spark.read.format("binaryFile").load(path).where("path like '%.gz'").count() >= 3
+    assert warc.read_captures(spark, path).count() == 30
+
+
 def test_payloads_under_the_limit_are_never_revisited(spark):
     pages = spark.createDataFrame([(1, "u", "aa"), (2, "u", "aa"), (3, "u", "bbbb"), (4, "u", "bbbb")], "page_id long, url string, html string")
     path = scratch_dir(spark, "test-warc")
@@ -301,6 +358,10 @@ def test_records_of_plain_and_member_wise_files():
     for data in (record * 3, gzip.compress(record) * 3, gzip.compress(record * 3)):
         found = list(warc.parse_records(warc._plain(data)))
         assert [(at, h["warc-type"], block) for at, h, block in found] == [(k * len(record), "warcinfo", b"a\r\nb") for k in range(3)]
+    big = b"".join(b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 300000\r\n\r\n" + random.Random(k).randbytes(300_000) + b"\r\n\r\n" for k in range(9))
+    for data in (big, gzip.compress(big), memoryview(gzip.compress(big[: len(big) // 3]) + gzip.compress(big[len(big) // 3 :]))):
+        found = [block for _, _, block in warc.parse_records(warc._plain(data))]
+        assert found == [random.Random(k).randbytes(300_000) for k in range(9)]
     with pytest.raises(ValueError):
         list(warc.parse_records(iter([record[:-8]])))
     with pytest.raises((ValueError, zlib.error)):

@@ -318,22 +318,49 @@ def test_token_files_are_flat_and_counted(spark, docs_of, rows_of, tokenizer, re
 def test_blocks_are_stitched(spark, block):
     rng = np.random.default_rng(block)
     files = [rng.choice([1, 2, 9], size=n, p=[0.4, 0.3, 0.3]) for n in (0, 1, 5, 40, 41)]
+    sizes = np.array([0, 3, 5, 0, 0, 0, 0, 0, 0, 0])  # bytes of the tokens 1 and 2; separators have none
     rows = [
-        (k, 0, b, min(len(f), (b + 1) * block), p.tolist())
+        (k, 0, b, min(len(f), (b + 1) * block), p.tolist(), tokencount.bytes_between(f[b * block : (b + 1) * block], p - b * block, sizes).tolist())
         for k, f in enumerate(files) for b, p in tokencount.scan_blocks(f, 9, block)
     ]
-    frame = spark.createDataFrame(rows, "shard int, file int, block int, tokens long, separators array<long>")
-    got = sorted((r["shard"], r["position"], r["start_token"], r["n_tokens"]) for r in tokencount.document_counts(frame).collect())
+    frame = spark.createDataFrame(rows, "shard int, file int, block int, tokens long, separators array<long>, bytes array<long>")
+    got = sorted((r["shard"], r["position"], r["start_token"], r["n_tokens"], r["n_bytes"]) for r in tokencount.document_counts(frame).collect())
     want = []
     for k, f in enumerate(files):
         start, position = 0, 0
         for at, x in enumerate([*f.tolist(), None]):
             if x == 9 or (x is None and at > start):
-                want.append((k, position, start, at - start))
+                want.append((k, position, start, at - start, int(sizes[f[start:at]].sum())))
                 start, position = at + 1, position + 1
     assert got == want
 
 
+def test_an_order_that_changes_between_reads_is_noticed(spark, docs_of, tokenizer, monkeypatch):
+    """Two documents of one file change places in the ledger: as many documents a file, so only their bytes tell."""
+    docs = docs_of(["one two three", "a somewhat longer text", "same", "same"]).coalesce(1)
+    plain = tokencount.write_tokens
+
+    def swapped(*a, **kw):
+        ledger = plain(*a, **kw)
+        return ledger.withColumn("position", F.when(F.col("position") < 2, 1 - F.col("position")).otherwise(F.col("position")))
+
+    monkeypatch.setattr(tokencount, "write_tokens", swapped)
+    with pytest.raises(RuntimeError, match="order"):
+        tokencount.count_documents(docs, tokenizer, END_OF_DOCUMENT, scratch_dir(spark, "test-tokens"))
+    monkeypatch.undo()
+    shuffled = docs_of([f"text number {k} " * (k % 50) for k in range(300)]).repartition(7)
+    out = tokencount.count_documents(shuffled, tokenizer, END_OF_DOCUMENT, scratch_dir(spark, "test-tokens"), store_input=True)
+    assert out.count() == 300 and out.where("doc_id % 50 = 0 and n_tokens <> 0").count() == 0
+
+
+def test_files_are_bounded_by_bytes(spark, docs_of, tokenizer, monkeypatch):
+    monkeypatch.setattr(tokencount, "FILE_BYTES", 4000)
+    path = scratch_dir(spark, "test-tokens")
+    out = tokencount.count_documents(docs_of(["word " * 50] * 40 + ["x"]).coalesce(1), tokenizer, END_OF_DOCUMENT, path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").collect()
+    assert out.count() == 41 and len(files) >= 5 and all(r["length"] <= 4000 for r in files)
+
+
 def test_empty_documents_table_has_no_counts(spark, docs_of, tokenizer):
     out = tokencount.count_documents(docs_of([]), tokenizer, END_OF_DOCUMENT, scratch_dir(spark, "test-tokens"))
     assert out.count() == 0
