@@ -74,6 +74,9 @@ def fact_daily(
     return out
 
 
+# The output column names of the weekly and monthly facts below are the contract.
+
+
 def _green_red():
     return (
         F.sum(F.when(F.col("candle_color") == "Green", 1).otherwise(0)),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from candela.operators import dims, facts, indicators, quality, views
 from candela.operators.dedup import dedup_bars
-from candela.session import ensure_checkpoint_dir
+from candela.session import ensure_checkpoint_dir, scratch_scope
 from candela.sinks import parts
 from candela.sinks.tables import export, table_exists, write_table
 from candela.sources.csv_bars import read_bars_stream
@@ -70,6 +70,32 @@ def build_all(
     """
     ensure_checkpoint_dir(spark)
     p = {t: os.path.join(root, t) for t in TABLES}
+    with scratch_scope(spark):  # calendars and other helper tables go when the tables are written
+        silver, fact, dd, dt, silver_counts, fact_counts = _build_tables(spark, raw_dir, root, p, metadata, year_floor, strategy, dedup)
+
+    if register_views:
+        monthly = spark.read.parquet(p["fact_monthly_ticker_summary"])
+        views.v_ticker_performance(fact, dd, dt, as_of).createOrReplaceTempView("v_ticker_performance")
+        views.v_sector_performance(fact, dd, dt, as_of).createOrReplaceTempView("v_sector_performance")
+        views.v_technical_screening(fact, dt, strategy).createOrReplaceTempView("v_technical_screening")
+        views.v_risk_metrics(monthly, dt, as_of).createOrReplaceTempView("v_risk_metrics")
+        views.v_kpi_daily_market_health(fact, stamp=True).createOrReplaceTempView("v_kpi_daily_market_health")
+    if export_root:
+        names = ("silver_cleaned", "silver_ticker_indicators", "dim_tickers", "data_quality_metrics",
+                 "fact_daily_ticker_performance", "fact_monthly_ticker_summary", "fact_weekly_ticker_summary")
+        stored = {n: spark.read.parquet(p[n]) for n in names}
+        stored["silver_cleaned"] = jobs.read_appended(spark, p["silver_cleaned"])
+        stored["silver_ticker_indicators"], stored["fact_daily_ticker_performance"] = silver, fact
+        export(stored, export_root, partition_by={
+            "silver_cleaned": ["ticker"], "silver_ticker_indicators": ["ticker"], "fact_daily_ticker_performance": ["year"],
+        })
+    return BuildResult(p, silver_counts, fact_counts)
+
+
+def _build_tables(
+    spark: SparkSession, raw_dir: str, root: str, p: dict[str, str], metadata: DataFrame, year_floor: int, strategy: str, dedup: bool
+) -> tuple:
+    """Write every stored table; returns silver, daily fact and dimensions as read back, and both expectation counters."""
     ck = lambda name: os.path.join(root, "_checkpoints", name)
 
     # Bronze: new raw files only, one table with a folder per month (folders and files do not grow with the tickers).
@@ -116,20 +142,4 @@ def build_all(
     write_table(facts.fact_monthly(fact.drop("year"), stamp=True), p["fact_monthly_ticker_summary"])
     write_table(quality.data_quality_metrics(fact, stamp=True), p["data_quality_metrics"])
 
-    if register_views:
-        monthly = spark.read.parquet(p["fact_monthly_ticker_summary"])
-        views.v_ticker_performance(fact, dd, dt, as_of).createOrReplaceTempView("v_ticker_performance")
-        views.v_sector_performance(fact, dd, dt, as_of).createOrReplaceTempView("v_sector_performance")
-        views.v_technical_screening(fact, dt, strategy).createOrReplaceTempView("v_technical_screening")
-        views.v_risk_metrics(monthly, dt, as_of).createOrReplaceTempView("v_risk_metrics")
-        views.v_kpi_daily_market_health(fact, stamp=True).createOrReplaceTempView("v_kpi_daily_market_health")
-    if export_root:
-        names = ("silver_cleaned", "silver_ticker_indicators", "dim_tickers", "data_quality_metrics",
-                 "fact_daily_ticker_performance", "fact_monthly_ticker_summary", "fact_weekly_ticker_summary")
-        stored = {n: spark.read.parquet(p[n]) for n in names}
-        stored["silver_cleaned"] = jobs.read_appended(spark, p["silver_cleaned"])
-        stored["silver_ticker_indicators"], stored["fact_daily_ticker_performance"] = silver, fact
-        export(stored, export_root, partition_by={
-            "silver_cleaned": ["ticker"], "silver_ticker_indicators": ["ticker"], "fact_daily_ticker_performance": ["year"],
-        })
-    return BuildResult(p, silver_counts, fact_counts)
+    return silver, fact, dd, dt, silver_counts, fact_counts

@@ -25,6 +25,7 @@ TICKER_META_DDL = (
     "market_cap_category STRING, country STRING, currency STRING, exchange STRING"
 )
 
+# The contract's column names and their order.
 # Indicator output columns carried into the daily fact, in order.
 FACT_INDICATORS = [
     "sma_5", "sma_15", "sma_20", "sma_30", "sma_50", "ema_12",

@@ -10,9 +10,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from candela.files import delete_path, path_exists
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "candela") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""
@@ -69,6 +73,37 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+#: Scratch folders that this driver has made and not deleted.
+_MADE: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (the root's scheme is kept)."""
-    return os.path.join(ensure_checkpoint_dir(spark), "candela", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(ensure_checkpoint_dir(spark), "candela", f"{name}-{uuid.uuid4().hex[:12]}")
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, kept: int = 0) -> int:
+    """Delete the scratch folders made so far (but for the first ``kept``); returns how many existed.
+
+    Operators return frames that read their scratch tables (calendars, block
+    maps, stored stages), so call this when no such frame is in use any more.
+    """
+    deleted = 0
+    while len(_MADE) > kept:
+        path = _MADE.pop()
+        if path_exists(spark, path):
+            delete_path(spark, path)
+            deleted += 1
+    return deleted
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was made inside: for jobs whose results are written by then."""
+    kept = len(_MADE)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, kept)

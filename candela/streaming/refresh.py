@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from candela.operators import facts, frames, indicators
-from candela.session import scratch_dir
+from candela.session import scratch_dir, scratch_scope
 from candela.sinks import parts
 from candela.streaming.jobs import BATCH, BUCKET, MOST_PART_BYTES, PERIOD
 
@@ -156,6 +156,14 @@ def refresh(
     had computed. ``margin`` is the number of months by which runs are
     widened at first.
     """
+    with scratch_scope(spark):
+        _refresh(spark, bars_path, target_path, changed, table, source, block_rows, margin, most_part_bytes)
+
+
+def _refresh(
+    spark: SparkSession, bars_path: str, target_path: str, changed: DataFrame, table: Derived, source: str, block_rows: int,
+    margin: int, most_part_bytes: int,
+) -> None:
     parts.finish_pending(spark, target_path)
     keys = changed.select("ticker", "date").where("ticker IS NOT NULL AND date IS NOT NULL").distinct()
     keys = _stored(keys, "refresh-changed")

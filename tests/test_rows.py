@@ -154,3 +154,19 @@ def test_blocks_refuse_a_look_back_that_does_not_fit(spark):
     df = spark.range(5).select(F.lit("a").alias("ticker"), F.col("id").cast("int").alias("date"))
     with pytest.raises(ValueError):
         rolling(df, lambda d, w: d, lookback=64, block_rows=10)
+
+
+def test_scratch_folders_go_at_the_end_of_a_scope(spark):
+    from candela import session
+
+    before = scratch_dir(spark, "before")
+    spark.range(1).write.parquet(before)
+    with session.scratch_scope(spark):
+        inside = scratch_dir(spark, "inside")
+        spark.range(1).write.parquet(inside)
+        with session.scratch_scope(spark):
+            scratch_dir(spark, "never-written")
+        assert os.path.exists(inside)
+    assert os.path.exists(before) and not os.path.exists(inside)
+    kept = session._MADE.index(before)
+    assert session.clear_scratch(spark, kept) >= 1 and not os.path.exists(before)
