@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from candela.checks.oracle import BARS, bars_select, r4, with_
 from candela.checks.queries import Star, check_stamp, norm
 from candela.operators import dims, partials
+from candela.plans import incremental
 from candela.schema import BAR_COLUMNS
 from candela.session import scratch_dir
 from candela.sinks.tables import export, write_table
@@ -197,6 +198,24 @@ def q_refresh_fact(spark, sf):
     return norm(_refreshed(spark, sf, tables))
 
 
+def _incremental(spark, sf, name):
+    """A table of the incremental pipeline: all bars with some days stale or missing, then two drops that correct them."""
+    raw, root = (scratch_dir(spark, n) for n in ("inc-raw", "inc-root"))
+    bars, meta = load_bars(spark, sf), load_ticker_metadata(spark, sf)
+    late = F.date_format("date", "yyyy-MM").isin(*CORRECTED_MONTHS)
+    missing = late & F.dayofmonth("date").isin(11, 12)
+    stale = stale_copies(bars.where(late & ~missing)).drop("processed_timestamp")
+    for drop in (bars.where(~late).unionByName(stale), bars.where(late & missing), bars.where(late & ~missing)):
+        write_bars_csv(drop, raw)
+        incremental.run_incremental(spark, raw, root, meta, buckets=2)
+    return norm(incremental.read(spark, root, name))
+
+
+def q_incremental_monthly(spark, sf):
+    """O2 -> T13 -> F1 -> F4: the monthly fact of the incremental pipeline."""
+    return _incremental(spark, sf, "fact_monthly")
+
+
 def _merged_summary(spark, sf, summary):
     """A summary merged from two drops of daily rows; the cut lies inside weeks, months and (by ticker) inside a day."""
     landing, target, ckpt = (scratch_dir(spark, n) for n in ("sum-land", "sum-target", "sum-ckpt"))
@@ -369,6 +388,7 @@ STREAM_QUERIES = {
     "upsert_null_keys": q_upsert_null_keys,
     "refresh_indicators": q_refresh_indicators,
     "refresh_fact": q_refresh_fact,
+    "incremental_monthly": q_incremental_monthly,
     "fact_weekly_merged": q_fact_weekly_merged,
     "fact_monthly_merged": q_fact_monthly_merged,
     "kpi_merged": q_kpi_merged,
@@ -444,6 +464,7 @@ def stream_oracle_sql() -> dict[str, str]:
         "upsert_null_keys": f"{with_(BARS, broken)} SELECT {columns} FROM broken UNION ALL {stale}",
         "refresh_indicators": O.silver_sql(),
         "refresh_fact": O.fact_sql(),
+        "incremental_monthly": O.monthly_sql(),
         "fact_weekly_merged": O.weekly_sql(),
         "fact_monthly_merged": O.monthly_sql(),
         "kpi_merged": O.v_kpi_sql(),

@@ -232,6 +232,12 @@ def run_ingest_with_quarantine(
     return {**counts, "malformed": expectation_counts(spark, quarantine_path, ran).get("total", 0)}
 
 
+def run_quarantine(checked: DataFrame, quarantine_path: str, checkpoint: str) -> int:
+    """Only the malformed rows of ``checked``, to a sink of their own; returns how many came."""
+    bad = checked.where(F.col(csv_bars.REASON).isNotNull()).select("ticker", *csv_bars.CHECK_COLUMNS)
+    return run_append_with_expectations(bad, [], quarantine_path, checkpoint).get("total", 0)
+
+
 # -- merges -------------------------------------------------------------------
 
 BUCKET = parts.BUCKET

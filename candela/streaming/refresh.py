@@ -149,26 +149,20 @@ def affected_runs(bars: DataFrame, changed: DataFrame, lookback: int, margin: in
 def refresh(
     spark: SparkSession, bars_path: str, target_path: str, changed: DataFrame, table: Derived, source: str,
     block_rows: int = frames.DEFAULT_BLOCK_ROWS, margin: int = 4, most_part_bytes: int = MOST_PART_BYTES,
-) -> None:
+) -> DataFrame:
     """Bring the derived table up to date with the bars whose (ticker, date) are in ``changed``.
 
     ``source`` names the batch of changes: run again, it publishes what it
     had computed. ``margin`` is the number of months by which runs are
-    widened at first.
+    widened at first. Returns the (ticker, date) of the rows that were
+    computed again, as a scratch table (see
+    :func:`candela.session.scratch_scope`).
     """
-    with scratch_scope(spark):
-        _refresh(spark, bars_path, target_path, changed, table, source, block_rows, margin, most_part_bytes)
-
-
-def _refresh(
-    spark: SparkSession, bars_path: str, target_path: str, changed: DataFrame, table: Derived, source: str, block_rows: int,
-    margin: int, most_part_bytes: int,
-) -> None:
     parts.finish_pending(spark, target_path)
     keys = changed.select("ticker", "date").where("ticker IS NOT NULL AND date IS NOT NULL").distinct()
     keys = _stored(keys, "refresh-changed")
     if keys.isEmpty():
-        return
+        return keys
     touched = [r[BUCKET] for r in _place(keys, bars_path).select(BUCKET).distinct().collect()]  # at most the buckets
     bars = _bars(spark, bars_path).where(F.col(BUCKET).isin(touched))
     runs = affected_runs(bars, keys, table.lookback, margin)
@@ -196,10 +190,12 @@ def _refresh(
     parts.publish(spark, target_path, [PERIOD, BUCKET], source, merged)
     places = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]  # at most the buckets
     parts.split_large(spark, target_path, ["ticker"], [PERIOD, BUCKET], BUCKET, places, most_part_bytes)
+    return dirty
 
 
 def refresh_indicators(
     spark: SparkSession, bars_path: str, target_path: str, changed: DataFrame, source: str, block_rows: int = frames.DEFAULT_BLOCK_ROWS
 ) -> None:
-    """:func:`refresh` of the indicator table."""
-    refresh(spark, bars_path, target_path, changed, silver_table(), source, block_rows)
+    """:func:`refresh` of the indicator table; its scratch tables are deleted."""
+    with scratch_scope(spark):
+        refresh(spark, bars_path, target_path, changed, silver_table(), source, block_rows)

@@ -81,6 +81,13 @@ def run_merge_summaries(
     return _run_batches(daily, checkpoint, write)
 
 
+def build_summary(spark: SparkSession, fact: DataFrame, path: str, summary: Summary, buckets: int = 4) -> None:
+    """The whole table from the daily fact."""
+    states = partial(fact, summary)
+    buckets = _create(spark, path, states, buckets)
+    parts.replace_parts(parts.clustered(_placed(states, summary, buckets), FOLDERS, 1), path, FOLDERS)
+
+
 def replace_groups(spark: SparkSession, fact: DataFrame, changed: DataFrame, path: str, summary: Summary, source: str) -> None:
     """Recompute the states of the groups that hold a changed (ticker, date) from the stored daily fact.
 
