@@ -15,10 +15,11 @@ reranked by the exact inner product on the original vectors. As threshold and
 upper bound each keep ``epsilon`` deviations, a true neighbour is lost only
 where its estimate errs by about twice as many.
 
-Queries are taken in blocks of at most about ``BLOCK`` (by a hash of the id),
-each a scan of the codes with the block sent to the executors; per query a
-partition returns its k best lower bounds, and then the entries over the
-threshold. No vector is shuffled but for the rerank.
+Queries are taken in groups of at most about ``SENT`` (by a hash of the id),
+each two scans of the codes with the group sent to the executors (a bounded
+number of vectors, turned once per task and compared ``BLOCK`` at a time); per
+query a partition returns its k best lower bounds, and then the entries over
+the threshold. No vector is shuffled but for the rerank.
 
 Bounds are computed for queries of unit length and in DOUBLE (only the product
 of signs and turned query is a float32 one), with lengths scaled by a power of
@@ -43,8 +44,8 @@ from pyspark.sql import functions as F
 
 from candela.llm.common import stored
 
-#: Queries of a block, and code entries compared at a time.
-BLOCK, ROWS = 1024, 2048
+#: Queries of a group; queries and code entries that are compared at one time.
+SENT, BLOCK, ROWS = 16_384, 1024, 2048
 #: Lengths are stored times this power of two: those of finite vectors stay finite.
 LENGTH_SCALE = 2.0**-16
 #: Salts of the first level that gathers the ids of equal vectors.
@@ -101,7 +102,8 @@ def encode(entries: DataFrame, dim: int, bits: int, seed: int) -> DataFrame:
 
 
 def _bounds(batches: Iterator[pa.RecordBatch], queries: np.ndarray, dim: int, bits: int, seed: int, epsilon: float):
-    """(entries, lower, upper) per slice of codes: bounds [entry, query] of the products with the query scaled to unit length."""
+    """(entries, first query, lower, upper) per slice of codes and block of queries: bounds [entry, query] of the products
+    with the query scaled to unit length."""
     unit = queries / np.abs(queries).max(axis=1, keepdims=True)
     unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     turned = (unit @ rotation(dim, bits, seed)).astype(np.float32)
@@ -111,23 +113,25 @@ def _bounds(batches: Iterator[pa.RecordBatch], queries: np.ndarray, dim: int, bi
             packed = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
             signs = np.unpackbits(packed, axis=1, count=bits).astype(np.float32) * 2 - 1
             length, c = batch.column("length").to_numpy(), batch.column("c").to_numpy()
-            estimate = (signs @ turned.T) * (length / c / math.sqrt(bits))[:, None]
+            scale = (length / c / math.sqrt(bits))[:, None]
             error = (length * np.sqrt(np.maximum(1 - c * c, 0) / (c * c) / (bits - 1)) * epsilon + length * 1e-5)[:, None]
-            yield batch.column("entry").to_numpy(), estimate - error, estimate + error
+            entries = batch.column("entry").to_numpy()
+            for first in range(0, len(turned), BLOCK):
+                estimate = (signs @ turned[first : first + BLOCK].T) * scale
+                yield entries, first, estimate - error, estimate + error
 
 
 def _best_lower(queries, names, k, **index):
     """Task: per query the ``k`` largest lower bounds of the partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = np.zeros((0, len(names.value)))
-        for _, lower, _ in _bounds(batches, queries.value, **index):
-            best = np.concatenate([best, lower])
-            if len(best) > k:
-                best = np.partition(best, len(best) - k, axis=0)[-k:]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.tile(names.value, len(best))), pa.array(best.ravel())], names=["query", "lower"]
-        )
+        best: dict[int, np.ndarray] = {}  # by the first query of a block
+        for _, first, lower, _ in _bounds(batches, queries.value, **index):
+            held = np.concatenate([best[first], lower]) if first in best else lower
+            best[first] = np.partition(held, len(held) - k, axis=0)[-k:] if len(held) > k else held
+        for first, held in best.items():
+            asked = names.value[first : first + BLOCK]
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(asked, len(held))), pa.array(held.ravel())], names=["query", "lower"])
 
     return run
 
@@ -137,9 +141,9 @@ def _over(queries, names, thresholds, **index):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.where(np.isfinite(thresholds.value), thresholds.value, -math.inf)
-        for entries, _, upper in _bounds(batches, queries.value, **index):
-            e, q = np.nonzero(~(upper < low[None, :]))
-            yield pa.RecordBatch.from_arrays([pa.array(names.value[q]), pa.array(entries[e])], names=["query", "entry"])
+        for entries, first, _, upper in _bounds(batches, queries.value, **index):
+            e, q = np.nonzero(~(upper < low[None, first : first + BLOCK]))
+            yield pa.RecordBatch.from_arrays([pa.array(names.value[first + q]), pa.array(entries[e])], names=["query", "entry"])
 
     return run
 
@@ -177,10 +181,10 @@ def nearest(
     ids = vectors.where(F.col("vec_id") % query_every == 0)
     asked = stored(ids.join(entries.select("v", "entry"), "v").select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")), "ann-asked")
     searched = stored(entries.join(asked.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi").select("entry", "v"), "ann-queries")
-    blocks = max(1, math.ceil(searched.count() / BLOCK))
+    groups = max(1, math.ceil(searched.count() / SENT))
     found = None
-    for b in range(blocks):
-        block = searched.where(F.pmod(F.xxhash64("entry"), F.lit(blocks)) == b).toArrow()
+    for b in range(groups):
+        block = searched.where(F.pmod(F.xxhash64("entry"), F.lit(groups)) == b).toArrow()
         if not block.num_rows:
             continue
         send = spark.sparkContext.broadcast
@@ -190,10 +194,10 @@ def nearest(
         lows = codes.mapInArrow(_best_lower(queries, names, k + 1, **index), "query long, lower double")
         by_query = Window.partitionBy("query").orderBy(F.desc("lower"))
         kth = lows.withColumn("at", F.row_number().over(by_query)).where(F.col("at") == k + 1).select("query", "lower")
-        threshold = {r["query"]: r["lower"] for r in kth.collect()}  # at most a block of numbers
+        threshold = {r["query"]: r["lower"] for r in kth.collect()}  # at most a group of numbers
         thresholds = send(np.array([threshold.get(q, -math.inf) for q in order.tolist()]))
         pairs = codes.mapInArrow(_over(queries, names, thresholds, **index), "query long, entry long")
-        # the block's query vectors are broadcast (a block is bounded), so no vector of a pair is shuffled again
+        # the group's query vectors are broadcast (a group is bounded), so no vector of a pair is shuffled again
         asking = spark.createDataFrame(block).select(F.col("entry").alias("query"), F.col("v").alias("q"))
         scored = pairs.join(entries, "entry").join(F.broadcast(asking), "query").select("query", "ids", inner_product("q", "v").alias("score"))
         part = stored(scored, "ann-scored")
