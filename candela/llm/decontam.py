@@ -32,9 +32,11 @@ are never shuffled and the driver holds one block at a time.
 
 Defined results: NULL and word-free texts have no leak; NULL and word-free
 items match nothing; items too short for an edit match only as they are,
-and always do;
-repeated documents and items give one row each; words are runs of letters
-and digits in lower case.
+and always do; repeated documents and items give one row each; texts of any
+length are searched whole; empty tables of documents or items give no leak
+(and drop nothing); only doc_id and text, item_id and text are read, and
+dropping keeps all other columns, whatever their names; words are runs of
+letters and digits in lower case.
 """
 
 from __future__ import annotations

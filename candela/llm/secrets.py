@@ -15,12 +15,15 @@ only where one of them occurs (in lower case), which changes no result.
 Skew: equal versions collapse in a partial aggregate before the shuffle, so
 a blob with a third of all paths is one row per input split; the join back
 is a plain sort-merge join that Spark splits on a hot blob, or a broadcast
-where the findings are small.
+where the findings are small. The texts themselves move once: equal
+blobs have to meet to be scanned once, and fetching the texts of the
+survivors of a narrow shuffle would move the same texts by a join.
 
 Defined results: NULL text is the empty blob; repeated rows each get the
 blob's findings; positions are code points, ends exclusive; other columns of
 the versions frame are kept, but for ``blob_id`` and ``spans``, which the
-results replace.
+results replace; texts of any length are scanned whole; an empty table scans
+nothing and gives no rows.
 """
 
 from __future__ import annotations
