@@ -6,7 +6,11 @@ but the last return the columns of ``docs``.
 
 Defined results: a stage passes NULL and empty texts on by the rule of its
 operator (the quality of the empty text, fingerprint zero, no leak, no
-secret, no ids); extra columns are kept by every stage but the last.
+secret, no ids); extra columns, whatever their names and types, are kept by
+every stage but the last; repeated rows share their fate in every stage but
+near-dedup, which keeps one of those that copy each other (rows without a
+doc_id all stay); texts of any length are read whole; an empty table passes
+through empty.
 """
 
 from __future__ import annotations
