@@ -11,8 +11,10 @@ import os
 import re
 import sys
 
+from pyspark.sql import functions as F
+
 from candela.operators import dims, facts, frames, indicators, views
-from candela.operators.ema import ema
+from candela.operators.ema import ema, macd_ema
 from candela.session import local_session, scratch_dir
 from candela.sources.tpch_bars import load_bars, load_ticker_metadata
 
@@ -79,7 +81,13 @@ def main(sf: str) -> None:
     out.append(digest("v_technical_screening (blocked chain from the bars)", views.v_technical_screening(chain, dt),
                       "Rows numbered and cut once for indicators, fact and screening: one exchange, one copying step, one sort."))
     out.append(digest("ind_ema", ema(bars),
-                      "Rows gathered into blocks (one exchange); coefficients scanned in Arrow batches, the other columns stay in the JVM."))
+                      "Block maps were composed in a first, narrow pass; here the rows are exchanged once by (ticker, block), the blocks' "
+                      "entry states among them, and a walk over the sorted rows applies the maps."))
+    out.append(digest("ind_macd_ema", macd_ema(bars), "Both legs and the signal: the same plan as for one average."))
+    text = bars.withColumn("day", F.date_format("date", "yyyy-MM-dd"))
+    out.append(digest("sma over a text order", indicators.run_indicators(text, ["sma"], order="day"),
+                      "The rows were dealt by sampled ranges of (ticker, day), counted and stored; here a broadcast of one row per range "
+                      "carries the counts on, and the rows are exchanged once by (ticker, block)."))
     print("\n".join(out))
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from candela.operators.dedup import dedup_bars
 from candela.operators.dims import scd1_latest
 from candela.operators.quality import Rules, observe_rules
+from candela.session import ensure_checkpoint_dir
 from candela.sinks import parts
 from candela.sinks.tables import table_exists
 from candela.sources import csv_bars
@@ -94,6 +95,7 @@ def start_append(
 
 
 def _run_batches(stream: DataFrame, checkpoint: str, batch_fn) -> StreamingQuery:
+    ensure_checkpoint_dir(stream.sparkSession)  # batches are checkpointed before they are merged
     q = (
         stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch_fn).trigger(availableNow=True).start()
     )

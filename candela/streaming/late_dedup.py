@@ -101,7 +101,7 @@ def run_dedup_append(
                 new = one.join(stored, same, "left_anti").checkpoint()
         placed = new.withColumn(PERIOD, period_of(new.columns, event_time))
         blocks = bloom_filters(placed, keys).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        blocks.coalesce(1).write.mode("append").parquet(filters_path)
+        blocks.write.mode("append").parquet(filters_path)
         sink.append(new, batch_id)
 
     return _run_batches(stream, checkpoint, write)
