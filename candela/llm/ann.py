@@ -15,11 +15,14 @@ reranked by the exact inner product on the original vectors. As threshold and
 upper bound each keep ``epsilon`` deviations, a true neighbour is lost only
 where its estimate errs by about twice as many.
 
-Queries are taken in groups of at most about ``SENT`` (by a hash of the id),
-each two scans of the codes with the group sent to the executors (a bounded
-number of vectors, turned once per task and compared ``BLOCK`` at a time); per
-query a partition returns its k best lower bounds, and then the entries over
-the threshold. No vector is shuffled but for the rerank.
+The queries are a table of blocks of at most ``BLOCK`` vectors, the codes one
+of chunks of at most ``ROWS`` entries. Each of the two passes is one job in
+which every chunk meets every block (the query set against all rows, in
+blocks): the planner sends the blocks to all tasks while they are small, and
+deals out (chunks x blocks) over tasks beyond that. The first pass returns
+the k best lower bounds of each query and task, the second the entries over
+the threshold. Nothing goes through the driver, and no vector is shuffled but
+for the rerank.
 
 Bounds are computed for queries of unit length and in DOUBLE (only the product
 of signs and turned query is a float32 one), with lengths scaled by a power of
@@ -36,6 +39,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +48,8 @@ from pyspark.sql import functions as F
 
 from candela.llm.common import stored
 
-#: Queries of a group; queries and code entries that are compared at one time.
-SENT, BLOCK, ROWS = 16_384, 1024, 2048
+#: Queries of a block and code entries of a chunk: what is compared at one time.
+BLOCK, ROWS = 1024, 2048
 #: Lengths are stored times this power of two: those of finite vectors stay finite.
 LENGTH_SCALE = 2.0**-16
 #: Salts of the first level that gathers the ids of equal vectors.
@@ -60,6 +64,7 @@ def valid_vectors(table: DataFrame, id_col: str = "vec_id", vector: str = "embed
     return rows.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+@lru_cache(maxsize=4)
 def rotation(dim: int, bits: int, seed: int) -> np.ndarray:
     """The first ``dim`` rows of a random orthogonal matrix of order ``bits``: orthonormal rows."""
     gauss = np.random.default_rng(seed).standard_normal((bits, dim))
@@ -102,8 +107,7 @@ def encode(entries: DataFrame, dim: int, bits: int, seed: int) -> DataFrame:
 
 
 def _bounds(batches: Iterator[pa.RecordBatch], queries: np.ndarray, dim: int, bits: int, seed: int, epsilon: float):
-    """(entries, first query, lower, upper) per slice of codes and block of queries: bounds [entry, query] of the products
-    with the query scaled to unit length."""
+    """(entries, lower, upper) per slice of codes: bounds [entry, query] of the products with the query scaled to unit length."""
     unit = queries / np.abs(queries).max(axis=1, keepdims=True)
     unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     turned = (unit @ rotation(dim, bits, seed)).astype(np.float32)
@@ -115,35 +119,65 @@ def _bounds(batches: Iterator[pa.RecordBatch], queries: np.ndarray, dim: int, bi
             length, c = batch.column("length").to_numpy(), batch.column("c").to_numpy()
             scale = (length / c / math.sqrt(bits))[:, None]
             error = (length * np.sqrt(np.maximum(1 - c * c, 0) / (c * c) / (bits - 1)) * epsilon + length * 1e-5)[:, None]
-            entries = batch.column("entry").to_numpy()
-            for first in range(0, len(turned), BLOCK):
-                estimate = (signs @ turned[first : first + BLOCK].T) * scale
-                yield entries, first, estimate - error, estimate + error
+            estimate = (signs @ turned.T) * scale
+            yield batch.column("entry").to_numpy(), estimate - error, estimate + error
 
 
-def _best_lower(queries, names, k, **index):
-    """Task: per query the ``k`` largest lower bounds of the partition."""
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(payload: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(payload).read_next_batch()
+
+
+def in_blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """(``name``, payload): the rows packed by at most ``size``, where they lie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, size):
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(whole.slice(at, size))], pa.binary())], names=["payload"])
+
+    return rows.mapInArrow(run, "payload binary").select(F.monotonically_increasing_id().alias(name), F.col("payload").alias(f"{name}_rows"))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch, pa.RecordBatch, int]]:
+    """(codes, queries, batch, row) of every chunk of codes that meets a block of queries."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield _unpacked(batch.column("chunk_rows")[k].as_py()), _unpacked(batch.column("block_rows")[k].as_py()), batch, k
+
+
+def _best_lower(k: int, **index):
+    """Task: per query the ``k`` largest lower bounds over the task's codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, np.ndarray] = {}  # by the first query of a block
-        for _, first, lower, _ in _bounds(batches, queries.value, **index):
-            held = np.concatenate([best[first], lower]) if first in best else lower
-            best[first] = np.partition(held, len(held) - k, axis=0)[-k:] if len(held) > k else held
-        for first, held in best.items():
-            asked = names.value[first : first + BLOCK]
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(asked, len(held))), pa.array(held.ravel())], names=["query", "lower"])
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by block
+        for codes, block, batch, row in _met(batches):
+            name, queries = batch.column("block")[row].as_py(), block.column("entry").to_numpy()
+            for _, lower, _ in _bounds(iter([codes]), _matrix(block.column("v"), index["dim"]), **index):
+                held = np.concatenate([best[name][1], lower]) if name in best else lower
+                best[name] = queries, np.partition(held, len(held) - k, axis=0)[-k:] if len(held) > k else held
+        for queries, held in best.values():
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(queries, len(held))), pa.array(held.ravel())], names=["query", "lower"])
 
     return run
 
 
-def _over(queries, names, thresholds, **index):
-    """Task: (query, entry) pairs whose upper bound reaches the query's threshold."""
+def _over(**index):
+    """Task: (query, entry) pairs whose upper bound reaches the query's threshold (column ``low``, in the block's order)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = np.where(np.isfinite(thresholds.value), thresholds.value, -math.inf)
-        for entries, first, _, upper in _bounds(batches, queries.value, **index):
-            e, q = np.nonzero(~(upper < low[None, first : first + BLOCK]))
-            yield pa.RecordBatch.from_arrays([pa.array(names.value[first + q]), pa.array(entries[e])], names=["query", "entry"])
+        for codes, block, batch, row in _met(batches):
+            queries, low = block.column("entry").to_numpy(), np.array(batch.column("low")[row].as_py())
+            low = np.where(np.isfinite(low), low, -math.inf)
+            for entries, _, upper in _bounds(iter([codes]), _matrix(block.column("v"), index["dim"]), **index):
+                e, q = np.nonzero(~(upper < low[None, :]))
+                yield pa.RecordBatch.from_arrays([pa.array(queries[q]), pa.array(entries[e])], names=["query", "entry"])
 
     return run
 
@@ -154,6 +188,19 @@ def inner_product(a: str, b: str) -> F.Column:
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def with_thresholds(blocks: DataFrame, kth: DataFrame) -> DataFrame:
+    """``blocks`` with ``low``: the threshold of each of its queries, in order (none: minus infinity)."""
+
+    @F.arrow_udf("array<long>")
+    def names(payloads: pa.Array) -> pa.Array:
+        return pa.array([_unpacked(p).column("entry").to_pylist() for p in payloads.to_pylist()], pa.list_(pa.int64()))
+
+    places = blocks.select("block", F.posexplode(names("block_rows")).alias("at", "query"))
+    low = places.join(kth, "query", "left").select("block", "at", F.coalesce("kth", F.lit(-math.inf)).alias("x"))
+    low = low.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda e: e["x"]).alias("low"))  # at most BLOCK each
+    return blocks.join(low, "block")
+
+
 def nearest(
     table: DataFrame, query_every: int = 20, k: int = 20, bits_per_dim: int = 12, epsilon: float = 1.9, seed: int = 5
 ) -> DataFrame:
@@ -181,29 +228,16 @@ def nearest(
     ids = vectors.where(F.col("vec_id") % query_every == 0)
     asked = stored(ids.join(entries.select("v", "entry"), "v").select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")), "ann-asked")
     searched = stored(entries.join(asked.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi").select("entry", "v"), "ann-queries")
-    groups = max(1, math.ceil(searched.count() / SENT))
-    found = None
-    for b in range(groups):
-        block = searched.where(F.pmod(F.xxhash64("entry"), F.lit(groups)) == b).toArrow()
-        if not block.num_rows:
-            continue
-        send = spark.sparkContext.broadcast
-        queries = send(_matrix(block["v"].combine_chunks(), dim))
-        order = block["entry"].to_numpy()
-        names = send(order)
-        lows = codes.mapInArrow(_best_lower(queries, names, k + 1, **index), "query long, lower double")
-        by_query = Window.partitionBy("query").orderBy(F.desc("lower"))
-        kth = lows.withColumn("at", F.row_number().over(by_query)).where(F.col("at") == k + 1).select("query", "lower")
-        threshold = {r["query"]: r["lower"] for r in kth.collect()}  # at most a group of numbers
-        thresholds = send(np.array([threshold.get(q, -math.inf) for q in order.tolist()]))
-        pairs = codes.mapInArrow(_over(queries, names, thresholds, **index), "query long, entry long")
-        # the group's query vectors are broadcast (a group is bounded), so no vector of a pair is shuffled again
-        asking = spark.createDataFrame(block).select(F.col("entry").alias("query"), F.col("v").alias("q"))
-        scored = pairs.join(entries, "entry").join(F.broadcast(asking), "query").select("query", "ids", inner_product("q", "v").alias("score"))
-        part = stored(scored, "ann-scored")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return empty
+    chunks = stored(in_blocks(codes, ROWS, "chunk"), "ann-chunks")
+    blocks = stored(in_blocks(searched, BLOCK, "block"), "ann-blocks")
+    lows = chunks.crossJoin(blocks).select("chunk_rows", "block", "block_rows").mapInArrow(_best_lower(k + 1, **index), "query long, lower double")
+    by_query = Window.partitionBy("query").orderBy(F.desc("lower"))
+    kth = lows.withColumn("at", F.row_number().over(by_query)).where(F.col("at") == k + 1).select("query", F.col("lower").alias("kth"))
+    asked_blocks = stored(with_thresholds(blocks, kth), "ann-asked-blocks")
+    met = chunks.crossJoin(asked_blocks).select("chunk_rows", "block", "block_rows", "low")
+    pairs = met.mapInArrow(_over(**index), "query long, entry long")
+    asking = searched.select(F.col("entry").alias("query"), F.col("v").alias("q"))
+    found = pairs.join(entries, "entry").join(asking, "query").select("query", "ids", inner_product("q", "v").alias("score"))
 
     # k + 1 entries hold k other rows at least, whichever row asks.
     top = Window.partitionBy("query").orderBy(F.desc("score"), F.element_at("ids", 1))

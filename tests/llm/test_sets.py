@@ -624,12 +624,10 @@ def plain_nearest(rows, every, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("case", ["plain", "copies", "few", "empty", "large", "mixed", "groups"])
-def test_neighbours_against_brute_force(spark, case, monkeypatch):
-    if case == "groups":
-        monkeypatch.setattr(ann, "SENT", 13)
+@pytest.mark.parametrize("case", ["plain", "copies", "few", "empty", "large", "mixed"])
+def test_neighbours_against_brute_force(spark, case):
     rng = np.random.default_rng(3)
-    count = {"plain": 300, "copies": 300, "few": 7, "empty": 0, "large": 200, "mixed": 200, "groups": 300}[case]
+    count = {"plain": 300, "copies": 300, "few": 7, "empty": 0, "large": 200, "mixed": 200}[case]
     rows = [(k, rng.standard_normal(12).astype(np.float32).astype(float).tolist()) for k in range(count)]
     if case == "large":  # products beyond the range of single precision, up to the end of double precision
         rows = [(k, [x * (1e20, 1e150)[k // 5 % 2] for x in v]) for k, v in rows] + [(305, [1e157] * 12)]
@@ -644,32 +642,20 @@ def test_neighbours_against_brute_force(spark, case, monkeypatch):
     assert got == plain_nearest(rows, 10, 5)
 
 
-def test_blocks_of_queries_give_the_same_bounds(monkeypatch):
-    import pyarrow as pa
-
-    rng = np.random.default_rng(2)
-    x, q, bits = rng.standard_normal((3000, 16)), rng.standard_normal((40, 16)), 192
-    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3000)), pa.array(x.tolist())], names=["entry", "v"])
-    turned = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ ann.rotation(16, bits, 5)
-    codes = pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array([r.tobytes() for r in np.packbits(turned > 0, axis=1)]), pa.array(np.linalg.norm(x, axis=1)),
-         pa.array(np.abs(turned).sum(axis=1) / np.sqrt(bits))], names=["entry", "code", "length", "c"],
-    )
-
-    class Held:
-        def __init__(self, value):
-            self.value = value
-
-    def both():
-        index = dict(dim=16, bits=bits, seed=5, epsilon=1.9)
-        lows = pa.Table.from_batches(list(ann._best_lower(Held(q), Held(np.arange(40) * 7), 6, **index)([codes]))).to_pandas()
-        kth = lows.groupby("query")["lower"].min()
-        pairs = pa.Table.from_batches(list(ann._over(Held(q), Held(np.arange(40) * 7), Held(kth.to_numpy()), **index)([codes]))).to_pandas()
-        return sorted(zip(lows["query"], lows["lower"].round(5), strict=True)), sorted(zip(pairs["query"], pairs["entry"], strict=True))
-
-    whole = both()
+def test_chunks_and_blocks_give_the_same_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.standard_normal(8).tolist()) for k in range(500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = plain_nearest(rows, 10, 5)
+    monkeypatch.setattr(ann, "ROWS", 60)
     monkeypatch.setattr(ann, "BLOCK", 7)
-    assert both() == whole and len(whole[0]) == 240
+    for limit in ("10MB", "-1"):  # blocks sent to all tasks; chunks x blocks dealt over tasks
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = ann.nearest(frame, query_every=10, k=5).select("query_id", "rank", "vec_id", "score")
+            assert sorted(map(tuple, got.collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_error_bounds_hold_for_nearly_all_pairs():
@@ -685,7 +671,7 @@ def test_error_bounds_hold_for_nearly_all_pairs():
         names=["entry", "code", "length", "c"],
     )
     inside = total = 0
-    for entries, _, low, high in ann._bounds([codes], q, 32, bits, 5, 3.5):
+    for entries, low, high in ann._bounds([codes], q, 32, bits, 5, 3.5):
         exact = x[entries] @ (q / np.linalg.norm(q, axis=1, keepdims=True)).T  # bounds are for queries of unit length
         inside += ((low <= exact) & (exact <= high)).sum()
         total += exact.size
