@@ -80,6 +80,8 @@ SUSPECT = re.compile(
 )
 #: Runs of one character: more than three of it say no more than three.
 _RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
+#: Leading letters that do not repeat.
+_SURE = re.compile(r"(?:([a-z])(?!\1))*")
 # Classes of Latin-1 bytes for the search of places where SUSPECT can match.
 _IS_LETTER = np.array([chr(i).isalpha() for i in range(256)])
 _IS_SIGN = np.array([chr(i) in "0123456789@$|+(!*.-_'?" or 0x80 <= i < 0xC0 for i in range(256)])
@@ -187,21 +189,30 @@ def lattice(span: str) -> list[tuple[str, float, list[tuple[int, float]]]]:
 
 
 def viterbi(span: str, model: np.ndarray) -> str:
-    """The hidden word of the span: the best path of its lattice between two word borders."""
+    """The hidden word of the span: the best path of its lattice between two word borders.
+
+    Leading letters without a repeat have one edge each, so the path through
+    them is certain and the search begins behind them.
+    """
     steps = lattice(span)
+    sure = 0
+    while sure < len(steps) and "a" <= span[sure] <= "z" and steps[sure][1] == -np.inf:
+        sure += 1
+    known = [BORDER, BORDER, *(ord(c) - 97 for c in span[:sure])]
     best = np.full((SYMBOLS, SYMBOLS), -np.inf)  # by the last two hidden symbols
-    best[BORDER, BORDER] = 0.0
+    best[known[-2], known[-1]] = 0.0
     back = []
-    for _, drop, edges in steps:
+    for _, drop, edges in steps[sure:]:
         new = best + drop if drop > -np.inf else np.full_like(best, -np.inf)
         came = np.full((SYMBOLS, SYMBOLS), -1, dtype=np.int8)  # the symbol before the last two; -1: dropped
-        for symbol, cost in edges:
-            through = best + model[:, :, symbol] + cost  # (a, b) -> (b, symbol)
+        if edges:
+            symbols, costs = np.array([e[0] for e in edges]), np.array([e[1] for e in edges])
+            through = best[:, :, None] + model[:, :, symbols] + costs  # (a, b, symbol) -> (b, symbol)
             a = through.argmax(axis=0)
-            value = through[a, np.arange(SYMBOLS)]
-            better = value > new[:, symbol]
-            new[better, symbol] = value[better]
-            came[better, symbol] = a[better]
+            value = np.take_along_axis(through, a[None], axis=0)[0]
+            better = value > new[:, symbols]
+            new[:, symbols] = np.where(better, value, new[:, symbols])
+            came[:, symbols] = np.where(better, a, -1)
         back.append(came)
         best = new
     final = best + model[:, :, BORDER]
@@ -209,12 +220,12 @@ def viterbi(span: str, model: np.ndarray) -> str:
     if final[a, b] == -np.inf:
         return span
     hidden = []
-    for k in range(len(steps) - 1, -1, -1):
-        before = back[k][a, b]
+    for k in range(len(steps) - 1, sure - 1, -1):
+        before = back[k - sure][a, b]
         if before >= 0:
             hidden.append((int(b), steps[k][0]))
-            a, b = before, a
-    return "".join(chr(97 + s) if s < 26 else " " if s == BORDER else c for s, c in reversed(hidden))
+            a, b = int(before), a
+    return span[:sure] + "".join(chr(97 + s) if s < 26 else " " if s == BORDER else c for s, c in reversed(hidden))
 
 
 class Restorer:
@@ -226,13 +237,17 @@ class Restorer:
 
     def _decode(self, m: re.Match) -> str:
         span = _RUN.sub(r"\1\1\1", m.group())
-        known = self.memo.get(span)
+        # The model looks two letters back: of the letters that can only be themselves, the last two tell the rest.
+        sure = max(0, _SURE.match(span).end() - 2)
+        rest = span[sure:]
+        known = self.memo.get(rest)
         if known is None:
             if len(self.memo) > 100_000:
                 self.memo.clear()
-            parts = [span[at : at + PIECE] for at in range(0, len(span), PIECE)]
-            known = self.memo[span] = "".join(viterbi(part, self.model) for part in parts)
-        return known
+            parts = [rest[at : at + PIECE] for at in range(0, len(rest), PIECE)]
+            known = "".join(viterbi(part, self.model) for part in parts)
+            self.memo[rest] = known
+        return span[:sure] + known
 
     def restore(self, text: str) -> str:
         folded = fold(text)
