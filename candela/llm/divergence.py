@@ -20,10 +20,11 @@ order; equal rows become one with a multiplicity, and rows with a common
 beginning share that path from the root, so that a node's multiplicity is
 the number of terms below it. Each pair of a node and one of its ancestors
 gives one correction, times the node's multiplicity, however many terms run
-through both. The rows are dealt to tasks by ranges of their order (equal
-shares of them, also where one path holds most) and sorted there, so a task
+through both. The rows are dealt to tasks by ranges of their first items (and
+of a hash, where one beginning holds most rows) and sorted there, so a task
 walks its part of the tree depth first and holds one path of it at a time;
-a path that two tasks share is counted in parts.
+a path that several tasks share is counted in parts. ``TASK_ROWS`` sets the
+number of ranges, so that the sample behind their bounds stays small.
 
 Arithmetic is exact: shares are computed in decimals, all sums in 64-bit
 integers (a sum over all terms is at most a few times ``scale`` plus V).
@@ -45,6 +46,7 @@ any name.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -61,6 +63,8 @@ _FOLD = bytes(
 )
 #: Distinct (lang, source, term) that a task counts before it hands them on.
 HELD_TERMS = 400_000
+#: Term rows of one task, and items of a row that its range goes by.
+TASK_ROWS, RANGE_ITEMS = 20_000, 4
 #: Cells of pair sums that a task holds before it hands them on.
 HELD_PAIRS = 4_000_000
 
@@ -224,7 +228,9 @@ def walk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def tree_corrections(rows: DataFrame) -> DataFrame:
     """(lang, source, item, value) of terms that both sources hold, from ``rows`` (lang, path, times)."""
-    ordered = rows.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    tasks = max(1, math.ceil(rows.count() / TASK_ROWS))
+    ranged = rows.repartitionByRange(tasks, "lang", F.slice("path", 1, RANGE_ITEMS), F.xxhash64("path"))
+    ordered = ranged.sortWithinPartitions("lang", "path")
     walked = ordered.select("lang", "path", "times").mapInArrow(walk_rows, "lang string, source string, item string, value long")
     return walked.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 

@@ -68,8 +68,9 @@ def collected(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("min_docs", [1, 4, 30, 10_000])
-def test_equals_plain_counting(spark, min_docs):
+@pytest.mark.parametrize(("min_docs", "task_rows"), [(1, 20_000), (4, 7), (30, 1), (10_000, 20_000)])
+def test_equals_plain_counting(spark, monkeypatch, min_docs, task_rows):
+    monkeypatch.setattr(divergence, "TASK_ROWS", task_rows)
     rows = corpus()
     got = collected(divergence.audit(frame(spark, rows, extra=True).repartition(5), min_docs=min_docs))
     assert got == plain_version(rows, min_docs)
