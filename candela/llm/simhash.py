@@ -191,7 +191,7 @@ def _links(max_bits: int):
             low, high = table[at[k], 1], table[at[k], 2]
             found = _forest(part, part, max_bits) if low == high else _forest(part[side == low], part[side == high], max_bits)
             pairs.append(np.array(found, dtype=np.uint64).reshape(-1, 2))
-        both = np.ascontiguousarray(np.concatenate(pairs)).view(np.int64)
+        both = np.sort(np.concatenate(pairs), axis=1).view(np.int64)  # an edge has one form, however its group's rows came
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     return run
@@ -231,6 +231,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     the minimum over the neighbours' labels and then follows labels one
     step (labels are fingerprints while iterating), until nothing changes.
     """
+    # Stored before both directions are made: two evaluations of the edges could name different ends first.
+    edges = stored(edges.select("a", "b").distinct(), "simhash-forest")
     both = stored(
         edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "simhash-edges"
     )

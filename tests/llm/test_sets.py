@@ -106,6 +106,35 @@ def test_components_equal_brute_force(spark, chunk, key_bytes, monkeypatch):
     assert {r["fp"]: r["label"] for r in got} == {s: want[k] for k, s in enumerate(signed)}
 
 
+def test_components_of_edges_whose_evaluations_differ(spark):
+    """On a cluster the rows of a group come in any order, so an edge may name its ends in another order each time."""
+    rng = random.Random(7)
+    pairs = [(k, k + 1) for k in range(0, 400) if k % 7] + [(rng.randrange(400), rng.randrange(400)) for _ in range(40)]
+    edges = spark.createDataFrame(pairs, "x long, y long").withColumn("turn", F.rand() < 0.5)
+    edges = edges.select(F.when(F.col("turn"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("turn"), F.col("y")).otherwise(F.col("x")).alias("b"))
+    nodes = spark.range(400).select(F.col("id").alias("fp"), (1000 - F.col("id")).alias("id"))
+    got = {r["fp"]: r["label"] for r in simhash.components(nodes, edges).collect()}
+    root = list(range(400))
+    for _ in range(400):
+        for a, b in pairs:
+            root[a] = root[b] = max(root[a], root[b])
+    assert got == {k: 1000 - max(j for j in range(400) if root[j] == root[k]) for k in range(400)}
+
+
+def test_forest_edges_have_one_form():
+    import pyarrow as pa
+
+    prints = [0, 1, 3, (1 << 63) + 5, (1 << 63) + 4]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    found = []
+    for order in (prints, prints[::-1]):
+        for some in (order, [p for p in order if p < 2]):
+            rows = [(9, 0, 0, 0, signed(p)) for p in some]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=list("klhof"))
+            found.append(sorted(tuple(r.values()) for out in simhash._links(4)(iter([batch])) for r in out.to_pylist()))
+    assert found[0] == found[2] and found[1] == found[3] == [(0, 1)]
+
+
 def test_near_duplicates_edge_rows(docs_of, rows_of):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(7, text), (3, text), (3, text), (None, text), (9, None), (5, ""), (8, "another text of its own entirely")]
