@@ -48,6 +48,14 @@ def _split(df: DataFrame, cond) -> tuple[DataFrame, DataFrame]:
     return df.where(c), df.where(~c)
 
 
+def _staged_bars(spark, sf) -> DataFrame:
+    """Bars of the line items, formed once and stored: for jobs that take several drops and dimensions from them."""
+    path = scratch_dir(spark, "staged-bars")
+    bars = load_bars(spark, sf)
+    bars.write.parquet(path)
+    return read_stored(spark, path, bars.schema)
+
+
 def _bar_drops(bars: DataFrame):
     return _split(bars, F.year("date") < BAR_SPLIT_YEAR)
 
@@ -168,7 +176,7 @@ def q_upsert_null_keys(spark, sf):
 
 def _refreshed(spark, sf, table_of):
     """A derived table built from bars of which two months hold stale copies and two more days are missing, refreshed after upserts."""
-    bars = load_bars(spark, sf)
+    bars = _staged_bars(spark, sf)
     month = F.date_format("date", "yyyy-MM")
     late = month.isin(*CORRECTED_MONTHS)
     missing = late & F.dayofmonth("date").isin(11, 12)
@@ -201,7 +209,7 @@ def q_refresh_fact(spark, sf):
 def _incremental(spark, sf, name):
     """A table of the incremental pipeline: all bars with some days stale or missing, then two drops that correct them."""
     raw, root = (scratch_dir(spark, n) for n in ("inc-raw", "inc-root"))
-    bars, meta = load_bars(spark, sf), load_ticker_metadata(spark, sf)
+    bars, meta = _staged_bars(spark, sf), load_ticker_metadata(spark, sf)
     late = F.date_format("date", "yyyy-MM").isin(*CORRECTED_MONTHS)
     missing = late & F.dayofmonth("date").isin(11, 12)
     stale = stale_copies(bars.where(late & ~missing)).drop("processed_timestamp")

@@ -8,8 +8,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from candela.checks import streams
 from candela.schema import BAR_COLUMNS
 from candela.sinks import parts
+from candela.sources.metadata import empty_ticker_metadata
 from candela.streaming import jobs, refresh
 
 SCHEMA = "ticker string, date date, open double, high double, low double, close double, adj_close double, volume bigint, processed_timestamp timestamp"
@@ -137,3 +139,22 @@ def test_rows_without_a_key_and_no_changes(spark, tmp_root, case):
     refresh.refresh_indicators(spark, base, target, none, "x")
     refresh.refresh_indicators(spark, base, target, none.limit(0), "y")
     assert files(target) == before and set(BAR_COLUMNS) <= set(refresh.read_derived(spark, target).columns)
+
+
+@pytest.mark.parametrize("name", ["refresh_fact", "incremental_monthly"])
+def test_bars_are_formed_once(spark, monkeypatch, name):
+    days = [(t, d) for t in "AB" for d in (*range(50, 100, 3), *range(1020, 1070, 3))]  # about the corrected months
+    rows = [(t, d + dt.timedelta(-19 * 365), *r) for t, d, *r, _ in bars_of([(*k, 0) for k in days], 1)]
+    formed, schema = spark.sparkContext.accumulator(0), SCHEMA.rsplit(",", 1)[0]
+
+    def counted(batches):
+        for b in batches:
+            formed.add(b.num_rows)
+            yield b
+
+    bars = spark.createDataFrame(rows, schema).mapInArrow(counted, schema)
+    monkeypatch.setattr(streams, "load_bars", lambda spark, sf: bars)
+    monkeypatch.setattr(streams, "load_ticker_metadata", lambda spark, sf: empty_ticker_metadata(spark))
+    out = streams.STREAM_QUERIES[name](spark, "none")
+    assert out.count() == (len(days) if name == "refresh_fact" else len({(t, d.year, d.month) for t, d, *_ in rows}))
+    assert formed.value == len(days)
