@@ -32,6 +32,8 @@ from candela.sinks.tables import table_exists
 from candela.streaming.jobs import ATTEMPT, BATCH, BUCKET, PERIOD, BatchSink, _attempts, _run_batches, period_of, read_appended
 
 BLOCK_BITS, BITS_PER_KEY, HASHES = 32_768, 10, 6
+#: Rows of a batch for each task that builds filters, and for each file of a part.
+TASK_ROWS = 1 << 19
 BLOCKS, BLOCK, BITS, PLACES = "_blocks", "_block", "_bits", "_places"
 FILTERS = f"{PERIOD} string, {BUCKET} long, {BLOCKS} long, {BLOCK} long, {BITS} binary, {BATCH} long"
 
@@ -41,19 +43,39 @@ def _block_of(keys: Sequence[str], blocks: Column) -> Column:
     return F.xxhash64(*keys, F.lit(-1)).bitwiseAND(blocks - 1)
 
 
+def _place(keys: Sequence[str], k: int) -> Column:
+    """Bit of a key in its block by the k-th hash."""
+    return F.pmod(F.xxhash64(*keys, F.lit(k)), F.lit(BLOCK_BITS))
+
+
 def _places(keys: Sequence[str]) -> Column:
     """Bits of a key in its block."""
-    return F.array(*[F.pmod(F.xxhash64(*keys, F.lit(k)), F.lit(BLOCK_BITS)) for k in range(HASHES)])
+    return F.array(*[_place(keys, k) for k in range(HASHES)])
+
+
+def part_sizes(rows: DataFrame) -> DataFrame:
+    """(period, bucket, n) of the parts of ``rows``."""
+    return rows.groupBy(PERIOD, BUCKET).agg(F.count(F.lit(1)).alias("n"))
 
 
-def bloom_filters(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Filter blocks of each part of ``rows``: (period, bucket, blocks, block, bits)."""
-    sizes = rows.groupBy(PERIOD, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+def bloom_filters(rows: DataFrame, keys: Sequence[str], sizes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """Filter blocks of each part of ``rows``: (period, bucket, blocks, block, bits).
+
+    The keys are dealt by block, so that a part spreads over many tasks
+    (``tasks`` of them, else as many as a shuffle has), and a task sorts one
+    row per key: each hash fills a bitmap of its own, and only the bitmaps
+    are put together.
+    """
     needed = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") * BITS_PER_KEY / BLOCK_BITS)))
-    sizes = sizes.select(PERIOD, BUCKET, F.pow(F.lit(2), needed).cast("long").alias(BLOCKS))
-    sized = rows.select(PERIOD, BUCKET, *keys).join(sizes, [PERIOD, BUCKET])
-    bits = sized.select(PERIOD, BUCKET, BLOCKS, _block_of(keys, F.col(BLOCKS)).alias(BLOCK), F.explode(_places(keys)).alias("bit"))
-    return bits.groupBy(PERIOD, BUCKET, BLOCKS, BLOCK).agg(F.bitmap_construct_agg("bit").alias(BITS))
+    sizes = (part_sizes(rows) if sizes is None else sizes).select(PERIOD, BUCKET, F.pow(F.lit(2), needed).cast("long").alias(BLOCKS))
+    sized = rows.select(PERIOD, BUCKET, *keys).join(F.broadcast(sizes), [PERIOD, BUCKET])  # months x buckets
+    sized = sized.withColumn(BLOCK, _block_of(keys, F.col(BLOCKS)))
+    place = [PERIOD, BUCKET, BLOCKS, BLOCK]
+    dealt = sized.repartition(*([tasks] if tasks else []), *place)
+    of_hash = [F.bitmap_construct_agg(_place(keys, k)) for k in range(HASHES)]
+    return dealt.groupBy(*place).agg(F.array(*of_hash).alias(BITS)).select(*place, F.explode(BITS).alias(BITS)).groupBy(*place).agg(
+        F.bitmap_or_agg(BITS).alias(BITS)
+    )
 
 
 def _bit_is_set(bits: Column, place: Column) -> Column:
@@ -97,16 +119,24 @@ def run_dedup_append(
             places = parts_that_may_hold(one.select(BUCKET, *keys), filters, keys).checkpoint()
             stored = _stored_keys(spark, sink_path, places, keys, batch_id)
             if stored is not None:
-                same = reduce(and_, [one[k].eqNullSafe(stored[f"_key{i}"]) for i, k in enumerate(keys)])
-                new = one.join(stored, same, "left_anti").checkpoint()
+                new = without_stored(one, stored, keys).checkpoint()
         placed = new.withColumn(PERIOD, period_of(new.columns, event_time))
-        blocks = bloom_filters(placed, keys).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        sizes = part_sizes(placed).checkpoint()
+        total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        blocks = bloom_filters(placed, keys, sizes, math.ceil(total / TASK_ROWS) or 1).withColumn(BATCH, F.lit(batch_id).cast("long"))
         blocks.write.mode("append").parquet(filters_path)
+        sink.files = math.ceil(largest / TASK_ROWS) or 1  # files of a part: a writer sorts its rows
         sink.append(new, batch_id)
 
     return _run_batches(stream, checkpoint, write)
 
 
+def without_stored(one: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are not stored. Stored keys can be as many as the sink's rows: a sorted join, never a broadcast."""
+    same = reduce(and_, [one[k].eqNullSafe(stored[f"_key{i}"]) for i, k in enumerate(keys)])
+    return one.join(stored.hint("merge"), same, "left_anti")
+
+
 def _stored_keys(spark: SparkSession, sink_path: str, places: DataFrame, keys: Sequence[str], batch_id: int) -> DataFrame | None:
     """Keys of the rows that count in the given parts, without the batch's own; None where there is no part."""
     periods = [r[PERIOD] for r in places.select(PERIOD).distinct().collect()]  # folders to open; at most the months there are

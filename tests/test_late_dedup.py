@@ -86,6 +86,53 @@ def test_only_parts_that_may_hold_a_key_are_opened(spark, root):
     assert sum(opened) <= 10 * 12 * 0.1
 
 
+def test_a_part_spreads_over_tasks_and_its_filter_is_that_of_all_hashes(spark):
+    rows = spark.range(30_000).select("id", F.lit(1).cast("long").alias(jobs.BUCKET), F.lit("2024-01").alias(jobs.PERIOD))
+    names = [jobs.PERIOD, jobs.BUCKET, late_dedup.BLOCKS, late_dedup.BLOCK]
+    threshold, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"
+    before = {k: spark.conf.get(k) for k in (threshold, adaptive)}
+    try:
+        spark.conf.set(threshold, "-1")
+        spark.conf.set(adaptive, "false")
+        got = late_dedup.bloom_filters(rows, ["id"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    blocks = got[0][late_dedup.BLOCKS]
+    assert blocks == 16 and len(got) == 16 and len({r["task"] for r in got}) > 2
+    bits = rows.withColumn(late_dedup.BLOCKS, F.lit(blocks).cast("long")).withColumn(late_dedup.BLOCK, late_dedup._block_of(["id"], F.col(late_dedup.BLOCKS)))
+    plain = bits.select(*names, F.explode(late_dedup._places(["id"])).alias("bit")).groupBy(*names).agg(F.bitmap_construct_agg("bit").alias("bits"))
+    assert {tuple(r) for r in plain.collect()} == {tuple(r[:5]) for r in got}
+
+
+def test_a_large_part_has_several_writers_and_stored_keys_are_not_broadcast(spark, root, monkeypatch):
+    monkeypatch.setattr(late_dedup, "TASK_ROWS", 20, raising=False)
+    plans, plain = [], late_dedup._stored_keys
+
+    def seen(spark, sink_path, places, keys, batch_id):
+        stored = plain(spark, sink_path, places, keys, batch_id)
+        if stored is not None:
+            stored.count()
+            one = spark.createDataFrame([(1,)], "id long")
+            joined = late_dedup.without_stored(one, stored, keys)
+            plans.append(joined._jdf.queryExecution().optimizedPlan().toString())
+        return stored
+
+    monkeypatch.setattr(late_dedup, "_stored_keys", seen)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # so few rows would be one task all the same
+    spark.conf.set(coalesce, "false")
+    try:
+        for ids in (range(200), range(100, 300)):
+            stream = drop(spark, root, [event(k, 1) for k in ids])
+            run_dedup_append(stream, ["id"], "ts", f"{root}/out", f"{root}/ck", buckets=1)
+    finally:
+        spark.conf.unset(coalesce)
+    assert sorted(r["id"] for r in read_deduplicated(spark, f"{root}/out").collect()) == list(range(300))
+    folder = f"{root}/out/_period=2024-01/_bucket=0"
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 2  # one per batch before
+    assert plans and all("strategy=merge" in p for p in plans)
+
+
 RULES = [("known", "sub IS NOT NULL"), ("early", "id < 5")]
 
 
