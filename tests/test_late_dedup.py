@@ -87,7 +87,7 @@ def test_only_parts_that_may_hold_a_key_are_opened(spark, root):
 
 
 def test_a_part_spreads_over_tasks_and_its_filter_is_that_of_all_hashes(spark):
-    rows = spark.range(30_000).select("id", F.lit(1).cast("long").alias(jobs.BUCKET), F.lit("2024-01").alias(jobs.PERIOD))
+    rows = spark.range(30_000).select("id", F.lit(1).cast("long").alias(jobs.BUCKET), F.lit("2024-01").alias(jobs.PERIOD)).checkpoint()
     names = [jobs.PERIOD, jobs.BUCKET, late_dedup.BLOCKS, late_dedup.BLOCK]
     threshold, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"
     before = {k: spark.conf.get(k) for k in (threshold, adaptive)}
